@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.functions.text import ws_tokens
 from quire.operators.order import dense_index
+from quire.session import materialize
 
 # Vocabularies up to this many rows are broadcast to the encoder; larger ones
 # are joined with a shuffle (AQE splits the partitions of very frequent words).
@@ -29,6 +30,7 @@ def whitespace_vocab(docs: DataFrame, text: str = "text", min_freq: int = 1) ->
     wc = word_counts(docs, text)
     if min_freq > 1:
         wc = wc.where(F.col("freq") >= min_freq)
+    wc = materialize(wc)          # distinct words: read three times below
     v = dense_index(wc.withColumn("_nf", -F.col("freq")), ["_nf", "token"], out="id")
     return v.select("token", F.col("id").cast("int").alias("id"), "freq")
 

@@ -21,7 +21,7 @@ from quire.operators.pack import pack_sequences
 from quire.operators.vocab import encode, whitespace_vocab
 from quire.plans import sqlfrag as S
 from quire.plans.prep import PrepConfig, tokenize_and_pack
-from quire.session import tune
+from quire.session import spread, tune
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -38,7 +38,7 @@ def register(name: str, sql: str | None = None):
 
 def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
     tune(spark)
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def docs_lines(spark, sf) -> DataFrame:
@@ -244,3 +244,128 @@ def q_allowed_links(spark, sf):
     pre = p.where(F.col("url").startswith("https://")).select(
         F.concat(F.regexp_extract("url", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1), F.lit("/")).alias("prefix"))
     return C.allowed(x, pre, url="target")
+
+
+# ---------------------------------------------------------------- E4, I4
+from quire.operators.shards import reshard_by_tokens, reshard_summary  # noqa: E402
+from quire.operators.batches import batch_and_pad, budget_batches, step_log  # noqa: E402
+from quire.operators.report import lines_bytes, stage_funnel, token_totals  # noqa: E402
+from quire.plans.prep import clean_documents, pages_to_documents  # noqa: E402
+
+RESHARD_SQL = f"""WITH RECURSIVE s AS (SELECT doc_id, n, sum(n) OVER (ORDER BY doc_id) - n AS cb, sum(n) OVER () AS tot
+  FROM (SELECT doc_id, {S.token_count('text')} AS n FROM documents) WHERE n > 0),
+b(k, st) AS (SELECT 0, CAST(0 AS BIGINT)
+   UNION ALL SELECT k + 1, (SELECT min(cb) FROM s WHERE (s.cb - b.st) * 8 >= s.tot) FROM b WHERE k < 7 AND b.st IS NOT NULL),
+r AS (SELECT doc_id, n, CAST((SELECT max(k) FROM b WHERE b.st <= s.cb) AS INTEGER) AS shard FROM s)"""
+
+
+def _doc_seqs(spark, sf):
+    return T(spark, sf, "documents").select(F.col("doc_id"), token_count("text").alias("n_tokens"))
+
+
+@register("reshard_by_tokens", RESHARD_SQL + "\nSELECT doc_id, shard FROM r")
+def q_reshard_by_tokens(spark, sf):
+    return reshard_by_tokens(_doc_seqs(spark, sf), 8, order="doc_id").select("doc_id", "shard")
+
+
+@register("reshard_summary", RESHARD_SQL + """
+SELECT shard, CAST(count(*) AS BIGINT) AS lines, CAST(sum(n) AS BIGINT) AS tokens,
+ CAST(sum(sum(n)) OVER () AS BIGINT) AS total_tokens, sum(sum(n)) OVER () / 8.0 AS target FROM r GROUP BY shard""")
+def q_reshard_summary(spark, sf):
+    r = reshard_by_tokens(_doc_seqs(spark, sf), 8, order="doc_id")
+    return reshard_summary(r, 8)
+
+
+@register("reshard_packed", PACK_SQL.replace("@L@", "64").replace(
+    "SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64",
+    "SELECT seq_id, CAST(least(7, (row_number() OVER (ORDER BY seq_id) - 1) // CAST(ceil(count(*) OVER () / 8.0) AS BIGINT)) AS INTEGER)"
+    " AS shard FROM w WHERE n = 64 AND split = 'train'"))
+def q_reshard_packed(spark, sf):
+    _, packed = packed_docs(spark, sf, 64)
+    tr = packed.where(F.col("split") == "train").select("seq_id", F.size("input_ids").alias("n_tokens"))
+    return reshard_by_tokens(tr, 8).select("seq_id", "shard")
+
+
+# ---------------------------------------------------------------- K2, K3, I5
+@register("batch_and_pad", f"""WITH {VOCAB_SQL.replace('@SRC@', 'documents')}, {ENCODE_SQL.replace('@SRC@', 'documents')},
+e AS (SELECT d.doc_id, coalesce(x.ids, []) AS ids FROM documents d LEFT JOIN
+   (SELECT doc_id, list(id ORDER BY pos) AS ids FROM toks JOIN vocab USING (token) GROUP BY doc_id) x USING (doc_id)),
+i AS (SELECT doc_id, ids, row_number() OVER (ORDER BY doc_id) - 1 AS ix FROM e),
+w AS (SELECT *, ix // 8 AS batch_id, max(len(ids)) OVER (PARTITION BY ix // 8) AS width FROM i)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(ix % 8 AS INTEGER) AS row, doc_id, CAST(len(ids) AS INTEGER) AS n,
+ CAST(width AS INTEGER) AS width,
+ sha256(array_to_string(list_concat(ids, list_transform(range(width - len(ids)), lambda z: 0)), ' ')) AS ids_sha256
+FROM w""")
+def q_batch_and_pad(spark, sf):
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    enc = encode(d, whitespace_vocab(d))
+    b = batch_and_pad(enc, 8, order="doc_id")
+    return b.select("batch_id", "row", "doc_id", "n", "width",
+                    content_hash(ids_to_text("input_ids")).alias("ids_sha256"))
+
+
+BUDGET_SQL = f"""WITH s AS (SELECT doc_id, n, row_number() OVER (ORDER BY doc_id) - 1 AS ix, count(*) OVER () AS cnt,
+   sum(n) OVER () AS tok FROM (SELECT doc_id, {S.token_count('text')} AS n FROM documents)),
+rep AS (SELECT s.*, e.e AS ep FROM s, (SELECT unnest(range(CAST(ceil(2.5 * (SELECT max(tok) FROM s) / (SELECT max(tok) FROM s)) AS BIGINT) + 2)) AS e) e),
+bt AS (SELECT (ep * cnt + ix) // 16 AS batch, count(*) AS rows, max(n) AS width, min(ep) AS epoch FROM rep GROUP BY 1),
+c AS (SELECT batch, rows, width, epoch, rows * width AS tokens, sum(rows * width) OVER (ORDER BY batch) AS cum FROM bt WHERE rows = 16)
+SELECT CAST(batch + 1 AS BIGINT) AS step, CAST(epoch AS INTEGER) AS epoch, CAST(rows AS BIGINT) AS rows, CAST(width AS INTEGER) AS width,
+ CAST(tokens AS BIGINT) AS tokens, CAST(cum AS BIGINT) AS cum_tokens FROM c
+WHERE cum - tokens < (SELECT CAST(floor(2.5 * max(tok)) AS BIGINT) FROM s)"""
+
+
+def _budget(spark, sf):
+    seqs = _doc_seqs(spark, sf)
+    tok = seqs.agg(F.sum("n_tokens")).first()[0]
+    return budget_batches(seqs, 16, int(2.5 * tok), order="doc_id")
+
+
+@register("token_budget", BUDGET_SQL)
+def q_token_budget(spark, sf):
+    return _budget(spark, sf)
+
+
+@register("train_log", f"SELECT step, cum_tokens FROM ({BUDGET_SQL}) WHERE step % 10 = 0")
+def q_train_log(spark, sf):
+    return step_log(_budget(spark, sf), 10)
+
+
+# ---------------------------------------------------------------- I1, I3, I6
+@register("shard_report", f"""WITH {LINES_SQL},
+s AS (SELECT text, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 6 AS INTEGER) AS shard FROM lines)
+SELECT g.shard, CAST(coalesce(count(s.text), 0) AS BIGINT) AS lines,
+ CAST(coalesce(sum(strlen(s.text) + 1), 0) AS BIGINT) AS bytes
+FROM (SELECT CAST(unnest(range(8)) AS INTEGER) AS shard) g LEFT JOIN s USING (shard) GROUP BY g.shard""")
+def q_shard_report(spark, sf):
+    s = shard_mod(docs_lines(spark, sf), ["doc_id"], 6)
+    return lines_bytes(s, by="shard", num_shards=8)
+
+
+@register("token_totals", PACK_SQL.replace("@L@", "64").replace(
+    "SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64",
+    """, t AS (SELECT seq_id, n, CAST(least(3, (row_number() OVER (ORDER BY seq_id) - 1) // CAST(ceil(count(*) OVER () / 4.0) AS BIGINT)) AS INTEGER)
+    AS shard FROM w WHERE n = 64 AND split = 'train')
+SELECT shard, CAST(sum(n) AS BIGINT) AS tokens, CAST(count(*) AS BIGINT) AS sequences FROM t GROUP BY ROLLUP (shard)""").replace(
+    "GROUP BY split, gpos // 64)\n,", "GROUP BY split, gpos // 64)\n,"))
+def q_token_totals(spark, sf):
+    _, packed = packed_docs(spark, sf, 64)
+    tr = packed.where(F.col("split") == "train").withColumn("n_tokens", F.size("input_ids"))
+    return token_totals(reshard_by_tokens(tr, 4), by="shard")
+
+
+FUNNEL_SQL = f"""WITH ex AS (SELECT page_id AS doc_id, {S.extract_text('html')} AS text FROM pages),
+fl AS (SELECT doc_id, {S.collapse(S.strip('text'))} AS text FROM ex WHERE {S.strip('text')} <> ''),
+dd AS (SELECT min(doc_id) AS doc_id, text FROM fl GROUP BY text),
+sc AS (SELECT doc_id, {S.scrub('text')} AS text FROM dd),
+u AS (SELECT 0 AS step, 'raw' AS stage, count(*) AS docs, sum(strlen(text) + 1) AS bytes FROM ex
+ UNION ALL SELECT 1, 'filtered', count(*), sum(strlen(text) + 1) FROM fl
+ UNION ALL SELECT 2, 'deduped', count(*), sum(strlen(text) + 1) FROM dd
+ UNION ALL SELECT 3, 'scrubbed', count(*), sum(strlen(text) + 1) FROM sc)
+SELECT step, stage, CAST(docs AS BIGINT) AS docs, CAST(coalesce(bytes, 0) AS BIGINT) AS bytes,
+ CAST(floor(docs * 1000 / (SELECT docs FROM u WHERE step = 0)) AS BIGINT) AS kept_per_mille FROM u"""
+
+
+@register("corpus_funnel", FUNNEL_SQL)
+def q_corpus_funnel(spark, sf):
+    st = clean_documents(pages_to_documents(T(spark, sf, "pages")))
+    return stage_funnel([(k, st[k]) for k in ("raw", "filtered", "deduped", "scrubbed")])

@@ -73,3 +73,13 @@ def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Use every core when a scan yields fewer splits than the cluster has
+    task slots (one small file = one task).  At scale, scans produce far more
+    splits than slots and this is a no-op, so it never adds a shuffle there."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

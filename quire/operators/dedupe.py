@@ -26,3 +26,143 @@ def exact_dedupe(df: DataFrame, text: str = "text", order: str = "doc_id", group
     if hash_col:
         return out.withColumnRenamed("_h", hash_col)
     return out.drop("_h")
+
+
+# --------------------------------------------------------------------------
+# Near duplicates (F2-F4).  Work happens on *distinct* texts: exact copies
+# are folded into one representative first, so a text copied a billion times
+# is one row here and never yields pairs among its copies.
+# --------------------------------------------------------------------------
+from pyspark.sql import Window  # noqa: E402
+
+from quire.functions.text import ws_tokens  # noqa: E402
+from quire.session import materialize  # noqa: E402
+
+
+def shingles(text_col, k: int = 3):
+    """Distinct lower-cased word k-grams; a text with fewer than k words is
+    one shingle (itself), an empty text has none.
+
+    Built by zipping k shifted slices of the token array, so the array is
+    computed once per row (a lambda that indexes into it would recompute it
+    for every element)."""
+    toks = ws_tokens(F.lower(text_col))
+    n = F.size(toks)
+    z = F.arrays_zip(*[F.slice(toks, j + 1, F.greatest(n, F.lit(1))) for j in range(k)])
+    grams = F.transform(F.filter(z, lambda e: e[str(k - 1)].isNotNull()),
+                        lambda e: F.concat_ws(" ", *[e[str(j)] for j in range(k)]))
+    return F.array_distinct(F.when(n == 0, F.array().cast("array<string>"))
+                             .when(n < k, F.array(F.array_join(toks, " ")))
+                             .otherwise(grams))
+
+
+def representatives(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``rep, text, copies``: one row per distinct stripped text, named by
+    its first ``key``."""
+    x = df.withColumn("_t", py_strip(text)).where(F.col("_t") != "")
+    return (x.groupBy(content_hash("_t").alias("_h"))
+             .agg(F.min(F.struct(F.col(key).alias("rep"), F.col("_t").alias("text"))).alias("_r"),
+                  F.count(F.lit(1)).alias("copies"))
+             .select("_r.rep", "_r.text", "copies"))
+
+
+def shingle_table(reps: DataFrame, k: int = 3) -> DataFrame:
+    """``rep, sh bigint`` (xxhash64 of each distinct shingle)."""
+    x = reps.select("rep", shingles(F.col("text"), k).alias("_s"))
+    return x.select("rep", F.explode("_s").alias("_g")).select("rep", F.xxhash64("_g").alias("sh")).distinct()
+
+
+def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
+                  k: int = 3) -> DataFrame:
+    """every pair of distinct texts whose shingle-set Jaccard is at
+    least ``threshold``: ``a < b`` (representative ids), ``inter``, ``uni``.
+
+    Prefix filtering: order each set by shingle rarity and index only its
+    first ``|A| - ceil(t |A|) + 1`` shingles — two sets reaching ``t`` must
+    share one of them — then verify candidates exactly.  No recall loss.
+    """
+    reps = materialize(representatives(df, text, key))
+    sh = materialize(shingle_table(reps, k))
+    dfreq = sh.groupBy("sh").agg(F.count(F.lit(1)).alias("_df"))
+    x = sh.join(dfreq, "sh")
+    w = Window.partitionBy("rep").orderBy("_df", "sh")
+    x = x.withColumn("_r", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("rep")))
+    pref = x.where(F.col("_r") <= F.col("_n") - F.ceil(F.col("_n") * F.lit(float(threshold))) + 1) \
+            .select("rep", "sh", "_n")
+    a, b = pref.alias("a"), pref.alias("b")
+    cand = (a.join(b, "sh")
+             .where(F.col("a.rep") < F.col("b.rep"))
+             .where((F.col("a._n") >= F.col("b._n") * F.lit(float(threshold)))
+                    & (F.col("b._n") >= F.col("a._n") * F.lit(float(threshold))))
+             .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
+             .distinct())
+    return _verify(cand, sh, threshold)
+
+
+def _verify(cand: DataFrame, sh: DataFrame, threshold: float) -> DataFrame:
+    sets = sh.groupBy("rep").agg(F.collect_set("sh").alias("_s"))
+    sa = sets.select(F.col("rep").alias("a"), F.col("_s").alias("_sa"))
+    sb = sets.select(F.col("rep").alias("b"), F.col("_s").alias("_sb"))
+    v = cand.join(sa, "a").join(sb, "b")
+    inter = F.size(F.array_intersect("_sa", "_sb")).cast("bigint")
+    v = v.select("a", "b", inter.alias("inter"), F.size("_sa").alias("_na"), F.size("_sb").alias("_nb"))
+    v = v.withColumn("uni", (F.col("_na") + F.col("_nb") - F.col("inter")).cast("bigint"))
+    return v.where(F.col("inter") / F.col("uni") >= F.lit(float(threshold))).select("a", "b", "inter", "uni")
+
+
+def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
+                  k: int = 3, bands: int = 20, rows: int = 6, seed: int = 1) -> DataFrame:
+    """MinHash LSH (``bands x rows`` min-hashes).  Each band bucket links
+    its members to the bucket's smallest id (a star, linear in bucket size,
+    however hot the bucket), and every such edge is verified exactly.
+    Output ``a < b, inter, uni`` like :func:`similar_pairs`; it finds the
+    same clusters with high probability, not every pair."""
+    reps = materialize(representatives(df, text, key))
+    sh = materialize(shingle_table(reps, k))
+    sets = sh.groupBy("rep").agg(F.collect_list("sh").alias("_s"))
+    nh = bands * rows
+    sig = F.transform(F.sequence(F.lit(0), F.lit(nh - 1)),
+                      lambda j: F.array_min(F.transform("_s", lambda s: F.xxhash64(s, j + F.lit(seed)))))
+    x = sets.select("rep", sig.alias("_sig"))
+    bk = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
+                     lambda b: F.xxhash64(b, F.slice("_sig", b * rows + 1, rows)))
+    x = x.select("rep", F.posexplode(bk).alias("_band", "_key"))
+    head = F.min("rep").over(Window.partitionBy("_band", "_key"))
+    cand = (x.withColumn("_head", head).where(F.col("rep") != F.col("_head"))
+             .select(F.col("_head").alias("a"), F.col("rep").alias("b")).distinct())
+    return _verify(cand, sh, threshold)
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
+    """``node, label`` with label = smallest node id of its connected
+    component (min-label propagation; the label table is checkpointed every
+    round; stops when no label changes)."""
+    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    e = materialize(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    lab = materialize(e.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
+    for _ in range(max_rounds):
+        prop = (e.join(lab.withColumnRenamed("node", "u"), "u")
+                 .groupBy(F.col("v").alias("node")).agg(F.min("label").alias("_m")))
+        new = lab.join(prop, "node", "left").select(
+            "node", F.least("label", F.coalesce("_m", F.col("label"))).alias("label"))
+        new = materialize(new)
+        changed = new.join(lab.withColumnRenamed("label", "_old"), "node") \
+                     .where(F.col("label") != F.col("_old")).limit(1).count()
+        lab = new
+        if changed == 0:
+            break
+    return lab
+
+
+def near_dup_survivors(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
+                       method: str = "exact") -> DataFrame:
+    """drop every document that is an exact or near copy of an earlier
+    one ("first wins").  ``method`` = ``exact`` (F3 pairs) or ``lsh`` (F2)."""
+    finder = similar_pairs if method == "exact" else minhash_edges
+    edges = finder(df, threshold, text, key)
+    lab = components(edges)
+    reps = df.withColumn("_t", py_strip(text)).where(F.col("_t") != "") \
+             .groupBy(content_hash("_t").alias("_h")).agg(F.min(key).alias("_rep"))
+    keep_reps = reps.join(lab.where(F.col("node") != F.col("label")).select(F.col("node").alias("_rep")),
+                          "_rep", "left_anti")
+    return df.join(keep_reps.select(F.col("_rep").alias(key)), key, "left_semi")

@@ -369,3 +369,71 @@ SELECT step, stage, CAST(docs AS BIGINT) AS docs, CAST(coalesce(bytes, 0) AS BIG
 def q_corpus_funnel(spark, sf):
     st = clean_documents(pages_to_documents(T(spark, sf, "pages")))
     return stage_funnel([(k, st[k]) for k in ("raw", "filtered", "deduped", "scrubbed")])
+
+
+# ---------------------------------------------------------------- F2-F4
+from quire.operators.dedupe import minhash_edges, near_dup_survivors, similar_pairs  # noqa: E402
+
+SHINGLE_SQL = f"""reps AS (SELECT min(doc_id) AS rep, t FROM (SELECT doc_id, {S.strip('text')} AS t FROM documents)
+  WHERE t <> '' GROUP BY sha256(t), t),
+tk AS (SELECT rep, {S.tokens('lower(t)')} AS w FROM reps),
+sh AS (SELECT DISTINCT rep, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+   ELSE list_transform(range(0, len(w) - 2), lambda i: array_to_string(w[i + 1:i + 3], ' ')) END) AS g FROM tk),
+n AS (SELECT rep, count(*) AS c FROM sh GROUP BY rep),
+pairs AS (SELECT a.rep AS a, b.rep AS b, count(*) AS inter FROM sh a JOIN sh b ON a.g = b.g AND a.rep < b.rep GROUP BY 1, 2),
+sim AS (SELECT a, b, CAST(inter AS BIGINT) AS inter, CAST(na.c + nb.c - inter AS BIGINT) AS uni FROM pairs
+   JOIN n na ON na.rep = a JOIN n nb ON nb.rep = b WHERE inter / (na.c + nb.c - inter) >= 0.8)"""
+
+
+@register("near_dup_exact", f"WITH {SHINGLE_SQL} SELECT a, b, inter, uni FROM sim")
+def q_near_dup_exact(spark, sf):
+    return similar_pairs(T(spark, sf, "documents").select("doc_id", "text"), 0.8)
+
+
+@register("near_dup_lsh")
+def q_near_dup_lsh(spark, sf):
+    return minhash_edges(T(spark, sf, "documents").select("doc_id", "text"), 0.8)
+
+
+@register("near_dup_survivors", f"""WITH RECURSIVE {SHINGLE_SQL},
+e AS (SELECT a AS u, b AS v FROM sim UNION SELECT b, a FROM sim),
+r(node, reach) AS (SELECT u, u FROM e UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.reach),
+lab AS (SELECT node, min(reach) AS label FROM r GROUP BY node)
+SELECT rep AS doc_id FROM reps WHERE rep NOT IN (SELECT node FROM lab WHERE node <> label)""")
+def q_near_dup_survivors(spark, sf):
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    return near_dup_survivors(d, 0.8).select("doc_id")
+
+
+# ---------------------------------------------------------------- D5
+from quire.operators.lang import detect_language, train_profile  # noqa: E402
+
+
+def _grams_sql(src):
+    t = f"regexp_replace(lower(text), '[\\s\\p{{Z}}]+', ' ', 'g')"
+    return (f"(SELECT doc_id, g, count(*) AS cnt FROM (SELECT doc_id, unnest(list_transform(range(1, "
+            f"greatest(length({t}) - 2, 0) + 1), lambda i: substring({t}, i, 3))) AS g FROM {src}) "
+            f"WHERE length(g) = 3 GROUP BY doc_id, g)")
+
+
+LANG_SQL = f"""WITH tr AS (SELECT doc_id, text, lang FROM documents QUALIFY row_number() OVER (ORDER BY doc_id) - 1
+   < floor(count(*) OVER () * 0.9)),
+tg AS {_grams_sql('tr')},
+lg AS (SELECT lang, g, sum(cnt) AS c FROM tg JOIN tr USING (doc_id) GROUP BY lang, g),
+v AS (SELECT count(DISTINCT g) AS v FROM lg),
+cs AS (SELECT lang, -ln(sum(c) + (SELECT v FROM v)) AS base FROM lg GROUP BY lang),
+pr AS (SELECT lang, ln(count(*) / sum(count(*)) OVER ()) AS prior FROM tr GROUP BY lang),
+dg AS {_grams_sql('documents')},
+ng AS (SELECT doc_id, sum(cnt) AS ng FROM dg GROUP BY doc_id),
+hit AS (SELECT doc_id, lang, sum(cnt * ln(c + 1)) AS h FROM dg JOIN lg USING (g) GROUP BY doc_id, lang),
+sc AS (SELECT d.doc_id, cs.lang, coalesce(hit.h, 0) + coalesce(ng.ng, 0) * cs.base + pr.prior AS score
+   FROM (SELECT doc_id FROM documents) d CROSS JOIN cs JOIN pr USING (lang) LEFT JOIN ng USING (doc_id) LEFT JOIN hit ON hit.doc_id = d.doc_id AND hit.lang = cs.lang)
+SELECT doc_id, lang AS lang_pred FROM sc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1"""
+
+
+@register("language_id", LANG_SQL)
+def q_language_id(spark, sf):
+    d = T(spark, sf, "documents").select("doc_id", "text", "lang")
+    tr = train_test_split(d, ["doc_id"], 0.9).where(F.col("split") == "train")
+    prof, consts = train_profile(tr)
+    return detect_language(d, prof, consts).select("doc_id", "lang_pred")

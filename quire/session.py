@@ -22,6 +22,7 @@ def build_session(master: str | None = None, app: str = "quire", shuffle_partiti
     parts = shuffle_partitions or int(os.environ.get("QUIRE_SHUFFLE_PARTITIONS", "8"))
     conf = {
         "spark.ui.enabled": "false",
+        "spark.driver.memory": os.environ.get("QUIRE_DRIVER_MEMORY", "8g"),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -437,3 +437,83 @@ def q_language_id(spark, sf):
     tr = train_test_split(d, ["doc_id"], 0.9).where(F.col("split") == "train")
     prof, consts = train_profile(tr)
     return detect_language(d, prof, consts).select("doc_id", "lang_pred")
+
+
+# ---------------------------------------------------------------- A8, C14
+from quire.operators.sft import conversation_lines, conversation_pairs, sft_text  # noqa: E402
+
+
+@register("conversation_format", """SELECT conv_id, turn,
+ upper(substr(role, 1, 1)) || substr(role, 2) || ': ' || text AS line FROM conversations""")
+def q_conversation_format(spark, sf):
+    return conversation_lines(T(spark, sf, "conversations"))
+
+
+@register("sft_format", """SELECT u.conv_id, u.turn,
+ sha256('Q: ' || u.text || chr(10) || 'Reasoning:' || chr(10) || '' || chr(10) || 'Answer: ' || a.text) AS text_sha256
+FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WHERE u.role = 'user' AND a.role = 'assistant'""")
+def q_sft_format(spark, sf):
+    p = sft_text(conversation_pairs(T(spark, sf, "conversations")))
+    return p.select("conv_id", "turn", content_hash("text").alias("text_sha256"))
+
+
+# ---------------------------------------------------------------- E2, F6, K4
+def _ring_edges(spark, sf):
+    """Synthetic link graph over the stored pages: page i links to pages
+    (7i+1) mod n and (3i+2) mod n."""
+    p = T(spark, sf, "pages").select("page_id", "url")
+    n = p.count()
+    src = p.select(F.col("page_id").alias("i"), F.col("url").alias("src"))
+    dst = p.select(F.col("page_id").alias("j"), F.col("url").alias("dst"))
+    e1 = src.join(dst, F.pmod(F.col("i") * 7 + 1, F.lit(n)) == F.col("j"))
+    e2 = src.join(dst, F.pmod(F.col("i") * 3 + 2, F.lit(n)) == F.col("j"))
+    return p, e1.select("src", "dst").unionByName(e2.select("src", "dst")).distinct()
+
+
+RING_SQL = """WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages),
+e AS (SELECT s.url AS src, d.url AS dst FROM pages s JOIN pages d ON d.page_id = (s.page_id * 7 + 1) % (SELECT n FROM n)
+      UNION SELECT s.url, d.url FROM pages s JOIN pages d ON d.page_id = (s.page_id * 3 + 2) % (SELECT n FROM n)),
+r(url, depth) AS (SELECT url, 0 FROM pages WHERE page_id = (SELECT min(page_id) FROM pages)
+   UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < (SELECT n FROM n)),
+c AS (SELECT url, min(depth) AS depth FROM r GROUP BY url)"""
+
+
+@register("crawl_closure", RING_SQL + "\nSELECT url, CAST(depth AS INTEGER) AS depth, true AS fetched FROM c")
+def q_crawl_closure(spark, sf):
+    p, e = _ring_edges(spark, sf)
+    seeds = p.where(F.col("page_id") == p.agg(F.min("page_id")).first()[0]).select("url")
+    return C.crawl(seeds, e, p)
+
+
+@register("crawl_budget", RING_SQL + """
+SELECT url, CAST(depth AS INTEGER) AS depth, true AS fetched FROM c
+QUALIFY row_number() OVER (ORDER BY depth, url) <= 100""")
+def q_crawl_budget(spark, sf):
+    p, e = _ring_edges(spark, sf)
+    seeds = p.where(F.col("page_id") == p.agg(F.min("page_id")).first()[0]).select("url")
+    return C.crawl(seeds, e, p, max_pages=100)
+
+
+@register("crawl_links", f"""WITH {LINKS_SQL},
+t AS (SELECT DISTINCT {S.resolve_url('url', 'href')} AS target FROM lk),
+pre AS (SELECT DISTINCT {S.origin('url')} || '/' AS prefix FROM pages),
+a AS (SELECT target FROM t WHERE EXISTS (SELECT 1 FROM pre WHERE starts_with(t.target, pre.prefix)))
+SELECT url, 0 AS depth, true AS fetched FROM pages
+UNION ALL SELECT target, 1, false FROM a WHERE target NOT IN (SELECT url FROM pages)""")
+def q_crawl_links(spark, sf):
+    p = T(spark, sf, "pages").select("url", "html")
+    pre = p.select(F.concat(F.regexp_extract("url", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1),
+                            F.lit("/")).alias("prefix"))
+    e = C.link_edges(p, pre)
+    return C.crawl(p.select("url"), e, p)
+
+
+@register("url_crc_shard")
+def q_url_crc_shard(spark, sf):
+    p = T(spark, sf, "pages").select("url", "html")
+    e = C.link_edges(p)
+    seeds = p.select(F.concat(F.regexp_extract("url", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1),
+                              F.lit("/")).alias("url")).distinct()
+    urls = e.select(F.col("dst").alias("url")).unionByName(seeds).distinct()
+    return C.crc_shard(urls, 4, seeds=seeds)

@@ -110,34 +110,34 @@ def running_offset(df: DataFrame, order, weight=None, out: str = "offset", group
     buckets = buckets or default_buckets(df)
     w = F.lit(1).cast("bigint") if weight is None else (
         F.col(weight) if isinstance(weight, str) else weight).cast("bigint")
-    x = df.withColumn("_w", w)
+    x = df.withColumn("__ro_w", w)
     bounds = range_bounds(x, order, buckets)
-    x = x.withColumn("_b", bucket_column(x, order, bounds))
+    x = x.withColumn("__ro_b", bucket_column(x, order, bounds))
 
-    tot = x.groupBy(*group, "_b").agg(F.sum("_w").alias("_t"))
+    tot = x.groupBy(*group, "__ro_b").agg(F.sum("__ro_w").alias("__ro_t"))
     gw = Window.partitionBy(*group)
-    tot = (tot.withColumn("_base", F.coalesce(
-                F.sum("_t").over(gw.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+    tot = (tot.withColumn("__ro_base", F.coalesce(
+                F.sum("__ro_t").over(gw.orderBy("__ro_b").rowsBetween(Window.unboundedPreceding, -1)),
                 F.lit(0).cast("bigint")))
-              .withColumn("_gt", F.sum("_t").over(gw)))
-    tot = tot.select(*group, "_b", "_base", "_gt")
+              .withColumn("__ro_gt", F.sum("__ro_t").over(gw)))
+    tot = tot.select(*group, "__ro_b", "__ro_base", "__ro_gt")
     rows = tot.limit(BROADCAST_ROWS + 1).collect()
     if len(rows) <= BROADCAST_ROWS:
         # bounded by groups x buckets: safe to ship to every task
         small = df.sparkSession.createDataFrame(rows, tot.schema) if rows else tot
-        x = x.join(F.broadcast(small), [*group, "_b"])
+        x = x.join(F.broadcast(small), [*group, "__ro_b"])
     else:
-        x = x.join(tot, [*group, "_b"])
+        x = x.join(tot, [*group, "__ro_b"])
 
-    iw = (Window.partitionBy(*group, "_b").orderBy(*order)
+    iw = (Window.partitionBy(*group, "__ro_b").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = F.sum("_w").over(iw)
+    local = F.sum("__ro_w").over(iw)
     if not inclusive:
-        local = local - F.col("_w")
-    x = x.withColumn(out, F.col("_base") + local)
+        local = local - F.col("__ro_w")
+    x = x.withColumn(out, F.col("__ro_base") + local)
     if total:
-        x = x.withColumn(total, F.col("_gt"))
-    return x.drop("_w", "_b", "_base", "_gt")
+        x = x.withColumn(total, F.col("__ro_gt"))
+    return x.drop("__ro_w", "__ro_b", "__ro_base", "__ro_gt")
 
 
 def dense_index(df: DataFrame, order, out: str = "idx", group=None, total: str | None = None,

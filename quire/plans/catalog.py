@@ -517,3 +517,87 @@ def q_url_crc_shard(spark, sf):
                               F.lit("/")).alias("url")).distinct()
     urls = e.select(F.col("dst").alias("url")).unionByName(seeds).distinct()
     return C.crc_shard(urls, 4, seeds=seeds)
+
+
+# ---------------------------------------------------------------- G1, G2, G4
+from quire.operators.bpe import bpe_encode, train_bpe  # noqa: E402
+from quire.operators.vocab import vocab_size  # noqa: E402
+
+BPE_MERGES = 40
+
+
+@register("bpe_train")
+def q_bpe_train(spark, sf):
+    m, _ = train_bpe(T(spark, sf, "documents").select("doc_id", "text"), BPE_MERGES)
+    return m
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf):
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    m, v = train_bpe(d, BPE_MERGES)
+    return bpe_encode(d, m, v).select("doc_id", F.size("input_ids").alias("n_ids"),
+                                      content_hash(ids_to_text("input_ids")).alias("ids_sha256"))
+
+
+@register("vocab_size", f"""WITH {VOCAB_SQL.replace('@SRC@', 'documents')}
+SELECT CAST(count(*) AS BIGINT) AS vocab_size FROM vocab""")
+def q_vocab_size(spark, sf):
+    return vocab_size(whitespace_vocab(T(spark, sf, "documents")))
+
+
+# ---------------------------------------------------------------- M1-M4
+from quire.streaming import incremental as M  # noqa: E402
+
+
+@register("stream_ingest", f"""WITH ex AS (SELECT page_id AS doc_id, {S.strip(S.extract_text('html'))} AS text FROM pages)
+SELECT doc_id, sha256({S.scrub(S.collapse('text'))}) AS text_sha256 FROM ex WHERE text <> ''""")
+def q_stream_ingest(spark, sf):
+    tune(spark)
+    out = M.run_to_table(M.ingest(M.table_stream(spark, sf, "pages")))
+    return out.select("doc_id", content_hash("text").alias("text_sha256"))
+
+
+@register("stream_dedupe", f"""WITH {LINES_SQL} SELECT DISTINCT sha256(text) AS h FROM lines""")
+def q_stream_dedupe(spark, sf):
+    tune(spark)
+    s = M.table_stream(spark, sf, "documents").select("doc_id", collapse_lines(py_strip("text")).alias("text"))
+    return M.run_to_table(M.dedupe_stream(s)).select("h")
+
+
+@register("stream_counters", f"""WITH {LINES_SQL},
+u AS (SELECT 'raw' AS stage, strlen(text) AS b FROM documents
+      UNION ALL SELECT 'kept', strlen(text) FROM lines
+      UNION ALL SELECT 'long', strlen(text) FROM lines WHERE {S.token_count('text')} >= 100)
+SELECT stage, CAST(count(*) AS BIGINT) AS docs, CAST(sum(b + 1) AS BIGINT) AS bytes FROM u GROUP BY stage""")
+def q_stream_counters(spark, sf):
+    tune(spark)
+    s = M.table_stream(spark, sf, "documents")
+    c = collapse_lines(py_strip("text"))
+    kept = py_strip("text") != ""
+    x = s.select(F.col("text").alias("raw"), F.when(kept, c).alias("text"))
+    raw = x.select(F.lit("raw").alias("stage"), F.octet_length("raw").alias("_b"))
+    k = x.where(F.col("text").isNotNull())
+    kk = k.select(F.lit("kept").alias("stage"), F.octet_length("text").alias("_b"))
+    lg = k.where(token_count("text") >= 100).select(F.lit("long").alias("stage"), F.octet_length("text").alias("_b"))
+    agg = raw.unionByName(kk).unionByName(lg).groupBy("stage").agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.col("_b") + 1).cast("bigint").alias("bytes"))
+    return M.run_to_table(agg, mode="complete")
+
+
+@register("stream_pack", f"""WITH {LINES_SQL}, {DEDUP_SQL}, {VOCAB_SQL.replace('@SRC@', 'dd')},
+{ENCODE_SQL.replace('@SRC@', 'dd')},
+g AS (SELECT id, row_number() OVER (ORDER BY doc_id, pos) - 1 AS gpos FROM toks JOIN vocab USING (token)),
+w AS (SELECT gpos // 64 AS seq_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS ids, count(*) AS n
+      FROM g GROUP BY gpos // 64)
+SELECT CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64""")
+def q_stream_pack(spark, sf):
+    tune(spark)
+    d = exact_dedupe(docs_lines(spark, sf))
+    vocab = whitespace_vocab(d)
+    p = M.StreamPacker(spark, vocab, 64)
+    # the stream carries the deduplicated documents of the table, one file per trigger
+    src = M.scratch(spark, "stream-src")
+    d.write.parquet(src)
+    s = spark.readStream.schema(d.schema).parquet(src)
+    return p.run(s).select("seq_id", ids_to_text("input_ids").alias("ids"))

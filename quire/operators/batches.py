@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.operators.order import dense_index, running_offset
+from quire.session import materialize
 
 PAD_ID = 0
 
@@ -16,7 +17,7 @@ def batch_and_pad(df: DataFrame, batch_size: int, ids: str = "input_ids", order:
     ``pad_id`` to the longest row of the batch; labels equal the padded ids
     (pads are not masked, as in the source collate function).
     A batch holds at most ``batch_size`` rows, so the window is bounded."""
-    x = dense_index(df, [order], out="_i")
+    x = dense_index(materialize(df), [order], out="_i")
     x = x.withColumn("batch_id", F.floor(F.col("_i") / batch_size).cast("bigint")) \
          .withColumn("row", F.pmod(F.col("_i"), F.lit(batch_size)).cast("int")) \
          .withColumn("n", F.size(ids))
@@ -37,7 +38,7 @@ def budget_batches(df: DataFrame, batch_size: int, max_tokens: int, n: str = "n_
     real token count (padding only adds), then the sequence table is repeated
     with a generator — no join.
     """
-    x = dense_index(df.select(order, n), [order], out="_i", total="_cnt")
+    x = materialize(dense_index(materialize(df.select(order, n)), [order], out="_i", total="_cnt"))
     st = x.agg(F.sum(n).alias("tok"), F.max("_cnt").alias("cnt")).first()
     if not st["cnt"] or not st["tok"]:
         return df.sparkSession.createDataFrame(

@@ -40,12 +40,9 @@ from quire.session import materialize  # noqa: E402
 
 
 def shingles(text_col, k: int = 3):
-    """Distinct lower-cased word k-grams; a text with fewer than k words is
-    one shingle (itself), an empty text has none.
-
-    Built by zipping k shifted slices of the token array, so the array is
-    computed once per row (a lambda that indexes into it would recompute it
-    for every element)."""
+    """Distinct lower-cased word k-grams as strings; a text with fewer than
+    k words is one shingle (itself), an empty text has none.  (Reference
+    form; the join paths use :func:`shingle_hashes`.)"""
     toks = ws_tokens(F.lower(text_col))
     n = F.size(toks)
     z = F.arrays_zip(*[F.slice(toks, j + 1, F.greatest(n, F.lit(1))) for j in range(k)])
@@ -56,6 +53,21 @@ def shingles(text_col, k: int = 3):
                              .otherwise(grams))
 
 
+def shingle_hashes(text_col, k: int = 3):
+    """The same shingle sets as 64-bit hashes: every token is hashed once,
+    a shingle is the hash of its k token hashes (zipped shifted slices, so
+    the token array is built once per row and no shingle string is made)."""
+    toks = ws_tokens(F.lower(text_col))
+    h = F.transform(toks, lambda t: F.xxhash64(t))
+    n = F.size(h)
+    z = F.arrays_zip(*[F.slice(h, j + 1, F.greatest(n, F.lit(1))) for j in range(k)])
+    grams = F.transform(F.filter(z, lambda e: e[str(k - 1)].isNotNull()),
+                        lambda e: F.xxhash64(*[e[str(j)] for j in range(k)]))
+    return F.array_distinct(F.when(n == 0, F.array().cast("array<bigint>"))
+                             .when(n < k, F.array(F.xxhash64(F.array_join(toks, " "))))
+                             .otherwise(grams))
+
+
 def representatives(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``rep, text, copies``: one row per distinct stripped text, named by
     its first ``key``."""
@@ -66,10 +78,14 @@ def representatives(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
              .select("_r.rep", "_r.text", "copies"))
 
 
-def shingle_table(reps: DataFrame, k: int = 3) -> DataFrame:
-    """``rep, sh bigint`` (xxhash64 of each distinct shingle)."""
-    x = reps.select("rep", shingles(F.col("text"), k).alias("_s"))
-    return x.select("rep", F.explode("_s").alias("_g")).select("rep", F.xxhash64("_g").alias("sh")).distinct()
+def shingle_sets(reps: DataFrame, k: int = 3) -> DataFrame:
+    """``rep, s array<bigint>`` (distinct shingle hashes), checkpointed."""
+    return materialize(reps.select("rep", shingle_hashes(F.col("text"), k).alias("s")))
+
+
+def shingle_table(sets: DataFrame) -> DataFrame:
+    """``rep, sh`` — one row per (document, distinct shingle)."""
+    return sets.select("rep", F.explode("s").alias("sh"))
 
 
 def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
@@ -81,8 +97,9 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key
     first ``|A| - ceil(t |A|) + 1`` shingles — two sets reaching ``t`` must
     share one of them — then verify candidates exactly.  No recall loss.
     """
-    reps = materialize(representatives(df, text, key))
-    sh = materialize(shingle_table(reps, k))
+    reps = representatives(df, text, key)
+    sets = shingle_sets(reps, k)
+    sh = shingle_table(sets)
     dfreq = sh.groupBy("sh").agg(F.count(F.lit(1)).alias("_df"))
     x = sh.join(dfreq, "sh")
     w = Window.partitionBy("rep").orderBy("_df", "sh")
@@ -96,13 +113,12 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key
                     & (F.col("b._n") >= F.col("a._n") * F.lit(float(threshold))))
              .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
              .distinct())
-    return _verify(cand, sh, threshold)
+    return _verify(cand, sets, threshold)
 
 
-def _verify(cand: DataFrame, sh: DataFrame, threshold: float) -> DataFrame:
-    sets = sh.groupBy("rep").agg(F.collect_set("sh").alias("_s"))
-    sa = sets.select(F.col("rep").alias("a"), F.col("_s").alias("_sa"))
-    sb = sets.select(F.col("rep").alias("b"), F.col("_s").alias("_sb"))
+def _verify(cand: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    sa = sets.select(F.col("rep").alias("a"), F.col("s").alias("_sa"))
+    sb = sets.select(F.col("rep").alias("b"), F.col("s").alias("_sb"))
     v = cand.join(sa, "a").join(sb, "b")
     inter = F.size(F.array_intersect("_sa", "_sb")).cast("bigint")
     v = v.select("a", "b", inter.alias("inter"), F.size("_sa").alias("_na"), F.size("_sb").alias("_nb"))
@@ -117,20 +133,18 @@ def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key
     however hot the bucket), and every such edge is verified exactly.
     Output ``a < b, inter, uni`` like :func:`similar_pairs`; it finds the
     same clusters with high probability, not every pair."""
-    reps = materialize(representatives(df, text, key))
-    sh = materialize(shingle_table(reps, k))
-    sets = sh.groupBy("rep").agg(F.collect_list("sh").alias("_s"))
+    sets = shingle_sets(representatives(df, text, key), k)
     nh = bands * rows
     sig = F.transform(F.sequence(F.lit(0), F.lit(nh - 1)),
-                      lambda j: F.array_min(F.transform("_s", lambda s: F.xxhash64(s, j + F.lit(seed)))))
-    x = sets.select("rep", sig.alias("_sig"))
+                      lambda j: F.array_min(F.transform("s", lambda s: F.xxhash64(s, j + F.lit(seed)))))
+    x = sets.select("rep", sig.alias("_sig")).where(F.size("s") > 0)
     bk = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                      lambda b: F.xxhash64(b, F.slice("_sig", b * rows + 1, rows)))
     x = x.select("rep", F.posexplode(bk).alias("_band", "_key"))
     head = F.min("rep").over(Window.partitionBy("_band", "_key"))
     cand = (x.withColumn("_head", head).where(F.col("rep") != F.col("_head"))
              .select(F.col("_head").alias("a"), F.col("rep").alias("b")).distinct())
-    return _verify(cand, sh, threshold)
+    return _verify(cand, sets, threshold)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:

@@ -1,43 +1,46 @@
 """Language identification (D5) as relational naive Bayes over character
 3-grams of the whole text.
 
-train:  ``groupBy(lang, gram).count()`` over labelled documents.
-score:  per document ``sum(cnt * log(c_lang_gram + 1)) - n_grams * log(N_lang + V)
-        + log prior`` — the add-one smoothed log likelihood, rewritten so only
-        grams present in the profile need a join (unseen grams are the
-        ``n_grams`` term).  Ties go to the smaller language code.
+train:  ``groupBy(lang, gram).count()`` over labelled documents (partial
+        aggregation: the shuffle carries distinct (lang, gram) per task).
+score:  ``sum over gram occurrences of log(c_lang_gram + 1)
+        - n_grams * log(N_lang + V) + log prior`` — the add-one smoothed log
+        likelihood, rewritten so only grams present in the profile need a
+        join (unseen grams are the ``n_grams`` term).  Grams are joined
+        map-side with the size-checked broadcast profile; only per (document,
+        language) partial sums are shuffled.  Ties go to the smaller language.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quire.functions.text import WS_CLASS
+
 BROADCAST_PROFILE_ROWS = 5_000_000
 
 
+# whitespace (Python's set) and Unicode separators fold to one space
+GRAM_SPACE = "[" + WS_CLASS[1:-1] + "\\p{Z}]+"
+
+
 def char_grams(text_col, n: int = 3):
     """Every overlapping n-gram of the lower-cased text (whitespace runs as
     one space): a capturing look-ahead returns them in one regex pass."""
-    t = F.regexp_replace(F.lower(text_col), "[\\s\\p{Z}]+", " ")
+    t = F.regexp_replace(F.lower(text_col), GRAM_SPACE, " ")
     return F.regexp_extract_all(t, F.lit("(?s)(?=(.{%d}))" % n), 1)
 
 
-def gram_counts(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = 3) -> DataFrame:
-    """``key, gram, cnt`` (per-document gram histogram)."""
-    g = docs.select(key, F.explode(char_grams(F.col(text), n)).alias("gram"))
-    g = g.where(F.length("gram") == n)
-    return g.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def train_profile(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id",
-                  n: int = 3) -> tuple[DataFrame, DataFrame]:
+def train_profile(labelled: DataFrame, lang: str = "lang", text: str = "text", n: int = 3):
     """(profile ``lang, gram, w``; per-language constants ``lang, base, prior``)."""
-    gc = gram_counts(labelled.select(key, text), text, key, n)
-    lg = gc.join(labelled.select(key, lang), key).groupBy(lang, "gram").agg(F.sum("cnt").alias("c"))
+    lg = (labelled.select(lang, F.explode(char_grams(F.col(text), n)).alias("gram"))
+                  .groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("c")))
+    from quire.session import materialize
+    lg = materialize(lg)                                   # read three times below
     v = lg.select("gram").distinct().count()
     tot = lg.groupBy(lang).agg(F.sum("c").alias("_N"))
     docs = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("_d"))
-    all_docs = F.sum("_d").over(Window.partitionBy())
+    all_docs = F.sum("_d").over(Window.partitionBy())      # one row per language
     consts = (tot.join(docs, lang)
                  .select(lang, (-F.log(F.col("_N") + F.lit(v))).alias("base"),
                          F.log(F.col("_d") / all_docs).alias("prior")))
@@ -47,17 +50,16 @@ def train_profile(labelled: DataFrame, lang: str = "lang", text: str = "text", k
 
 def detect_language(docs: DataFrame, profile: DataFrame, consts: DataFrame, text: str = "text",
                     key: str = "doc_id", out: str = "lang_pred", n: int = 3, lang: str = "lang") -> DataFrame:
-    gc = gram_counts(docs.select(key, text), text, key, n)
-    ng = gc.groupBy(key).agg(F.sum("cnt").alias("_ng"))
+    g = docs.select(key, char_grams(F.col(text), n).alias("_g"))
     size = profile.limit(BROADCAST_PROFILE_ROWS + 1).count()
     prof = F.broadcast(profile) if size <= BROADCAST_PROFILE_ROWS else profile
-    hit = gc.join(prof, "gram").groupBy(key, lang).agg(F.sum(F.col("cnt") * F.col("w")).alias("_hit"))
+    hit = (g.select(key, F.explode("_g").alias("gram")).join(prof, "gram")
+            .groupBy(key, lang).agg(F.sum("w").alias("_hit")))
     langs = [r[lang] for r in consts.select(lang).collect()]         # a handful of languages
-    base = docs.select(key).join(ng, key, "left") \
-               .withColumn(lang, F.explode(F.array(*[F.lit(x) for x in langs])))
-    c = F.broadcast(consts)
-    sc = (base.join(c, lang).join(hit, [key, lang], "left")
-              .select(key, lang, (F.coalesce("_hit", F.lit(0.0)) + F.coalesce("_ng", F.lit(0)) * F.col("base")
+    base = g.select(key, F.size("_g").alias("_ng")) \
+            .withColumn(lang, F.explode(F.array(*[F.lit(x) for x in langs])))
+    sc = (base.join(F.broadcast(consts), lang).join(hit, [key, lang], "left")
+              .select(key, lang, (F.coalesce("_hit", F.lit(0.0)) + F.col("_ng") * F.col("base")
                                   + F.col("prior")).alias("score")))
     w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col(lang).asc())
     return sc.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1) \

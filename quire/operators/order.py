@@ -153,13 +153,35 @@ def shard_mod(df: DataFrame, order, num_parts: int, out: str = "shard", group=No
 
 
 def train_test_split(df: DataFrame, order, train_frac: float = 0.9, out: str = "split",
-                     group=None, rounding: str = "floor") -> DataFrame:
+                     group=None) -> DataFrame:
     """E5: the first ``floor(n * frac)`` rows (per group) are ``train``.
 
-    ``rounding="int"`` reproduces the older ``int(frac * n)`` variant, which
-    is the same for non-negative n.
+    Only the order key is indexed (a narrow prefix sum); the first ``test``
+    key of each group — one row per group, checked before broadcasting — is
+    then compared with every row by a plain filter, so wide rows (texts) are
+    never shuffled.  The older ``int(frac * n)`` variant is the same for
+    non-negative n.
     """
-    x = dense_index(df, order, out="_i", group=group, total="_n")
-    cut = F.floor(F.col("_n").cast("double") * F.lit(float(train_frac)))
-    return (x.withColumn(out, F.when(F.col("_i") < cut, F.lit("train")).otherwise(F.lit("test")))
-             .drop("_i", "_n"))
+    order, group = _names(order), _names(group)
+    keys = df.select(*group, *order)
+    idx = dense_index(keys, order, out="_i", group=group, total="_n")
+    cut_at = F.floor(F.col("_n").cast("double") * F.lit(float(train_frac)))
+    cut = idx.where(F.col("_i") == cut_at).select(
+        *group, F.struct(*[F.col(c).alias(c) for c in order]).alias("_cut"))
+    key = F.struct(*[F.col(c).alias(c) for c in order])
+    rows = cut.limit(BROADCAST_ROWS + 1).collect()
+    if not group:
+        # a single boundary: compare with a literal, no join at all
+        if not rows:
+            return df.withColumn(out, F.lit("train"))
+        types = dict(df.dtypes)
+        lit = F.struct(*[F.lit(rows[0]["_cut"][c]).cast(types[c]).alias(c) for c in order])
+        return df.withColumn(out, F.when(key < lit, F.lit("train")).otherwise(F.lit("test")))
+    if len(rows) <= BROADCAST_ROWS:
+        side = F.broadcast(df.sparkSession.createDataFrame(rows, cut.schema) if rows else cut)
+    else:
+        side = cut
+    x = df.join(side, group, "left")
+    return (x.withColumn(out, F.when(F.col("_cut").isNull() | (key < F.col("_cut")), F.lit("train"))
+                          .otherwise(F.lit("test")))
+             .drop("_cut"))

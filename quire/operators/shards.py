@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.operators.order import bucket_column, running_offset
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, materialize
 
 
 def _starts(x: DataFrame, num_shards: int, total: int, maxlen: int) -> list[int]:
@@ -44,8 +44,10 @@ def reshard_by_tokens(df: DataFrame, num_shards: int, n: str = "n_tokens", order
                       out: str = "shard") -> DataFrame:
     """Add ``shard`` (0..N-1).  Rows with ``n = 0`` (blank lines) are
     skipped, as in the source."""
-    x = df.where(F.col(n) > 0)
-    x = running_offset(x, [order], n, out="_cb", total="_tot")
+    # several passes follow (bounds, totals, stats, start points): read the
+    # input once and keep it in the shared checkpoint folder
+    x = materialize(df.where(F.col(n) > 0))
+    x = materialize(running_offset(x, [order], n, out="_cb", total="_tot"))
     st = x.agg(F.min(n).alias("lo"), F.max(n).alias("hi"), F.count(F.lit(1)).alias("cnt"),
                F.max("_tot").alias("tot")).first()
     if st["cnt"] == 0:

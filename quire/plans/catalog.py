@@ -21,7 +21,7 @@ from quire.operators.pack import pack_sequences
 from quire.operators.vocab import encode, whitespace_vocab
 from quire.plans import sqlfrag as S
 from quire.plans.prep import PrepConfig, tokenize_and_pack
-from quire.session import spread, tune
+from quire.session import materialize, spread, tune
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -367,7 +367,8 @@ SELECT step, stage, CAST(docs AS BIGINT) AS docs, CAST(coalesce(bytes, 0) AS BIG
 
 @register("corpus_funnel", FUNNEL_SQL)
 def q_corpus_funnel(spark, sf):
-    st = clean_documents(pages_to_documents(T(spark, sf, "pages")))
+    # the extracted stage feeds four aggregates: extract once
+    st = clean_documents(materialize(pages_to_documents(T(spark, sf, "pages"))))
     return stage_funnel([(k, st[k]) for k in ("raw", "filtered", "deduped", "scrubbed")])
 
 
@@ -410,10 +411,11 @@ from quire.operators.lang import detect_language, train_profile  # noqa: E402
 
 
 def _grams_sql(src):
-    t = f"regexp_replace(lower(text), '[\\s\\p{{Z}}]+', ' ', 'g')"
-    return (f"(SELECT doc_id, g, count(*) AS cnt FROM (SELECT doc_id, unnest(list_transform(range(1, "
-            f"greatest(length({t}) - 2, 0) + 1), lambda i: substring({t}, i, 3))) AS g FROM {src}) "
-            f"WHERE length(g) = 3 GROUP BY doc_id, g)")
+    from quire.operators.lang import GRAM_SPACE
+    t = f"regexp_replace(lower(text), {S.q(GRAM_SPACE)}, ' ', 'g')"
+    return (f"(SELECT doc_id, g, count(*) AS cnt FROM (SELECT doc_id, unnest(list_transform(range(0, "
+            f"greatest(len(c) - 2, 0)), lambda i: c[i + 1] || c[i + 2] || c[i + 3])) AS g "
+            f"FROM (SELECT doc_id, string_split({t}, '') AS c FROM {src})) GROUP BY doc_id, g)")
 
 
 LANG_SQL = f"""WITH tr AS (SELECT doc_id, text, lang FROM documents QUALIFY row_number() OVER (ORDER BY doc_id) - 1

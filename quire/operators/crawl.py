@@ -83,34 +83,45 @@ def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int =
     Each round: frontier = newly discovered URLs not yet visited, ordered by
     (depth, url); the round that would pass the budget keeps only its first
     URLs.  Output ``url, depth, fetched`` (``fetched`` = present in
-    ``pages``).  The visited set is checkpointed each round, so lineage stays
-    one round long and a lost executor costs one round.
+    ``pages``).  Each round's frontier is checkpointed and the visited set is
+    the union of those tables (compacted every 16 rounds), so lineage stays
+    short and a lost executor costs at most one round.
     """
     spark = seeds.sparkSession
     known = pages.select(F.col(url).alias("url")).distinct().withColumn("fetched", F.lit(True))
     frontier = seeds.select(F.col(url).alias("url")).where(F.col("url").isNotNull()).distinct()
-    visited = None
+    rounds = []                 # one checkpointed table per round; visited = their union
     n_visited = 0
     depth = 0
     while depth <= max_rounds:
         room = max_pages - n_visited
         if room <= 0:
             break
-        fr = frontier.withColumn("depth", F.lit(depth))
+        fr = materialize(frontier.withColumn("depth", F.lit(depth)))
         n_new = fr.count()
         if n_new == 0:
             break
         if n_new > room:
-            # the budget is the feature here: keep the first URLs of the round
-            fr = fr.orderBy("url").limit(room)
+            # the page budget is the feature here: keep the first URLs of the round
+            fr = materialize(fr.orderBy("url").limit(room))
             n_new = room
-        fr = materialize(fr)
-        visited = fr if visited is None else materialize(visited.unionByName(fr))
+        rounds.append(fr)
+        if len(rounds) > 16:                                  # compact: keep the union short
+            u = rounds[0]
+            for r in rounds[1:]:
+                u = u.unionByName(r)
+            rounds = [materialize(u)]
         n_visited += n_new
+        visited = rounds[0]
+        for r in rounds[1:]:
+            visited = visited.unionByName(r)
         fetched = fr.join(known, "url")                       # failed fetches stop here
         nxt = fetched.select(F.col("url").alias("src")).join(edges, "src").select(F.col("dst").alias("url"))
         frontier = nxt.distinct().join(visited.select("url"), "url", "left_anti")
         depth += 1
+    visited = None
+    for r in rounds:
+        visited = r if visited is None else visited.unionByName(r)
     if visited is None:
         return spark.createDataFrame([], "url string, depth int, fetched boolean")
     return (visited.join(known, "url", "left")

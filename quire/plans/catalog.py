@@ -603,3 +603,67 @@ def q_stream_pack(spark, sf):
     d.write.parquet(src)
     s = spark.readStream.schema(d.schema).parquet(src)
     return p.run(s).select("seq_id", ids_to_text("input_ids").alias("ids"))
+
+
+# ---------------------------------------------------------------- H3, I2, G5, L2, L4
+from quire.operators.pack import with_labels  # noqa: E402
+from quire.operators.vocab import add_special_tokens, special_ids  # noqa: E402
+from quire.plans.prep import STRICT  # noqa: E402
+
+PACK_OLD_SQL = PACK_SQL.replace("floor(count(*) OVER () * 0.9)", "floor(count(*) OVER () * 0.99)").replace("@L@", "4096")
+
+
+@register("pack_older", PACK_OLD_SQL)
+def q_pack_older(spark, sf):
+    """H3: the older packer — 4096-id windows, ``int(0.99 * n)`` documents to train."""
+    d = exact_dedupe(docs_lines(spark, sf))
+    _, packed = tokenize_and_pack(d, PrepConfig(seq_len=4096, train_frac=0.99))
+    return packed.select("split", "seq_id", ids_to_text("input_ids").alias("ids"))
+
+
+@register("split_shard_report", PACK_SQL.replace("@L@", "64").replace(
+    "SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64",
+    """, f AS (SELECT split, ids, CAST((row_number() OVER (PARTITION BY split ORDER BY seq_id) - 1) % 3 AS INTEGER) AS shard
+   FROM w WHERE n = 64)
+SELECT split, shard, CAST(count(*) AS BIGINT) AS lines, CAST(sum(strlen(ids) + 1) AS BIGINT) AS bytes FROM f GROUP BY split, shard"""))
+def q_split_shard_report(spark, sf):
+    """``wc -l`` / ``wc -c`` of the .seq outputs per (split, shard)."""
+    _, packed = packed_docs(spark, sf, 64)
+    lines = packed.select("split", "seq_id", ids_to_text("input_ids").alias("text"))
+    sharded = shard_mod(lines, ["seq_id"], 3, group=["split"])
+    return lines_bytes(sharded, by=("split", "shard"))
+
+
+# The special-token contents of the source's map.
+SPECIALS = [("bos_token", "<|begin_of_text|>"), ("eos_token", "<|end_of_text|>")]
+
+
+@register("vocab_special", f"""WITH {VOCAB_SQL.replace('@SRC@', 'documents')}, n AS (SELECT count(*) AS v FROM vocab)
+SELECT CAST((SELECT v FROM n) AS INTEGER) AS bos_id, CAST((SELECT v FROM n) + 1 AS INTEGER) AS eos_id,
+ CAST((SELECT v FROM n) + 1 AS INTEGER) AS pad_id, CAST((SELECT v FROM n) + 2 AS BIGINT) AS vocab_size""")
+def q_vocab_special(spark, sf):
+    """G4 + G5: specials appended after the corpus vocabulary; pad falls back to eos."""
+    sp = spark.createDataFrame(SPECIALS, "name string, content string")
+    v = add_special_tokens(whitespace_vocab(T(spark, sf, "documents")), sp)
+    ids = special_ids(v, sp)
+    n = vocab_size(v).first()[0]
+    return ids.select(F.col("bos_id").cast("int"), F.col("eos_id").cast("int"), F.col("pad_id").cast("int"),
+                      F.lit(n).cast("bigint").alias("vocab_size"))
+
+
+@register("strict_corpus")
+def q_strict_corpus(spark, sf):
+    """L2: keywords + min length 100 + near-dup 0.8 + 4096 windows, on the documents."""
+    from quire.plans.prep import clean_documents as cd
+    st = cd(T(spark, sf, "documents").select("doc_id", "text"), STRICT)
+    _, packed = tokenize_and_pack(st["scrubbed"], STRICT)
+    return packed.select("split", "seq_id", F.size("input_ids").alias("n_ids"))
+
+
+@register("train_prep")
+def q_train_prep(spark, sf):
+    """L4: packed sequences -> samples with labels -> padded batches of 8."""
+    _, packed = packed_docs(spark, sf, 64)
+    tr = with_labels(packed.where(F.col("split") == "train"))
+    b = batch_and_pad(tr, 8)
+    return b.select("batch_id", "row", "seq_id", "width", F.size("labels").alias("n_labels"))

@@ -53,18 +53,22 @@ def shingles(text_col, k: int = 3):
                              .otherwise(grams))
 
 
-def shingle_hashes(text_col, k: int = 3):
-    """The same shingle sets as 64-bit hashes: every token is hashed once,
-    a shingle is the hash of its k token hashes (zipped shifted slices, so
-    the token array is built once per row and no shingle string is made)."""
-    toks = ws_tokens(F.lower(text_col))
-    h = F.transform(toks, lambda t: F.xxhash64(t))
+def token_hashes(text_col):
+    """xxhash64 of every lower-cased whitespace token."""
+    return F.transform(ws_tokens(F.lower(text_col)), lambda t: F.xxhash64(t))
+
+
+def shingle_hashes(h, k: int = 3):
+    """The shingle sets of :func:`shingles` as 64-bit hashes, from a column
+    ``h`` of token hashes: a shingle is the hash of its k token hashes
+    (zipped shifted slices; no shingle string is built).  A text of fewer
+    than k words is one shingle, the hash of its token hashes."""
     n = F.size(h)
     z = F.arrays_zip(*[F.slice(h, j + 1, F.greatest(n, F.lit(1))) for j in range(k)])
     grams = F.transform(F.filter(z, lambda e: e[str(k - 1)].isNotNull()),
                         lambda e: F.xxhash64(*[e[str(j)] for j in range(k)]))
     return F.array_distinct(F.when(n == 0, F.array().cast("array<bigint>"))
-                             .when(n < k, F.array(F.xxhash64(F.array_join(toks, " "))))
+                             .when(n < k, F.array(F.xxhash64(h)))
                              .otherwise(grams))
 
 
@@ -80,7 +84,11 @@ def representatives(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
 def shingle_sets(reps: DataFrame, k: int = 3) -> DataFrame:
     """``rep, s array<bigint>`` (distinct shingle hashes), checkpointed."""
-    return materialize(reps.select("rep", shingle_hashes(F.col("text"), k).alias("s")))
+    # two projections: the token-hash array is built once, then read by the
+    # shingle expression several times (Catalyst keeps an expensive
+    # expression that is used more than once in its own projection)
+    h = reps.select("rep", token_hashes(F.col("text")).alias("_h"))
+    return materialize(h.select("rep", shingle_hashes(F.col("_h"), k).alias("s")))
 
 
 def shingle_table(sets: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from quire.functions.text import collapse_lines, py_strip, token_count, ws_tokens
+from quire.functions.text import WS_CLASS, collapse_lines, py_strip, token_count, ws_tokens
 
 # The keyword list of the strict configuration, one per line in
 # the source file, in file order.
@@ -77,13 +77,23 @@ def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "to
         words = list(keywords)
     if not words:
         return df
-    alts = _keyword_regex(words)
+    pat = keyword_pattern(words, mode)
+    # one predicate that mentions the text once: Catalyst substitutes the
+    # text's defining expression into every reference when it pushes the
+    # filter down, so a chain of per-keyword tests would recompute it
+    return df.where(F.lower(F.col(text)).rlike(pat))
+
+
+def keyword_pattern(words, mode: str = "token") -> str:
+    """Regex over the lower-cased text: one alternation of the lower-cased
+    keywords (longest first); in ``token`` mode bounded by whitespace,
+    punctuation, symbols or the text ends.  Lower-casing once beats
+    case-insensitive matching at every position."""
+    alts = _keyword_regex([w.lower() for w in words])
     if mode == "substring":
-        pat = "(?iu)(?:" + alts + ")"
-    else:
-        edge = "[\\s\\p{P}\\p{S}]"
-        pat = "(?iu)(?:^|" + edge + ")(?:" + alts + ")(?=$|" + edge + ")"
-    return df.where(F.col(text).rlike(pat))
+        return "(?:" + alts + ")"
+    edge = "(?:" + WS_CLASS + "|[\\p{P}\\p{S}])"
+    return "(?:^|" + edge + ")(?:" + alts + ")(?:$|" + edge + ")"
 
 
 def filter_language(df: DataFrame, lang: str = "en", column: str = "lang", skip: bool = False) -> DataFrame:

@@ -109,15 +109,9 @@ def q_filter_min_len(spark, sf):
 
 
 def _kw_sql(mode):
-    from quire.operators.filters import _keyword_regex
-    from quire.functions.text import WS_CLASS
-    alts = _keyword_regex(SECURITY_KEYWORDS)
-    if mode == "substring":
-        pat = "(?i)(?:" + alts + ")"
-    else:
-        edge = "(?:" + WS_CLASS + "|[\\p{P}\\p{S}])"
-        pat = "(?i)(?:^|" + edge + ")(?:" + alts + ")(?:$|" + edge + ")"
-    return f"""WITH {LINES_SQL} SELECT doc_id FROM lines WHERE regexp_matches(text, {S.q(pat)})"""
+    from quire.operators.filters import keyword_pattern
+    pat = keyword_pattern(SECURITY_KEYWORDS, mode)
+    return f"""WITH {LINES_SQL} SELECT doc_id FROM lines WHERE regexp_matches(lower(text), {S.q(pat)})"""
 
 
 @register("filter_keywords", _kw_sql("token"))

@@ -148,9 +148,11 @@ def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key
     x = sets.select("rep", sig.alias("_sig")).where(F.size("s") > 0)
     bk = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                      lambda b: F.xxhash64(b, F.slice("_sig", b * rows + 1, rows)))
-    x = x.select("rep", F.posexplode(bk).alias("_band", "_key"))
-    head = F.min("rep").over(Window.partitionBy("_band", "_key"))
-    cand = (x.withColumn("_head", head).where(F.col("rep") != F.col("_head"))
+    x = materialize(x.select("rep", F.posexplode(bk).alias("_band", "_key")))
+    # bucket minimum by partial aggregation (a hot bucket is combined map-side),
+    # then a join back on the bucket key (AQE splits a skewed partition)
+    heads = x.groupBy("_band", "_key").agg(F.min("rep").alias("_head"))
+    cand = (x.join(heads, ["_band", "_key"]).where(F.col("rep") != F.col("_head"))
              .select(F.col("_head").alias("a"), F.col("rep").alias("b")).distinct())
     return _verify(cand, sets, threshold)
 

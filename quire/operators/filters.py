@@ -47,8 +47,34 @@ def filter_min_len(df: DataFrame, min_len: int, text: str = "text") -> DataFrame
 
 
 def _keyword_regex(words) -> str:
-    alts = "|".join(re.escape(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
-    return alts
+    """Alternation of the literal words, generated as a prefix trie
+    (``pay(?:load(?:-delivery)?)``-style) so the regex engine follows one
+    branch per character instead of trying every word at every position."""
+    trie: dict = {}
+    for w in sorted(set(words)):
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node) -> str:
+        end = "" in node
+        kids = [(c, n) for c, n in sorted(node.items()) if c != ""]
+        alts = []
+        for c, n in kids:
+            # follow single-child chains as one literal run
+            run = re.escape(c)
+            while len(n) == 1 and "" not in n:
+                (c2, n2), = n.items()
+                run += re.escape(c2)
+                n = n2
+            alts.append(run + emit(n) if n else run)
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        return "(?:" + body + ")?" if end else body
+
+    return emit(trie)
 
 
 def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "token",
@@ -77,11 +103,10 @@ def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "to
         words = list(keywords)
     if not words:
         return df
-    pat = keyword_pattern(words, mode)
     # one predicate that mentions the text once: Catalyst substitutes the
     # text's defining expression into every reference when it pushes the
     # filter down, so a chain of per-keyword tests would recompute it
-    return df.where(F.lower(F.col(text)).rlike(pat))
+    return df.where(F.lower(F.col(text)).rlike(keyword_pattern(words, mode)))
 
 
 def keyword_pattern(words, mode: str = "token") -> str:

@@ -31,6 +31,7 @@ class PrepConfig:
     min_len: int = 0                      # D2
     lang: str | None = None               # D4, off (the default run skips it)
     near_dup_threshold: float | None = None   # F2/F4, off by default
+    near_dup_method: str = "lsh"          # "lsh" stays linear in cluster size; "exact" = F3 pairs
     scrub_rules: str = "reference"        # C9
     seq_len: int = 64                     # H1
     train_frac: float = 0.9               # E5
@@ -60,7 +61,7 @@ def clean_documents(docs: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, Dat
     x = exact_dedupe(x.select("doc_id", "text"))
     if cfg.near_dup_threshold:
         from quire.operators.dedupe import near_dup_survivors
-        x = near_dup_survivors(x, threshold=cfg.near_dup_threshold)
+        x = near_dup_survivors(x, threshold=cfg.near_dup_threshold, method=cfg.near_dup_method)
     stages["deduped"] = x
     x = x.withColumn("text", scrub("text", cfg.scrub_rules))
     stages["scrubbed"] = x

@@ -59,10 +59,25 @@ def special_ids(vocab: DataFrame, specials: DataFrame) -> DataFrame:
                       F.coalesce(F.col("pad_token"), F.col("eos_token")).alias("pad_id"))
 
 
-def _vocab_side(vocab: DataFrame) -> DataFrame:
-    n = vocab.limit(BROADCAST_VOCAB_ROWS + 1).count()
+SALT = 16
+
+
+def _join_vocab(toks: DataFrame, vocab: DataFrame, salt: int = SALT) -> DataFrame:
+    """Left join of exploded tokens with the vocabulary.
+
+    A vocabulary below the checked size is broadcast (no shuffle of the
+    tokens at all).  A larger one is joined on (token, salt): each token
+    occurrence draws a salt from its (document, position), each vocabulary
+    row is copied once per salt value, so a word holding a large share of all
+    tokens is spread over ``salt`` tasks instead of one.
+    """
     side = vocab.select("token", "id")
-    return F.broadcast(side) if n <= BROADCAST_VOCAB_ROWS else side
+    n = vocab.limit(BROADCAST_VOCAB_ROWS + 1).count()
+    if n <= BROADCAST_VOCAB_ROWS:
+        return toks.join(F.broadcast(side), "token", "left")
+    t = toks.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in toks.columns if c != "token"]), F.lit(salt)))
+    v = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return t.join(v, ["token", "_salt"], "left").drop("_salt")
 
 
 def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id",
@@ -74,7 +89,7 @@ def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "do
     """
     keep = [c for c in keep if c != key]
     toks = docs.select(key, *keep, F.posexplode_outer(ws_tokens(text)).alias("_pos", "token"))
-    j = toks.join(_vocab_side(vocab), "token", "left")
+    j = _join_vocab(toks, vocab)
     piece = F.when(F.col("_pos").isNotNull(),
                    F.struct("_pos", F.coalesce("id", F.lit(unk_id)).alias("id")))
     return (j.groupBy(key, *keep)

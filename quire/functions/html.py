@@ -40,9 +40,52 @@ def extract_steps() -> list[tuple[str, str]]:
     return steps
 
 
+NUMERIC_REF = "^(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));"
+
+
+def _hex2(x: Column) -> Column:
+    return F.lpad(F.hex(x), 2, "0")
+
+
+def utf8_char(cp: Column) -> Column:
+    """The character with code point ``cp`` (UTF-8 bytes built arithmetically)."""
+    b = F.when(cp < 0x80, _hex2(cp)) \
+         .when(cp < 0x800, F.concat(_hex2(F.lit(0xC0) + F.shiftright(cp, 6)), _hex2(F.lit(0x80) + F.pmod(cp, F.lit(64))))) \
+         .when(cp < 0x10000, F.concat(_hex2(F.lit(0xE0) + F.shiftright(cp, 12)),
+                                      _hex2(F.lit(0x80) + F.pmod(F.shiftright(cp, 6), F.lit(64))),
+                                      _hex2(F.lit(0x80) + F.pmod(cp, F.lit(64))))) \
+         .otherwise(F.concat(_hex2(F.lit(0xF0) + F.shiftright(cp, 18)),
+                             _hex2(F.lit(0x80) + F.pmod(F.shiftright(cp, 12), F.lit(64))),
+                             _hex2(F.lit(0x80) + F.pmod(F.shiftright(cp, 6), F.lit(64))),
+                             _hex2(F.lit(0x80) + F.pmod(cp, F.lit(64)))))
+    return F.decode(F.unhex(b), "UTF-8")
+
+
+def decode_numeric(col) -> Column:
+    """``&#233;`` / ``&#xE9;`` -> the character, for code points 1..0x10FFFF
+    outside the surrogate range; anything else stays as written.  Only texts
+    holding ``&#`` are split."""
+    c = F.col(col) if isinstance(col, str) else col
+
+    def piece(p, i):
+        d = F.regexp_extract(p, NUMERIC_REF, 1)
+        h = F.regexp_extract(p, NUMERIC_REF, 2)
+        cp = F.when(d != "", d.cast("long")).when(h != "", F.conv(h, 16, 10).cast("long"))
+        ok = cp.isNotNull() & (cp >= 1) & (cp <= 0x10FFFF) & ~((cp >= 0xD800) & (cp <= 0xDFFF))
+        dec = F.concat(utf8_char(cp), F.regexp_replace(p, NUMERIC_REF, ""))
+        return F.when(i == 0, p).when(ok, dec).otherwise(F.concat(F.lit("&#"), p))
+
+    out = F.array_join(F.transform(F.split(c, "&#"), piece), "")
+    return F.when(c.contains("&#"), out).otherwise(c)
+
+
 def decode_entities(col) -> Column:
+    """Named entities, then numeric references, ``&amp;`` last (so that
+    ``&amp;lt;`` and ``&amp;#233;`` stay literal)."""
     c = F.col(col) if isinstance(col, str) else col
-    return reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), ENTITIES, c)
+    named = [e for e in ENTITIES if e[0] != "&amp;"]
+    c = reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), named, c)
+    return F.replace(decode_numeric(c), F.lit("&amp;"), F.lit("&"))
 
 
 def extract_text(col) -> Column:

@@ -54,10 +54,24 @@ def scrub(x: str) -> str:
     return x
 
 
+def decode_numeric(x: str) -> str:
+    from quire.functions.html import NUMERIC_REF
+    d = f"regexp_extract(p, {q(NUMERIC_REF)}, 1)"
+    h = f"regexp_extract(p, {q(NUMERIC_REF)}, 2)"
+    cp = (f"(CASE WHEN {d} <> '' THEN CAST({d} AS BIGINT) "
+          f"WHEN {h} <> '' THEN CAST(('0x' || {h}) AS BIGINT) END)")
+    ok = f"({cp} BETWEEN 1 AND 1114111 AND NOT ({cp} BETWEEN 55296 AND 57343))"
+    piece = (f"CASE WHEN i = 1 THEN p WHEN coalesce({ok}, false) THEN chr(CAST({cp} AS INTEGER)) || "
+             f"regexp_replace(p, {q(NUMERIC_REF)}, '') ELSE '&#' || p END")
+    out = f"array_to_string(list_transform(string_split({x}, '&#'), lambda p, i: {piece}), '')"
+    return f"(CASE WHEN contains({x}, '&#') THEN {out} ELSE {x} END)"
+
+
 def decode_entities(x: str) -> str:
     for a, b in ENTITIES:
-        x = f"replace({x}, {q(a)}, {q(b)})"
-    return x
+        if a != "&amp;":
+            x = f"replace({x}, {q(a)}, {q(b)})"
+    return f"replace({decode_numeric(x)}, '&amp;', '&')"
 
 
 def extract_text(x: str) -> str:

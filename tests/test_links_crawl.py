@@ -97,3 +97,17 @@ def test_extract_text_and_links(spark):
     r = df.select(extract_text("h").alias("t"), extract_links("h").alias("l")).first()
     assert r.t == "Head\nOne & two©\nthree\nfour link"
     assert list(r.l) == ["/n", "/q?a=1&b=2"]
+
+
+def test_numeric_references(spark):
+    from quire.functions.html import decode_entities
+    cases = {
+        "caf&#233; &#xE9;t&#XE9; &#8364; &#128512;!": "café été € 😀!",
+        "&amp;#233; stays": "&#233; stays",
+        "&#; &#xZZ; &#55296; &#0; tail &#": "&#; &#xZZ; &#55296; &#0; tail &#",
+        "&lt;b&gt; &#60;i&#62;": "<b> <i>",
+        "no refs": "no refs",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r.s: r.d for r in df.select("s", decode_entities("s").alias("d")).collect()}
+    assert got == cases

@@ -645,16 +645,50 @@ def q_vocab_special(spark, sf):
                       F.lit(n).cast("bigint").alias("vocab_size"))
 
 
-@register("strict_corpus")
+def _strict_sql():
+    from quire.operators.filters import keyword_pattern
+    kw = keyword_pattern(SECURITY_KEYWORDS)
+    near = SHINGLE_SQL.replace("FROM documents)", "FROM dd)")
+    return f"""WITH RECURSIVE {LINES_SQL},
+kw AS (SELECT doc_id, text FROM lines WHERE regexp_matches(lower(text), {S.q(kw)})),
+ml AS (SELECT doc_id, text FROM kw WHERE {S.token_count('text')} >= 100),
+dd AS (SELECT min(doc_id) AS doc_id, text FROM ml GROUP BY sha256(text), text),
+{near},
+e AS (SELECT a AS u, b AS v FROM sim UNION SELECT b, a FROM sim),
+r(node, reach) AS (SELECT u, u FROM e UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.reach),
+lab AS (SELECT node, min(reach) AS label FROM r GROUP BY node),
+sc AS (SELECT doc_id, {S.scrub('text')} AS text FROM dd WHERE doc_id NOT IN (SELECT node FROM lab WHERE node <> label)),
+{VOCAB_SQL.replace('@SRC@', 'sc')},
+sp AS (SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1 < floor(count(*) OVER () * 0.9)
+       THEN 'train' ELSE 'test' END AS split FROM sc),
+{ENCODE_SQL.replace('@SRC@', 'sc')},
+g AS (SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, pos) - 1 AS gpos
+      FROM toks JOIN vocab USING (token) JOIN sp USING (doc_id)),
+w AS (SELECT split, gpos // 4096 AS seq_id, count(*) AS n FROM g GROUP BY split, gpos // 4096)
+SELECT split, CAST(seq_id AS BIGINT) AS seq_id, CAST(n AS INTEGER) AS n_ids FROM w WHERE n = 4096"""
+
+
+@register("strict_corpus", _strict_sql())
 def q_strict_corpus(spark, sf):
-    """L2: keywords + min length 100 + near-dup 0.8 + 4096 windows, on the documents."""
+    """L2: keywords + min length 100 + near-dup 0.8 + 4096 windows, on the
+    documents (exact near-dup here, so that SQL can check it)."""
+    import dataclasses
     from quire.plans.prep import clean_documents as cd
-    st = cd(T(spark, sf, "documents").select("doc_id", "text"), STRICT)
-    _, packed = tokenize_and_pack(st["scrubbed"], STRICT)
+    cfg = dataclasses.replace(STRICT, near_dup_method="exact")
+    st = cd(T(spark, sf, "documents").select("doc_id", "text"), cfg)
+    _, packed = tokenize_and_pack(st["scrubbed"], cfg)
     return packed.select("split", "seq_id", F.size("input_ids").alias("n_ids"))
 
 
-@register("train_prep")
+TRAIN_PREP_SQL = PACK_SQL.replace("@L@", "64").replace(
+    "SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64",
+    """, t AS (SELECT seq_id, n, row_number() OVER (ORDER BY seq_id) - 1 AS ix FROM w WHERE n = 64 AND split = 'train')
+SELECT CAST(ix // 8 AS BIGINT) AS batch_id, CAST(ix % 8 AS INTEGER) AS row, CAST(seq_id AS BIGINT) AS seq_id,
+ CAST(max(n) OVER (PARTITION BY ix // 8) AS INTEGER) AS width,
+ CAST(max(n) OVER (PARTITION BY ix // 8) AS INTEGER) AS n_labels FROM t""")
+
+
+@register("train_prep", TRAIN_PREP_SQL)
 def q_train_prep(spark, sf):
     """L4: packed sequences -> samples with labels -> padded batches of 8."""
     _, packed = packed_docs(spark, sf, 64)

@@ -32,7 +32,8 @@ def allowed(df: DataFrame, prefixes: DataFrame, url: str = "url", prefix: str =
     """
     p = prefixes.select(F.col(prefix).alias("_p")).where(F.col("_p").isNotNull()).distinct() \
                 .withColumn("_n", F.length("_p"))
-    lens = sorted(r["_n"] for r in p.select("_n").distinct().limit(10_000).collect())
+    # distinct prefix lengths: at most the length of the longest prefix
+    lens = sorted(r["_n"] for r in p.select("_n").distinct().collect())
     if not lens:
         return df.limit(0)
     n = p.limit(BROADCAST_PREFIXES + 1).count()

@@ -92,13 +92,9 @@ def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "to
         n = keywords.limit(REGEX_KEYWORDS_MAX + 1).count()
         if n == 0:
             return df
-        if n > REGEX_KEYWORDS_MAX and mode == "token":
-            kw = keywords.select(F.lower("keyword").alias("_k")).distinct()
-            toks = df.select(key, F.explode(ws_tokens(text)).alias("_t")) \
-                     .select(key, F.lower(F.regexp_replace("_t", "^[\\p{P}\\p{S}]+|[\\p{P}\\p{S}]+$", "")).alias("_k"))
-            hits = toks.join(kw, "_k", "left_semi").select(key).distinct()
-            return df.join(hits, key, "left_semi")
-        words = [r.keyword for r in keywords.limit(REGEX_KEYWORDS_MAX).collect()]
+        if n > REGEX_KEYWORDS_MAX:
+            return _keywords_by_join(df, keywords, text, mode, key)
+        words = [r.keyword for r in keywords.collect()]          # at most REGEX_KEYWORDS_MAX
     else:
         words = list(keywords)
     if not words:
@@ -121,6 +117,36 @@ def keyword_pattern(words, mode: str = "token") -> str:
     return "(?:^|" + edge + ")(?:" + alts + ")(?:$|" + edge + ")"
 
 
+def _keywords_by_join(df: DataFrame, keywords: DataFrame, text: str, mode: str, key: str) -> DataFrame:
+    """Long keyword lists, exactly and with the same rule as the regex path.
+
+    Every character n-gram of the lower-cased text (one look-ahead regex pass
+    per distinct keyword length n, position kept) is semi-joined with the
+    keywords on (n, text).  In ``token`` mode the hits — rare compared with
+    the n-grams — are joined back to their text and kept when both
+    neighbours are whitespace, punctuation, symbols or a text end.
+    """
+    kw = keywords.select(F.lower("keyword").alias("_k")).where(F.col("_k") != "").distinct() \
+                 .withColumn("_n", F.length("_k"))
+    lens = sorted(r["_n"] for r in kw.select("_n").distinct().collect())   # bounded by the longest keyword
+    low = F.lower(F.col(text))
+    def tag(m):
+        return lambda g, i: F.struct(F.lit(m).alias("_n"), i.alias("_p"), g.alias("_k"))
+
+    grams = F.flatten(F.array(*[
+        F.transform(F.regexp_extract_all(low, F.lit("(?s)(?=(.{%d}))" % m), 1), tag(m)) for m in lens]))
+    probe = df.select(key, F.explode(grams).alias("_g")).select(key, "_g._n", "_g._p", "_g._k")
+    hits = probe.join(kw, ["_n", "_k"], "left_semi")
+    if mode == "token":
+        edge = "^(?:" + WS_CLASS + "|[\\p{P}\\p{S}])$"
+        t = hits.join(df.select(key, low.alias("_low")), key)
+        left = (F.col("_p") == 0) | F.substring(F.col("_low"), F.col("_p"), F.lit(1)).rlike(edge)
+        after = F.col("_p") + F.col("_n")
+        right = (after == F.length("_low")) | F.expr("substring(_low, _p + _n + 1, 1)").rlike(edge)
+        hits = t.where(left & right)
+    return df.join(hits.select(key).distinct(), key, "left_semi")
+
+
 def filter_language(df: DataFrame, lang: str = "en", column: str = "lang", skip: bool = False) -> DataFrame:
     """Keep documents in ``lang``; ``skip`` turns the filter off."""
     if skip:

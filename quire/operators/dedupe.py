@@ -97,7 +97,7 @@ def shingle_table(sets: DataFrame) -> DataFrame:
 
 
 def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
-                  k: int = 3) -> DataFrame:
+                  k: int = 3, reps: DataFrame | None = None) -> DataFrame:
     """every pair of distinct texts whose shingle-set Jaccard is at
     least ``threshold``: ``a < b`` (representative ids), ``inter``, ``uni``.
 
@@ -105,7 +105,7 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key
     first ``|A| - ceil(t |A|) + 1`` shingles — two sets reaching ``t`` must
     share one of them — then verify candidates exactly.  No recall loss.
     """
-    reps = representatives(df, text, key)
+    reps = reps if reps is not None else representatives(df, text, key)
     sets = shingle_sets(reps, k)
     sh = shingle_table(sets)
     dfreq = sh.groupBy("sh").agg(F.count(F.lit(1)).alias("_df"))
@@ -135,13 +135,14 @@ def _verify(cand: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
-                  k: int = 3, bands: int = 20, rows: int = 6, seed: int = 1) -> DataFrame:
+                  k: int = 3, bands: int = 20, rows: int = 6, seed: int = 1,
+                  reps: DataFrame | None = None) -> DataFrame:
     """MinHash LSH (``bands x rows`` min-hashes).  Each band bucket links
     its members to the bucket's smallest id (a star, linear in bucket size,
     however hot the bucket), and every such edge is verified exactly.
     Output ``a < b, inter, uni`` like :func:`similar_pairs`; it finds the
     same clusters with high probability, not every pair."""
-    sets = shingle_sets(representatives(df, text, key), k)
+    sets = shingle_sets(reps if reps is not None else representatives(df, text, key), k)
     nh = bands * rows
     sig = F.transform(F.sequence(F.lit(0), F.lit(nh - 1)),
                       lambda j: F.array_min(F.transform("s", lambda s: F.xxhash64(s, j + F.lit(seed)))))
@@ -213,10 +214,8 @@ def near_dup_survivors(df: DataFrame, threshold: float = 0.8, text: str = "text"
     """drop every document that is an exact or near copy of an earlier
     one ("first wins").  ``method`` = ``exact`` (F3 pairs) or ``lsh`` (F2)."""
     finder = similar_pairs if method == "exact" else minhash_edges
-    edges = finder(df, threshold, text, key)
-    lab = components(edges)
-    reps = df.withColumn("_t", py_strip(text)).where(F.col("_t") != "") \
-             .groupBy(content_hash("_t").alias("_h")).agg(F.min(key).alias("_rep"))
-    keep_reps = reps.join(lab.where(F.col("node") != F.col("label")).select(F.col("node").alias("_rep")),
-                          "_rep", "left_anti")
-    return df.join(keep_reps.select(F.col("_rep").alias(key)), key, "left_semi")
+    reps = materialize(representatives(df, text, key))       # distinct texts, hashed once
+    lab = components(finder(df, threshold, text, key, reps=reps))
+    dropped = lab.where(F.col("node") != F.col("label")).select(F.col("node").alias("rep"))
+    keep = reps.select("rep").join(dropped, "rep", "left_anti")
+    return df.join(keep.select(F.col("rep").alias(key)), key, "left_semi")

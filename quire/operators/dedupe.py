@@ -189,11 +189,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
         r = t.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 40)).alias("h")).first()
         return r["n"], r["h"]
 
-    e = materialize(_sym(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))).distinct())
+    def orient(t):
+        # undirected edges kept once, as (larger, smaller); self loops dropped
+        return t.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")) \
+                .where(F.col("u") != F.col("v")).distinct()
+
+    e = materialize(orient(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))))
     de = digest(e)
     for _ in range(max_rounds):
-        ls = _sym(_large_star(e)).distinct()
-        ss = materialize(_sym(_small_star(ls)).distinct())
+        ls = orient(_large_star(_sym(e)))          # large-star needs whole neighbourhoods
+        ss = materialize(orient(_small_star(ls)))  # small-star only the smaller neighbours
         ds = digest(ss)
         # cheap test first (count and hash sum); the exact set comparison
         # runs only when they agree, i.e. once at convergence
@@ -202,7 +207,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
         e, de = ss, ds
         if same:
             break
-    lab = e.groupBy("u").agg(F.min("v").alias("_m"))
+    lab = _sym(e).groupBy("u").agg(F.min("v").alias("_m"))
     lab = lab.select(F.col("u").alias("node"), F.least(F.col("u"), F.col("_m")).alias("label"))
     # nodes that only have self loops are their own component
     ends = edges.select(F.col(a).alias("node")).unionByName(edges.select(F.col(b).alias("node"))).distinct()

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from quire.llm import topk
 from quire.llm.simhash import op6_simhash_near_dup
+from quire.llm.topk import op10_exact_top_k
+from quire.llm.urltrust import op9_url_trust
 
 QUERIES = {
     "op6_simhash_near_dup": op6_simhash_near_dup,
+    "op9_url_trust": op9_url_trust,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
-ORACLE: dict = {}
+ORACLE = {
+    "op10_exact_top_k": topk.SQL,
+}

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from quire.llm import topk
+from quire.llm import topk, warczst
+from quire.llm.langhd import op2_language_hd
 from quire.llm.simhash import op6_simhash_near_dup
 from quire.llm.topk import op10_exact_top_k
 from quire.llm.urltrust import op9_url_trust
+from quire.llm.warczst import op5_warc_dictionary
 
 QUERIES = {
+    "op2_language_hd": op2_language_hd,
+    "op5_warc_dictionary": op5_warc_dictionary,
     "op6_simhash_near_dup": op6_simhash_near_dup,
     "op9_url_trust": op9_url_trust,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
 ORACLE = {
+    "op5_warc_dictionary": warczst.SQL,
     "op10_exact_top_k": topk.SQL,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from quire.llm import topk, warczst
 from quire.llm.langhd import op2_language_hd
 from quire.llm.simhash import op6_simhash_near_dup
+from quire.llm.toxicity import op7_toxicity_weak
 from quire.llm.topk import op10_exact_top_k
 from quire.llm.urltrust import op9_url_trust
 from quire.llm.warczst import op5_warc_dictionary
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_language_hd": op2_language_hd,
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_simhash_near_dup": op6_simhash_near_dup,
+    "op7_toxicity_weak": op7_toxicity_weak,
     "op9_url_trust": op9_url_trust,
     "op10_exact_top_k": op10_exact_top_k,
 }

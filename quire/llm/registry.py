@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quire.llm import topk, warczst
+from quire.llm.decontam import op1_benchmark_simhash
 from quire.llm.langhd import op2_language_hd
 from quire.llm.simhash import op6_simhash_near_dup
 from quire.llm.toxicity import op7_toxicity_weak
@@ -11,6 +12,7 @@ from quire.llm.urltrust import op9_url_trust
 from quire.llm.warczst import op5_warc_dictionary
 
 QUERIES = {
+    "op1_benchmark_simhash": op1_benchmark_simhash,
     "op2_language_hd": op2_language_hd,
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_simhash_near_dup": op6_simhash_near_dup,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quire.llm import topk, warczst
 from quire.llm.decontam import op1_benchmark_simhash
+from quire.llm.idfiles import op8_id_files
 from quire.llm.langhd import op2_language_hd
 from quire.llm.simhash import op6_simhash_near_dup
 from quire.llm.toxicity import op7_toxicity_weak
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_simhash_near_dup": op6_simhash_near_dup,
     "op7_toxicity_weak": op7_toxicity_weak,
+    "op8_id_files": op8_id_files,
     "op9_url_trust": op9_url_trust,
     "op10_exact_top_k": op10_exact_top_k,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quire.llm import topk, warczst
+from quire.llm.bytebpe import op3_byte_bpe
 from quire.llm.decontam import op1_benchmark_simhash
 from quire.llm.idfiles import op8_id_files
 from quire.llm.langhd import op2_language_hd
@@ -15,6 +16,7 @@ from quire.llm.warczst import op5_warc_dictionary
 QUERIES = {
     "op1_benchmark_simhash": op1_benchmark_simhash,
     "op2_language_hd": op2_language_hd,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_simhash_near_dup": op6_simhash_near_dup,
     "op7_toxicity_weak": op7_toxicity_weak,
@@ -24,6 +26,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_warc_dictionary": warczst.SQL,
     "op10_exact_top_k": topk.SQL,
 }

@@ -173,10 +173,10 @@ def chunks(batches, split, limit: int = None):
         yield c
 
 
-def bucket_count(docs: DataFrame, text: str) -> int:
+def bucket_count(docs: DataFrame, text: str, size_of: int = BUCKET) -> int:
     """Buckets for the corpus: never fewer than shuffle partitions."""
     size = docs.select(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size // BUCKET + 1))
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size // size_of + 1))
 
 
 def by_chunk(batches):

@@ -6,6 +6,7 @@ from quire.llm import topk, warczst
 from quire.llm.bytebpe import op3_byte_bpe
 from quire.llm.decontam import op1_benchmark_simhash
 from quire.llm.idfiles import op8_id_files
+from quire.llm.katz import op4_katz_lm
 from quire.llm.langhd import op2_language_hd
 from quire.llm.simhash import op6_simhash_near_dup
 from quire.llm.toxicity import op7_toxicity_weak
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_benchmark_simhash": op1_benchmark_simhash,
     "op2_language_hd": op2_language_hd,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_katz_lm": op4_katz_lm,
     "op5_warc_dictionary": op5_warc_dictionary,
     "op6_simhash_near_dup": op6_simhash_near_dup,
     "op7_toxicity_weak": op7_toxicity_weak,
@@ -27,6 +29,7 @@ QUERIES = {
 
 ORACLE = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_katz_lm": op4_katz_lm,
     "op5_warc_dictionary": warczst.SQL,
     "op10_exact_top_k": topk.SQL,
 }

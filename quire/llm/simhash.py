@@ -257,7 +257,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     linked = fps.join(lab.select(F.col("node").alias("fp"), "label"), "fp")
     ids = linked.groupBy("label").agg(F.min("_first").alias("_c"))
     linked = linked.select("fp", "label").join(ids, "label").select("fp", "_c")
-    of = fps.join(linked, "fp", "left").select("fp", F.coalesce("_c", "_first").alias("component_id"))
+    # stored, so that the join below reads two plain exchanges and Spark can
+    # split the partition of a fingerprint that very many rows share
+    of = stash(fps.join(linked, "fp", "left").select("fp", F.coalesce("_c", "_first").alias("component_id")), "component")
     return marked.join(of, "fp").select(key, "fp", "component_id")
 
 

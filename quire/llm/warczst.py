@@ -116,12 +116,13 @@ def records(buf):
         at = end
 
 
-def build_dictionary(x: DataFrame) -> bytes:
-    """Dictionary from the records of a bounded sample (``SAMPLE_RECORDS``
-    rows by id hash, ``SAMPLE_BYTES`` of each)."""
+def build_dictionary(x: DataFrame, n: int) -> bytes:
+    """Dictionary from a bounded sample of the ``n`` records: one in
+    ``n / SAMPLE_RECORDS`` by digest, ``SAMPLE_BYTES`` of each."""
     import zstandard
-    rows = (x.select("page_id", "url", F.expr(f"substring(payload, 1, {SAMPLE_BYTES})").alias("p"), "payload_digest")
-             .orderBy(F.xxhash64("page_id", "payload_digest")).limit(SAMPLE_RECORDS).collect())
+    rows = (x.where(F.pmod("_h", F.lit(max(1, n // SAMPLE_RECORDS))) == 0)
+             .select("page_id", "url", F.expr(f"substring(payload, 1, {SAMPLE_BYTES})").alias("p"), "payload_digest")
+             .limit(2 * SAMPLE_RECORDS).collect())
     data = [record(r.page_id, r.url, bytes(r.p), len(r.p), r.payload_digest, None) for r in rows]
     try:
         return zstandard.train_dictionary(DICT_BYTES, data, k=256, d=8).as_bytes()
@@ -141,10 +142,10 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     revisit = F.col("_keep").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_keep"))
     y = y.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes",
                  "payload_digest", F.when(revisit, F.col("_keep")).alias("refers_to"))
-    total = x.agg(F.sum("payload_bytes")).first()[0] or 0
+    n, total = x.agg(F.count(F.lit(1)), F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()
     if total // ARCHIVE + 1 > pages.rdd.getNumPartitions():
         y = y.repartition(int(total // ARCHIVE + 1))
-    words = spark.sparkContext.broadcast(build_dictionary(x))
+    words = spark.sparkContext.broadcast(build_dictionary(x, n))
 
     def run(batches):
         import zstandard

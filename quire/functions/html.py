@@ -8,7 +8,9 @@ the same text means the same thing in Java regex and in RE2.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
@@ -22,10 +24,10 @@ DROP_TAGS = ["script", "style", "noscript", "nav", "footer", "header", "aside",
 # Tags that end a line of text.
 BLOCK_TAGS = ["p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr", "article", "section",
               "blockquote", "pre", "ul", "ol", "table", "title", "body", "main", "dd", "dt"]
-# Named entities decoded, "&amp;" last so "&amp;lt;" stays "&lt;".
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-            ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&")]
+# Named entities: the HTML 4 table of the standard library, and &apos;.
+ENTITIES = {name: chr(cp) for name, cp in name2codepoint.items()} | {"apos": "'"}
+# Our choice: a non-breaking space is an ordinary one in extracted text.
+ENTITIES["nbsp"] = " "
 
 
 def extract_steps() -> list[tuple[str, str]]:
@@ -33,14 +35,19 @@ def extract_steps() -> list[tuple[str, str]]:
     steps = [("(?s)<!--.*?-->", " ")]
     for t in DROP_TAGS:
         steps.append((f"(?is)<{t}(?:{SP}[^>]*)?>.*?</{t}{SP}*>", " "))
-    steps.append((f'(?is)<div{SP}[^>]*class{SP}*={SP}*"(?:[^"]*{SP})?ad(?:{SP}[^"]*)?"[^>]*>.*?</div{SP}*>', " "))
+    # raw text of an unclosed script or style runs to the end of the page
+    steps.append((f"(?is)<(?:script|style)(?:{SP}[^>]*)?>.*\\z", " "))
+    word = f'"(?:[^"]*{SP})?ad(?:{SP}[^"]*)?"[^>]*', f"'(?:[^']*{SP})?ad(?:{SP}[^']*)?'[^>]*", f"ad(?:{SP}[^>]*)?"
+    for value in word:
+        steps.append((f"(?is)<div{SP}(?:[^>]*{SP})?class{SP}*={SP}*{value}>.*?</div{SP}*>", " "))
     steps.append((WS_CLASS + "+", " "))
     steps.append(("(?i)<(?:br|/?(?:" + "|".join(BLOCK_TAGS) + "))(?:[/\\t\\n\\f\\r ][^>]*)?>", "\n"))
-    steps.append(("<[^>]*>", ""))
+    # a tag starts with a letter, "/", "!" or "?": "1 < 2 and 3 > 2" is text
+    steps.append(("<[A-Za-z/!?][^>]*>", ""))
     return steps
 
 
-NUMERIC_REF = "^(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));"
+REFERENCE = "^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _hex2(x: Column) -> Column:
@@ -61,31 +68,27 @@ def utf8_char(cp: Column) -> Column:
     return F.decode(F.unhex(b), "UTF-8")
 
 
-def decode_numeric(col) -> Column:
-    """``&#233;`` / ``&#xE9;`` -> the character, for code points 1..0x10FFFF
-    outside the surrogate range; anything else stays as written.  Only texts
-    holding ``&#`` are split."""
+def decode_entities(col) -> Column:
+    """Named and numeric references, in one pass (``&amp;lt;`` becomes
+    ``&lt;``).  Numeric ones may have leading zeros and stand for code points
+    1..0x10FFFF outside the surrogate range; anything else stays as written.
+    Only texts holding ``&`` are split."""
     c = F.col(col) if isinstance(col, str) else col
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")     # folded to a literal
 
     def piece(p, i):
-        d = F.regexp_extract(p, NUMERIC_REF, 1)
-        h = F.regexp_extract(p, NUMERIC_REF, 2)
-        cp = F.when(d != "", d.cast("long")).when(h != "", F.conv(h, 16, 10).cast("long"))
-        ok = cp.isNotNull() & (cp >= 1) & (cp <= 0x10FFFF) & ~((cp >= 0xD800) & (cp <= 0xDFFF))
-        dec = F.concat(utf8_char(cp), F.regexp_replace(p, NUMERIC_REF, ""))
-        return F.when(i == 0, p).when(ok, dec).otherwise(F.concat(F.lit("&#"), p))
-
-    out = F.array_join(F.transform(F.split(c, "&#"), piece), "")
-    return F.when(c.contains("&#"), out).otherwise(c)
+        ref = F.regexp_extract(p, REFERENCE, 1)
+        dec = F.ltrim(F.regexp_extract(ref, "^#([0-9]+)$", 1), F.lit("0"))
+        hex_ = F.ltrim(F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]+)$", 1), F.lit("0"))
+        cp = F.when((dec != "") & (F.length(dec) <= 7), dec.try_cast("long")) \
+              .when((hex_ != "") & (F.length(hex_) <= 6), F.conv(hex_, 16, 10).try_cast("long"))
+        ok = (cp >= 1) & (cp <= 0x10FFFF) & ~((cp >= 0xD800) & (cp <= 0xDFFF))
+        char = F.when(ref.startswith("#"), F.when(ok, utf8_char(cp))).when(ref != "", F.try_element_at(names, ref))
+        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, F.regexp_replace(p, REFERENCE, "")),
+                                                      F.concat(F.lit("&"), p)))
 
-
-def decode_entities(col) -> Column:
-    """Named entities, then numeric references, ``&amp;`` last (so that
-    ``&amp;lt;`` and ``&amp;#233;`` stay literal)."""
-    c = F.col(col) if isinstance(col, str) else col
-    named = [e for e in ENTITIES if e[0] != "&amp;"]
-    c = reduce(lambda acc, e: F.replace(acc, F.lit(e[0]), F.lit(e[1])), named, c)
-    return F.replace(decode_numeric(c), F.lit("&amp;"), F.lit("&"))
+    out = F.array_join(F.transform(F.split(c, "&"), piece), "")
+    return F.when(c.contains("&"), out).otherwise(c)
 
 
 def extract_text(col) -> Column:
@@ -124,47 +127,60 @@ def _remove_dots(segs: Column) -> Column:
     return F.when(last.isin(".", ".."), F.concat(acc, F.array(F.lit("")))).otherwise(acc)
 
 
+def _parts(u: Column):
+    """scheme (lower case), has authority, authority, path, query, fragment
+    of a URL; the last two with their mark, '' when empty or absent."""
+    scheme = F.lower(F.regexp_extract(u, SCHEME_RE, 1))
+    rest = F.regexp_replace(u, SCHEME_RE, "")
+    frag = F.regexp_extract(rest, "(?s)(#.+)\\z", 1)
+    nofrag = F.regexp_replace(rest, "(?s)#.*\\z", "")
+    query = F.regexp_extract(nofrag, "(?s)(\\?.+)\\z", 1)
+    bare = F.regexp_replace(nofrag, "(?s)\\?.*\\z", "")
+    net = F.regexp_extract(bare, "^//([^/]*)", 1)
+    path = F.regexp_replace(bare, "^//[^/]*", "")
+    return scheme, net, path, query, frag
+
+
 def resolve_url(base, href) -> Column:
-    """C11: ``urllib.parse.urljoin(base, href)`` for http(s)-style bases.
+    """C11: ``urllib.parse.urljoin(base, href)`` for bases with an authority.
 
-    Absolute and scheme-relative links, root paths, relative paths with
-    ``.``/``..``, query-only and fragment-only links; fragments are kept.
+    As there, C0 controls and blanks around a link and tabs and line breaks
+    inside it go away, the scheme is lower-cased, a link that repeats the
+    base's scheme without an authority is relative, and empty queries,
+    fragments and authorities count as absent.
     """
     b = F.col(base) if isinstance(base, str) else base
     h = F.col(href) if isinstance(href, str) else href
-    b_scheme = F.regexp_extract(b, SCHEME_RE, 1)
-    b_rest = F.regexp_replace(b, SCHEME_RE, "")
-    b_net = F.regexp_extract(b_rest, "^//([^/?#]*)", 1)
-    b_tail = F.regexp_replace(b_rest, "^//[^/?#]*", "")
-    b_path = F.regexp_extract(b_tail, "^([^?#]*)", 1)
-    b_query = F.regexp_extract(b_tail, "^[^?#]*(\\?[^#]*)?", 1)
-    h_scheme = F.regexp_extract(h, SCHEME_RE, 1)
-    h_frag = F.regexp_extract(h, "(#.*)$", 1)
-    h_nofrag = F.regexp_replace(h, "#.*$", "")
-    h_path = F.regexp_extract(h_nofrag, "^([^?]*)", 1)
-    h_query = F.regexp_extract(h_nofrag, "(\\?.*)$", 1)
+    raw = h
+    h = F.regexp_replace(F.regexp_replace(h, "^[\\x00-\\x20]+|[\\x00-\\x20]+\\z", ""), "[\\t\\r\\n]", "")
+    b_scheme, b_net, b_path, b_query, b_frag = _parts(b)
+    h_scheme, h_net, h_path, h_query, h_frag = _parts(h)
     prefix = F.concat(b_scheme, F.lit("://"), b_net)
 
-    base_dir = F.slice(F.split(b_path, "/"), 1, F.greatest(F.size(F.split(b_path, "/")) - 1, F.lit(0)))
-    rel_segs = F.split(h_path, "/")
-    merged = F.concat(base_dir, rel_segs)
-    # drop empty inner segments (not the first, not the last), as urljoin does
+    dirs = F.split(b_path, "/")
+    # all but the last segment of the base's path; a path without a last
+    # segment ("/dir/") keeps its empty one out of the middle
+    merged = F.concat(F.slice(dirs, 1, F.greatest(F.size(dirs) - 1, F.lit(0))), F.split(h_path, "/"))
     n = F.size(merged)
     merged = F.filter(merged, lambda s, i: (s != "") | (i == 0) | (i == n - 1))
-    rooted = F.split(h_path, "/")
     path_rel = F.array_join(_remove_dots(merged), "/")
-    path_root = F.array_join(_remove_dots(rooted), "/")
+    path_root = F.array_join(_remove_dots(F.split(h_path, "/")), "/")
 
-    def with_root(p):
+    def rooted(p):
         return F.when(p == "", F.lit("/")).when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p))
 
-    return (F.when(h == "", b)
-             .when(h_scheme != "", h)
-             .when(h.startswith("//"), F.concat(b_scheme, F.lit(":"), h))
-             .when(h_path == "", F.concat(prefix, b_path,
-                                          F.when(h_query != "", h_query).otherwise(b_query), h_frag))
-             .when(h_path.startswith("/"), F.concat(prefix, with_root(path_root), h_query, h_frag))
-             .otherwise(F.concat(prefix, with_root(path_rel), h_query, h_frag)))
+    def tidy(scheme, net, path):
+        """Put a URL back together, without empty marks."""
+        return F.concat(scheme, F.lit("://"), net, F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path),
+                        h_query, h_frag)
+
+    foreign = (h_scheme != "") & (h_scheme != b_scheme)
+    return (F.when(raw == "", b)
+             .when(foreign, h)
+             .when(h_net != "", tidy(F.when(h_scheme != "", h_scheme).otherwise(b_scheme), h_net, h_path))
+             .when(h_path == "", F.concat(prefix, b_path, F.when(h_query != "", h_query).otherwise(b_query), h_frag))
+             .when(h_path.startswith("/"), F.concat(prefix, rooted(path_root), h_query, h_frag))
+             .otherwise(F.concat(prefix, rooted(path_rel), h_query, h_frag)))
 
 
 def url_host(col) -> Column:

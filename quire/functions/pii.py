@@ -19,7 +19,9 @@ WORD = "[\\p{L}\\p{N}_]"
 RULES = {
     "reference": [
         ("ip", "(?<!" + WORD + ")\\p{Nd}{1,3}(?:-\\p{Nd}{1,3}){2},(?=" + WORD + ")", "<IP>"),
-        ("email", "[\\p{L}\\p{N}_.-]+@[\\p{L}\\p{N}_.-]+", "<EMAIL>"),
+        # the look-behind and the possessive run change no match: a run is tried
+        # once, from its start, instead of once per character
+        ("email", "(?<![\\p{L}\\p{N}_.-])[\\p{L}\\p{N}_.-]++@[\\p{L}\\p{N}_.-]+", "<EMAIL>"),
         ("phone", "\\+?\\p{Nd}[\\p{Nd} ()-]{7,}\\p{Nd}", "<PHONE>"),
     ],
 }

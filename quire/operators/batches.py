@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.operators.order import dense_index, running_offset
-from quire.session import materialize
+from quire.session import fits, materialize
 
 PAD_ID = 0
 
@@ -16,15 +16,20 @@ def batch_and_pad(df: DataFrame, batch_size: int, ids: str = "input_ids", order:
     """K2: consecutive batches of ``batch_size`` in order, right-padded with
     ``pad_id`` to the longest row of the batch; labels equal the padded ids
     (pads are not masked, as in the source collate function).
-    A batch holds at most ``batch_size`` rows, so the window is bounded."""
-    x = dense_index(materialize(df), [order], out="_i")
+    A ``labels`` column of the input is padded likewise.  Only the order key
+    is indexed; the rows are shuffled once, by batch, and a batch holds at
+    most ``batch_size`` rows, so the window is bounded."""
+    idx = materialize(dense_index(df.select(order), [order], out="_i"))
+    x = df.join(F.broadcast(idx) if fits(idx, 2_000_000) else idx, order)
     x = x.withColumn("batch_id", F.floor(F.col("_i") / batch_size).cast("bigint")) \
          .withColumn("row", F.pmod(F.col("_i"), F.lit(batch_size)).cast("int")) \
          .withColumn("n", F.size(ids))
     x = x.withColumn("width", F.max("n").over(Window.partitionBy("batch_id")))
     padded = F.concat(F.col(ids), F.array_repeat(F.lit(pad_id), (F.col("width") - F.col("n")).cast("int")))
-    return x.select("batch_id", "row", order, "n", "width", padded.alias("input_ids"),
-                    padded.alias("labels"))
+    labels = padded
+    if "labels" in df.columns:
+        labels = F.concat("labels", F.array_repeat(F.lit(pad_id), (F.col("width") - F.size("labels")).cast("int")))
+    return x.select("batch_id", "row", order, "n", "width", padded.alias("input_ids"), labels.alias("labels"))
 
 
 def budget_batches(df: DataFrame, batch_size: int, max_tokens: int, n: str = "n_tokens",

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.functions.text import ws_tokens
-from quire.session import materialize
+from quire.session import fits, materialize
 
 WORD_PREFIX = "▁"
 CHECKPOINT_EVERY = 8
@@ -85,14 +85,13 @@ def train_bpe(docs: DataFrame, num_merges: int, text: str = "text") -> tuple[Dat
     return mdf, vocab
 
 
-def encode_words(words: DataFrame, merges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def encode_words(words: DataFrame, merges: DataFrame) -> DataFrame:
     """``word, syms`` after applying merges by rank (rounds until stable)."""
-    n = merges.limit(BROADCAST_MERGES + 1).count()
     m = merges.select(F.col("left").alias("_l"), F.col("right").alias("_r"), "rank")
-    m = F.broadcast(m) if n <= BROADCAST_MERGES else m
+    m = F.broadcast(m) if fits(merges, BROADCAST_MERGES) else m
     x = words.select("word", F.filter(F.split("word", ""), lambda c: c != "").alias("syms"))
     x = materialize(x)
-    for i in range(max_rounds):
+    while True:              # every round merges in some word, so it ends
         p = x.select("word", F.explode(_pairs(F.col("syms"))).alias("p")).where(F.col("p")["1"].isNotNull()) \
              .select("word", F.col("p")["0"].alias("_l"), F.col("p")["1"].alias("_r"))
         best = p.join(m, ["_l", "_r"]).groupBy("word").agg(F.min(F.struct("rank", "_l", "_r")).alias("_b"))

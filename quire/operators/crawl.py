@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quire.functions.html import extract_links, resolve_url
-from quire.session import materialize
+from quire.session import fits, materialize
 
 BROADCAST_PREFIXES = 100_000
 
@@ -36,11 +36,11 @@ def allowed(df: DataFrame, prefixes: DataFrame, url: str = "url", prefix: str =
     lens = sorted(r["_n"] for r in p.select("_n").distinct().collect())
     if not lens:
         return df.limit(0)
-    n = p.limit(BROADCAST_PREFIXES + 1).count()
+    small = fits(p, BROADCAST_PREFIXES)
 
     def side(t):
         t = t.select(F.col("_n").alias("_l"), "_p")
-        return F.broadcast(t) if n <= BROADCAST_PREFIXES else t
+        return F.broadcast(t) if small else t
 
     redundant = _probe(p.withColumnRenamed("_p", "_full"), "_full", lens, F.col("_n")) \
         .join(side(p), ["_l", "_p"], "left_semi").select(F.col("_full").alias("_p"))
@@ -77,7 +77,7 @@ def link_edges(pages: DataFrame, prefixes: DataFrame | None = None, url: str = "
 
 
 def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int = 100_000,
-          url: str = "url", max_rounds: int = 10_000) -> DataFrame:
+          url: str = "url") -> DataFrame:
     """F6 + K4: breadth-first closure from ``seeds`` along ``edges`` (``src,
     dst``, already allow-listed), at most ``max_pages`` URLs.
 
@@ -89,12 +89,14 @@ def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int =
     short and a lost executor costs at most one round.
     """
     spark = seeds.sparkSession
-    known = pages.select(F.col(url).alias("url")).distinct().withColumn("fetched", F.lit(True))
+    # read in every round: stored once, so no round extracts links again
+    edges = materialize(edges.select("src", "dst"))
+    known = materialize(pages.select(F.col(url).alias("url")).distinct().withColumn("fetched", F.lit(True)))
     frontier = seeds.select(F.col(url).alias("url")).where(F.col("url").isNotNull()).distinct()
     rounds = []                 # one checkpointed table per round; visited = their union
     n_visited = 0
     depth = 0
-    while depth <= max_rounds:
+    while True:
         room = max_pages - n_visited
         if room <= 0:
             break

@@ -6,26 +6,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from quire.functions.text import content_hash, py_strip
+from quire.session import fits, materialize
 
 
-def exact_dedupe(df: DataFrame, text: str = "text", order: str = "doc_id", group=None,
-                 strip: bool = True, hash_col: str | None = None) -> DataFrame:
-    """keep the first row (in ``order``) of every distinct stripped text.
+BROADCAST_COPIES = 500_000
+
 
-    Blank texts are dropped, as in the source.  One hash aggregation:
-    ``min(struct(order, ...))`` is combined map-side, so a text repeated
-    millions of times costs one row per map task in the shuffle.
+def first_rows(x: DataFrame, order: str, by: list) -> DataFrame:
+    """The rows of ``x`` that come first in ``order`` among equal ``by``.
+
+    Only the narrow key columns are aggregated (hash aggregation, combined
+    map-side: a text copied into a third of all rows costs one row per task);
+    the values that occur more than once then meet the rows again, broadcast
+    behind a size check, else in a shuffle join.  ``order`` is unique.
     """
+    again = (x.groupBy(*by).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > 1).drop("_n"))
+    again = materialize(again)
+    side = F.broadcast(again) if fits(again, BROADCAST_COPIES) else again
+    return x.join(side, by, "left").where(F.col("_first").isNull() | (F.col("_first") == F.col(order))).drop("_first")
+
+
+def exact_dedupe(df: DataFrame, text: str = "text", order: str = "doc_id", group=None,
+                 strip: bool = True, hash_col: str | None = None) -> DataFrame:
+    """keep the first row (in ``order``) of every distinct stripped text;
+    blank texts are dropped, as in the source."""
     group = [group] if isinstance(group, str) else list(group or [])
     x = df.withColumn(text, py_strip(text)) if strip else df
     x = x.where(F.col(text) != F.lit("")).withColumn("_h", content_hash(text))
-    rest = [c for c in x.columns if c not in (order, "_h", *group)]
-    kept = (x.groupBy(*group, "_h")
-             .agg(F.min(F.struct(F.col(order).alias(order), *[F.col(c) for c in rest])).alias("_r")))
-    out = kept.select(*group, "_h", "_r.*")
-    if hash_col:
-        return out.withColumnRenamed("_h", hash_col)
-    return out.drop("_h")
+    out = first_rows(x, order, [*group, "_h"])
+    out = out.select(*group, "_h", *[c for c in x.columns if c not in ("_h", *group)])
+    return out.withColumnRenamed("_h", hash_col) if hash_col else out.drop("_h")
 
 
 # --------------------------------------------------------------------------
@@ -36,7 +47,6 @@ def exact_dedupe(df: DataFrame, text: str = "text", order: str = "doc_id", group
 from pyspark.sql import Window  # noqa: E402
 
 from quire.functions.text import ws_tokens  # noqa: E402
-from quire.session import materialize  # noqa: E402
 
 
 def shingles(text_col, k: int = 3):
@@ -73,13 +83,10 @@ def shingle_hashes(h, k: int = 3):
 
 
 def representatives(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``rep, text, copies``: one row per distinct stripped text, named by
-    its first ``key``."""
-    x = df.withColumn("_t", py_strip(text)).where(F.col("_t") != "")
-    return (x.groupBy(content_hash("_t").alias("_h"))
-             .agg(F.min(F.struct(F.col(key).alias("rep"), F.col("_t").alias("text"))).alias("_r"),
-                  F.count(F.lit(1)).alias("copies"))
-             .select("_r.rep", "_r.text", "copies"))
+    """``rep, text``: one row per distinct stripped text, named by its first
+    ``key``."""
+    x = exact_dedupe(df.select(F.col(key).alias("rep"), F.col(text).alias("text")), order="rep")
+    return x.select("rep", "text")
 
 
 def shingle_sets(reps: DataFrame, k: int = 3) -> DataFrame:
@@ -96,6 +103,11 @@ def shingle_table(sets: DataFrame) -> DataFrame:
     return sets.select("rep", F.explode("s").alias("sh"))
 
 
+# products of set sizes and thresholds are not exact in doubles; the filters
+# allow for it, the verification decides
+SLACK = 1e-6
+
+
 def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
                   k: int = 3, reps: DataFrame | None = None) -> DataFrame:
     """every pair of distinct texts whose shingle-set Jaccard is at
@@ -112,13 +124,13 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, text: str = "text", key
     x = sh.join(dfreq, "sh")
     w = Window.partitionBy("rep").orderBy("_df", "sh")
     x = x.withColumn("_r", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("rep")))
-    pref = x.where(F.col("_r") <= F.col("_n") - F.ceil(F.col("_n") * F.lit(float(threshold))) + 1) \
+    pref = x.where(F.col("_r") <= F.col("_n") - F.ceil(F.col("_n") * F.lit(float(threshold)) - F.lit(SLACK)) + 1) \
             .select("rep", "sh", "_n")
     a, b = pref.alias("a"), pref.alias("b")
     cand = (a.join(b, "sh")
              .where(F.col("a.rep") < F.col("b.rep"))
-             .where((F.col("a._n") >= F.col("b._n") * F.lit(float(threshold)))
-                    & (F.col("b._n") >= F.col("a._n") * F.lit(float(threshold))))
+             .where((F.col("a._n") >= F.col("b._n") * F.lit(float(threshold)) - F.lit(SLACK))
+                    & (F.col("b._n") >= F.col("a._n") * F.lit(float(threshold)) - F.lit(SLACK)))
              .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
              .distinct())
     return _verify(cand, sets, threshold)
@@ -138,10 +150,12 @@ def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key
                   k: int = 3, bands: int = 20, rows: int = 6, seed: int = 1,
                   reps: DataFrame | None = None) -> DataFrame:
     """MinHash LSH (``bands x rows`` min-hashes).  Each band bucket links
-    its members to the bucket's smallest id (a star, linear in bucket size,
-    however hot the bucket), and every such edge is verified exactly.
-    Output ``a < b, inter, uni`` like :func:`similar_pairs`; it finds the
-    same clusters with high probability, not every pair."""
+    its members to the bucket's smallest id, verified exactly; members that
+    are not like it stay and are linked to the smallest of those that remain,
+    until every bucket is settled.  A bucket costs its size times the number
+    of unlike texts in it, never its square for near copies.  Output ``a < b,
+    inter, uni`` like :func:`similar_pairs`: the same clusters with high
+    probability, not every pair inside a cluster."""
     sets = shingle_sets(reps if reps is not None else representatives(df, text, key), k)
     nh = bands * rows
     sig = F.transform(F.sequence(F.lit(0), F.lit(nh - 1)),
@@ -150,12 +164,25 @@ def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key
     bk = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                      lambda b: F.xxhash64(b, F.slice("_sig", b * rows + 1, rows)))
     x = materialize(x.select("rep", F.posexplode(bk).alias("_band", "_key")))
-    # bucket minimum by partial aggregation (a hot bucket is combined map-side),
-    # then a join back on the bucket key (AQE splits a skewed partition)
-    heads = x.groupBy("_band", "_key").agg(F.min("rep").alias("_head"))
-    cand = (x.join(heads, ["_band", "_key"]).where(F.col("rep") != F.col("_head"))
-             .select(F.col("_head").alias("a"), F.col("rep").alias("b")).distinct())
-    return _verify(cand, sets, threshold)
+    # only keys that occur twice can give a candidate
+    n = x.groupBy("_band", "_key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c")
+    x = materialize(x.join(n, ["_band", "_key"], "left_semi"))
+    found = None
+    while x.limit(1).count():
+        heads = x.groupBy("_band", "_key").agg(F.min("rep").alias("_head"))
+        y = x.join(heads, ["_band", "_key"]).where(F.col("rep") != F.col("_head"))
+        cand = y.select(F.col("_head").alias("a"), F.col("rep").alias("b")).distinct()
+        if found is not None:
+            cand = cand.join(found.select("a", "b"), ["a", "b"], "left_anti")
+        got = materialize(_verify(cand, sets, threshold))
+        found = got if found is None else materialize(found.unionByName(got))
+        # members that are like the head are linked through it; the others
+        # (and the members that are like them) are compared among themselves
+        linked = found.select(F.col("a").alias("_head"), F.col("b").alias("rep"))
+        x = materialize(y.join(linked, ["_head", "rep"], "left_anti").select("rep", "_band", "_key"))
+    if found is None:
+        found = _verify(x.select(F.col("rep").alias("a"), F.col("rep").alias("b")), sets, threshold)
+    return found
 
 
 def _sym(e: DataFrame) -> DataFrame:
@@ -179,7 +206,7 @@ def _small_star(e: DataFrame) -> DataFrame:
     return nbr.unionByName(own)
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, label`` with label = smallest node id of its connected
     component.  Alternating large-star / small-star steps (Kiveris et al.,
     2014) reach a star around each component minimum in a logarithmic number
@@ -196,7 +223,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
 
     e = materialize(orient(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))))
     de = digest(e)
-    for _ in range(max_rounds):
+    while True:
         ls = orient(_large_star(_sym(e)))          # large-star needs whole neighbourhoods
         ss = materialize(orient(_small_star(ls)))  # small-star only the smaller neighbours
         ds = digest(ss)
@@ -215,7 +242,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
 
 
 def near_dup_survivors(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
-                       method: str = "exact") -> DataFrame:
+                       method: str = "lsh") -> DataFrame:
     """drop every document that is an exact or near copy of an earlier
     one ("first wins").  ``method`` = ``exact`` (F3 pairs) or ``lsh`` (F2)."""
     finder = similar_pairs if method == "exact" else minhash_edges

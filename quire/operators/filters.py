@@ -7,6 +7,10 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 from quire.functions.text import WS_CLASS, collapse_lines, py_strip, token_count, ws_tokens
+from quire.operators.order import dense_index
+from quire.session import fits, materialize
+
+EDGE_CLASS = "[\\p{P}\\p{S}]"
 
 # The keyword list of the strict configuration, one per line in
 # the source file, in file order.
@@ -19,18 +23,19 @@ SECURITY_KEYWORDS = [
     "sandbox-escape", "lateral-movement", "defense-evasion", "persistence",
 ]
 
-# Keyword lists longer than this are matched with a join instead of one regex.
-REGEX_KEYWORDS_MAX = 500
+# Keyword lists up to this length become an array literal; longer ones are
+# joined.  Both apply the same rule, so the answer does not depend on it.
+LITERAL_KEYWORDS = 500
+SUBSTRING_CHUNK = 2_000        # keywords per regex in substring mode
 
 
 def split_documents(df: DataFrame, text: str = "text", marker: str = "ENDDOC", key: str = "doc_id",
                     out_key: str = "doc_id") -> DataFrame:
     """Split each text at ``marker`` into several documents (stripped,
-    blanks dropped).  ``out_key`` becomes ``key * 2^20 + piece`` so the
-    pieces stay in order."""
-    parts = df.select(key, F.posexplode(F.split(text, re.escape(marker))).alias("_i", "_t"))
-    parts = parts.select(((F.col(key) * F.lit(1 << 20)) + F.col("_i")).alias(out_key), py_strip("_t").alias(text))
-    return parts.where(F.col(text) != "")
+    blanks dropped), numbered densely in (key, piece) order as ``out_key``."""
+    parts = df.select(F.col(key).alias("_k"), F.posexplode(F.split(text, re.escape(marker))).alias("_i", "_t"))
+    parts = parts.select("_k", "_i", py_strip("_t").alias(text)).where(F.col(text) != "")
+    return dense_index(materialize(parts), ["_k", "_i"], out=out_key).select(out_key, text)
 
 
 def collapse_documents(df: DataFrame, text: str = "text") -> DataFrame:
@@ -77,74 +82,82 @@ def _keyword_regex(words) -> str:
     return emit(trie)
 
 
+def keyword_tokens(col):
+    """The units keywords are compared with: whitespace tokens of the
+    lower-cased text without leading and trailing punctuation and symbols
+    (``anti-malware-suite`` is one unit).  Look-behinds keep every rewrite
+    linear in long runs of punctuation."""
+    c = F.lower(F.col(col) if isinstance(col, str) else col)
+    c = F.regexp_replace(c, "(?<!" + EDGE_CLASS + ")" + EDGE_CLASS + "++(?=" + WS_CLASS + "|\\z)", "")
+    c = F.regexp_replace(c, "(?<=\\A|" + WS_CLASS + ")" + EDGE_CLASS + "++", "")
+    return ws_tokens(c)
+
+
+def _run_at(units, m: int):
+    return lambda i: F.array_join(F.slice(units, i, m), " ")
+
+
+def keyword_units(col, sizes):
+    """Runs of 1, 2, ... neighbouring units, for keywords of several words."""
+    t = keyword_tokens(col)
+    out = [t if 1 in sizes else F.array().cast("array<string>")]
+    for m in sorted(set(sizes) - {1}):
+        starts = F.sequence(F.lit(1), F.greatest(F.size(t) - (m - 1), F.lit(1)))
+        out.append(F.when(F.size(t) >= m, F.transform(starts, _run_at(t, m))).otherwise(F.array().cast("array<string>")))
+    return F.flatten(F.array(*out)) if len(out) > 1 else out[0]
+
+
+def normal_keywords(keywords: DataFrame) -> DataFrame:
+    """``keyword, words``: cleaned like the texts, blanks dropped, distinct."""
+    k = keywords.select(keyword_tokens("keyword").alias("_t")).where(F.size("_t") > 0)
+    return k.select(F.array_join("_t", " ").alias("keyword"), F.size("_t").alias("words")).distinct()
+
+
 def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "token",
                     key: str = "doc_id") -> DataFrame:
     """D3: keep documents holding at least one keyword (case-insensitive).
 
-    ``keywords`` is a list or a ``keyword`` DataFrame.  ``mode="token"``
-    matches whole whitespace tokens with surrounding punctuation removed;
-    ``mode="substring"`` matches anywhere.  Short lists compile to one regex
-    (no shuffle); long lists are a ``left_semi`` join on exploded tokens.
+    ``keywords`` is a list or a ``keyword`` DataFrame; blank ones are ignored,
+    and ``None`` or a list without any keyword turns the filter off.
+    ``mode="token"``: a keyword equals a unit of :func:`keyword_tokens` (or a
+    run of units, for keywords of several words).  Short lists are an array
+    literal, long ones a semi join on the exploded distinct units.
+    ``mode="substring"``: a keyword occurs anywhere, by regex.
     """
     if keywords is None:
         return df
-    if isinstance(keywords, DataFrame):
-        n = keywords.limit(REGEX_KEYWORDS_MAX + 1).count()
-        if n == 0:
-            return df
-        if n > REGEX_KEYWORDS_MAX:
-            return _keywords_by_join(df, keywords, text, mode, key)
-        words = [r.keyword for r in keywords.collect()]          # at most REGEX_KEYWORDS_MAX
-    else:
-        words = list(keywords)
+    if not isinstance(keywords, DataFrame):
+        keywords = df.sparkSession.createDataFrame([(w,) for w in keywords], "keyword string")
+    if mode == "substring":
+        return _substring(df, keywords, text)
+    kw = materialize(normal_keywords(keywords))
+    sizes = [r["words"] for r in kw.select("words").distinct().collect()]      # lengths of keywords
+    if not sizes:
+        return df
+    if fits(kw.select("keyword"), LITERAL_KEYWORDS, 1 << 20):
+        words = [r["keyword"] for r in kw.select("keyword").collect()]
+        return df.where(F.arrays_overlap(keyword_units(text, sizes), F.array(*[F.lit(w) for w in words])))
+    units = df.select(key, F.explode(F.array_distinct(keyword_units(text, sizes))).alias("keyword"))
+    side = kw.select("keyword")
+    hits = units.join(F.broadcast(side) if fits(side, 1_000_000) else side, "keyword", "left_semi").select(key).distinct()
+    return df.join(hits, key, "left_semi")
+
+
+def _substring(df: DataFrame, keywords: DataFrame, text: str) -> DataFrame:
+    """One prefix-trie regex per ``SUBSTRING_CHUNK`` keywords; a keyword list
+    too large for the query text raises."""
+    kw = keywords.select(F.lower("keyword").alias("keyword")).where(py_strip("keyword") != "").distinct()
+    if not fits(kw, 200_000, 8 << 20):
+        raise ValueError("substring keywords are part of the query text: at most 200,000 (8 MiB)")
+    words = sorted(r["keyword"] for r in kw.collect())
     if not words:
         return df
-    # one predicate that mentions the text once: Catalyst substitutes the
-    # text's defining expression into every reference when it pushes the
-    # filter down, so a chain of per-keyword tests would recompute it
-    return df.where(F.lower(F.col(text)).rlike(keyword_pattern(words, mode)))
-
-
-def keyword_pattern(words, mode: str = "token") -> str:
-    """Regex over the lower-cased text: one alternation of the lower-cased
-    keywords (longest first); in ``token`` mode bounded by whitespace,
-    punctuation, symbols or the text ends.  Lower-casing once beats
-    case-insensitive matching at every position."""
-    alts = _keyword_regex([w.lower() for w in words])
-    if mode == "substring":
-        return "(?:" + alts + ")"
-    edge = "(?:" + WS_CLASS + "|[\\p{P}\\p{S}])"
-    return "(?:^|" + edge + ")(?:" + alts + ")(?:$|" + edge + ")"
-
-
-def _keywords_by_join(df: DataFrame, keywords: DataFrame, text: str, mode: str, key: str) -> DataFrame:
-    """Long keyword lists, exactly and with the same rule as the regex path.
-
-    Every character n-gram of the lower-cased text (one look-ahead regex pass
-    per distinct keyword length n, position kept) is semi-joined with the
-    keywords on (n, text).  In ``token`` mode the hits — rare compared with
-    the n-grams — are joined back to their text and kept when both
-    neighbours are whitespace, punctuation, symbols or a text end.
-    """
-    kw = keywords.select(F.lower("keyword").alias("_k")).where(F.col("_k") != "").distinct() \
-                 .withColumn("_n", F.length("_k"))
-    lens = sorted(r["_n"] for r in kw.select("_n").distinct().collect())   # bounded by the longest keyword
     low = F.lower(F.col(text))
-    def tag(m):
-        return lambda g, i: F.struct(F.lit(m).alias("_n"), i.alias("_p"), g.alias("_k"))
-
-    grams = F.flatten(F.array(*[
-        F.transform(F.regexp_extract_all(low, F.lit("(?s)(?=(.{%d}))" % m), 1), tag(m)) for m in lens]))
-    probe = df.select(key, F.explode(grams).alias("_g")).select(key, "_g._n", "_g._p", "_g._k")
-    hits = probe.join(kw, ["_n", "_k"], "left_semi")
-    if mode == "token":
-        edge = "^(?:" + WS_CLASS + "|[\\p{P}\\p{S}])$"
-        t = hits.join(df.select(key, low.alias("_low")), key)
-        left = (F.col("_p") == 0) | F.substring(F.col("_low"), F.col("_p"), F.lit(1)).rlike(edge)
-        after = F.col("_p") + F.col("_n")
-        right = (after == F.length("_low")) | F.expr("substring(_low, _p + _n + 1, 1)").rlike(edge)
-        hits = t.where(left & right)
-    return df.join(hits.select(key).distinct(), key, "left_semi")
+    found = None
+    for s in range(0, len(words), SUBSTRING_CHUNK):
+        hit = low.rlike("(?:" + _keyword_regex(words[s:s + SUBSTRING_CHUNK]) + ")")
+        found = hit if found is None else found | hit
+    return df.where(found)
 
 
 def filter_language(df: DataFrame, lang: str = "en", column: str = "lang", skip: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.functions.text import WS_CLASS
+from quire.session import materialize
 
 BROADCAST_PROFILE_ROWS = 5_000_000
 
@@ -35,7 +36,6 @@ def train_profile(labelled: DataFrame, lang: str = "lang", text: str = "text", n
     """(profile ``lang, gram, w``; per-language constants ``lang, base, prior``)."""
     lg = (labelled.select(lang, F.explode(char_grams(F.col(text), n)).alias("gram"))
                   .groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("c")))
-    from quire.session import materialize
     lg = materialize(lg)                                   # read three times below
     v = lg.select("gram").distinct().count()
     tot = lg.groupBy(lang).agg(F.sum("c").alias("_N"))
@@ -51,16 +51,18 @@ def train_profile(labelled: DataFrame, lang: str = "lang", text: str = "text", n
 def detect_language(docs: DataFrame, profile: DataFrame, consts: DataFrame, text: str = "text",
                     key: str = "doc_id", out: str = "lang_pred", n: int = 3, lang: str = "lang") -> DataFrame:
     g = docs.select(key, char_grams(F.col(text), n).alias("_g"))
-    size = profile.limit(BROADCAST_PROFILE_ROWS + 1).count()
-    prof = F.broadcast(profile) if size <= BROADCAST_PROFILE_ROWS else profile
-    hit = (g.select(key, F.explode("_g").alias("gram")).join(prof, "gram")
-            .groupBy(key, lang).agg(F.sum("w").alias("_hit")))
-    langs = [r[lang] for r in consts.select(lang).collect()]         # a handful of languages
-    base = g.select(key, F.size("_g").alias("_ng")) \
-            .withColumn(lang, F.explode(F.array(*[F.lit(x) for x in langs])))
-    sc = (base.join(F.broadcast(consts), lang).join(hit, [key, lang], "left")
-              .select(key, lang, (F.coalesce("_hit", F.lit(0.0)) + F.col("_ng") * F.col("base")
-                                  + F.col("prior")).alias("score")))
-    w = Window.partitionBy(key).orderBy(F.col("score").desc(), F.col(lang).asc())
-    return sc.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1) \
-             .select(key, F.col(lang).alias(out), "score")
+    cs = sorted(consts.collect(), key=lambda r: r[lang])             # a handful of languages
+    # one row per gram with a weight per language; a document's grams are
+    # counted first, so neither grams nor documents multiply by languages
+    wide = profile.groupBy("gram").pivot(lang, [c[lang] for c in cs]).agg(F.first("w"))
+    wide = wide.select("gram", F.array(*[F.coalesce(F.col(f"`{c[lang]}`"), F.lit(0.0)) for c in cs]).alias("_w"))
+    wide = materialize(wide)
+    size = wide.limit(BROADCAST_PROFILE_ROWS // max(1, len(cs)) + 1).count()
+    side = F.broadcast(wide) if size <= BROADCAST_PROFILE_ROWS // max(1, len(cs)) else wide
+    n_grams = g.select(key, F.explode_outer("_g").alias("gram")).groupBy(key, "gram").agg(F.count("gram").alias("_n"))
+    hit = n_grams.join(side, "gram", "left")
+    sums = hit.groupBy(key).agg(F.sum("_n").alias("_ng"), *[
+        F.sum(F.col("_n") * F.coalesce(F.col("_w")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(len(cs))])
+    scores = F.array(*[F.struct((F.col(f"_s{i}") + F.col("_ng") * F.lit(c["base"]) + F.lit(c["prior"])).alias("score"),
+                                F.lit(-i).alias("rank"), F.lit(c[lang]).alias("lang")) for i, c in enumerate(cs)])
+    return sums.select(key, F.array_max(scores).alias("_b")).select(key, F.col("_b.lang").alias(out), F.col("_b.score").alias("score"))

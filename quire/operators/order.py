@@ -8,7 +8,7 @@ done in two phases:
 
 1. Range boundaries of the order key are taken from a bounded sample (the
    same thing ``repartitionByRange`` does internally) and turned into a
-   deterministic bucket expression — a balanced CASE tree, codegen friendly.
+   deterministic bucket expression — a binary search in a literal array.
 2. Per-(group, bucket) totals (at most ``groups x buckets`` rows, checked
    before they are broadcast) give each bucket its base offset; a window
    partitioned by (group, bucket) adds the running sum inside the bucket.
@@ -19,6 +19,7 @@ ids staying the same between jobs, and a lost executor just recomputes.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -70,28 +71,20 @@ def range_bounds(df: DataFrame, order: Sequence[str], buckets: int) -> list[tupl
 
 
 def bucket_column(df: DataFrame, order: Sequence[str], bounds: list[tuple]) -> Column:
-    """Number of boundaries <= key, as a balanced CASE tree (depth log2 B)."""
+    """Number of boundaries <= key: a binary search in one literal array, so
+    the expression has the same size for 8 and for 80,000 boundaries."""
     if not bounds:
         return F.lit(0)
     types = dict(df.dtypes)
-    if len(order) == 1:
-        key = F.col(order[0])
-
-        def lit(b):
-            return F.lit(b[0]).cast(types[order[0]])
-    else:
-        key = F.struct(*[F.col(c).alias(c) for c in order])
-
-        def lit(b):
-            return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, b)])
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(bounds))
+    ddl = ", ".join(f"`k{i}`: {types[c]}" for i, c in enumerate(order))
+    whole = [types[c] in ("bigint", "int", "smallint", "tinyint") for c in order]
+    rows = json.dumps([{f"k{i}": int(v) if w and v is not None else v for i, (v, w) in enumerate(zip(b, whole))}
+                       for b in bounds], default=str)
+    table = F.from_json(F.lit(rows), f"array<struct<{ddl}>>")       # folded to a literal
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    steps = F.array(*[F.lit(1 << s) for s in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+        (at + s <= len(bounds)) & (F.get(table, at + s - 1) <= key), at + s).otherwise(at))
 
 
 def running_offset(df: DataFrame, order, weight=None, out: str = "offset", group=None,

@@ -26,10 +26,11 @@ def pack_sequences(df: DataFrame, seq_len: int, ids: str = "input_ids", order: s
     ``seq_id`` is the window's position within its group, starting at 0.
     """
     group = [group] if isinstance(group, str) else list(group or [])
+    order = [order] if isinstance(order, str) else list(order)
     L = int(seq_len)
-    x = df.select(*group, order, F.col(ids).alias("_ids")).withColumn("_n", F.size("_ids").cast("bigint"))
+    x = df.select(*group, *order, F.col(ids).alias("_ids")).withColumn("_n", F.size("_ids").cast("bigint"))
     x = x.where(F.col("_n") > 0)
-    x = running_offset(x, [order], "_n", out="_s", group=group, total="_tot")
+    x = running_offset(x, order, "_n", out="_s", group=group, total="_tot")
     s, n = F.col("_s"), F.col("_n")
     full = F.floor(F.col("_tot") / L)                       # windows that are complete
     first = F.floor(s / L)

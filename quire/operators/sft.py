@@ -35,7 +35,7 @@ def sft_text(df: DataFrame, input: str = "input", trace: str = "trace", answer:
 def conversation_lines(conv: DataFrame) -> DataFrame:
     """C14: ``conv_id, turn, line`` with ``line = "Role: text"``; write with
     ``sortWithinPartitions(conv_id, turn)`` to get transcripts."""
-    role = F.concat(F.upper(F.substring("role", 1, 1)), F.substring("role", 2, 1 << 20))
+    role = F.concat(F.upper(F.substring("role", 1, 1)), F.expr("substring(role, 2)"))
     return conv.select("conv_id", "turn", F.concat(role, F.lit(": "), F.col("text")).alias("line"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.functions.text import ws_tokens
 from quire.operators.order import dense_index
-from quire.session import materialize
+from quire.session import fits, materialize
 
 # Vocabularies up to this many rows are broadcast to the encoder; larger ones
 # are joined with a shuffle (AQE splits the partitions of very frequent words).
@@ -26,13 +26,13 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def whitespace_vocab(docs: DataFrame, text: str = "text", min_freq: int = 1) -> DataFrame:
-    """``token string, id int, freq bigint``; id 0 is the most frequent."""
+    """``token string, id bigint, freq bigint``; id 0 is the most frequent."""
     wc = word_counts(docs, text)
     if min_freq > 1:
         wc = wc.where(F.col("freq") >= min_freq)
     wc = materialize(wc)          # distinct words: read three times below
     v = dense_index(wc.withColumn("_nf", -F.col("freq")), ["_nf", "token"], out="id")
-    return v.select("token", F.col("id").cast("int").alias("id"), "freq")
+    return v.select("token", F.col("id").cast("bigint").alias("id"), "freq")
 
 
 def add_special_tokens(vocab: DataFrame, specials: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def add_special_tokens(vocab: DataFrame, specials: DataFrame) -> DataFrame:
     size = vocab.agg(F.coalesce(F.max("id") + 1, F.lit(0)).alias("_v")).first()["_v"]
     sp = (specials.join(vocab.select(F.col("token").alias("content")), "content", "left_anti")
                   .withColumn("_r", F.row_number().over(Window.orderBy("name")) - 1)
-                  .select(F.col("content").alias("token"), (F.lit(size) + F.col("_r")).cast("int").alias("id"),
+                  .select(F.col("content").alias("token"), (F.lit(size) + F.col("_r")).cast("bigint").alias("id"),
                           F.lit(0).cast("bigint").alias("freq")))
     return vocab.unionByName(sp)
 
@@ -72,8 +72,7 @@ def _join_vocab(toks: DataFrame, vocab: DataFrame, salt: int = SALT) -> DataFram
     tokens is spread over ``salt`` tasks instead of one.
     """
     side = vocab.select("token", "id")
-    n = vocab.limit(BROADCAST_VOCAB_ROWS + 1).count()
-    if n <= BROADCAST_VOCAB_ROWS:
+    if fits(side, BROADCAST_VOCAB_ROWS):
         return toks.join(F.broadcast(side), "token", "left")
     t = toks.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in toks.columns if c != "token"]), F.lit(salt)))
     v = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))

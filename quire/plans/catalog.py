@@ -15,8 +15,8 @@ from quire.functions.text import collapse_lines, content_hash, ids_to_text, py_s
 from quire.operators import crawl as C
 from quire.operators.dedupe import exact_dedupe
 from quire.operators.filters import (SECURITY_KEYWORDS, collapse_documents, filter_keywords,
-                                     filter_language, filter_min_len)
-from quire.operators.order import shard_mod, train_test_split
+                                     filter_language, filter_min_len, reject_malformed, split_documents)
+from quire.operators.order import dense_index, shard_mod, train_test_split
 from quire.operators.pack import pack_sequences
 from quire.operators.vocab import encode, whitespace_vocab
 from quire.plans import sqlfrag as S
@@ -108,22 +108,43 @@ def q_filter_min_len(spark, sf):
     return filter_min_len(docs_lines(spark, sf), 100).select("doc_id", token_count("text").alias("n_tokens"))
 
 
-def _kw_sql(mode):
-    from quire.operators.filters import keyword_pattern
-    pat = keyword_pattern(SECURITY_KEYWORDS, mode)
-    return f"""WITH {LINES_SQL} SELECT doc_id FROM lines WHERE regexp_matches(lower(text), {S.q(pat)})"""
+def _kw_list(words):
+    return "[" + ", ".join(S.q(w.lower()) for w in words) + "]"
 
 
-@register("filter_keywords", _kw_sql("token"))
+# a keyword is a whole white-space token without its outer punctuation, or
+# (substring) occurs anywhere: list functions and contains(), no alternation
+KW_UNITS_SQL = (f"list_transform({S.tokens('lower(text)')}, lambda t: "
+                "regexp_replace(regexp_replace(t, '^[\\p{P}\\p{S}]+', ''), '[\\p{P}\\p{S}]+$', ''))")
+
+
+def _kw_sql(words, src="lines"):
+    return f"SELECT doc_id FROM {src} WHERE list_has_any({KW_UNITS_SQL}, {_kw_list(words)})"
+
+
+@register("filter_keywords", f"WITH {LINES_SQL} {_kw_sql(SECURITY_KEYWORDS)}")
 def q_filter_keywords(spark, sf):
     return filter_keywords(docs_lines(spark, sf), SECURITY_KEYWORDS).select("doc_id")
 
 
-@register("filter_keywords_substring", _kw_sql("substring"))
+@register("filter_keywords_substring", f"""WITH {LINES_SQL} SELECT doc_id FROM lines
+WHERE len(list_filter({_kw_list(SECURITY_KEYWORDS)}, lambda k: contains(lower(text), k))) > 0""")
 def q_filter_keywords_substring(spark, sf):
     return filter_keywords(docs_lines(spark, sf), SECURITY_KEYWORDS, mode="substring").select("doc_id")
 
 
+@register("filter_keywords_table", f"""WITH {LINES_SQL}, u AS (SELECT doc_id, unnest({KW_UNITS_SQL}) AS u FROM lines),
+df AS (SELECT u, count(DISTINCT doc_id) AS n FROM u WHERE u <> '' GROUP BY u)
+SELECT DISTINCT doc_id FROM u JOIN df USING (u) WHERE n BETWEEN 2 AND 3""")
+def q_filter_keywords_table(spark, sf):
+    """D3 with a long keyword table: the units of two or three documents."""
+    from quire.operators.filters import keyword_tokens
+    lines = materialize(docs_lines(spark, sf))
+    u = lines.select("doc_id", F.explode(F.array_distinct(keyword_tokens("text"))).alias("keyword")).where("keyword <> ''")
+    rare = u.groupBy("keyword").agg(F.count(F.lit(1)).alias("n")).where("n between 2 and 3").select("keyword")
+    return filter_keywords(lines, rare).select("doc_id")
+
+
 @register("filter_lang_column", "SELECT doc_id, lang FROM documents WHERE lang = 'en'")
 def q_filter_lang_column(spark, sf):
     return filter_language(T(spark, sf, "documents"), "en").select("doc_id", "lang")
@@ -144,7 +165,7 @@ def q_train_test_split(spark, sf):
 
 
 # ---------------------------------------------------------------- G3, G2, H1
-VOCAB_SQL = (f"vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) - 1 AS INTEGER) AS id, freq "
+VOCAB_SQL = (f"vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY freq DESC, token) - 1 AS BIGINT) AS id, freq "
              f"FROM (SELECT token, count(*) AS freq FROM (SELECT unnest({S.tokens('text')}) AS token FROM @SRC@) "
              f"GROUP BY token))")
 
@@ -244,7 +265,7 @@ def q_allowed_links(spark, sf):
 from quire.operators.shards import reshard_by_tokens, reshard_summary  # noqa: E402
 from quire.operators.batches import batch_and_pad, budget_batches, step_log  # noqa: E402
 from quire.operators.report import lines_bytes, stage_funnel, token_totals  # noqa: E402
-from quire.plans.prep import clean_documents, pages_to_documents  # noqa: E402
+from quire.plans.prep import clean_documents, pages_to_documents, prepare_corpus  # noqa: E402
 
 RESHARD_SQL = f"""WITH RECURSIVE s AS (SELECT doc_id, n, sum(n) OVER (ORDER BY doc_id) - n AS cb, sum(n) OVER () AS tot
   FROM (SELECT doc_id, {S.token_count('text')} AS n FROM documents) WHERE n > 0),
@@ -546,39 +567,37 @@ def q_vocab_size(spark, sf):
 from quire.streaming import incremental as M  # noqa: E402
 
 
+def _feed(spark, sf, name, order):
+    """The table as a stream of at least three files, one per micro-batch."""
+    t = T(spark, sf, name)
+    return M.drop_stream(spark, M.drops(t, order), t.schema)
+
+
 @register("stream_ingest", f"""WITH ex AS (SELECT page_id AS doc_id, {S.strip(S.extract_text('html'))} AS text FROM pages)
 SELECT doc_id, sha256({S.scrub(S.collapse('text'))}) AS text_sha256 FROM ex WHERE text <> ''""")
 def q_stream_ingest(spark, sf):
-    tune(spark)
-    out = M.run_to_table(M.ingest(M.table_stream(spark, sf, "pages")))
+    out = M.run_to_table(M.ingest(_feed(spark, sf, "pages", "page_id")))
     return out.select("doc_id", content_hash("text").alias("text_sha256"))
 
 
 @register("stream_dedupe", f"""WITH {LINES_SQL} SELECT DISTINCT sha256(text) AS h FROM lines""")
 def q_stream_dedupe(spark, sf):
-    tune(spark)
-    s = M.table_stream(spark, sf, "documents").select("doc_id", collapse_lines(py_strip("text")).alias("text"))
+    s = _feed(spark, sf, "documents", "doc_id").select("doc_id", collapse_lines(py_strip("text")).alias("text"))
     return M.run_to_table(M.dedupe_stream(s)).select("h")
 
 
 @register("stream_counters", f"""WITH {LINES_SQL},
-u AS (SELECT 'raw' AS stage, strlen(text) AS b FROM documents
-      UNION ALL SELECT 'kept', strlen(text) FROM lines
-      UNION ALL SELECT 'long', strlen(text) FROM lines WHERE {S.token_count('text')} >= 100)
-SELECT stage, CAST(count(*) AS BIGINT) AS docs, CAST(sum(b + 1) AS BIGINT) AS bytes FROM u GROUP BY stage""")
+u AS (SELECT doc_id, 'raw' AS stage, strlen(text) AS b FROM documents
+      UNION ALL SELECT doc_id, 'kept', strlen(text) FROM lines
+      UNION ALL SELECT doc_id, 'long', strlen(text) FROM lines WHERE {S.token_count('text')} >= 100)
+SELECT doc_id % 3 AS shard, stage, CAST(count(*) AS BIGINT) AS docs, CAST(sum(b + 1) AS BIGINT) AS bytes FROM u GROUP BY ALL""")
 def q_stream_counters(spark, sf):
-    tune(spark)
-    s = M.table_stream(spark, sf, "documents")
-    c = collapse_lines(py_strip("text"))
-    kept = py_strip("text") != ""
-    x = s.select(F.col("text").alias("raw"), F.when(kept, c).alias("text"))
-    raw = x.select(F.lit("raw").alias("stage"), F.octet_length("raw").alias("_b"))
-    k = x.where(F.col("text").isNotNull())
-    kk = k.select(F.lit("kept").alias("stage"), F.octet_length("text").alias("_b"))
-    lg = k.where(token_count("text") >= 100).select(F.lit("long").alias("stage"), F.octet_length("text").alias("_b"))
-    agg = raw.unionByName(kk).unionByName(lg).groupBy("stage").agg(
-        F.count(F.lit(1)).alias("docs"), F.sum(F.col("_b") + 1).cast("bigint").alias("bytes"))
-    return M.run_to_table(agg, mode="complete")
+    s = _feed(spark, sf, "documents", "doc_id")
+    x = s.select((F.col("doc_id") % 3).alias("shard"), "text", py_strip("text").alias("_t"))
+    x = x.select("shard", "text", collapse_lines("_t").alias("line"))
+    kept = F.col("line") != ""
+    stages = {"raw": (F.lit(True), "text"), "kept": (kept, "line"), "long": (kept & (token_count("line") >= 100), "line")}
+    return M.run_to_table(M.stage_counts(x, stages, by=["shard"]), mode="update", keys=["shard", "stage"])
 
 
 @register("stream_pack", f"""WITH {LINES_SQL}, {DEDUP_SQL}, {VOCAB_SQL.replace('@SRC@', 'dd')},
@@ -589,16 +608,87 @@ w AS (SELECT gpos // 64 AS seq_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY
 SELECT CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64""")
 def q_stream_pack(spark, sf):
     tune(spark)
-    d = exact_dedupe(docs_lines(spark, sf))
-    vocab = whitespace_vocab(d)
-    p = M.StreamPacker(spark, vocab, 64)
-    # the stream carries the deduplicated documents of the table, one file per trigger
-    src = M.scratch(spark, "stream-src")
-    d.write.parquet(src)
-    s = spark.readStream.schema(d.schema).parquet(src)
+    d = materialize(exact_dedupe(docs_lines(spark, sf)))
+    p = M.StreamPacker(spark, whitespace_vocab(d), 64)
+    s = M.drop_stream(spark, M.drops(d, "doc_id"), d.schema)
     return p.run(s).select("seq_id", ids_to_text("input_ids").alias("ids"))
 
 
+# ---------------------------------------------------------------- A1-A10, B1-B6: written and read back
+from quire.sources import readers as R, sinks as K  # noqa: E402
+
+
+@register("roundtrip_dump", """SELECT row_number() OVER (ORDER BY page_id) - 1 AS ord, url, sha256(html) AS html_sha256
+FROM pages WHERE html <> ''""")
+def q_roundtrip_dump(spark, sf):
+    """B1 + A2: every page as a dump record, read back in order."""
+    path = M.scratch(spark, "dump")
+    pages = T(spark, sf, "pages")
+    K.write_text(pages.select("page_id", K.page_dump_value().alias("value")), path, order="page_id")
+    back = R.read_page_dump(spark, path)
+    return back.select("ord", "url", content_hash("html").alias("html_sha256"))
+
+
+@register("roundtrip_sentinel", f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ord, sha256(text) AS text_sha256
+FROM (SELECT doc_id, {S.strip('text')} AS text FROM documents) WHERE text <> ''""")
+def q_roundtrip_sentinel(spark, sf):
+    """B2 + A3: every document as sentinel text, read back."""
+    path = M.scratch(spark, "sentinel")
+    docs = T(spark, sf, "documents")
+    K.write_text(docs.select("doc_id", K.sentinel_value().alias("value")), path, order="doc_id")
+    back = R.read_sentinel_docs(spark, path)
+    x = dense_index(back.withColumnRenamed("doc_id", "_o"), ["_o"], out="ord")
+    return x.select("ord", content_hash("text").alias("text_sha256"))
+
+
+@register("roundtrip_lines", f"""WITH {LINES_SQL}
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ord, sha256(trim(text, {S.WS_CHARS})) AS text_sha256 FROM lines""")
+def q_roundtrip_lines(spark, sf):
+    """B3 + A4: one document per line."""
+    path = M.scratch(spark, "lines")
+    K.write_text(docs_lines(spark, sf).select("doc_id", F.col("text").alias("value")), path, order="doc_id")
+    back = R.read_line_docs(spark, path)
+    return back.select(F.col("doc_id").alias("ord"), content_hash("text").alias("text_sha256"))
+
+
+@register("roundtrip_seq", f"""WITH {VOCAB_SQL.replace('@SRC@', 'documents')}, {ENCODE_SQL.replace('@SRC@', 'documents')},
+e AS (SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids FROM toks JOIN vocab USING (token) GROUP BY doc_id)
+SELECT row_number() OVER (ORDER BY doc_id % 4, doc_id) - 1 AS seq_id, sha256(ids) AS ids_sha256 FROM e""")
+def q_roundtrip_seq(spark, sf):
+    """B4, B5 + A5, A7: ids as ``ids<shard>.seq``, one file per shard, read
+    back strictly through a glob in path order."""
+    path = M.scratch(spark, "seq")
+    d = T(spark, sf, "documents").select("doc_id", "text")
+    enc = encode(d, whitespace_vocab(d)).where(F.size("input_ids") > 0)
+    x = enc.select("doc_id", (F.col("doc_id") % 4).cast("int").alias("shard"), ids_to_text("input_ids").alias("value"))
+    K.write_shards(x, path, "ids", order="doc_id")
+    back = R.read_sequences(spark, path + "/ids*.seq")
+    return back.select("seq_id", content_hash(ids_to_text("input_ids")).alias("ids_sha256"))
+
+
+@register("split_documents", f"""WITH p AS (SELECT page_id, {S.extract_text('html')} AS t FROM pages),
+s AS (SELECT page_id, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM p),
+k AS (SELECT page_id, i, {S.strip('x')} AS text FROM s)
+SELECT row_number() OVER (ORDER BY page_id, i) - 1 AS doc_id, sha256(text) AS text_sha256 FROM k WHERE text <> ''""")
+def q_split_documents(spark, sf):
+    """The blocks of every page as documents of their own."""
+    p = pages_to_documents(T(spark, sf, "pages"))
+    return split_documents(p, marker="\n").select("doc_id", content_hash("text").alias("text_sha256"))
+
+
+@register("tolerant_sequences", f"""WITH t AS (SELECT doc_id, list_transform({S.tokens('text')}, t -> TRY_CAST(t AS BIGINT)) AS k FROM documents)
+SELECT CAST(count(*) FILTER (WHERE len(list_filter(k, x -> x IS NULL)) = 0) AS BIGINT) AS good,
+       CAST(count(*) FILTER (WHERE len(list_filter(k, x -> x IS NULL)) > 0) AS BIGINT) AS rejected
+FROM t WHERE len(k) > 0""")
+def q_tolerant_sequences(spark, sf):
+    """A6 + D8: document lines read as id lines; malformed ones are rejected."""
+    path = M.scratch(spark, "badseq")
+    K.write_text(docs_lines(spark, sf).select("doc_id", F.col("text").alias("value")), path, order="doc_id")
+    good, bad = reject_malformed(R.read_sequences(spark, path, tolerant=True))
+    both = good.select(F.lit(True).alias("ok")).unionByName(bad.select(F.lit(False).alias("ok")))
+    return both.agg(F.count_if(F.col("ok")).alias("good"), F.count_if(~F.col("ok")).alias("rejected"))
+
+
 # ---------------------------------------------------------------- H3, I2, G5, L2, L4
 from quire.operators.pack import with_labels  # noqa: E402
 from quire.operators.vocab import add_special_tokens, special_ids  # noqa: E402
@@ -633,24 +723,22 @@ SPECIALS = [("bos_token", "<|begin_of_text|>"), ("eos_token", "<|end_of_text|>")
 
 
 @register("vocab_special", f"""WITH {VOCAB_SQL.replace('@SRC@', 'documents')}, n AS (SELECT count(*) AS v FROM vocab)
-SELECT CAST((SELECT v FROM n) AS INTEGER) AS bos_id, CAST((SELECT v FROM n) + 1 AS INTEGER) AS eos_id,
- CAST((SELECT v FROM n) + 1 AS INTEGER) AS pad_id, CAST((SELECT v FROM n) + 2 AS BIGINT) AS vocab_size""")
+SELECT CAST((SELECT v FROM n) AS BIGINT) AS bos_id, CAST((SELECT v FROM n) + 1 AS BIGINT) AS eos_id,
+ CAST((SELECT v FROM n) + 1 AS BIGINT) AS pad_id, CAST((SELECT v FROM n) + 2 AS BIGINT) AS vocab_size""")
 def q_vocab_special(spark, sf):
     """G4 + G5: specials appended after the corpus vocabulary; pad falls back to eos."""
     sp = spark.createDataFrame(SPECIALS, "name string, content string")
     v = add_special_tokens(whitespace_vocab(T(spark, sf, "documents")), sp)
     ids = special_ids(v, sp)
     n = vocab_size(v).first()[0]
-    return ids.select(F.col("bos_id").cast("int"), F.col("eos_id").cast("int"), F.col("pad_id").cast("int"),
+    return ids.select("bos_id", "eos_id", "pad_id",
                       F.lit(n).cast("bigint").alias("vocab_size"))
 
 
 def _strict_sql():
-    from quire.operators.filters import keyword_pattern
-    kw = keyword_pattern(SECURITY_KEYWORDS)
     near = SHINGLE_SQL.replace("FROM documents)", "FROM dd)")
     return f"""WITH RECURSIVE {LINES_SQL},
-kw AS (SELECT doc_id, text FROM lines WHERE regexp_matches(lower(text), {S.q(kw)})),
+kw AS (SELECT * FROM lines WHERE doc_id IN ({_kw_sql(SECURITY_KEYWORDS)})),
 ml AS (SELECT doc_id, text FROM kw WHERE {S.token_count('text')} >= 100),
 dd AS (SELECT min(doc_id) AS doc_id, text FROM ml GROUP BY sha256(text), text),
 {near},
@@ -658,34 +746,69 @@ e AS (SELECT a AS u, b AS v FROM sim UNION SELECT b, a FROM sim),
 r(node, reach) AS (SELECT u, u FROM e UNION SELECT r.node, e.v FROM r JOIN e ON e.u = r.reach),
 lab AS (SELECT node, min(reach) AS label FROM r GROUP BY node),
 sc AS (SELECT doc_id, {S.scrub('text')} AS text FROM dd WHERE doc_id NOT IN (SELECT node FROM lab WHERE node <> label)),
-{VOCAB_SQL.replace('@SRC@', 'sc')},
+{_pack_sql('sc', 4096)}
+SELECT split, CAST(seq_id AS BIGINT) AS seq_id, sha256(ids) AS ids_sha256 FROM w WHERE n = 4096"""
+
+
+def _pack_sql(src, length):
+    """CTEs from scrubbed documents ``src`` to windows ``w``."""
+    return f"""{VOCAB_SQL.replace('@SRC@', src)},
 sp AS (SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) - 1 < floor(count(*) OVER () * 0.9)
-       THEN 'train' ELSE 'test' END AS split FROM sc),
-{ENCODE_SQL.replace('@SRC@', 'sc')},
+       THEN 'train' ELSE 'test' END AS split FROM {src}),
+{ENCODE_SQL.replace('@SRC@', src)},
 g AS (SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, pos) - 1 AS gpos
       FROM toks JOIN vocab USING (token) JOIN sp USING (doc_id)),
-w AS (SELECT split, gpos // 4096 AS seq_id, count(*) AS n FROM g GROUP BY split, gpos // 4096)
-SELECT split, CAST(seq_id AS BIGINT) AS seq_id, CAST(n AS INTEGER) AS n_ids FROM w WHERE n = 4096"""
+w AS (SELECT split, gpos // {length} AS seq_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS ids, count(*) AS n
+      FROM g GROUP BY split, gpos // {length})"""
 
 
 @register("strict_corpus", _strict_sql())
 def q_strict_corpus(spark, sf):
     """L2: keywords + min length 100 + near-dup 0.8 + 4096 windows, on the
-    documents (exact near-dup here, so that SQL can check it)."""
-    import dataclasses
-    from quire.plans.prep import clean_documents as cd
-    cfg = dataclasses.replace(STRICT, near_dup_method="exact")
-    st = cd(T(spark, sf, "documents").select("doc_id", "text"), cfg)
-    _, packed = tokenize_and_pack(st["scrubbed"], cfg)
-    return packed.select("split", "seq_id", F.size("input_ids").alias("n_ids"))
+    documents."""
+    st = clean_documents(T(spark, sf, "documents").select("doc_id", "text"), STRICT)
+    _, packed = tokenize_and_pack(st["scrubbed"], STRICT)
+    return packed.select("split", "seq_id", content_hash(ids_to_text("input_ids")).alias("ids_sha256"))
+
+
+# ---------------------------------------------------------------- L1
+PAGES_SQL = FUNNEL_SQL[len("WITH "):FUNNEL_SQL.index(",\nu AS")]
+
+
+@register("pipeline_default", f"""WITH {PAGES_SQL}, {_pack_sql('sc', 64)}
+SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64""")
+def q_pipeline_default(spark, sf):
+    """L1: pages -> extract -> collapse -> dedupe -> scrub -> split -> encode
+    -> windows of 64, ids in the output."""
+    st = prepare_corpus(T(spark, sf, "pages"))
+    return st["packed"].select("split", "seq_id", ids_to_text("input_ids").alias("ids"))
+
+
+@register("pipeline_counts", f"""WITH {PAGES_SQL}, {_pack_sql('sc', 64)}
+SELECT 0 AS step, 'extracted' AS stage, CAST(count(*) AS BIGINT) AS n, CAST(sum(strlen(text)) AS BIGINT) AS size FROM ex
+UNION ALL SELECT 1, 'filtered', count(*), CAST(sum(strlen(text)) AS BIGINT) FROM fl
+UNION ALL SELECT 2, 'deduped', count(*), CAST(sum(strlen(text)) AS BIGINT) FROM dd
+UNION ALL SELECT 3, 'scrubbed', count(*), CAST(sum(strlen(text)) AS BIGINT) FROM sc
+UNION ALL SELECT 4, 'vocab', count(*), CAST(sum(freq) AS BIGINT) FROM vocab
+UNION ALL SELECT 5, 'packed', count(*), CAST(sum(n) AS BIGINT) FROM w WHERE n = 64""")
+def q_pipeline_counts(spark, sf):
+    """L1 counts: documents and bytes per stage, vocabulary, sequences and ids."""
+    st = prepare_corpus(T(spark, sf, "pages"))
+    sizes = {"extracted": F.octet_length("text"), "filtered": F.octet_length("text"), "deduped": F.octet_length("text"),
+             "scrubbed": F.octet_length("text"), "vocab": F.col("freq"), "packed": F.size("input_ids")}
+    out = None
+    for i, (name, size) in enumerate(sizes.items()):
+        x = st[name].agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("bigint")).alias("size"))
+        x = x.select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "n", "size")
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 TRAIN_PREP_SQL = PACK_SQL.replace("@L@", "64").replace(
     "SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64",
-    """, t AS (SELECT seq_id, n, row_number() OVER (ORDER BY seq_id) - 1 AS ix FROM w WHERE n = 64 AND split = 'train')
+    """, t AS (SELECT seq_id, ids, n, row_number() OVER (ORDER BY seq_id) - 1 AS ix FROM w WHERE n = 64 AND split = 'train')
 SELECT CAST(ix // 8 AS BIGINT) AS batch_id, CAST(ix % 8 AS INTEGER) AS row, CAST(seq_id AS BIGINT) AS seq_id,
- CAST(max(n) OVER (PARTITION BY ix // 8) AS INTEGER) AS width,
- CAST(max(n) OVER (PARTITION BY ix // 8) AS INTEGER) AS n_labels FROM t""")
+ CAST(max(n) OVER (PARTITION BY ix // 8) AS INTEGER) AS width, sha256(ids) AS ids_sha256, sha256(ids) AS labels_sha256 FROM t""")
 
 
 @register("train_prep", TRAIN_PREP_SQL)
@@ -694,4 +817,5 @@ def q_train_prep(spark, sf):
     _, packed = packed_docs(spark, sf, 64)
     tr = with_labels(packed.where(F.col("split") == "train"))
     b = batch_and_pad(tr, 8)
-    return b.select("batch_id", "row", "seq_id", "width", F.size("labels").alias("n_labels"))
+    return b.select("batch_id", "row", "seq_id", "width", content_hash(ids_to_text("input_ids")).alias("ids_sha256"),
+                    content_hash(ids_to_text("labels")).alias("labels_sha256"))

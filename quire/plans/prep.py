@@ -85,6 +85,8 @@ def tokenize_and_pack(docs: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFra
 def prepare_corpus(pages: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, DataFrame]:
     """L1/L2: pages -> every stage, ending with ``packed``."""
     docs = pages_to_documents(pages)
+    if cfg.materialize:
+        docs = materialize(docs)              # the extraction runs once, not once per stage
     stages = clean_documents(docs, cfg)
     stages["extracted"] = docs
     vocab, packed = tokenize_and_pack(stages["scrubbed"], cfg)

@@ -4,7 +4,6 @@ queries.  They reuse the very same pattern strings as the Spark side."""
 from __future__ import annotations
 
 from quire.functions.html import ENTITIES, LINK_RE, extract_steps
-from quire.functions.pii import RULES
 from quire.functions.text import (BREAK_RE, NON_WS_CLASS, PY_WHITESPACE, TRAILING_BREAK_RE)
 
 
@@ -33,6 +32,11 @@ def token_count(x: str) -> str:
 
 
 WORD = "[\\p{L}\\p{N}_]"
+# the plain forms of the rules, for RE2 (no look-around, linear by itself)
+SCRUB_RE2 = {
+    "email": ("[\\p{L}\\p{N}_.-]+@[\\p{L}\\p{N}_.-]+", "<EMAIL>"),
+    "phone": ("\\+?\\p{Nd}[\\p{Nd} ()-]{7,}\\p{Nd}", "<PHONE>"),
+}
 IP_RE2 = "(^|[^\\p{L}\\p{N}_])\\p{Nd}{1,3}(?:-\\p{Nd}{1,3}){2},(" + WORD + ")"
 
 
@@ -42,36 +46,32 @@ def scrub_rule(x: str, name: str) -> str:
         # catches matches that share a neighbour with the previous one.
         once = f"regexp_replace({x}, {q(IP_RE2)}, '\\1<IP>\\2', 'g')"
         return f"regexp_replace({once}, {q(IP_RE2)}, '\\1<IP>\\2', 'g')"
-    for n, pat, rep in RULES["reference"]:
-        if n == name:
-            return f"regexp_replace({x}, {q(pat)}, {q(rep)}, 'g')"
-    raise KeyError(name)
+    pat, rep = SCRUB_RE2[name]
+    return f"regexp_replace({x}, {q(pat)}, {q(rep)}, 'g')"
 
 
 def scrub(x: str) -> str:
-    for n, _, _ in RULES["reference"]:
+    for n in ("ip", "email", "phone"):
         x = scrub_rule(x, n)
     return x
 
 
-def decode_numeric(x: str) -> str:
-    from quire.functions.html import NUMERIC_REF
-    d = f"regexp_extract(p, {q(NUMERIC_REF)}, 1)"
-    h = f"regexp_extract(p, {q(NUMERIC_REF)}, 2)"
-    cp = (f"(CASE WHEN {d} <> '' THEN CAST({d} AS BIGINT) "
-          f"WHEN {h} <> '' THEN CAST(('0x' || {h}) AS BIGINT) END)")
-    ok = f"({cp} BETWEEN 1 AND 1114111 AND NOT ({cp} BETWEEN 55296 AND 57343))"
-    piece = (f"CASE WHEN i = 1 THEN p WHEN coalesce({ok}, false) THEN chr(CAST({cp} AS INTEGER)) || "
-             f"regexp_replace(p, {q(NUMERIC_REF)}, '') ELSE '&#' || p END")
-    out = f"array_to_string(list_transform(string_split({x}, '&#'), lambda p, i: {piece}), '')"
-    return f"(CASE WHEN contains({x}, '&#') THEN {out} ELSE {x} END)"
+NAMES_SQL = "MAP {" + ", ".join(f"'{k}': {q(v)}" for k, v in ENTITIES.items()) + "}"
 
 
 def decode_entities(x: str) -> str:
-    for a, b in ENTITIES:
-        if a != "&amp;":
-            x = f"replace({x}, {q(a)}, {q(b)})"
-    return f"replace({decode_numeric(x)}, '&amp;', '&')"
+    """Character references by a list of pieces; code points by arithmetic on
+    the digits, not by the patterns of the Spark side."""
+    ref = "regexp_extract(p, '^([#A-Za-z0-9]+);', 1)"
+    dec = f"regexp_extract({ref}, '^#0*([1-9][0-9]{{0,6}})$', 1)"
+    hx = f"regexp_extract({ref}, '^#[xX]0*([1-9a-fA-F][0-9a-fA-F]{{0,5}})$', 1)"
+    cp = f"(CASE WHEN {dec} <> '' THEN CAST({dec} AS BIGINT) WHEN {hx} <> '' THEN CAST(('0x' || {hx}) AS BIGINT) END)"
+    num = f"(CASE WHEN {cp} BETWEEN 1 AND 55295 OR {cp} BETWEEN 57344 AND 1114111 THEN chr(CAST({cp} AS INTEGER)) END)"
+    name = f"({NAMES_SQL})[{ref}]"
+    char = f"(CASE WHEN starts_with({ref}, '#') THEN {num} WHEN {ref} <> '' THEN {name} END)"
+    piece = f"CASE WHEN i = 1 THEN p ELSE coalesce({char} || substr(p, length({ref}) + 2), '&' || p) END"
+    out = f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '')"
+    return f"(CASE WHEN contains({x}, '&') THEN {out} ELSE {x} END)"
 
 
 def extract_text(x: str) -> str:
@@ -98,17 +98,20 @@ def _remove_dots(segs: str) -> str:
 
 
 def resolve_url(b: str, h: str) -> str:
+    """Links of the driver's pages are root paths, relative paths, queries and
+    fragments; the SQL covers those and absolute ones."""
     b_scheme = f"regexp_extract({b}, {q(SCHEME)}, 1)"
     b_rest = f"regexp_replace({b}, {q(SCHEME)}, '')"
     b_net = f"regexp_extract({b_rest}, '^//([^/?#]*)', 1)"
     b_tail = f"regexp_replace({b_rest}, '^//[^/?#]*', '')"
     b_path = f"regexp_extract({b_tail}, '^([^?#]*)', 1)"
-    b_query = f"regexp_extract({b_tail}, '^[^?#]*(\\?[^#]*)?', 1)"
+    b_query = f"regexp_extract({b_tail}, '^[^?#]*(\\?[^#]+)?', 1)"
+    h = f"regexp_replace(trim({h}, (SELECT string_agg(chr(c), '') FROM range(1, 33) t(c))), '[\\t\\r\\n]', '', 'g')"
     h_scheme = f"regexp_extract({h}, {q(SCHEME)}, 1)"
-    h_frag = f"regexp_extract({h}, '(#.*)$', 1)"
+    h_frag = f"regexp_extract({h}, '(#.+)$', 1)"
     h_nofrag = f"regexp_replace({h}, '#.*$', '')"
     h_path = f"regexp_extract({h_nofrag}, '^([^?]*)', 1)"
-    h_query = f"regexp_extract({h_nofrag}, '(\\?.*)$', 1)"
+    h_query = f"regexp_extract({h_nofrag}, '(\\?.+)$', 1)"
     prefix = f"({b_scheme} || '://' || {b_net})"
     bsplit = f"string_split({b_path}, '/')"
     base_dir = f"{bsplit}[1:greatest(len({bsplit}) - 1, 0)]"

@@ -76,6 +76,16 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def fits(df, rows: int, max_bytes: int = 64 << 20) -> bool:
+    """Is ``df`` small enough to broadcast?  At most ``rows`` rows and
+    ``max_bytes`` bytes of strings and eight bytes per other column; the check
+    reads no more than ``rows + 1`` rows."""
+    from pyspark.sql import functions as F
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in df.dtypes), F.lit(16))
+    r = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return r["n"] <= rows and r["b"] <= max_bytes
+
+
 def spread(df):
     """Use every core when a scan yields fewer splits than the cluster has
     task slots (one small file = one task).  At scale, scans produce far more

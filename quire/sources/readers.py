@@ -9,10 +9,13 @@ file split, bounded by the file listing) are prefix-summed and joined back.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from quire.functions.text import py_strip, text_to_ids, ws_tokens
 from quire.operators.order import running_offset
+from quire.session import fits
 
 BROADCAST_SPLITS = 1_000_000
 ROW_BITS = (1 << 33) - 1       # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -24,8 +27,7 @@ def _with_ord(raw: DataFrame) -> DataFrame:
     x = raw.withColumn("_r", F.col("_m").bitwiseAND(F.lit(ROW_BITS)))
     blocks = x.groupBy("_f", "_bs").agg(F.count(F.lit(1)).alias("_c"), F.min("_r").alias("_r0"))
     blocks = running_offset(blocks, ["_f", "_bs"], "_c", out="_base")
-    n = blocks.limit(BROADCAST_SPLITS + 1).count()
-    side = F.broadcast(blocks) if n <= BROADCAST_SPLITS else blocks
+    side = F.broadcast(blocks) if fits(blocks, BROADCAST_SPLITS) else blocks
     return (x.join(side, ["_f", "_bs"])
              .withColumn("ord", F.col("_base") + F.col("_r") - F.col("_r0"))
              .drop("_r", "_c", "_r0", "_base", "_m", "_bs"))
@@ -61,10 +63,6 @@ def read_keywords(spark: SparkSession, path) -> DataFrame:
     return kw.where(F.col("keyword") != "").distinct()
 
 
-def keywords_from_list(spark: SparkSession, words) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "keyword string")
-
-
 def read_page_dump(spark: SparkSession, path, framing: str = "sentinel",
                    marker: str = "---ENDDOC---") -> DataFrame:
     """A2: raw page dump -> ``ord bigint, url string, html string``.
@@ -78,7 +76,8 @@ def read_page_dump(spark: SparkSession, path, framing: str = "sentinel",
     """
     if framing == "sentinel":
         recs = read_text_ordered(spark, path, line_sep=marker + "\n")
-        v = F.regexp_replace("value", "^\\n", "")
+        # the last record may lack the line break after its marker
+        v = F.regexp_replace(F.regexp_replace("value", "^\\n", ""), re.escape(marker) + "\\z", "")
         url = F.regexp_extract(v, "^URL: ([^\\n]*)", 1)
         body = F.regexp_replace(v, "^URL: [^\\n]*\\n", "")
         body = F.regexp_replace(body, "(?s)^<html>\\n(.*)\\n</html>\\n?$", "$1")
@@ -106,7 +105,11 @@ def read_sentinel_docs(spark: SparkSession, path, marker: str = "---ENDDOC---",
     recs = read_text_ordered(spark, path, line_sep=marker)
     v = F.col("value")
     if drop_invalid_utf8:
-        v = F.replace(v, F.lit("�"), F.lit(""))
+        # bad bytes become U+FFFD and go; a U+FFFD of the text itself is put
+        # aside as a noncharacter meanwhile
+        kept = F.make_valid_utf8(F.replace(v, F.lit("\ufffd"), F.lit("\U0010fffe")))
+        kept = F.replace(F.replace(kept, F.lit("\ufffd"), F.lit("")), F.lit("\U0010fffe"), F.lit("\ufffd"))
+        v = F.when(F.is_valid_utf8(v), v).otherwise(kept)
     out = recs.select(F.col("ord").alias("doc_id"), py_strip(v).alias("text"))
     return out.where(F.col("text") != "")
 
@@ -163,8 +166,3 @@ def read_special_tokens(spark: SparkSession, path) -> DataFrame:
     raw = spark.read.option("wholetext", True).text(path)
     m = raw.select(F.from_json("value", SPECIAL_SCHEMA).alias("m"))
     return m.select(F.explode("m").alias("name", "t")).select("name", "t.*")
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A11 and the other driver tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,24 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from quire.functions.text import ids_to_text, py_strip
+from quire.functions.text import py_strip
 
 
-def page_dump_lines(df: DataFrame, url: str = "url", html: str = "html",
-                    marker: str = "---ENDDOC---") -> DataFrame:
-    """B1: ``URL: u⏎<html>⏎…⏎</html>⏎---ENDDOC---`` per page."""
-    return df.select(F.concat(F.lit("URL: "), F.col(url), F.lit("\n<html>\n"), F.col(html),
-                              F.lit("\n</html>\n" + marker)).alias("value"))
+def page_dump_value(url: str = "url", html: str = "html", marker: str = "---ENDDOC---"):
+    """B1: ``URL: u⏎<html>⏎…⏎</html>⏎---ENDDOC---``."""
+    return F.concat(F.lit("URL: "), F.col(url), F.lit("\n<html>\n"), F.col(html), F.lit("\n</html>\n" + marker))
 
 
-def sentinel_doc_lines(df: DataFrame, text: str = "text", marker: str = "---ENDDOC---") -> DataFrame:
+def sentinel_value(text: str = "text", marker: str = "---ENDDOC---"):
     """B2: stripped text followed by the marker line (empty texts too)."""
-    return df.select(F.concat(py_strip(F.coalesce(F.col(text), F.lit(""))), F.lit("\n" + marker)).alias("value"))
-
-
-def seq_lines(df: DataFrame, ids: str = "input_ids") -> DataFrame:
-    """Ids joined by one space."""
-    return df.select(ids_to_text(ids).alias("value"))
+    return F.concat(py_strip(F.coalesce(F.col(text), F.lit(""))), F.lit("\n" + marker))
 
 
 def write_text(df: DataFrame, path: str, order: str | None = None, partition_by=None,
@@ -39,3 +32,30 @@ def write_text(df: DataFrame, path: str, order: str | None = None, partition_by=
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)
+
+
+def write_shards(df: DataFrame, path: str, prefix: str, shard: str = "shard", order: str | None = None,
+                 suffix: str = ".seq") -> list[str]:
+    """One text file ``<prefix><shard><suffix>`` per shard (the format
+    asks for one file each, written by one task each); returns the paths."""
+    x = df.repartition(shard)
+    x = x.sortWithinPartitions(shard, order) if order else x
+    tmp = path.rstrip("/") + "/_shards"
+    x.select(shard, "value").write.partitionBy(shard).text(tmp)
+    jvm = df.sparkSession._jvm
+    root = jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = root.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    out = []
+    for folder in fs.listStatus(root):                       # one folder per shard
+        name = folder.getPath().getName()
+        if not name.startswith(shard + "="):
+            continue
+        parts = [p.getPath() for p in fs.listStatus(folder.getPath()) if p.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"{name} has {len(parts)} files")
+        to = jvm.org.apache.hadoop.fs.Path(path, prefix + name.split("=", 1)[1] + suffix)
+        if not fs.rename(parts[0], to):
+            raise RuntimeError(f"cannot rename {parts[0]}")
+        out.append(to.toString())
+    fs.delete(root, True)
+    return sorted(out)

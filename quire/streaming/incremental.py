@@ -10,7 +10,7 @@ carried token buffer, running counts).  Here:
   documents), writes its full windows under its batch id (overwrite, so a
   replayed batch gives the same files) and stores the new tail (< seq_len
   ids) keyed by batch id.
-* M4 counters: streaming aggregation per stage, complete mode.
+* M4 counters: streaming aggregation per shard and stage, update mode.
 
 Output and checkpoint folders live under the session's shared checkpoint
 directory.
@@ -25,23 +25,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quire.functions.html import extract_text
 from quire.functions.pii import scrub
 from quire.functions.text import collapse_lines, content_hash, py_strip
-from quire.operators.order import running_offset
+from quire.operators.order import bucket_column, range_bounds, running_offset
 from quire.operators.pack import pack_sequences
 from quire.operators.vocab import encode
-from quire.session import ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir, materialize
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/{tag}-{uuid.uuid4().hex}"
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """Stream the files of one driver table (one file per micro-batch)."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir))
-
-
 def ingest(pages: DataFrame, rules: str = "reference") -> DataFrame:
     """M1: pages -> scrubbed line documents (stateless)."""
     t = py_strip(extract_text("html"))
@@ -51,34 +44,77 @@ def ingest(pages: DataFrame, rules: str = "reference") -> DataFrame:
 
 def dedupe_stream(docs: DataFrame, text: str = "text", event_time: str | None = None,
                   delay: str = "1 hour") -> DataFrame:
-    """M2: first arrival of each distinct stripped text wins."""
+    """M2: first arrival of each distinct stripped text wins.  Without an
+    event time the state holds every hash seen, which is the batch rule kept
+    for ever; with one, copies further apart than ``delay`` count as new and
+    the state is bounded by it."""
     x = docs.withColumn(text, py_strip(text)).where(F.col(text) != "").withColumn("h", content_hash(text))
     if event_time:
         return x.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["h"])
     return x.dropDuplicates(["h"])
 
 
-def stage_counts(docs: DataFrame, stage_of: dict[str, F.Column], text: str = "text") -> DataFrame:
-    """M4: running ``stage, docs, bytes`` for predicates given per stage."""
-    stages = F.array(*[F.when(c, F.lit(name)) for name, c in stage_of.items()])
-    x = docs.select(F.explode(F.filter(stages, lambda s: s.isNotNull())).alias("stage"),
-                    F.octet_length(text).alias("_b"))
-    return x.groupBy("stage").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.col("_b") + 1).cast("bigint").alias("bytes"))
+def drops(df: DataFrame, order: str, least: int = 3, rows: int = 200_000) -> str:
+    """Feed for the stream queries: a folder that holds ``df`` as one file per
+    range of ``order`` (at least ``least``, about ``rows`` rows each), written
+    one after another so that they arrive in order."""
+    spark = df.sparkSession
+    n = max(least, -(-df.count() // rows))
+    bounds = range_bounds(df, [order], n)
+    x = df.withColumn("_b", bucket_column(df, [order], bounds))
+    path = scratch(spark, "drops")
+    for i in range(len(bounds) + 1):
+        x.where(F.col("_b") == i).drop("_b").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def drop_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """One file per micro-batch, oldest first."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def stage_counts(docs: DataFrame, stages: dict, by=()) -> DataFrame:
+    """M4: running ``by..., stage, docs, bytes``; ``stages`` gives a condition
+    and a text column per stage name."""
+    hits = F.array(*[F.when(c, F.struct(F.lit(name).alias("stage"), F.octet_length(t).alias("b")))
+                     for name, (c, t) in stages.items()])
+    x = docs.select(*by, F.explode(F.filter(hits, lambda s: s.isNotNull())).alias("_s"))
+    return x.groupBy(*by, F.col("_s.stage").alias("stage")).agg(
+        F.count(F.lit(1)).alias("docs"), F.sum(F.col("_s.b") + 1).cast("bigint").alias("bytes"))
+
+
+batches_run = 0          # micro-batches of the last stream that was drained
 
 
-def run_to_table(stream: DataFrame, mode: str = "append", fmt: str = "parquet") -> DataFrame:
-    """Drain a stream with ``availableNow`` into a folder and read it back."""
+def _drain(writer) -> None:
+    global batches_run
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
+    batches_run = 0 if q.lastProgress is None else q.lastProgress["batchId"] + 1
+
+
+def run_to_table(stream: DataFrame, mode: str = "append", keys=()) -> DataFrame:
+    """Drain a stream with ``availableNow`` into a folder and read it back.
+    ``update`` keeps every batch's changed rows under its batch id (a replayed
+    batch overwrites itself) and returns the last row per ``keys``."""
     spark = stream.sparkSession
     out, ck = scratch(spark, "stream-out"), scratch(spark, "stream-ckpt")
-    if mode == "complete":
-        q = (stream.writeStream.outputMode("complete").option("checkpointLocation", ck)
-             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
-             .trigger(availableNow=True).start())
-    else:
-        q = (stream.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", ck)
-             .trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    w = stream.writeStream.outputMode(mode).option("checkpointLocation", ck)
+    if mode != "update":
+        _drain(w.format("parquet").option("path", out))
+        return spark.read.parquet(out)
+    _drain(w.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}")))
+    x = spark.read.parquet(out)
+    rest = [c for c in x.columns if c not in (*keys, "batch")]
+    return x.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+STATE = "batch long, tail array<bigint>, next_seq long"
 
 
 class StreamPacker:
@@ -89,36 +125,42 @@ class StreamPacker:
         self.root = root or scratch(spark, "stream-pack")
 
     def _state(self, bid: int):
-        try:
-            st = self.spark.read.parquet(self.root + "/state").where(F.col("batch") < bid)
-        except Exception:  # noqa: BLE001 - no state yet
+        """Tail and next window number left by the batches before ``bid``; any
+        trouble with an existing state raises."""
+        path = self.root + "/state"
+        if not path_exists(self.spark, path):
+            if bid > 0:
+                raise RuntimeError(f"no state before batch {bid}")
             return [], 0
-        r = st.orderBy(F.col("batch").desc()).limit(1).collect()
+        st = self.spark.read.schema(STATE).parquet(path).where(F.col("batch") == bid - 1)
+        r = st.collect()
+        if bid > 0 and len(r) != 1:
+            raise RuntimeError(f"{len(r)} states before batch {bid}")
         return (list(r[0]["tail"]), int(r[0]["next_seq"])) if r else ([], 0)
 
     def __call__(self, bdf: DataFrame, bid: int) -> None:
         spark, L = self.spark, self.L
         tail, next_seq = self._state(bid)
-        docs = encode(bdf.select("doc_id", "text"), self.vocab).select("doc_id", "input_ids")
-        carry = spark.createDataFrame([(-1, tail)], "doc_id long, input_ids array<int>")
-        allx = carry.unionByName(docs)
-        win = pack_sequences(allx, L, order="doc_id", group=[])
+        docs = materialize(encode(bdf.select("doc_id", "text"), self.vocab).select("doc_id", "input_ids"))
+        # the carried tail comes first whatever the document ids are
+        carry = spark.createDataFrame([(0, 0, tail)], "part int, doc_id long, input_ids array<bigint>")
+        allx = carry.unionByName(docs.withColumn("part", F.lit(1)))
+        win = pack_sequences(allx, L, order=["part", "doc_id"], group=[])
         (win.select((F.col("seq_id") + F.lit(next_seq)).alias("seq_id"), "input_ids")
             .write.mode("overwrite").parquet(f"{self.root}/out/batch={bid}"))
-        x = running_offset(allx.withColumn("_n", F.size("input_ids")), ["doc_id"], "_n", out="_s", total="_tot")
+        x = materialize(running_offset(allx.withColumn("_n", F.size("input_ids")), ["part", "doc_id"], "_n", out="_s", total="_tot"))
         full = F.floor(F.col("_tot") / L) * L
         pieces = (x.where(F.col("_s") + F.col("_n") > full)
-                   .select("doc_id", F.slice("input_ids", (F.greatest(full - F.col("_s"), F.lit(0)) + 1).cast("int"),
-                                             L).alias("p"))
-                   .orderBy("doc_id").collect())                      # fewer than seq_len ids in total
+                   .select("part", "doc_id", F.slice("input_ids", (F.greatest(full - F.col("_s"), F.lit(0)) + 1).cast("int"),
+                                                     L).alias("p"))
+                   .orderBy("part", "doc_id").collect())              # fewer than seq_len ids in total
         new_tail = [i for r in pieces for i in r["p"]]
         tot = x.agg(F.max("_tot")).first()[0] or 0
         n_full = int(tot) // L
-        (spark.createDataFrame([(bid, new_tail, next_seq + n_full)], "batch long, tail array<int>, next_seq long")
+        (spark.createDataFrame([(bid, new_tail, next_seq + n_full)], STATE)
               .write.mode("overwrite").parquet(f"{self.root}/state/b={bid}"))
 
     def run(self, stream: DataFrame) -> DataFrame:
         ck = scratch(self.spark, "stream-pack-ckpt")
-        q = stream.writeStream.foreachBatch(self).option("checkpointLocation", ck).trigger(availableNow=True).start()
-        q.awaitTermination()
+        _drain(stream.writeStream.foreachBatch(self).option("checkpointLocation", ck))
         return self.spark.read.parquet(self.root + "/out").select("seq_id", "input_ids")

@@ -1,7 +1,6 @@
 """Exact and near dedupe against brute force; language ID; BPE."""
 
 import collections
-import hashlib
 import itertools
 
 from pyspark.sql import functions as F
@@ -10,17 +9,17 @@ from quire.operators.dedupe import components, exact_dedupe, minhash_edges, near
 
 
 def test_exact_dedupe_first_wins(spark):
-    texts = [" a b ", "c", "a b", "", "c\n", "d", "  "]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [(4, " a b "), (2, "c"), (7, "a b"), (1, ""), (9, "c\n"), (5, "d"), (3, "  "), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.text) for r in exact_dedupe(df).collect())
-    seen, exp = set(), []
-    for i, t in enumerate(texts):
-        s = t.strip()
-        h = hashlib.sha256(s.encode()).hexdigest()
-        if s and h not in seen:
-            seen.add(h)
-            exp.append((i, s))
-    assert got == exp
+    assert got == [(2, "c"), (4, "a b"), (5, "d")]
+
+
+def test_exact_dedupe_keeps_columns_and_groups(spark):
+    df = spark.createDataFrame([(1, "x", 0, "p"), (2, "x", 1, "q"), (3, "x", 0, "r")], "doc_id long, text string, shard int, c string")
+    assert sorted((r.doc_id, r.c) for r in exact_dedupe(df, group="shard").collect()) == [(1, "p"), (2, "q")]
+    plan = exact_dedupe(df)._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan
 
 
 def words(n, shift=0):
@@ -72,10 +71,33 @@ def test_similar_pairs_exact(spark):
     assert lsh <= {(a, b) for a, b, _, _ in got}
 
 
+def test_threshold_that_doubles_cannot_hold(spark):
+    common = [f"c{i}" for i in range(71)]
+    a, b = common + [f"a{i}" for i in range(29)], common + [f"b{i}" for i in range(29)]
+    # sets of single words via k = 1: 71 / 129
+    df = spark.createDataFrame([(0, " ".join(a)), (1, " ".join(b))], "doc_id long, text string")
+    assert [(r.inter, r.uni) for r in similar_pairs(df, 71 / 129, k=1).collect()] == [(71, 129)]
+    df = spark.createDataFrame([(0, " ".join(f"w{i}" for i in range(100))), (1, " ".join(f"w{i}" for i in range(55)))],
+                               "doc_id long, text string")
+    assert [(r.inter, r.uni) for r in similar_pairs(df, 0.55, k=1).collect()] == [(55, 100)]
+
+
+def test_lsh_finds_pairs_away_from_the_bucket_minimum(spark):
+    # 0 is unlike the rest but shares its first words, hence many buckets
+    base = words(200)
+    rows = [(0, words(60) + " " + words(140, 500))] + [(i, base + f" t{i}") for i in range(1, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.a, r.b) for r in minhash_edges(df, 0.8, bands=20, rows=1).collect()]
+    lab = {r.node: r.label for r in components(spark.createDataFrame(got, "a long, b long")).collect()}
+    assert lab == {i: 1 for i in range(1, 30)}
+
+
 def test_components_and_survivors(spark):
     e = spark.createDataFrame([(1, 3), (2, 3), (5, 6), (7, 7)], "a long, b long")
     lab = {r.node: r.label for r in components(e).collect()}
     assert lab == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 7: 7}
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r.label for r in components(chain).collect()} == {0}
     df = spark.createDataFrame(list(enumerate(NEAR)), "doc_id long, text string")
     keep = sorted(r.doc_id for r in near_dup_survivors(df, 0.8).collect())
     pairs = brute_pairs(NEAR, 0.8)

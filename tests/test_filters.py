@@ -1,41 +1,40 @@
-"""Keyword filter: regex path and join path agree with plain Python."""
+"""Keyword filter: literal and joined keywords give the same documents."""
 
-import re
+import pytest
 
 from quire.operators import filters as FL
 
 DOCS = ["Ransomware hit the firm", "a zero-day (CVE) was used", "Tokens: botnet, DDoS.", "nothing here",
-        "malwares everywhere", "pre-exploit phase", "word spyware", "Ümlaut malware"]
-EDGE = r"[\s\u0085   -     　\x1c-\x1f]|[^\w\s]"
-
-
-def py_hits(words, mode):
-    out = set()
-    for i, d in enumerate(DOCS):
-        low = d.lower()
-        for w in words:
-            w = w.lower()
-            if mode == "substring":
-                if w in low:
-                    out.add(i)
-            else:
-                for m in re.finditer(re.escape(w), low):
-                    a, b = m.start(), m.end()
-                    left = a == 0 or re.match(EDGE, low[a - 1])
-                    right = b == len(low) or re.match(EDGE, low[b])
-                    if left and right:
-                        out.add(i)
-    return out
-
-
-def test_keyword_modes(spark, monkeypatch):
+        "malwares everywhere", "pre-exploit phase", "word spyware", "\U0001f600\U0001f600 malware", "anti-malware-suite",
+        "!!!malware???", "lateral   movement\nfound", "", "..."]
+WORDS = ["Malware", "ransomware", "CVE", "zero-day", "botnet", "ddos", "exploit", "spyware", "lateral movement", "", "  "]
+TOKEN = [0, 1, 2, 6, 7, 9, 10]
+SUBSTRING = [0, 1, 2, 4, 5, 6, 7, 8, 9]
+NEVER = [f"neverseen{i}" for i in range(600)]
+
+
+@pytest.mark.parametrize("extra", [[], NEVER])
+def test_keywords(spark, extra):
+    df = spark.createDataFrame(list(enumerate(DOCS)), "doc_id long, text string")
+    kw = spark.createDataFrame([(w,) for w in WORDS + extra], "keyword string")
+    for words in (WORDS + extra, kw):
+        assert sorted(r.doc_id for r in FL.filter_keywords(df, words).collect()) == TOKEN
+        assert sorted(r.doc_id for r in FL.filter_keywords(df, words, mode="substring").collect()) == SUBSTRING
+
+
+@pytest.mark.parametrize("words", [None, [], ["", " "]])
+def test_no_keyword_turns_the_filter_off(spark, words):
     df = spark.createDataFrame(list(enumerate(DOCS)), "doc_id long, text string")
-    words = FL.SECURITY_KEYWORDS
-    for mode in ("token", "substring"):
-        got = {r.doc_id for r in FL.filter_keywords(df, words, mode=mode).collect()}
-        assert got == py_hits(words, mode), mode
-    kwdf = spark.createDataFrame([(w,) for w in words], "keyword string")
-    monkeypatch.setattr(FL, "REGEX_KEYWORDS_MAX", 5)           # force the join paths
     for mode in ("token", "substring"):
-        got = {r.doc_id for r in FL.filter_keywords(df, kwdf, mode=mode).collect()}
-        assert got == py_hits(words, mode), mode
+        assert FL.filter_keywords(df, words, mode=mode).count() == len(DOCS)
+
+
+def test_split_documents_numbers_pieces_densely(spark):
+    df = spark.createDataFrame([(10**15, "a ENDDOC  ENDDOC b"), (3, "c")], "doc_id long, text string")
+    assert [(r.doc_id, r.text) for r in FL.split_documents(df).orderBy("doc_id").collect()] == [(0, "c"), (1, "a"), (2, "b")]
+
+
+def test_reject_malformed(spark):
+    df = spark.createDataFrame([(1, True, "x"), (2, False, "y")], "k int, ok boolean, line string")
+    good, bad = FL.reject_malformed(df)
+    assert [r.k for r in good.collect()] == [1] and [r.line for r in bad.collect()] == ["y"]

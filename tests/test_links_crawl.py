@@ -11,7 +11,8 @@ from quire.operators.crawl import allowed, crawl, crc_shard, link_edges
 BASES = ["http://a.example/b/c/d;p?q#f", "https://h.example/x/y", "https://h.example", "https://h.example/dir/"]
 HREFS = ["", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ".", "./", "..", "../", "../g",
          "../..", "../../g", "../../../g", "/./g", "/../g", "g.", "..g", "./../g", "./g/.", "g/./h", "g/../h",
-         "mailto:x@y", "https://o.example/p", "/a#x", "a//b"]
+         "mailto:x@y", "https://o.example/p", "/a#x", "a//b", " /a", "\n/a", "g\nh", "\t//host", "https:g", "HTTPS://H.Example/x",
+         "?", "#", "//", "///p", "  ", "g?", "g#", "/g?#", "//h?q", "//h#f", "//h/../x", "https:", "https:?y", "javascript:void(0)"]
 
 
 def test_resolve_matches_urljoin(spark):
@@ -106,8 +107,26 @@ def test_numeric_references(spark):
         "&amp;#233; stays": "&#233; stays",
         "&#; &#xZZ; &#55296; &#0; tail &#": "&#; &#xZZ; &#55296; &#0; tail &#",
         "&lt;b&gt; &#60;i&#62;": "<b> <i>",
+        "&#00000233; &#x0000E9; &eacute;&Eacute; &euro; &unknown; &amp;lt; &": "é é éÉ € &unknown; &lt; &",
         "no refs": "no refs",
     }
     df = spark.createDataFrame([(k,) for k in cases], "s string")
     got = {r.s: r.d for r in df.select("s", decode_entities("s").alias("d")).collect()}
     assert got == cases
+
+
+def test_extract_text_by_rule(spark):
+    cases = {
+        "<p>1 < 2 and 3 > 2</p>": "1 < 2 and 3 > 2",
+        "<p>a</p><script>var x = 1;": "a",
+        "<p>a</p><style type='x'>p{}": "a",
+        "<div class=ad>buy</div><p>b</p>": "b",
+        "<div class='top ad'>buy</div><p>c</p>": "c",
+        "<div id=x class=ad data-y>buy</div><p>d</p>": "d",
+        "<div class=\"ad banner\">buy</div><p>e</p>": "e",
+        "<div class=address>kept</div><p>f</p>": "kept\nf",
+        "<?xml version='1'?><!DOCTYPE html><b>g</b>": "g",
+        "x<br/>y<BR>z": "x\ny\nz",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    assert {r.h: r.t for r in df.select("h", extract_text("h").alias("t")).collect()} == cases

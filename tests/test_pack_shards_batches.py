@@ -1,52 +1,48 @@
-"""Packing, re-sharding and batching against plain Python loops written
-from the stated semantics."""
+"""Packing, re-sharding and batching against closed forms and written-out
+results."""
 
 import random
-
-from pyspark.sql import functions as F
+from itertools import accumulate, chain
 
 from quire.operators.batches import batch_and_pad, budget_batches
 from quire.operators.pack import pack_sequences
 from quire.operators.shards import reshard_by_tokens
 
 
-def py_pack(docs, L):
-    buf, out = [], []
-    for ids in docs:
-        buf.extend(ids)
-        while len(buf) >= L:
-            out.append(buf[:L])
-            buf = buf[L:]
-    return out
-
-
-def test_pack_matches_loop(spark):
+def test_packing_cuts_the_flattened_ids(spark):
     rnd = random.Random(11)
-    for L in (1, 4, 16, 64):
+    for size in (1, 4, 16, 64):
         docs = [[rnd.randint(0, 999) for _ in range(rnd.choice([0, 1, 2, 3, 10, 40, 100]))] for _ in range(60)]
         rows = [("train" if i < 45 else "test", i, d) for i, d in enumerate(docs)]
         df = spark.createDataFrame(rows, "split string, doc_id long, input_ids array<int>")
-        got = pack_sequences(df, L, order="doc_id", group=["split"]).collect()
+        got = {(r.split, r.seq_id): list(r.input_ids) for r in pack_sequences(df, size, order="doc_id", group=["split"]).collect()}
+        want = {}
         for split, part in (("train", docs[:45]), ("test", docs[45:])):
-            exp = py_pack(part, L)
-            g = sorted((r.seq_id, list(r.input_ids)) for r in got if r.split == split)
-            assert [x[1] for x in g] == exp
-            assert [x[0] for x in g] == list(range(len(exp)))
+            flat = list(chain.from_iterable(part))
+            want |= {(split, k): flat[k * size:(k + 1) * size] for k in range(len(flat) // size)}
+        assert got == want
 
 
-def py_reshard(lengths, n):
-    tot = sum(lengths)
-    tgt = tot / n
-    k, cnt, out = 0, [0] * n, []
-    for ln in lengths:
-        if k < n - 1 and cnt[k] >= tgt:
-            k += 1
-        cnt[k] += ln
-        out.append(k)
-    return out
+def test_packing_written_out(spark):
+    df = spark.createDataFrame([("t", 3, [1, 2]), ("t", 5, []), ("t", 9, [3, 4, 5, 6, 7])],
+                               "split string, doc_id long, input_ids array<int>")
+    got = sorted((r.seq_id, list(r.input_ids)) for r in pack_sequences(df, 3, order="doc_id", group=["split"]).collect())
+    assert got == [(0, [1, 2, 3]), (1, [4, 5, 6])]
 
 
-def test_reshard_matches_loop(spark):
+def shard_starts(before, total, n):
+    """Each shard begins at the first sequence that has at least total / n
+    tokens between the shard before it and itself."""
+    starts = [0]
+    while len(starts) < n:
+        later = [b for b in before if (b - starts[-1]) * n >= total]
+        if not later:
+            break
+        starts.append(later[0])
+    return starts
+
+
+def test_reshard_by_prefix_sums(spark):
     rnd = random.Random(2)
     cases = [
         [5] * 7,                                   # equal lengths
@@ -55,10 +51,17 @@ def test_reshard_matches_loop(spark):
         [4, 4],                                    # fewer sequences than shards
     ]
     for lengths in cases:
+        before = [0, *accumulate(lengths)][:-1]
         for n in (1, 3, 4, 8):
-            df = spark.createDataFrame([(i, ln) for i, ln in enumerate(lengths)], "seq_id long, n_tokens long")
+            df = spark.createDataFrame(list(enumerate(lengths)), "seq_id long, n_tokens long")
             got = {r.seq_id: r.shard for r in reshard_by_tokens(df, n).collect()}
-            assert [got[i] for i in range(len(lengths))] == py_reshard(lengths, n), (lengths, n)
+            starts = shard_starts(before, sum(lengths), n)
+            assert [got[i] for i in range(len(lengths))] == [sum(s <= b for s in starts) - 1 for b in before], (lengths, n)
+
+
+def test_reshard_written_out(spark):
+    df = spark.createDataFrame(list(enumerate([3, 100, 2, 2, 2, 1])), "seq_id long, n_tokens long")
+    assert [r.shard for r in reshard_by_tokens(df, 3).orderBy("seq_id").collect()] == [0, 0, 1, 1, 1, 1]
 
 
 def test_batch_and_pad(spark):
@@ -71,20 +74,21 @@ def test_batch_and_pad(spark):
     assert [r.batch_id for r in got] == [0, 0, 1, 1, 2]
 
 
-def py_budget(lengths, B, budget):
-    stream, i = [], 0
-    steps, tokens = [], 0
-    while True:
-        batch = [lengths[(i + j) % len(lengths)] for j in range(B)]
-        i += B
-        tokens += B * max(batch)
-        steps.append(tokens)
-        if tokens >= budget:
-            return steps
+def test_token_budget(spark):
+    # lengths, rows per batch, budget -> ids counted after each step
+    cases = [
+        ([3, 5, 2], 2, 7, [10]),                             # below one batch
+        ([4] * 5, 4, 16, [16]),                              # exactly one batch
+        ([2, 2], 5, 11, [10, 20]),                           # a batch spans several epochs
+        ([1, 9, 3, 3], 3, 200, [27, 54, 63, 90, 117, 144, 153, 180, 207]),
+    ]
+    for lengths, rows, budget, want in cases:
+        df = spark.createDataFrame(list(enumerate(lengths)), "seq_id long, n_tokens long")
+        got = sorted(budget_batches(df, rows, budget).collect(), key=lambda r: r.step)
+        assert [r.cum_tokens for r in got] == want, (lengths, rows, budget)
 
 
-def test_token_budget(spark):
-    for lengths, B, budget in (([3, 5, 2], 2, 7), ([4] * 5, 4, 16), ([1, 9, 3, 3], 3, 200), ([2, 2], 5, 11)):
-        df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "seq_id long, n_tokens long")
-        got = sorted(budget_batches(df, B, budget).collect(), key=lambda r: r.step)
-        assert [r.cum_tokens for r in got] == py_budget(lengths, B, budget), (lengths, B, budget)
+def test_labels_of_the_input_are_padded(spark):
+    df = spark.createDataFrame([(0, [1, 2], [7, 8]), (1, [3], [9])], "seq_id long, input_ids array<int>, labels array<int>")
+    got = batch_and_pad(df, 2).orderBy("seq_id").collect()
+    assert [list(r.labels) for r in got] == [[7, 8], [9, 0]] and [list(r.input_ids) for r in got] == [[1, 2], [3, 0]]

@@ -39,3 +39,27 @@ def test_stream_dedupe_equals_batch(spark):
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(d)
     out = M.run_to_table(M.dedupe_stream(s))
     assert sorted(r.doc_id for r in out.collect()) == [0, 1, 4]
+
+
+def test_queries_run_several_batches(spark):
+    df = spark.range(40).selectExpr("id as doc_id", "concat('text ', id % 7) as text")
+    path = M.drops(df, "doc_id", least=4)
+    out = M.run_to_table(M.dedupe_stream(M.drop_stream(spark, path, df.schema)))
+    assert out.count() == 7 and M.batches_run >= 3
+    x = M.drop_stream(spark, path, df.schema).selectExpr("doc_id % 2 as shard", "text")
+    got = M.run_to_table(M.stage_counts(x, {"raw": (F.lit(True), "text")}, by=["shard"]), mode="update", keys=["shard", "stage"])
+    assert sorted((r.shard, r.stage, r.docs, r.bytes) for r in got.collect()) == [(0, "raw", 20, 140), (1, "raw", 20, 140)]
+    assert M.batches_run >= 3
+
+
+def test_damaged_pack_state_raises(spark):
+    import pytest
+    df = spark.createDataFrame([(-5, "a b c"), (2, "d e f g")], "doc_id long, text string")
+    p = M.StreamPacker(spark, whitespace_vocab(df), 2)
+    p(df.where("doc_id < 0"), 0)
+    p(df.where("doc_id > 0"), 1)
+    p(df.where("doc_id > 0"), 1)                                  # a replayed batch
+    got = spark.read.parquet(p.root + "/out").orderBy("seq_id").collect()
+    assert [r.seq_id for r in got] == [0, 1, 2]
+    with pytest.raises(RuntimeError):
+        p(df, 5)                                                  # state of batch 4 is missing

@@ -676,9 +676,9 @@ def q_split_documents(spark, sf):
     return split_documents(p, marker="\n").select("doc_id", content_hash("text").alias("text_sha256"))
 
 
-@register("tolerant_sequences", f"""WITH t AS (SELECT doc_id, list_transform({S.tokens('text')}, t -> TRY_CAST(t AS BIGINT)) AS k FROM documents)
-SELECT CAST(count(*) FILTER (WHERE len(list_filter(k, x -> x IS NULL)) = 0) AS BIGINT) AS good,
-       CAST(count(*) FILTER (WHERE len(list_filter(k, x -> x IS NULL)) > 0) AS BIGINT) AS rejected
+@register("tolerant_sequences", f"""WITH t AS (SELECT doc_id, list_transform({S.tokens('text')}, lambda t: TRY_CAST(t AS BIGINT)) AS k FROM documents)
+SELECT CAST(count(*) FILTER (WHERE len(list_filter(k, lambda x: x IS NULL)) = 0) AS BIGINT) AS good,
+       CAST(count(*) FILTER (WHERE len(list_filter(k, lambda x: x IS NULL)) > 0) AS BIGINT) AS rejected
 FROM t WHERE len(k) > 0""")
 def q_tolerant_sequences(spark, sf):
     """A6 + D8: document lines read as id lines; malformed ones are rejected."""

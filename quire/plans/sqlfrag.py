@@ -88,6 +88,7 @@ def links(x: str) -> str:
     return f"list_transform(regexp_extract_all({x}, {q(LINK_RE)}, 1), lambda v: {inner})"
 
 
+BLANKS = "(" + "||".join(f"chr({c})" for c in range(1, 33)) + ")"
 SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):"
 
 
@@ -106,7 +107,7 @@ def resolve_url(b: str, h: str) -> str:
     b_tail = f"regexp_replace({b_rest}, '^//[^/?#]*', '')"
     b_path = f"regexp_extract({b_tail}, '^([^?#]*)', 1)"
     b_query = f"regexp_extract({b_tail}, '^[^?#]*(\\?[^#]+)?', 1)"
-    h = f"regexp_replace(trim({h}, (SELECT string_agg(chr(c), '') FROM range(1, 33) t(c))), '[\\t\\r\\n]', '', 'g')"
+    h = f"regexp_replace(trim({h}, {BLANKS}), '[\\t\\r\\n]', '', 'g')"
     h_scheme = f"regexp_extract({h}, {q(SCHEME)}, 1)"
     h_frag = f"regexp_extract({h}, '(#.+)$', 1)"
     h_nofrag = f"regexp_replace({h}, '#.*$', '')"

@@ -1,12 +1,14 @@
 """Byte-pair-encoding vocabulary training (G1) and encoding.
 
 Training scans the corpus once (distinct words with counts, SentencePiece
-style ``▁`` word prefix); every merge round then works on the word-type
-table only: adjacent symbol pairs weighted by word frequency are summed, the
-best pair (count desc, then pair asc) is taken — one row to the driver — and
-the words holding it are rewritten with a left-to-right ``aggregate``.  The
-table is checkpointed every few rounds so lineage stays short and a lost
-executor costs at most that many rounds.
+style ``▁`` word prefix) and then works on the word-type table only.  A round
+counts adjacent symbol pairs weighted by word frequency and takes the best
+pairs in order (count desc, then pair asc) as long as the one-merge-at-a-time
+result is certain to be the same: the pairs share no symbol, and no pair that
+an earlier merge of the round can form (at most as often as the triple of
+symbols it comes from) reaches the next pair's count.  ``CANDIDATES`` rows
+meet on the driver per round, whatever the corpus.  All merges of a round are
+applied in one pass; the table is checkpointed every few rounds.
 
 Encoding applies merges by rank: per distinct word, join its adjacent pairs
 with the (size-checked, broadcast) merge table, apply the lowest-ranked one,
@@ -22,6 +24,7 @@ from quire.functions.text import ws_tokens
 from quire.session import fits, materialize
 
 WORD_PREFIX = "▁"
+SEP = "\x00"                # joins two symbols in a key; no symbol holds it
 CHECKPOINT_EVERY = 8
 BROADCAST_MERGES = 2_000_000
 
@@ -43,42 +46,90 @@ def merge_pair(syms: Column, left: Column, right: Column) -> Column:
 
 
 def word_types(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, freq, syms`` — the only pass over the corpus."""
-    w = docs.select(F.explode(ws_tokens(text)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("freq"))
+    """``word, freq, syms`` — the only pass over the corpus.  NUL characters
+    are dropped from words."""
+    w = docs.select(F.explode(ws_tokens(F.replace(F.col(text), F.lit(SEP), F.lit("")))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("freq"))
     w = w.select(F.concat(F.lit(WORD_PREFIX), F.col("w")).alias("word"), "freq")
     return w.withColumn("syms", F.filter(F.split("word", ""), lambda c: c != ""))
 
 
-def train_bpe(docs: DataFrame, num_merges: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """G1: returns (``merges``: rank, left, right; ``vocab``: token, id).
+CANDIDATES = 64
+
+
+def _best_pairs(wt: DataFrame) -> list:
+    p = wt.select("freq", F.explode(_pairs(F.col("syms"))).alias("p")).where(F.col("p")["1"].isNotNull())
+    return (p.groupBy(F.col("p")["0"].alias("l"), F.col("p")["1"].alias("r")).agg(F.sum("freq").alias("c"))
+             .orderBy(F.col("c").desc(), "l", "r").limit(CANDIDATES).collect())
+
+
+def _certain(wt: DataFrame, best: list) -> list:
+    """The longest prefix of ``best`` that merging one by one would take too."""
+    free: list = []
+    used: set = set()
+    for p in best:
+        if {p["l"], p["r"]} & used or p["l"] == p["r"] and free:
+            break
+        free.append(p)
+        used |= {p["l"], p["r"]}
+        if p["l"] == p["r"]:
+            break
+    if len(free) < 2:
+        return free
+    # how often a symbol stands next to each of the pairs, at most
+    keys = F.array(*[F.lit(p["l"] + SEP + p["r"]) for p in free])
+    z = F.arrays_zip(*[F.slice("syms", j + 1, F.greatest(F.size("syms"), F.lit(1))).alias(str(j)) for j in range(3)])
+    t = wt.select("freq", F.explode(F.filter(z, lambda e: e["2"].isNotNull())).alias("t")).select("freq", "t.*")
+    both = F.array(F.struct(F.concat_ws(SEP, "0", "1").alias("pair"), F.col("2").alias("other"), F.lit(1).alias("side")),
+                   F.struct(F.concat_ws(SEP, "1", "2").alias("pair"), F.col("0").alias("other"), F.lit(0).alias("side")))
+    t = t.select("freq", F.explode(F.filter(both, lambda e: F.array_contains(keys, e["pair"]))).alias("e"))
+    near = t.groupBy("e.pair", "e.other", "e.side").agg(F.sum("freq").alias("c")).groupBy("pair").agg(F.max("c").alias("c"))
+    most = {r["pair"]: r["c"] for r in near.collect()}                 # a row per candidate
+    for i in range(1, len(free)):
+        if any(most.get(p["l"] + SEP + p["r"], 0) >= free[i]["c"] for p in free[:i]):
+            return free[:i]
+    return free
+
+
+def _merge_all(syms: Column, pairs: list) -> Column:
+    """Merge every occurrence of pairs that share no symbol, in one pass."""
+    keys = F.array(*[F.lit(a + SEP + b) for a, b in pairs])
+    return F.aggregate(
+        syms, F.array().cast("array<string>"),
+        lambda acc, s: F.when((F.size(acc) > 0) & F.array_contains(keys, F.concat_ws(SEP, F.element_at(acc, -1), s)),
+                              F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
+                                       F.array(F.concat(F.element_at(acc, -1), s))))
+                        .otherwise(F.concat(acc, F.array(s))))
+
+
+def train_bpe(docs: DataFrame, num_merges: int | None = None, text: str = "text",
+              vocab_size: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """G1: returns (``merges``: rank, left, right; ``vocab``: token, id), for
+    a number of merges or a vocabulary size (characters plus merges).
 
     Vocabulary = single characters (ordered by frequency desc, then text)
     followed by merged symbols in merge order.
     """
+    from quire.operators.order import dense_index
     spark = docs.sparkSession
     wt = materialize(word_types(docs, text))
-    merges = []
-    for r in range(num_merges):
-        p = wt.select("freq", F.explode(_pairs(F.col("syms"))).alias("p")) \
-              .where(F.col("p")["1"].isNotNull())
-        best = (p.groupBy(F.col("p")["0"].alias("l"), F.col("p")["1"].alias("r"))
-                 .agg(F.sum("freq").alias("c"))
-                 .orderBy(F.col("c").desc(), "l", "r").limit(1).collect())
-        if not best:
+    chars = wt.select("freq", F.explode("syms").alias("token")).groupBy("token").agg(F.sum("freq").alias("f"))
+    chars = materialize(dense_index(materialize(chars.withColumn("_nf", -F.col("f"))), ["_nf", "token"], out="id").select("token", "id"))
+    nchar = chars.count()
+    if num_merges is None:
+        num_merges = max(0, vocab_size - nchar)
+    merges: list = []
+    rounds = 0
+    while len(merges) < num_merges:
+        take = _certain(wt, _best_pairs(wt))[:num_merges - len(merges)]
+        if not take:
             break
-        left, right = best[0]["l"], best[0]["r"]
-        merges.append((r, left, right))
-        has = F.exists(_pairs(F.col("syms")), lambda e: (e["0"] == left) & (e["1"] == right))
-        wt = wt.withColumn("syms", F.when(has, merge_pair(F.col("syms"), F.lit(left), F.lit(right)))
-                                    .otherwise(F.col("syms")))
-        if (r + 1) % CHECKPOINT_EVERY == 0:
+        pairs = [(p["l"], p["r"]) for p in take]
+        merges += [(len(merges) + i, a, b) for i, (a, b) in enumerate(pairs)]
+        wt = wt.withColumn("syms", _merge_all(F.col("syms"), pairs))
+        rounds += 1
+        if rounds % CHECKPOINT_EVERY == 0:
             wt = materialize(wt)
     mdf = spark.createDataFrame(merges, "rank int, left string, right string")
-    chars = (word_types(docs, text).select("freq", F.explode("syms").alias("token"))
-             .groupBy("token").agg(F.sum("freq").alias("f")))
-    from quire.operators.order import dense_index
-    chars = dense_index(chars.withColumn("_nf", -F.col("f")), ["_nf", "token"], out="id").select("token", "id")
-    nchar = chars.count()
     merged = mdf.select(F.concat("left", "right").alias("token"), (F.col("rank") + F.lit(nchar)).alias("id"))
     # a merged string can equal an earlier one; keep its first id
     vocab = chars.unionByName(merged).groupBy("token").agg(F.min("id").cast("int").alias("id"))

@@ -540,7 +540,7 @@ def q_url_crc_shard(spark, sf):
 from quire.operators.bpe import bpe_encode, train_bpe  # noqa: E402
 from quire.operators.vocab import vocab_size  # noqa: E402
 
-BPE_MERGES = 40
+BPE_MERGES = 120
 
 
 @register("bpe_train")

@@ -160,3 +160,29 @@ def test_bpe_matches_python(spark):
     inv = {r.id: r.token for r in v.collect()}
     enc = {r.doc_id: "".join(inv[i] for i in r.input_ids) for r in bpe_encode(df, m, v).collect()}
     assert enc == {i: "".join("▁" + w for w in t.split()) for i, t in enumerate(texts)}
+
+
+def test_bpe_rounds_take_several_merges_and_stay_exact(spark):
+    import random
+    from quire.operators import bpe as B
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(2, 9))) for _ in range(150)]
+    text = " ".join(rnd.choices(words, [1 / (i + 1) for i in range(150)], k=3000))
+    df = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    m, v = B.train_bpe(df, vocab_size=80)
+    got = [(r.left, r.right) for r in m.orderBy("rank").collect()]
+    assert v.count() <= 80 and len(got) > 50
+    count = collections.Counter("▁" + w for w in text.split())
+    split = {w: list(w) for w in count}
+    for pair in got:                                   # every merge is the best one of its moment
+        pairs = collections.Counter()
+        for w, s in split.items():
+            for p in zip(s, s[1:]):
+                pairs[p] += count[w]
+        assert pair == min(pairs, key=lambda p: (-pairs[p], p))
+        for w, s in split.items():
+            i = 0
+            while i < len(s) - 1:
+                if (s[i], s[i + 1]) == pair:
+                    s[i:i + 2] = ["".join(pair)]
+                i += 1

@@ -181,8 +181,3 @@ def resolve_url(base, href) -> Column:
              .when(h_path == "", F.concat(prefix, b_path, F.when(h_query != "", h_query).otherwise(b_query), h_frag))
              .when(h_path.startswith("/"), F.concat(prefix, rooted(path_root), h_query, h_frag))
              .otherwise(F.concat(prefix, rooted(path_rel), h_query, h_frag)))
-
-
-def url_host(col) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.lower(F.regexp_extract(c, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)", 1))

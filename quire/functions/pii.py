@@ -42,13 +42,6 @@ def scrub_rule(col, name: str, rules: str = "reference") -> Column:
     raise KeyError(name)
 
 
-def rule_hits(col, name: str, rules: str = "reference") -> Column:
-    for n, pat, _ in RULES[rules]:
-        if n == name:
-            return _c(col).rlike(pat)
-    raise KeyError(name)
-
-
 def scrub(col, rules: str = "reference") -> Column:
     """Apply the rules in order, each on the output of the previous one."""
     return reduce(lambda acc, r: F.regexp_replace(acc, r[1], r[2]), RULES[rules], _c(col))

@@ -120,7 +120,7 @@ def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int =
             visited = visited.unionByName(r)
         fetched = fr.join(known, "url")                       # failed fetches stop here
         nxt = fetched.select(F.col("url").alias("src")).join(edges, "src").select(F.col("dst").alias("url"))
-        frontier = nxt.distinct().join(visited.select("url"), "url", "left_anti")
+        frontier = not_visited(nxt, visited)
         depth += 1
     visited = None
     for r in rounds:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire.functions import html as H
-from quire.functions.pii import RULES, rule_hits, scrub, scrub_rule
+from quire.functions.pii import scrub, scrub_rule
 from quire.functions.text import collapse_lines, content_hash, ids_to_text, py_strip, token_count
 from quire.operators import crawl as C
 from quire.operators.dedupe import exact_dedupe
@@ -540,7 +540,7 @@ def q_url_crc_shard(spark, sf):
 from quire.operators.bpe import bpe_encode, train_bpe  # noqa: E402
 from quire.operators.vocab import vocab_size  # noqa: E402
 
-BPE_MERGES = 120
+BPE_MERGES = 80
 
 
 @register("bpe_train")

@@ -13,6 +13,7 @@ from quire.functions import html as H
 from quire.functions.pii import scrub, scrub_rule
 from quire.functions.text import collapse_lines, content_hash, ids_to_text, py_strip, token_count
 from quire.operators import crawl as C
+from quire.operators.boilerplate import drop_repeated_lines
 from quire.operators.dedupe import exact_dedupe
 from quire.operators.filters import (SECURITY_KEYWORDS, collapse_documents, filter_keywords,
                                      filter_language, filter_min_len, reject_malformed, split_documents)
@@ -227,6 +228,18 @@ def q_extract_text(spark, sf):
                                         F.octet_length(t).cast("bigint").alias("n_bytes"))
 
 
+@register("extract_text_boilerplate", f"""WITH ex AS (SELECT page_id, lower({S.host('url')}) AS host, {S.extract_text('html')} AS text FROM pages),
+ln AS (SELECT page_id, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM ex),
+bad AS (SELECT host, line FROM ln JOIN (SELECT host, count(*) AS pages FROM ex GROUP BY host) USING (host) WHERE line <> ''
+  GROUP BY host, line, pages HAVING count(DISTINCT page_id) >= 3 AND count(DISTINCT page_id) * 2 >= pages)
+SELECT page_id, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE (host, line) NOT IN (SELECT (host, line) FROM bad)), '')) AS text_sha256
+FROM ln GROUP BY page_id""")
+def q_extract_text_boilerplate(spark, sf):
+    """C1, both passes."""
+    p = materialize(T(spark, sf, "pages").select("page_id", "url", H.extract_text("html").alias("text")))
+    return drop_repeated_lines(p).select("page_id", content_hash("text").alias("text_sha256"))
+
+
 LINKS_SQL = (f"lk AS (SELECT page_id, url, unnest(l) AS href, generate_subscripts(l, 1) AS pos "
              f"FROM (SELECT page_id, url, {S.links('html')} AS l FROM pages))")
 

@@ -135,3 +135,7 @@ def resolve_url(b: str, h: str) -> str:
 
 def origin(u: str) -> str:
     return f"regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+
+
+def host(u: str) -> str:
+    return f"split_part(split_part(split_part(split_part({u}, '://', 2), '/', 1), '?', 1), '#', 1)"

@@ -130,3 +130,12 @@ def test_extract_text_by_rule(spark):
     }
     df = spark.createDataFrame([(k,) for k in cases], "h string")
     assert {r.h: r.t for r in df.select("h", extract_text("h").alias("t")).collect()} == cases
+
+
+def test_lines_repeated_over_a_host(spark):
+    from quire.operators.boilerplate import drop_repeated_lines
+    rows = [(i, f"https://A.example/{i}", f"Menu\nstory {i}\n\nImprint") for i in range(6)]
+    rows += [(6, "https://a.example/x", "Menu"), (7, "https://b.example/", "Menu\nImprint"), (8, None, "Menu"), (9, "https://b.example/2", "other")]
+    df = spark.createDataFrame(rows, "page_id long, url string, text string")
+    got = {r.page_id: r.text for r in drop_repeated_lines(df).collect()}
+    assert got == {**{i: f"story {i}\n" for i in range(6)}, 6: "", 7: "Menu\nImprint", 8: "Menu", 9: "other"}

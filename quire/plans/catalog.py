@@ -797,6 +797,25 @@ def q_pipeline_default(spark, sf):
     return st["packed"].select("split", "seq_id", ids_to_text("input_ids").alias("ids"))
 
 
+@register("pipeline_sharded", f"""WITH ex AS (SELECT page_id AS doc_id, page_id % 4 AS shard, {S.extract_text('html')} AS text FROM pages),
+fl AS (SELECT doc_id, shard, {S.collapse(S.strip('text'))} AS text FROM ex WHERE {S.strip('text')} <> ''),
+dd AS (SELECT min(doc_id) AS doc_id, shard, text FROM fl GROUP BY shard, text),
+sc AS (SELECT doc_id, shard, {S.scrub('text')} AS text FROM dd),
+{VOCAB_SQL.replace('@SRC@', 'sc')},
+sp AS (SELECT doc_id, shard, CASE WHEN row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1
+       < floor(count(*) OVER (PARTITION BY shard) * 0.9) THEN 'train' ELSE 'test' END AS split FROM sc),
+{ENCODE_SQL.replace('@SRC@', 'sc')},
+g AS (SELECT shard, split, id, row_number() OVER (PARTITION BY shard, split ORDER BY doc_id, pos) - 1 AS gpos
+      FROM toks JOIN vocab USING (token) JOIN sp USING (doc_id))
+SELECT shard, split, CAST(gpos // 64 AS BIGINT) AS seq_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY gpos) AS ids
+FROM g GROUP BY shard, split, gpos // 64 HAVING count(*) = 64""")
+def q_pipeline_sharded(spark, sf):
+    """The whole flow inside four shards of the pages (one vocabulary)."""
+    pages = T(spark, sf, "pages").withColumn("shard", F.col("page_id") % 4)
+    st = prepare_corpus(pages, PrepConfig(shard="shard"))
+    return st["packed"].select("shard", "split", "seq_id", ids_to_text("input_ids").alias("ids"))
+
+
 @register("pipeline_counts", f"""WITH {PAGES_SQL}, {_pack_sql('sc', 64)}
 SELECT 0 AS step, 'extracted' AS stage, CAST(count(*) AS BIGINT) AS n, CAST(sum(strlen(text)) AS BIGINT) AS size FROM ex
 UNION ALL SELECT 1, 'filtered', count(*), CAST(sum(strlen(text)) AS BIGINT) FROM fl

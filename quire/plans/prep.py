@@ -35,6 +35,7 @@ class PrepConfig:
     scrub_rules: str = "reference"        # C9
     seq_len: int = 64                     # H1
     train_frac: float = 0.9               # E5
+    shard: str | None = None              # E3: column that confines dedupe, split and packing to a shard
     materialize: bool = True              # cut lineage before the prefix sums
 
 
@@ -43,9 +44,13 @@ DEFAULT = PrepConfig()
 STRICT = PrepConfig(keywords=SECURITY_KEYWORDS, min_len=100, near_dup_threshold=0.8, seq_len=4096)
 
 
-def pages_to_documents(pages: DataFrame) -> DataFrame:
+def pages_to_documents(pages: DataFrame, keep=()) -> DataFrame:
     """``page_id, url, html`` -> ``doc_id, text`` (empty extractions kept)."""
-    return pages.select(F.col("page_id").alias("doc_id"), F.coalesce(extract_text("html"), F.lit("")).alias("text"))
+    return pages.select(F.col("page_id").alias("doc_id"), F.coalesce(extract_text("html"), F.lit("")).alias("text"), *keep)
+
+
+def _shard(cfg: PrepConfig) -> list:
+    return [cfg.shard] if cfg.shard else []
 
 
 def clean_documents(docs: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, DataFrame]:
@@ -58,8 +63,10 @@ def clean_documents(docs: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, Dat
         x = filter_keywords(x, cfg.keywords)
     x = filter_min_len(x, cfg.min_len)
     stages["filtered"] = x
-    x = exact_dedupe(x.select("doc_id", "text"))
+    x = exact_dedupe(x.select("doc_id", "text", *_shard(cfg)), group=_shard(cfg))
     if cfg.near_dup_threshold:
+        if cfg.shard:
+            raise ValueError("near duplicates are searched over the whole corpus, not per shard")
         from quire.operators.dedupe import near_dup_survivors
         x = near_dup_survivors(x, threshold=cfg.near_dup_threshold, method=cfg.near_dup_method)
     stages["deduped"] = x
@@ -70,21 +77,22 @@ def clean_documents(docs: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, Dat
 
 def tokenize_and_pack(docs: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFrame | None = None):
     """G3/G2 + E5 + H1: returns (vocab, packed) with packed =
-    ``split, seq_id, input_ids``."""
+    ``[shard,] split, seq_id, input_ids``."""
     if cfg.materialize:
         docs = materialize(docs)
     vocab = vocab if vocab is not None else whitespace_vocab(docs)
-    split = train_test_split(docs.select("doc_id", "text"), ["doc_id"], cfg.train_frac)
-    enc = encode(split, vocab, keep=["split"])
+    group = _shard(cfg)
+    split = train_test_split(docs.select("doc_id", "text", *group), ["doc_id"], cfg.train_frac, group=group)
+    enc = encode(split, vocab, keep=["split", *group])
     if cfg.materialize:
         enc = materialize(enc)
-    packed = pack_sequences(enc, cfg.seq_len, group=["split"])
+    packed = pack_sequences(enc, cfg.seq_len, group=[*group, "split"])
     return vocab, packed
 
 
 def prepare_corpus(pages: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, DataFrame]:
     """L1/L2: pages -> every stage, ending with ``packed``."""
-    docs = pages_to_documents(pages)
+    docs = pages_to_documents(pages, _shard(cfg))
     if cfg.materialize:
         docs = materialize(docs)              # the extraction runs once, not once per stage
     stages = clean_documents(docs, cfg)

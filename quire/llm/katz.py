@@ -48,7 +48,7 @@ TAIL = 0.1                   # taken from each larger count
 END, START, FIRST = 0, 1, 2  # word numbers: the end word, the start context, the first word
 HOT = 4                      # a context of more than 1 / HOT of a bucket's share is spread
 TOP = 256                    # most frequent words each bucket reports
-BUCKET_BYTES = 16 << 20      # text bytes per bucket, about
+BUCKET_BYTES = 8 << 20       # text bytes per bucket, about (some 1.3 million pairs)
 
 
 def good_turing(n) -> np.ndarray:
@@ -244,7 +244,7 @@ def score_pairs(rows: DataFrame, model) -> DataFrame:
     discounted count was used, and the pairs that wait for alpha."""
     def run(batches):
         uni, _, hot = model.value
-        held, names, bucket = [], [], None
+        held, names, bucket = [[] for _ in range(6)], [], None
         for b in batches:
             for c, k, blob in zip(*(x.to_pylist() for x in b.columns)):
                 if k < 0:
@@ -252,18 +252,24 @@ def score_pairs(rows: DataFrame, model) -> DataFrame:
                     continue
                 ctx, word, key, count, cw = cut(blob)
                 ctx = unpack_sorted(ctx)
-                held.append((ctx, unpack_ints(word), unpack_ints(key), unpack_ints(count), unpack_ints(cw),
-                             np.full(len(ctx), len(names), dtype=np.int64)))
+                # documents of a chunk, their counts and chunks of a bucket fit 32 bits
+                for col, x in zip(held, (ctx, unpack_ints(word), unpack_ints(key).astype(np.int32), unpack_ints(count).astype(np.int32),
+                                         unpack_ints(cw), np.full(len(ctx), len(names), dtype=np.int32))):
+                    col.append(x)
                 names.append(c)
                 bucket = k
-        if not held:
+        if not names:
             return
-        ctx, word, key, count, cw, chunk = (np.concatenate([h[j] for h in held]) for j in range(6))
-        held.clear()
-        o = ordered(ctx, word, chunk)
-        ctx, word, key, count, cw, chunk = (a[o] for a in (ctx, word, key, count, cw, chunk))
+        for j in range(6):                           # column by column: the parts go as the whole is made
+            held[j] = np.concatenate(held[j])
+        o = ordered(held[0], held[1], held[5])
+        for j in range(6):
+            held[j] = held[j][o]
+        del o
+        ctx, word, key, count, cw, chunk = held
+        del held
         pair = _runs(ctx, word)
-        r = np.add.reduceat(count * (key & 1), pair)
+        r = np.add.reduceat(count * (key & 1), pair, dtype=np.int64)
         of = np.repeat(np.arange(len(pair)), np.diff(pair, append=len(ctx)))
         group = _runs(ctx[pair])
         ids = ctx[pair][group]

@@ -18,6 +18,7 @@ from quire.llm import bytebpe, decontam, langhd, simhash, toxicity
 from quire.llm.base import crc_mod, stash, table
 
 SHINGLE, MAX_BITS = 3, 3         # of the SimHash stage
+KEY = "__document_key"              # of the near-duplicate stage; no column of documents has this name
 KEPT_IDS = 1_000_000             # removed ids broadcast at most (16 bytes each)
 
 
@@ -46,15 +47,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     copies; of rows that share a doc_id one stays.  A document without an id
     is named by its text and comes after all others."""
     unnamed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.withColumn("_k", F.coalesce("doc_id", unnamed))
-    marked = stash(simhash.near_duplicates(named, key="_k", shingle=SHINGLE, max_bits=MAX_BITS), "marked")
-    gone = stash(marked.where("component_id <> _k").select("_k").distinct(), "gone")
-    twice = stash(marked.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k"), "twice")
-    kept = named.join(_bounded(gone), "_k", "left_anti")
+    named = docs.withColumn(KEY, F.coalesce("doc_id", unnamed))
+    marked = stash(simhash.near_duplicates(named, key=KEY, shingle=SHINGLE, max_bits=MAX_BITS), "marked")
+    gone = stash(marked.where(f"component_id <> {KEY}").select(KEY).distinct(), "gone")
+    twice = stash(marked.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(KEY), "twice")
+    kept = named.join(_bounded(gone), KEY, "left_anti")
     if twice.limit(1).count():
         twice = _bounded(twice)
-        again = kept.join(twice, "_k", "left_semi").dropDuplicates(["_k"])
-        kept = kept.join(twice, "_k", "left_anti").unionByName(again)
+        again = kept.join(twice, KEY, "left_semi").dropDuplicates([KEY])
+        kept = kept.join(twice, KEY, "left_anti").unionByName(again)
     return kept.select(*docs.columns)
 
 

@@ -48,7 +48,8 @@ TAIL = 0.1                   # taken from each larger count
 END, START, FIRST = 0, 1, 2  # word numbers: the end word, the start context, the first word
 HOT = 4                      # a context of more than 1 / HOT of a bucket's share is spread
 TOP = 256                    # most frequent words each bucket reports
-BUCKET_BYTES = 8 << 20       # text bytes per bucket, about (some 1.3 million pairs)
+BUCKET_BYTES = 16 << 20      # text bytes per bucket, about (some 2.6 million pairs)
+FINE = 1 << 40               # partial sums travel as multiples of 1 / FINE
 
 
 def good_turing(n) -> np.ndarray:
@@ -270,7 +271,6 @@ def score_pairs(rows: DataFrame, model) -> DataFrame:
         del held
         pair = _runs(ctx, word)
         r = np.add.reduceat(count * (key & 1), pair, dtype=np.int64)
-        of = np.repeat(np.arange(len(pair)), np.diff(pair, append=len(ctx)))
         group = _runs(ctx[pair])
         ids = ctx[pair][group]
         cold = np.add.reduceat(r, group)
@@ -286,26 +286,41 @@ def score_pairs(rows: DataFrame, model) -> DataFrame:
                                                pack(mass[spread].tobytes())]))])
         yield _batch([("", bucket, join([stats, pack_sorted(ids), pack_ints(c1), pack_ints(times.ravel()), pack_ints(tail),
                                         pack(mass.tobytes())]))])
-        where = np.repeat(np.arange(len(group)), np.diff(group, append=len(pair)))       # context of each pair
-        re, ce = r[of], c1[where[of]]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = np.log10(np.where(re > K, re - TAIL, re)) - np.log10(ce)
-        value = np.where(re > 0, seen, np.log10(uni.p(cw))) * count
-        waits = (re == 0) & (ce > 0)
-        doc = key >> 1
+        where = np.repeat(np.arange(len(group), dtype=np.int32), np.diff(group, append=len(pair)))     # context of each pair
+        of = np.repeat(np.arange(len(pair), dtype=np.int32), np.diff(pair, append=len(ctx)))
+        del ctx, word, pair, group, times, tail, mass, cold, known
         by = np.argsort(chunk, kind="stable")
         edges = np.concatenate((np.flatnonzero(np.diff(chunk[by], prepend=-1)), [len(by)]))
         for s, e in zip(edges[:-1], edges[1:]):
             i = by[s:e]
-            docs, at = np.unique(doc[i], return_inverse=True)
-            used = np.stack([np.bincount(at, weights=count[i] * (re[i] == j), minlength=len(docs)) for j in range(1, K + 1)])
-            w = i[waits[i]]
+            p = of[i]
+            re, ce, n, doc = r[p], c1[where[p]], count[i], key[i] >> 1
+            with np.errstate(divide="ignore", invalid="ignore"):
+                seen = np.log10(np.where(re > K, re - TAIL, re)) - np.log10(ce)
+            value = np.where(re > 0, seen, np.log10(uni.p(cw[i]))) * n
+            docs, at = np.unique(doc, return_inverse=True)
+            used = np.stack([np.bincount(at, weights=n * (re == j), minlength=len(docs)) for j in range(1, K + 1)])
+            w = (re == 0) & (ce > 0)
             yield _batch([(names[int(chunk[i[0]])], bucket, join([
-                pack_ints(docs), pack(np.bincount(at, weights=value[i], minlength=len(docs)).tobytes()), pack_ints(used.astype(np.int64).ravel()),
-                pack_ints(doc[w]), pack_ints(where[of[w]]), pack_ints(count[w])]))])
+                pack_ints(docs), pack_sums(np.bincount(at, weights=value, minlength=len(docs))), pack_ints(used.astype(np.int64).ravel()),
+                pack_ints(doc[w]), pack_ints(where[p[w]]), pack_ints(n[w])]))])
     return rows.mapInArrow(run, ROWS)
 
 
+def pack_sums(x: np.ndarray) -> bytes:
+    """Sums of log probabilities (never positive), rounded to 1 / FINE; as
+    they are where that doesn't fit 62 bits."""
+    if len(x) and x.min() * FINE < -float(1 << 62):
+        return b"f" + pack(x.tobytes())
+    return b"i" + pack_ints(np.maximum(np.rint(x * -FINE), 0).astype(np.int64))
+
+
+def unpack_sums(data: bytes) -> np.ndarray:
+    if data[:1] == b"f":
+        return np.frombuffer(unpack(data[1:])).copy()
+    return unpack_ints(data[1:]) / -float(FINE)
+
+
 def alpha(c1, times, tail, mass, d: np.ndarray) -> np.ndarray:
     """Backoff weights of contexts from their counts of counts."""
     left = ((times * (np.arange(1, K + 1) * (1 - d[1:]))[:, None]).sum(axis=0) + TAIL * tail) / np.maximum(c1, 1)
@@ -332,12 +347,12 @@ def settle(rows: DataFrame, model) -> DataFrame:
                         weight = np.log10(weight)
                 elif c != "hot":
                     docs, value, used, doc, ctx, count = cut(blob)
-                    docs, value = unpack_ints(docs), np.frombuffer(unpack(value)).copy()
+                    docs, value = unpack_ints(docs), unpack_sums(value)
                     value += (unpack_ints(used).reshape(K, -1) * np.log10(d[1:])[:, None]).sum(axis=0)
                     doc = unpack_ints(doc)
                     if len(doc):
                         np.add.at(value, np.searchsorted(docs, doc), weight[unpack_ints(ctx)] * unpack_ints(count))
-                    yield _batch([(c, k, join([pack_ints(docs), pack(value.tobytes())]))])
+                    yield _batch([(c, k, join([pack_ints(docs), pack_sums(value)]))])
     return rows.mapInArrow(run, ROWS)
 
 
@@ -352,7 +367,7 @@ def document_scores(rows: DataFrame, n_tokens: int) -> DataFrame:
             score = np.zeros(len(ids))
             for k in sorted(parts):
                 docs, value = cut(parts[k])
-                score[unpack_ints(docs)] += np.frombuffer(unpack(value))
+                score[unpack_ints(docs)] += unpack_sums(value)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array(unpack_ints(flags) == 0), pa.array(unpack_ints(n)), pa.array(unpack_ints(seen)),
                 pa.array(np.full(len(ids), n_tokens)), pa.array(base), pa.array(score)],

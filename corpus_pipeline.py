@@ -18,8 +18,8 @@ from quire.llm import bytebpe, decontam, langhd, simhash, toxicity
 from quire.llm.base import crc_mod, stash, table
 
 SHINGLE, MAX_BITS = 3, 3         # of the SimHash stage
-KEY = "__document_key"              # of the near-duplicate stage; no column of documents has this name
-KEPT_IDS = 1_000_000             # removed ids broadcast at most (16 bytes each)
+KEY, ROW = "__document_key", "__document_row"        # of the near-duplicate stage; no column of documents has these names
+KEPT_ROWS = 1_000_000            # removed rows broadcast at most (16 bytes each)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,25 +37,29 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return docs.where((p["lang_pred"] != "und") & (p["score"] > 0))
 
 
-def _bounded(ids: DataFrame) -> DataFrame:
+def _bounded(rows: DataFrame) -> DataFrame:
     """Broadcast behind a size check, else a shuffle join."""
-    return F.broadcast(ids) if ids.limit(KEPT_IDS + 1).count() <= KEPT_IDS else ids
+    return F.broadcast(rows) if rows.limit(KEPT_ROWS + 1).count() <= KEPT_ROWS else rows
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of every group of near
-    copies; of rows that share a doc_id one stays.  A document without an id
-    is named by its text and comes after all others."""
+    """Keeps one row of every group of near copies, that of the smallest
+    doc_id and, among the rows of that id in the group, of the smallest row
+    hash; rows that share a doc_id but are no near copies all stay.  A
+    document without an id is named by its text and comes after all others."""
     unnamed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.withColumn(KEY, F.coalesce("doc_id", unnamed))
-    marked = stash(simhash.near_duplicates(named, key=KEY, shingle=SHINGLE, max_bits=MAX_BITS), "marked")
-    gone = stash(marked.where(f"component_id <> {KEY}").select(KEY).distinct(), "gone")
-    twice = stash(marked.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(KEY), "twice")
-    kept = named.join(_bounded(gone), KEY, "left_anti")
+    # a null leaves the hash as it was, so the nulls are hashed beside the values
+    row = F.xxhash64(*[docs[c] for c in docs.columns], *[docs[c].isNull() for c in docs.columns])
+    named = docs.withColumns({KEY: F.coalesce("doc_id", unnamed), ROW: row})
+    marked = stash(simhash.near_duplicates(named, key=KEY, shingle=SHINGLE, max_bits=MAX_BITS, row=ROW), "marked")
+    first = (F.col(KEY) == F.col("component_id")) & (F.col(ROW) == F.col("component_row"))
+    gone = stash(marked.where(~first).select(KEY, ROW).distinct(), "gone")
+    twice = stash(marked.where(first).groupBy(KEY, ROW).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(KEY, ROW), "twice")
+    kept = named.join(_bounded(gone), [KEY, ROW], "left_anti")
     if twice.limit(1).count():
         twice = _bounded(twice)
-        again = kept.join(twice, KEY, "left_semi").dropDuplicates([KEY])
-        kept = kept.join(twice, KEY, "left_anti").unionByName(again)
+        again = kept.join(twice, [KEY, ROW], "left_semi").dropDuplicates([KEY, ROW])
+        kept = kept.join(twice, [KEY, ROW], "left_anti").unionByName(again)
     return kept.select(*docs.columns)
 
 

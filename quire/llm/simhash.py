@@ -105,17 +105,20 @@ def text_fingerprints(texts: list, k: int) -> np.ndarray:
     return majority(total, n)
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``key, fp bigint`` (the unsigned fingerprint's bits) for every row."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                 row: str | None = None) -> DataFrame:
+    """``key, fp bigint`` (the unsigned fingerprint's bits) for every row;
+    with ``row``, a bigint column, ``key, row, fp``."""
     import pyarrow as pa
+    names = [key] if row is None else [key, row]
 
     def run(batches):
         for b in batches:
-            fp = text_fingerprints(payloads(b.column(1)), shingle)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=[key, "fp"])
+            fp = text_fingerprints(payloads(b.column(len(names))), shingle)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], names=[*names, "fp"])
 
-    src = docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("_t"))
-    return src.mapInArrow(run, f"`{key}` bigint, fp bigint")
+    src = docs.select(*[F.col(c).cast("bigint").alias(c) for c in names], F.col(text).cast("string").alias("_t"))
+    return src.mapInArrow(run, ", ".join(f"`{c}` bigint" for c in [*names, "fp"]))
 
 
 def split_bits(bits: list, n: int) -> list:
@@ -247,11 +250,17 @@ def links(fps: DataFrame, max_bits: int = 3, group: int = GROUP) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
-                    max_bits: int = 3, group: int = GROUP) -> DataFrame:
+                    max_bits: int = 3, group: int = GROUP, row: str | None = None) -> DataFrame:
     """``doc_id, fp bigint, component_id`` — one row per row of ``docs``;
-    ``component_id`` is the smallest id of the connected component."""
-    marked = stash(fingerprints(docs, key, text, shingle), "simhash")
-    fps = stash(marked.groupBy("fp").agg(F.min(key).alias("_first")), "fps")
+    ``component_id`` is the smallest id of the connected component.
+
+    Rows of one id can lie in several components.  With ``row``, a bigint
+    column that tells them apart, the result is ``doc_id, row, fp,
+    component_id, component_row``: the smallest (id, row) of the component,
+    null ids last, which no other component has."""
+    marked = stash(fingerprints(docs, key, text, shingle, row), "simhash")
+    first = F.col(key) if row is None else F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col(row).alias("row"))
+    fps = stash(marked.groupBy("fp").agg(F.min(first).alias("_first")), "fps")
     edges = stash(links(fps.select("fp"), max_bits, group), "edges")
     lab = components(edges)                      # node, label: linked fingerprints only
     linked = fps.join(lab.select(F.col("node").alias("fp"), "label"), "fp")
@@ -260,7 +269,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # stored, so that the join below reads two plain exchanges and Spark can
     # split the partition of a fingerprint that very many rows share
     of = stash(fps.join(linked, "fp", "left").select("fp", F.coalesce("_c", "_first").alias("component_id")), "component")
-    return marked.join(of, "fp").select(key, "fp", "component_id")
+    if row is None:
+        return marked.join(of, "fp").select(key, "fp", "component_id")
+    return marked.join(of, "fp").select(key, row, "fp", F.col("component_id.id").alias("component_id"),
+                                        F.col("component_id.row").alias("component_row"))
 
 
 def op6_simhash_near_dup(spark, sf_dir: str) -> DataFrame:

@@ -73,6 +73,17 @@ def test_planted_rows(spark, tables):
     assert {(str(r.doc_id), r.decoded_sha256): r.n_tokens for r in seen[4]} == texts
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    rnd = random.Random(3)
+    a, b, c, *many = [" ".join(str(rnd.randrange(10 ** 6)) for _ in range(60)) for _ in range(203)]
+    rows = [(5, a, "en"), (5, a, "en"), (5, b, "en"), (2, b.upper() + " ", "en"), (5, c, None), (5, c, "en"),
+            (9, None, c), (9, c, None), *[(7, t, "en") for t in many]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = [(r.doc_id, r.text) for r in P.drop_near_duplicates(spark, P.stash(docs, "test"), "").collect()]
+    groups = [(5, a), (2, b.upper() + " "), (9, None), *[(7, t) for t in many]]
+    assert sorted(got, key=str) == sorted([*groups, (5, c)], key=str)
+
+
 def test_empty_documents(spark, tables, tmp_path):
     d, _ = tables
     for t in ("documents", "labels", "benchmark"):

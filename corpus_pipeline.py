@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quire.llm import bytebpe, decontam, langhd, simhash, toxicity
 from quire.llm.base import crc_mod, stash, table
 
+NOISE = 4 / langhd.DIM ** 0.5    # cosine to a prototype an unrelated text stays below: four standard deviations
+SURE_GRAMS = 30                  # distinct n-grams from which on a text of a learned language exceeds it
 SHINGLE, MAX_BITS = 3, 3         # of the SimHash stage
 KEY, ROW = "__document_key", "__document_row"        # of the near-duplicate stage; no column of documents has these names
 KEPT_ROWS = 1_000_000            # removed rows broadcast at most (16 bytes each)
@@ -31,10 +33,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those that resemble none of the
-    learned languages (no positive cosine)."""
+    learned languages: a cosine within the noise or, for texts of few n-grams,
+    whose cosines are small in their own language too, no positive one."""
     model = langhd.learn(docs.where(crc_mod("doc_id", 4) != 2).select("lang", "text"))
     p = langhd.predictor(spark, model)(F.col("text"))
-    return docs.where((p["lang_pred"] != "und") & (p["score"] > 0))
+    bound = F.when(p["grams"] >= SURE_GRAMS, F.lit(NOISE)).otherwise(F.lit(0.0))
+    return docs.where((p["lang_pred"] != "und") & (p["score"] > bound))
 
 
 def _bounded(rows: DataFrame) -> DataFrame:

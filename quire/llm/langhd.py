@@ -151,7 +151,8 @@ def learn(rows: DataFrame, dim: int = DIM, n: int = N):
 
 
 def predictor(spark, model, dim: int = DIM, n: int = N):
-    """Column function text -> struct(lang_pred, score)."""
+    """Column function text -> struct(lang_pred, score, grams); ``grams`` is
+    the number of distinct n-grams."""
     from collections.abc import Iterator
 
     import pyarrow as pa
@@ -161,9 +162,10 @@ def predictor(spark, model, dim: int = DIM, n: int = N):
         names, proto = shared.value
         letters = Letters(dim, n)
         for a in texts:
-            lang, score = [], []
+            lang, score, grams = [], [], []
             for t in a.to_pylist():
                 code, c = letters.grams(t)
+                grams.append(len(code))
                 if not len(code) or not names:
                     lang.append("und"), score.append(0.0)
                     continue
@@ -171,11 +173,11 @@ def predictor(spark, model, dim: int = DIM, n: int = N):
                 cos = proto @ (v / (np.linalg.norm(v) or 1.0))
                 k = int(np.argmax(cos))
                 lang.append(names[k]), score.append(float(min(max(cos[k], 0.0), 1.0)))
-            yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                                             names=["lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(grams, pa.int32())],
+                                             names=["lang_pred", "score", "grams"])
 
     predict.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(predict, "struct<lang_pred:string,score:double>")
+    return F.arrow_udf(predict, "struct<lang_pred:string,score:double,grams:int>")
 
 
 def op2_language_hd(spark, sf_dir: str) -> DataFrame:

@@ -73,6 +73,18 @@ def test_planted_rows(spark, tables):
     assert {(str(r.doc_id), r.decoded_sha256): r.n_tokens for r in seen[4]} == texts
 
 
+def test_unlearned_languages_are_rejected(spark):
+    rnd = random.Random(8)
+    words = {"en": "the and of to with from that which was are".split(), "de": "der und die das mit von nicht auch ist ein".split()}
+    rows = [(i, " ".join(rnd.choices(words[lang], k=rnd.choice([1, 5, 60]))), lang) for i in range(200) for lang in words]
+    for a, b in ((0x430, 0x44f), (0x3b1, 0x3c9), (0x3041, 0x3096), (0x4e00, 0x9000)):        # Cyrillic, Greek, Kana, Han
+        rows += [(-1, " ".join("".join(chr(rnd.randint(a, b)) for _ in range(rnd.randint(2, 9))) for _ in range(120)), None)
+                 for _ in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = P.drop_unknown_language(spark, docs, "").collect()
+    assert sorted(r.text for r in got) == sorted(t for _, t, lang in rows if lang)
+
+
 def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
     rnd = random.Random(3)
     a, b, c, *many = [" ".join(str(rnd.randrange(10 ** 6)) for _ in range(60)) for _ in range(203)]

@@ -76,14 +76,14 @@ def link_edges(pages: DataFrame, prefixes: DataFrame | None = None, url: str = "
     return e.select("src", F.col("url").alias("dst")).distinct()
 
 
-def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int = 100_000,
+def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int | None = None,
           url: str = "url") -> DataFrame:
     """F6 + K4: breadth-first closure from ``seeds`` along ``edges`` (``src,
-    dst``, already allow-listed), at most ``max_pages`` URLs.
+    dst``, already allow-listed); with ``max_pages``, at most so many URLs.
 
-    Each round: frontier = newly discovered URLs not yet visited, ordered by
-    (depth, url); the round that would pass the budget keeps only its first
-    URLs.  Output ``url, depth, fetched`` (``fetched`` = present in
+    Each round: frontier = newly discovered URLs not yet visited; with a
+    budget, the round that would pass it keeps only its first URLs in (depth,
+    url) order.  Output ``url, depth, fetched`` (``fetched`` = present in
     ``pages``).  Each round's frontier is checkpointed and the visited set is
     the union of those tables (compacted every 16 rounds), so lineage stays
     short and a lost executor costs at most one round.
@@ -97,14 +97,14 @@ def crawl(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: int =
     n_visited = 0
     depth = 0
     while True:
-        room = max_pages - n_visited
-        if room <= 0:
+        room = None if max_pages is None else max_pages - n_visited
+        if room is not None and room <= 0:
             break
         fr = materialize(frontier.withColumn("depth", F.lit(depth)))
         n_new = fr.count()
         if n_new == 0:
             break
-        if n_new > room:
+        if room is not None and n_new > room:
             # the page budget is the feature here: keep the first URLs of the round
             fr = materialize(fr.orderBy("url").limit(room))
             n_new = room

@@ -70,6 +70,14 @@ def test_crawl_matches_bfs(spark):
         assert got == py_crawl(["https://h.example/"], budget), budget
 
 
+def test_crawl_without_budget_takes_every_url(spark):
+    pages = spark.range(100_001).select(F.concat(F.lit("https://h.example/"), "id").alias("url"))
+    edges = spark.createDataFrame([("https://h.example/7", "https://h.example/new")], "src string, dst string")
+    got = crawl(pages, edges, pages)
+    assert got.count() == 100_002
+    assert [tuple(r) for r in got.where("depth > 0").collect()] == [("https://h.example/new", 1, False)]
+
+
 def test_allowed_is_string_prefix(spark):
     df = spark.createDataFrame([("https://h.example.evil/",), ("https://h.example/a",), ("http://h.example/",),
                                 ("https://h.example/a",)], "url string")

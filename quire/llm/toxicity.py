@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -48,10 +49,22 @@ def stems(word: str) -> list:
     return [word[:k] for k in PREFIX if k < len(word)] + [word + "$"]
 
 
+@lru_cache(maxsize=1)
+def _alpha() -> np.ndarray:
+    """Code point -> letter?"""
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), dtype=bool, count=0x110000)
+
+
+def letter_count(text: str, step: int = 1 << 20) -> int:
+    """Letters of the whole text, ``step`` characters at a time."""
+    parts = (text[s:s + step].encode("utf-32-le", "surrogatepass") for s in range(0, len(text), step))
+    return sum(int(np.count_nonzero(_alpha()[np.frombuffer(p, dtype="<u4")])) for p in parts)
+
+
 def form(text: str, words: list) -> list:
     """Form features: capitals, symbols, exclamation, repetition, length."""
     n = len(text) or 1
-    letters = sum(map(str.isalpha, text)) if n < 5000 else n
+    letters = letter_count(text)
     upper = len(re.findall(r"[A-Z]", text))
     marks = len(re.findall(r"[^\w\s.,]", text))
     distinct = len(set(words))

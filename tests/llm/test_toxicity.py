@@ -32,6 +32,13 @@ def test_linear_separates():
     assert ((x @ w > 0) == [False, False, True, True]).all()
 
 
+def test_capitals_share_does_not_depend_on_the_length():
+    text = "AB cd, 12 ½² éß 日本 𝒳 \ud800 -- "
+    short, long = (T.form(t, T.split(t)) for t in (text, text * 500))
+    assert T.letter_count(text) == sum(map(str.isalpha, text)) and T.letter_count(text * 9, 7) == 9 * T.letter_count(text)
+    assert len(text) * 500 > 5000 and long[0] == pytest.approx(short[0]) and T.form("", [])[0] == 0
+
+
 def corpus(n=300):
     rnd = random.Random(2)
     words = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(200)]

@@ -28,8 +28,6 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op3_byte_bpe": op3_byte_bpe,
-    "op4_katz_lm": op4_katz_lm,
     "op5_warc_dictionary": warczst.SQL,
     "op10_exact_top_k": topk.SQL,
 }

@@ -13,6 +13,10 @@ def test_oracles_have_queries():
     assert len(q) >= 40
 
 
+def test_oracles_are_sql_text():
+    assert {k: type(v) for k, v in E.oracle_sql().items() if not isinstance(v, str)} == {}
+
+
 @pytest.mark.skipif(not os.path.exists(E.SMOKE_DIR), reason="driver tables not present")
 def test_entry_smoke(spark):
     df = E.entry(spark)

@@ -553,19 +553,19 @@ def q_url_crc_shard(spark, sf):
 from quire.operators.bpe import bpe_encode, train_bpe  # noqa: E402
 from quire.operators.vocab import vocab_size  # noqa: E402
 
-BPE_MERGES = 80
+BPE_PIECES = 32_000         # characters plus merges, as the reference
 
 
 @register("bpe_train")
 def q_bpe_train(spark, sf):
-    m, _ = train_bpe(T(spark, sf, "documents").select("doc_id", "text"), BPE_MERGES)
+    m, _ = train_bpe(T(spark, sf, "documents").select("doc_id", "text"), vocab_size=BPE_PIECES)
     return m
 
 
 @register("bpe_encode")
 def q_bpe_encode(spark, sf):
     d = T(spark, sf, "documents").select("doc_id", "text")
-    m, v = train_bpe(d, BPE_MERGES)
+    m, v = train_bpe(d, vocab_size=BPE_PIECES)
     return bpe_encode(d, m, v).select("doc_id", F.size("input_ids").alias("n_ids"),
                                       content_hash(ids_to_text("input_ids")).alias("ids_sha256"))
 

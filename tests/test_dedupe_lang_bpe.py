@@ -186,3 +186,20 @@ def test_bpe_rounds_take_several_merges_and_stay_exact(spark):
                 if (s[i], s[i + 1]) == pair:
                     s[i:i + 2] = ["".join(pair)]
                 i += 1
+
+
+def test_registered_bpe_queries_train_the_whole_vocabulary(spark, monkeypatch):
+    import pytest
+    from quire.plans import catalog
+    sizes = []
+
+    def train(docs, num_merges=None, text="text", vocab_size=None):
+        sizes.append((num_merges, vocab_size))
+        raise StopIteration
+
+    monkeypatch.setattr(catalog, "train_bpe", train)
+    monkeypatch.setattr(catalog, "T", lambda *_: spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    for name in ("bpe_train", "bpe_encode"):
+        with pytest.raises(StopIteration):
+            catalog.QUERIES[name](spark, "")
+    assert sizes == [(None, 32_000)] * 2

@@ -8,11 +8,13 @@ from quire.llm.decontam import op1_benchmark_simhash
 from quire.llm.idfiles import op8_id_files
 from quire.llm.katz import op4_katz_lm
 from quire.llm.langhd import op2_language_hd
+from quire.llm.licenses import op13_license_rules
 from quire.llm.simhash import op6_simhash_near_dup
 from quire.llm.toxicity import op7_toxicity_weak
 from quire.llm.topk import op10_exact_top_k
 from quire.llm.urltrust import op9_url_trust
 from quire.llm.warczst import op5_warc_dictionary
+from quire.llm.whiten import op12_embedding_whitening
 
 QUERIES = {
     "op1_benchmark_simhash": op1_benchmark_simhash,
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_id_files": op8_id_files,
     "op9_url_trust": op9_url_trust,
     "op10_exact_top_k": op10_exact_top_k,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_license_rules": op13_license_rules,
 }
 
 ORACLE = {

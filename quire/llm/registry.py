@@ -12,6 +12,7 @@ from quire.llm.licenses import op13_license_rules
 from quire.llm.simhash import op6_simhash_near_dup
 from quire.llm.toxicity import op7_toxicity_weak
 from quire.llm.topk import op10_exact_top_k
+from quire.llm.turns import op11_conversation_repair
 from quire.llm.urltrust import op9_url_trust
 from quire.llm.warczst import op5_warc_dictionary
 from quire.llm.whiten import op12_embedding_whitening
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_id_files": op8_id_files,
     "op9_url_trust": op9_url_trust,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_license_rules": op13_license_rules,
 }

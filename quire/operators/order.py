@@ -58,14 +58,17 @@ def range_bounds(df: DataFrame, order: Sequence[str], buckets: int) -> list[tupl
         return []
     frac = min(1.0, 2.0 * want / n)
     sample = [tuple(r) for r in keys.sample(False, frac, seed=7).limit(4 * want).collect()]
-    sample.sort()
+    def rank(key):                                         # nulls first, as Spark sorts
+        return [(v is not None, v if v is not None else 0) for v in key]
+
+    sample.sort(key=rank)
     if not sample:
         return []
     step = len(sample) / buckets
     out = []
     for i in range(1, buckets):
         b = sample[min(len(sample) - 1, int(i * step))]
-        if not out or b > out[-1]:
+        if not out or rank(b) > rank(out[-1]):
             out.append(b)
     return out
 

@@ -1,7 +1,7 @@
 """Token-id files: frequency-ranked ids in a byte-aligned variable-length code.
 
 Texts are encoded with a fixed tokenizer; documents go to files in ascending
-doc_id order (range boundaries from quantiles of the ids, one file per range,
+doc_id order (range boundaries from quantiles or a sample, one file per range,
 one shuffle of ids).  A file is a run of self-contained blocks:
 
     header   magic, file number, documents, ranks, ids, data bytes
@@ -21,12 +21,14 @@ is one total per file.
 
 Defined results: a null text counts as empty (its only id is the end id); null
 doc_ids come first; rows that share a doc_id stay together, ordered by their
-ids; an empty table writes no block.
+ids; if they fill several files, those are cut by the first ``HEAD_IDS`` bytes
+of ids and equal rows spread over them; an empty table writes no block.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import unicodedata
 import zlib
@@ -41,18 +43,28 @@ MAGIC = b"QID1"
 HEAD = "<4sIIIQQ"
 BLOCK = 1 << 20              # ids in a block, about
 FILE_BYTES = 64 << 20        # text bytes per file, about
+STEP = 4 << 20               # text bytes encoded at a time, about
+SAMPLE = 40                  # rows a file that bounds are taken from
+HEAD_IDS = 256               # bytes of ids that place a row among the files
 # control byte -> lengths of its four values
 LENGTHS = np.array([[(c >> (2 * j) & 3) + 1 for j in range(4)] for c in range(256)], dtype=np.uint8)
 
 
 class WordEncoder(dict):
-    """word -> its ids as bytes, for tokenizers whose words are encoded one by
-    one: NFC, lower case, split into words, byte-level BPE per word.  Texts
-    that hold a special token's string, or a character that this Python's
-    Unicode tables don't know, go through the library as a whole."""
+    """word -> its ids, for tokenizers whose words are encoded one by one:
+    NFC, lower case, split into words, byte-level BPE per word.
+
+    Many texts are cut into words at once: character classes in numpy, equal
+    words found by Arrow's dictionary, each distinct word encoded once.  This
+    holds for texts of characters below ``PLAIN``, where NFC changes nothing.
+    Other texts are normalised by the library and cut by the split pattern;
+    those with a character that this Python's Unicode tables don't know, or
+    with a special token's string, go through the library as a whole."""
 
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"      # the file's own split pattern
     LIMIT = 400_000
+    PLAIN = 0x300            # below the first combining mark
+    LETTER, NUMBER, OTHER = 1, 2, 3
 
     def __init__(self, text: str):
         import regex
@@ -66,26 +78,88 @@ class WordEncoder(dict):
             raise ValueError("the tokenizer splits words by another pattern")
         self.find = regex.compile(self.SPLIT).findall
         self.rare = regex.compile("[͸-\U0010ffff]").search      # no unassigned character lies below
+        self.hard = re.compile(f"[^\0-{chr(self.PLAIN - 1)}]").search
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]      # bytes the byte-level alphabet keeps
         rest = [b for b in range(256) if b not in plain]
         self.letter = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-    def __missing__(self, word):
+        # classes of the characters that lower-cased plain text can hold
+        small = sorted({ord(c) for i in range(self.PLAIN) for c in chr(i).lower()})
+        self.kind = np.zeros(small[-1] + 1, dtype=np.uint8)
+        for i in small:
+            c = chr(i)
+            self.kind[i] = (self.LETTER if regex.match(r"\p{L}", c) else self.NUMBER if regex.match(r"\p{N}", c)
+                            else 0 if regex.match(r"\s", c) else self.OTHER)
+
+    def __missing__(self, word: bytes):
         if len(self) >= self.LIMIT:
             self.clear()
-        ids = [t.id for t in self.tok.model.tokenize("".join(map(self.letter.__getitem__, word.encode())))]
-        out = self[word] = np.array(ids, dtype=self.dtype).tobytes()
+        ids = [t.id for t in self.tok.model.tokenize("".join(map(self.letter.__getitem__, word)))]
+        out = self[word] = np.array(ids, dtype=self.dtype)
         return out
 
     def encode(self, text) -> bytes:
+        """One text, cut by the pattern itself."""
         if not text:
             return b""
         odd = not text.isascii() and self.rare(text) and any(unicodedata.category(c) == "Cn" for c in set(text))
         if odd or any(s in text for s in self.special):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")      # no final-sigma rule
-        return b"".join(map(self.__getitem__, self.find(text.lower())))
+            text = self.tok.normalizer.normalize_str(text)      # also lower-cases
+        return b"".join([self[w.encode()].tobytes() for w in self.find(text.lower() if text.isascii() else text)])
+
+    def cuts(self, cp: np.ndarray) -> np.ndarray:
+        """Where words (and runs of white space) begin."""
+        kind = self.kind[cp]
+        begin = np.ones(len(cp), dtype=bool)
+        begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == self.NUMBER)
+        at = np.flatnonzero((cp == 39) & begin)                  # an apostrophe inside a run is part of the run
+        if len(at):
+            one = np.concatenate([cp, [0, 0, 0]])
+            a, b = one[at + 1], one[at + 2]
+            short = np.isin(a, [ord(c) for c in "stmd"])
+            long_ = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+            begin[at[short | long_] + 1] = False
+            for ends in (at[short] + 2, at[long_] + 3):
+                begin[ends[ends < len(cp)]] = True
+        return np.flatnonzero(begin)
+
+    def encode_many(self, texts: list) -> list:
+        """Ids of every text as bytes."""
+        import pyarrow as pa
+        out, easy = [b""] * len(texts), []
+        for i, t in enumerate(texts):
+            if t and (self.hard(t) or any(s in t for s in self.special)):
+                out[i] = self.encode(t)
+            elif t:
+                easy.append(i)
+        if not easy:
+            return out
+        small = [texts[i].lower() for i in easy]
+        joined = "\n".join(small) + "\n"
+        cp = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+        begin = self.cuts(cp)
+        data = joined.encode()
+        if len(data) == len(cp):
+            place = begin
+        else:
+            width = 1 + (cp >= 0x80).astype(np.int8) + (cp >= 0x800)
+            place = (np.cumsum(width, dtype=np.int64) - width)[begin]
+        offsets = np.append(place, len(data)).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        coded = words.dictionary_encode()
+        names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        ids = [self[w] for w in names]
+        lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat, base = np.concatenate(ids), np.cumsum(lens) - lens
+        n = np.where(self.kind[cp[begin]] == 0, 0, lens[which])
+        ends = np.cumsum(n)
+        got = flat[np.repeat(base[which] - (ends - n), n) + np.arange(ends[-1])].tobytes()
+        chars = np.cumsum([len(t) + 1 for t in small])           # the separator is white space, so it ends a word
+        upto = np.concatenate(([0], ends))[np.searchsorted(begin, chars)] * self.dtype.itemsize
+        for i, s, e in zip(easy, [0, *upto[:-1].tolist()], upto.tolist()):
+            out[i] = got[s:e]
+        return out
 
 
 def pack_block(number: int, doc_ids: list, counts: list, ids: np.ndarray) -> bytes:
@@ -149,38 +223,70 @@ def unpack_block(buf, at: int, head):
     return [None if z else int(d) for d, z in zip(keys, null)], counts, names[v]
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, bounds: list, key: str, text: str) -> DataFrame:
-    """``file, doc_id, ids`` with ids as little-endian bytes."""
+def encoded(rows: DataFrame, tokenizer: str, end_id: int, bounds: list, head: int | None = None) -> DataFrame:
+    """``file, doc_id, spread, ids, width`` of ``doc_id, text, spread`` rows;
+    ids as little-endian bytes of that width (only their first ``head`` bytes
+    if given).  The file is the number of bounds not after the row."""
+    from bisect import bisect_right
+
     import pyarrow as pa
     with open(tokenizer, encoding="utf-8") as f:           # a fixed file of about 2 MB
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        shared = rows.sparkSession.sparkContext.broadcast((f.read(), bounds))
 
     def run(batches):
-        enc = WordEncoder(shared.value)
+        text, bounds = shared.value
+        enc = WordEncoder(text)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for b in batches:
-            for s in range(0, b.num_rows, 512):
-                part = b.slice(s, 512)
-                keys = part.column(0)
-                file = np.searchsorted(bounds, keys.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
-                ids = [enc.encode(t) + end for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(file.astype(np.int32)), keys, pa.array(ids, pa.binary()),
-                                                  pa.array([enc.dtype.itemsize] * len(ids), pa.int32())],
-                                                 names=["file", "doc_id", "ids", "width"])
-
-    src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return src.mapInArrow(run, "file int, doc_id bigint, ids binary, width int")
+            for s, e in slices(b.column(1)):
+                part = b.slice(s, e - s)
+                ids = [x + end for x in enc.encode_many(part.column(1).to_pylist())]
+                file = [bisect_right(bounds, place(d, x, k)) for d, x, k in zip(part.column(0).to_pylist(), ids, part.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([pa.array(file, pa.int32()), part.column(0), part.column(2),
+                                                  pa.array([x[:head] for x in ids], pa.binary()), pa.array([enc.dtype.itemsize] * len(ids), pa.int32())],
+                                                 names=["file", "doc_id", "spread", "ids", "width"])
+
+    return rows.mapInArrow(run, "file int, doc_id bigint, spread bigint, ids binary, width int")
+
+
+def place(doc_id, ids: bytes, spread: int) -> tuple:
+    """A row's place in the order of the files; nulls come first."""
+    return -(1 << 64) if doc_id is None else doc_id, ids[:HEAD_IDS], spread
+
+
+def file_bounds(rows: DataFrame, tokenizer: str, end_id: int, files: int) -> list:
+    """Where files begin: quantiles of the doc_ids or, when ids fill more than
+    a file, places of a bounded sample of rows (``SAMPLE`` a file)."""
+    bounds = range_bounds(rows.select("doc_id"), ["doc_id"], files)
+    if len(bounds) == files - 1:
+        return bounds
+    n = rows.count()
+    if not n:
+        return []
+    some = rows.sample(False, min(1.0, 2.0 * SAMPLE * files / n), seed=7)
+    got = encoded(some, tokenizer, end_id, [], HEAD_IDS).limit(4 * SAMPLE * files).collect()
+    keys = sorted(place(r.doc_id, bytes(r.ids), r.spread) for r in got)
+    return sorted({keys[len(keys) * i // files] for i in range(1, files)}) if keys else []
+
+
+def slices(texts, step: int = STEP):
+    """Row ranges of an Arrow text column of about ``step`` bytes each."""
+    import pyarrow.compute as pc
+    size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // step
+    edges = np.flatnonzero(np.diff(part, prepend=-1)).tolist() + [len(size)]
+    return zip(edges[:-1], edges[1:])
 
 
 def write_id_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, key: str = "doc_id", text: str = "text") -> None:
     import pyarrow as pa
     spark = docs.sparkSession
-    size = docs.select(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    x = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")) \
+            .withColumn("spread", F.monotonically_increasing_id())
+    size = x.select(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // FILE_BYTES + 1))
-    ids = docs.select(F.col(key).cast("bigint").alias("doc_id"))
-    bounds = np.array([b[0] for b in range_bounds(ids, ["doc_id"], files)], dtype=np.float64)
-    rows = encoded(docs, tokenizer, end_id, bounds, key, text)
-    rows = rows.repartitionById(files, F.col("file")).sortWithinPartitions("doc_id", "ids")
+    rows = encoded(x, tokenizer, end_id, file_bounds(x, tokenizer, end_id, files))
+    rows = rows.repartitionById(files, F.col("file")).sortWithinPartitions("doc_id", "ids").select("file", "doc_id", "ids", "width")
 
     def run(batches):
         number, keys, counts, parts, held = 0, [], [], [], 0

@@ -2,12 +2,14 @@
 
 import os
 import random
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quire.llm import idfiles as I
@@ -39,6 +41,44 @@ def test_encoder_cases(t):
     assert ours(t) == lib(t)
 
 
+def test_random_texts_rich_in_marks_and_apostrophes():
+    """100,000 texts in lists, against the library."""
+    rnd = random.Random(1)
+    marks = [chr(c) for c in range(0x300, 0x11000) if unicodedata.combining(chr(c))]
+    plain = [chr(c) for c in range(0x300)] + list("'sstmdrevll  \n") * 8
+
+    def some(i):
+        if i % 4 == 0:
+            return "".join(rnd.choice(plain) for _ in range(rnd.randint(0, 20)))
+        if i % 4 == 1:
+            return "".join(rnd.choice(marks if rnd.random() < 0.6 else plain) for _ in range(rnd.randint(1, 8)))
+        if i % 4 == 2:
+            return "".join(chr(rnd.randrange(0x110000)) for _ in range(6)).encode("utf-8", "ignore").decode()
+        return "".join(rnd.choice("'sStTrRvVmMlLdDeE aİ1\"") for _ in range(12))
+    for _ in range(50):
+        texts = [some(i) for i in range(2000)]
+        got = [np.frombuffer(x, ENC.dtype).tolist() for x in ENC.encode_many(texts)]
+        assert got == [e.ids for e in LIB.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_hot_doc_id_spreads_over_files(spark, tmp_path, monkeypatch):
+    """One doc_id, and null, with most rows: several files, one order."""
+    monkeypatch.setattr(I, "FILE_BYTES", 2000)
+    rnd = random.Random(6)
+    rows = [(5, f"text number {rnd.randrange(300)} of the hot id") for _ in range(900)]
+    rows += [(None, "the same row")] * 300 + [(i, f"doc {i}") for i in range(100)] + [(7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("file", F.lit("x")).withColumn("ids", F.lit(1))
+    I.write_id_files(df.repartition(6), str(tmp_path / "ids"), PATH)
+    files = [f for f in os.listdir(tmp_path / "ids") if f.startswith("part") and os.path.getsize(tmp_path / "ids" / f) > 0]
+    assert max(os.path.getsize(tmp_path / "ids" / f) for f in files) < 20_000 and len(files) > 8
+    got = sorted(I.read_id_files(spark, str(tmp_path / "ids"), with_ids=True).collect(), key=lambda r: r.start)
+    assert sorted((r.doc_id is None, r.doc_id or 0, tuple(r.ids)) for r in got) == sorted((d is None, d or 0, (*lib(t), 1)) for d, t in rows)
+    at = 0
+    for a, b in zip(got, got[1:]):
+        assert a.start == at and (-1 if a.doc_id is None else a.doc_id) <= (-1 if b.doc_id is None else b.doc_id)
+        at += a.n_tokens
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**26), max_size=400))
 def test_block_round_trip(ids):

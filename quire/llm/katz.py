@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quire.llm.base import crc_mod, stash, table, word_pieces
 from quire.llm.bytebpe import ROWS, _batch
-from quire.llm.chunks import (bucket_count, by_chunk, chunks, cut, gathered, join, pack, pack_ids, pack_ints, pack_sorted,
+from quire.llm.chunks import (Numbers, bucket_count, by_chunk, chunks, cut, gathered, join, pack, pack_ids, pack_ints, pack_sorted,
                               pack_words, source, unpack, unpack_ids, unpack_ints, unpack_sorted, unpack_words)
 
 K = 5                        # counts up to K are Good-Turing discounted
@@ -137,7 +137,6 @@ def unigram_table(words: DataFrame) -> DataFrame:
     words; per bucket (chunk '') types, tokens, counts of counts and its most
     frequent words."""
     def run(batches):
-        from quire.llm.chunks import Numbers
         known, total, held = Numbers(), np.zeros(0, dtype=np.int64), []
         bucket = None
         for b in batches:
@@ -191,7 +190,7 @@ def pair_rows(rows: DataFrame, model, buckets: int) -> DataFrame:
     document) with their counts; one row (negative bucket) of facts about the
     chunk's documents."""
     def run(batches):
-        uni, end_count, hot = model.value
+        uni, end_count, hot = Unigrams(*model.value[0]), *model.value[1:]
         hot_ids = np.array(sorted(hot), dtype=np.int64)
         spread = np.array([hot[i][1] for i in sorted(hot)], dtype=np.int64)
         import zlib
@@ -244,7 +243,7 @@ def score_pairs(rows: DataFrame, model) -> DataFrame:
     pair counts; per chunk the sums of its documents, how often each
     discounted count was used, and the pairs that wait for alpha."""
     def run(batches):
-        uni, _, hot = model.value
+        uni, _, hot = Unigrams(*model.value[0]), *model.value[1:]
         held, names, bucket = [[] for _ in range(6)], [], None
         for b in batches:
             for c, k, blob in zip(*(x.to_pylist() for x in b.columns)):
@@ -284,6 +283,7 @@ def score_pairs(rows: DataFrame, model) -> DataFrame:
         if len(spread):
             yield _batch([("hot", bucket, join([pack_ints(ids[spread]), pack_ints(times[:, spread].ravel()), pack_ints(tail[spread]),
                                                pack(mass[spread].tobytes())]))])
+        yield _batch([("counts", bucket, stats)])
         yield _batch([("", bucket, join([stats, pack_sorted(ids), pack_ints(c1), pack_ints(times.ravel()), pack_ints(tail),
                                         pack(mass.tobytes())]))])
         where = np.repeat(np.arange(len(group), dtype=np.int32), np.diff(group, append=len(pair)))     # context of each pair
@@ -345,7 +345,7 @@ def settle(rows: DataFrame, model) -> DataFrame:
                             weight[i] = hot[int(ids[i])]
                     with np.errstate(divide="ignore"):
                         weight = np.log10(weight)
-                elif c != "hot":
+                elif c not in ("hot", "counts"):
                     docs, value, used, doc, ctx, count = cut(blob)
                     docs, value = unpack_ints(docs), unpack_sums(value)
                     value += (unpack_ints(used).reshape(K, -1) * np.log10(d[1:])[:, None]).sum(axis=0)
@@ -400,15 +400,13 @@ def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text", store
                 top[FIRST + r.bucket + buckets * i] = x
     # context -> its count and the number of buckets it is spread over
     hot = {i: (c, -(-c * HOT * buckets // n_tokens)) for i, c in top.items() if i != END and c * HOT * buckets > n_tokens}
-    lm = spark.sparkContext.broadcast((Unigrams(n_tokens, n_types, n), ends, hot))
+    lm = spark.sparkContext.broadcast(((n_tokens, n_types, n), ends, hot))      # plain values: a class would be looked up by name
 
     rows = gathered(uni.where("chunk <> ''").unionByName(sequence_rows(src, buckets)), buckets)
     pairs = pair_rows(rows, lm, buckets).repartitionById(buckets, F.expr(f"pmod(bucket, {buckets})"))
     grams = stash(score_pairs(pairs, lm), "contexts")
 
-    n2, sums = np.zeros(K + 2, dtype=np.int64), {}
-    for r in grams.where("chunk = ''").toLocalIterator():                # one row per bucket
-        n2 += unpack_ints(cut(bytes(r.blob))[0])
+    n2, sums = counts_of_counts(grams), {}
     for r in grams.where("chunk = 'hot'").toLocalIterator():             # at most 2 HOT contexts per bucket
         ids, times, tail, mass = cut(bytes(r.blob))
         ids, times, tail, mass = unpack_ints(ids), unpack_ints(times).reshape(K, -1), unpack_ints(tail), np.frombuffer(unpack(mass))
@@ -422,5 +420,23 @@ def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text", store
     return document_scores(gathered(done, buckets), n_tokens)
 
 
+def counts_of_counts(grams: DataFrame) -> np.ndarray:
+    """Sums over the buckets: K + 2 numbers."""
+    import pyarrow as pa
+
+    def run(batches):
+        n = np.zeros(K + 2, dtype=np.int64)
+        for b in batches:
+            for blob in b.column(0).to_pylist():
+                n += unpack_ints(blob)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(K + 2)), pa.array(n)], names=["i", "n"])
+
+    got = grams.where("chunk = 'counts'").select("blob").mapInArrow(run, "i bigint, n bigint").groupBy("i").agg(F.sum("n").alias("n"))
+    out = np.zeros(K + 2, dtype=np.int64)
+    for r in got.collect():
+        out[r.i] = r.n
+    return out
+
+
 def op4_katz_lm(spark, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) != 2, stored=True)

@@ -8,13 +8,14 @@
    has its own accuracy, and depends on the voter it is most correlated with
    given the label (a tree, so double votes of overlapping stems count once).
    EM estimates accuracies and correlations; the sample's labels take part as
-   one more voter, which may be wrong at a fixed rate.
+   one more voter, whose accuracy is estimated like that of the others.
 3. A linear classifier is fitted to the posterior labels on stem counts and
    form features, and scores every whole text in one pass without a shuffle.
 
-The sample holds at most ``SAMPLE`` labelled rows (smallest id hashes), so
-the label list that is joined broadcast, the feature list and the matrices
-fitted on the driver have fixed bounds whatever the corpus size.
+The sample holds at most ``SAMPLE`` labelled ids (smallest hashes) with one
+text each (that of the smallest hash), so the label list that is joined
+broadcast, the feature list and the matrices fitted on the driver have fixed
+bounds whatever the corpus size.
 
 Defined results: null and empty texts are scored by the form features alone;
 null labels are skipped; a doc_id labelled more than once is toxic if any
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -39,7 +39,7 @@ CANDIDATES = 200_000        # stems counted against the clean sample texts
 STEMS = 400                 # stems kept as features
 VOTERS = 48                 # stems that vote
 PREFIX = range(3, 11)       # stem lengths
-LABEL_ERROR = 0.02          # assumed rate of wrong labels
+LABEL_ERROR = 0.02          # rate of wrong labels EM starts from
 WORD = re.compile(r"\w+")
 CACHE = 500_000
 
@@ -49,22 +49,22 @@ def stems(word: str) -> list:
     return [word[:k] for k in PREFIX if k < len(word)] + [word + "$"]
 
 
-@lru_cache(maxsize=1)
-def _alpha() -> np.ndarray:
+def letter_table() -> np.ndarray:
     """Code point -> letter?"""
     return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), dtype=bool, count=0x110000)
 
 
-def letter_count(text: str, step: int = 1 << 20) -> int:
+def letter_count(text: str, step: int = 1 << 20, alpha: np.ndarray | None = None) -> int:
     """Letters of the whole text, ``step`` characters at a time."""
+    alpha = letter_table() if alpha is None else alpha
     parts = (text[s:s + step].encode("utf-32-le", "surrogatepass") for s in range(0, len(text), step))
-    return sum(int(np.count_nonzero(_alpha()[np.frombuffer(p, dtype="<u4")])) for p in parts)
+    return sum(int(np.count_nonzero(alpha[np.frombuffer(p, dtype="<u4")])) for p in parts)
 
 
-def form(text: str, words: list) -> list:
+def form(text: str, words: list, alpha: np.ndarray | None = None) -> list:
     """Form features: capitals, symbols, exclamation, repetition, length."""
     n = len(text) or 1
-    letters = letter_count(text)
+    letters = letter_count(text, alpha=alpha)
     upper = len(re.findall(r"[A-Z]", text))
     marks = len(re.findall(r"[^\w\s.,]", text))
     distinct = len(set(words))
@@ -73,11 +73,12 @@ def form(text: str, words: list) -> list:
 
 
 class Matcher:
-    """Counts of known stems in a text."""
+    """Counts of known stems in a text; holds the letter table of a task."""
 
     def __init__(self, names: list):
         self.at = {s: i for i, s in enumerate(names)}
         self.memo: dict = {}
+        self.alpha = letter_table()
 
     def counts(self, words: list) -> dict:
         out: Counter = Counter()
@@ -98,12 +99,16 @@ def split(text) -> list:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, train, key: str = "doc_id", limit: int = SAMPLE) -> DataFrame:
-    """``text, y`` of at most ``limit`` labelled ids that meet ``train``."""
+    """``text, y`` of at most ``limit`` labelled ids that meet ``train``, each
+    with one text: of several texts of an id that of the smallest hash (rows
+    that repeat it come along)."""
     lab = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y"))
     lab = lab.where(train(F.col("_id")) & F.col("_y").isNotNull() & F.col("_id").isNotNull())
     lab = lab.groupBy("_id").agg(F.max("_y").alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(limit)
-    x = docs.select(F.col(key).alias("_id"), F.col("text").alias("text")).join(F.broadcast(lab), "_id")
-    return x.select(F.coalesce("text", F.lit("")).alias("text"), "y")
+    text = F.coalesce("text", F.lit(""))
+    x = docs.select(F.col(key).alias("_id"), text.alias("text"), F.xxhash64(text).alias("_h")).join(F.broadcast(lab), "_id")
+    one = x.groupBy("_id").agg(F.min("_h").alias("_h"))                                  # a row per labelled id
+    return x.join(F.broadcast(one), ["_id", "_h"]).select("text", "y")
 
 
 def one_of_each(rows: DataFrame) -> DataFrame:
@@ -189,11 +194,14 @@ def vectors(rows: DataFrame, names: list) -> list:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 w = split(t)
                 c = m.counts(w)
-                out.append({"y": y, "f": form(t, w), "i": list(c), "c": list(c.values())})
+                out.append({"y": y, "f": form(t, w, m.alpha), "i": list(c), "c": list(c.values())})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     got = rows.select("text", "y").mapInArrow(run, "y int, f array<double>, i array<int>, c array<int>")
-    return got.collect()                                   # at most SAMPLE short rows
+    got = got.limit(SAMPLE + 1).collect()                  # short rows, one per labelled id at most
+    if len(got) > SAMPLE:
+        raise ValueError(f"more than {SAMPLE} sample rows")
+    return got
 
 
 def features(fm: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -248,13 +256,15 @@ def dependency_tree(votes: np.ndarray, g: np.ndarray) -> np.ndarray:
 
 
 def label_model(votes: np.ndarray, y: np.ndarray, rounds: int = 10) -> np.ndarray:
-    """Posterior probability of the label toxic, by EM."""
-    gold = np.where(y == 1, 1.0, -1.0) * np.log((1 - LABEL_ERROR) / LABEL_ERROR)
+    """Posterior probability of the label toxic, by EM.  The given labels are
+    the last voter; its accuracy is estimated like that of the others, from a
+    start of ``LABEL_ERROR`` wrong ones."""
     g = np.where(y == 1, 1 - LABEL_ERROR, LABEL_ERROR)
-    parent = dependency_tree(votes, g)
+    parent = np.append(dependency_tree(votes, g), -1)        # the labels depend on no voter, and no voter on them
+    votes = np.column_stack([votes, np.where(y == 1, 1, -1)])
     for _ in range(rounds):
         t = _tables(votes, parent, g)
-        odds = gold + np.log(g.mean() / (1 - g.mean()))
+        odds = np.full(len(votes), np.log(g.mean() / (1 - g.mean())))
         for i in range(votes.shape[1]):
             p = votes[:, parent[i]] if parent[i] >= 0 else np.zeros(len(votes), dtype=int)
             odds = odds + t[i, 1, p + 1, votes[:, i] + 1] - t[i, 0, p + 1, votes[:, i] + 1]
@@ -318,7 +328,7 @@ def scorer(spark, model):
                 fm = np.zeros((len(part), 5))
                 for r, t in enumerate(part):
                     words = split(t)
-                    fm[r] = form(t or "", words)
+                    fm[r] = form(t or "", words, m.alpha)
                     for i, c in m.counts(words).items():
                         counts[r, i] = c
                 out[s:s + 512] = 1 / (1 + np.exp(-np.clip(features(fm, counts) @ w, -30, 30)))

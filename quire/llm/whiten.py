@@ -281,10 +281,11 @@ def whiten(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", comp
     cov = _moments(x, dim, scale, shift, model["centre"], axes)
     wrong = np.abs(cov - np.eye(k))[np.ix_(live, live)]
     error = float(wrong.max()) if wrong.size else 0.0
-    shared = spark.sparkContext.broadcast((model["n"], model["sums"], model["centre"], axes, model["explained"][:k].tolist()))
+    shared = spark.sparkContext.broadcast((model["n"], model["sums"], axes, model["explained"][:k].tolist()))
 
     def run(batches):
-        n, s, centre, axes, explained = shared.value
+        n, s, axes, explained = shared.value
+        centre = Centre(n, s)
         top = 10 ** 38
         for b in batches:
             for i in range(0, b.num_rows, STEP):

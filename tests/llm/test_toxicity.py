@@ -1,7 +1,9 @@
 """Weak supervision: label model, held-out accuracy, edge cases."""
 
+import math
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -26,6 +28,82 @@ def test_label_model_recovers_accuracies_despite_copied_votes():
     assert ((post >= 0.5) == truth).mean() > 0.97
 
 
+def slow_em(votes, y, rounds=10):
+    """The label model, vote by vote."""
+    g = [0.98 if v == 1 else 0.02 for v in y]
+    parent = T.dependency_tree(votes, np.array(g)).tolist() + [-1]
+    rows = [[*map(int, r), 1 if v == 1 else -1] for r, v in zip(votes, y)]
+    for _ in range(rounds):
+        table = {}
+        for i, p in enumerate(parent):
+            for label in (0, 1):
+                for a in (-1, 0, 1):
+                    n = {b: 0.5 for b in (-1, 0, 1)}
+                    for r, w in zip(rows, g):
+                        if (r[p] if p >= 0 else 0) == a:
+                            n[r[i]] += w if label else 1 - w
+                    for b in n:
+                        table[i, label, a, b] = n[b] / sum(n.values())
+        mean, new = sum(g) / len(g), []
+        for r in rows:
+            yes, no = mean, 1 - mean
+            for i, p in enumerate(parent):
+                a = r[p] if p >= 0 else 0
+                yes *= table[i, 1, a, r[i]]
+                no *= table[i, 0, a, r[i]]
+            new.append(yes / (yes + no))
+        moved = max(abs(a - b) for a, b in zip(g, new))
+        g = new
+        if moved < 1e-4:
+            break
+    return g
+
+
+def test_label_model_equals_the_slow_one():
+    rng = np.random.default_rng(4)
+    truth = (rng.random(120) < 0.4).astype(int)
+    votes = np.stack([np.where(rng.random(120) < q, truth * 2 - 1, rng.integers(-1, 2, 120)) for q in (0.8, 0.6, 0.6, 0.3, 0.1)], axis=1)
+    votes[:, 2] = votes[:, 1]
+    y = np.where(rng.random(120) < 0.1, 1 - truth, truth)
+    assert np.abs(T.label_model(votes, y) - slow_em(votes, y)).max() < 1e-6
+
+
+def test_accuracy_of_the_labels_is_estimated():
+    """A fifth of the given labels are wrong; the votes set them right."""
+    rng = np.random.default_rng(3)
+    truth = (rng.random(3000) < 0.5).astype(int)
+    votes = np.stack([np.where(rng.random(3000) < 0.9, truth, 1 - truth) * 2 - 1 for _ in range(5)], axis=1)
+    y = np.where(rng.random(3000) < 0.2, 1 - truth, truth)
+    post = T.label_model(votes, y, rounds=30)
+    assert ((post >= 0.5) == truth).mean() > 0.97
+
+
+def test_sample_bounds_rows_not_ids(spark):
+    """Two labelled ids with thousands of rows give two texts."""
+    d = spark.range(6000).selectExpr("id % 2 AS doc_id", "concat('text ', cast(id AS string)) AS text").unionByName(
+        spark.createDataFrame([(0, None)] * 50, "doc_id long, text string"))
+    lab = spark.createDataFrame([(0, 1), (1, 0), (1, 0)], "doc_id long, toxic int")
+    rows = T.one_of_each(T.sample_rows(d, lab, lambda c: F.lit(True))).collect()
+    assert len(rows) == 2 and sorted(r.y for r in rows) == [0, 1]
+
+
+def test_scores_equal_the_plain_version(spark):
+    """Every prediction from stems, form and weights, word by word."""
+    docs, labels = corpus(120)
+    docs += [(500, None, 0.0), (501, "", 0.0), (502, "ZORKLY!!! " * 50, 0.0)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, score double")
+    names, w = T.fit(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), lambda c: c % 5 != 0)
+    got = {r.doc_id: r.s for r in d.select("doc_id", T.scorer(spark, (names, w))(F.col("text")).alias("s")).collect()}
+    for i, t, _ in docs:
+        words = re.findall(r"\w+", (t or "").lower())
+        c = [sum(x == n[:-1] if n.endswith("$") else x.startswith(n) and len(x) > len(n) for x in words) for n in names]
+        c += [0] * (max(len(names), T.VOTERS) - len(c))
+        total, distinct = sum(c), sum(x > 0 for x in c)
+        x = [math.log1p(v) for v in c] + [math.log1p(total), math.log1p(distinct), total == 0, total == 1, distinct >= 2, 1.0]
+        z = sum(float(a) * b for a, b in zip(x + T.form(t or "", words), w))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4)
+
+
 def test_linear_separates():
     x = np.array([[1, 0], [1, 1], [1, 2], [1, 3]], dtype=float)
     w = T.linear(x, np.array([0.0, 0.0, 1.0, 1.0]), 0.01)

@@ -39,6 +39,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a :func:`stash` result that nothing reads any more."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/llm-" in path and path.startswith(root):
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def crc_mod(col, m: int):
     """crc32 of an id's decimal text, modulo ``m`` (null ids count as '')."""
     c = F.col(col) if isinstance(col, str) else col

@@ -3,10 +3,15 @@
 Trust spreads along host links from hosts whose pages the rules mostly allow
 (personalised PageRank); distrust spreads along the reversed links from hosts
 whose pages they mostly block.  A host's remaining pages are blocked when its
-distrust exceeds ``ratio`` times its trust.  Both walks run together, one
-join and one partial aggregate per round over distinct host edges, and stop
-when the total change falls below ``tol``; it shrinks by ``damping`` per round,
-so the loop ends after about log(tol) / log(damping) rounds on any graph.
+distrust exceeds ``ratio`` times its trust and reaches a floor: what one
+average link to a blocked seed brings, ``damping * (1 - damping)`` times the
+mean share a seed hands to a host that links it.  So distrust that has faded
+over many links blocks nothing.  Both walks run together, one join and one
+partial aggregate per round over distinct host edges.  They stop when no
+host's verdict can change any more (the changes still to come are less than its
+distance from both bounds), at the latest when the total change falls below
+``tol``; it shrinks by ``damping`` per round, so that is after about
+log(tol) / log(damping) rounds on any graph.
 
 Hot hosts: pages are reduced to distinct host edges with a map-side combine
 before any shuffle; the only join that carries pages is with the list of
@@ -22,12 +27,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quire.llm.base import stash, table
+from quire.llm.base import discard, stash, table
+from quire.session import fits
 
 AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MAX_RULES = 1000             # rules are part of the query text
-BROADCAST_HOSTS = 100_000    # host names are at most a few hundred bytes
+BROADCAST_HOSTS = 100_000    # their bytes are checked too
 HREF = r"""(?i)\shref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 
 
@@ -84,16 +90,19 @@ def host_seeds(pages: DataFrame) -> DataFrame:
     return s.join(F.broadcast(n), "kind").select("host", "kind", (F.lit(1.0) / F.col("_n")).alias("seed"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tol: float = 1e-4) -> DataFrame:
-    """``host, kind, score``: personalised PageRank of both walks."""
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tol: float = 1e-4, ratio: float = 1.0):
+    """``host, kind, score`` of both walks (personalised PageRank), and the
+    floor of distrust."""
     both = edges.select("src", "dst", F.lit(0).alias("kind")).unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(1).alias("kind")))
     deg = both.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("_d"))
     walk = stash(both.join(deg, ["kind", "src"]).select("kind", "src", "dst", (F.lit(1.0) / F.col("_d")).alias("p")), "walk")
     seeds = stash(seeds, "seeds")
-    state = seeds.select("host", "kind", F.col("seed").alias("score"))
+    state = first = seeds.select("host", "kind", F.col("seed").alias("score"))
     if not walk.limit(1).count() or not state.limit(1).count():
-        return state                             # no links: the walks stay on their seeds
+        return state, 0.0                        # no links: the walks stay on their seeds
+    share = walk.where("kind = 1").join(seeds.where("kind = 1").select(F.col("host").alias("src"), "seed"), "src")
+    floor = damping * (1 - damping) * (share.agg(F.avg(F.col("seed") * F.col("p"))).first()[0] or 0.0)
     while True:
         moved = (state.join(walk, (state["host"] == walk["src"]) & (state["kind"] == walk["kind"]))
                       .groupBy(walk["kind"], walk["dst"].alias("host")).agg((F.sum(F.col("score") * F.col("p")) * damping).alias("m")))
@@ -106,22 +115,40 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tol: fl
         old = state.select("host", "kind", F.col("score").alias("_o"))
         gap = new.join(old, ["host", "kind"], "full_outer").select(
             F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("_o", F.lit(0.0))))).first()[0]
-        state = new
-        if gap is None or gap < tol:
-            return state
+        gone, state = state, new
+        if gone is not first:
+            discard(gone)
+        if gap is None or gap < tol or _settled(state, gap * damping / (1 - damping), floor, ratio):
+            return state, floor
 
 
-def blocked_hosts(scores: DataFrame, ratio: float = 1.0) -> DataFrame:
-    s = scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0)).alias("trust"),
-                                   F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0)).alias("distrust"))
-    return s.where(F.col("distrust") > F.col("trust") * ratio).select("host")
+def _both(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == 0, F.col("score")).otherwise(0.0)).alias("trust"),
+                                      F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0)).alias("distrust"))
+
+
+def _settled(scores: DataFrame, change: float, floor: float, ratio: float) -> bool:
+    """Can no verdict change when the scores still move by ``change`` in all?"""
+    if change >= floor:                          # a host not reached yet could get there
+        return False
+    near = F.col("distrust") >= floor - change
+    open_ = (F.abs(F.col("distrust") - floor) <= change) | (F.abs(F.col("distrust") - F.col("trust") * ratio) <= change * (1 + ratio))
+    return not _both(scores).where(near & open_).limit(1).count()
+
+
+def blocked_hosts(scores: DataFrame, floor: float = 0.0, ratio: float = 1.0) -> DataFrame:
+    """Hosts of more distrust than ``ratio`` times their trust, and no less
+    than the floor (but for rounding)."""
+    s = _both(scores)
+    return s.where((F.col("distrust") > F.col("trust") * ratio) & (F.col("distrust") >= floor * (1 - 1e-9))).select("host")
 
 
 def judge(pages: DataFrame, rules=RULES, ratio: float = 1.0, damping: float = 0.85, tol: float = 1e-4) -> DataFrame:
     """``page_id, host, path, rule, verdict`` — one row per page."""
     p = parsed(pages, rules)
-    bad = stash(blocked_hosts(propagate(host_edges(pages), host_seeds(p), damping, tol), ratio), "blocked")
-    if bad.count() <= BROADCAST_HOSTS:
+    scores, floor = propagate(host_edges(pages), host_seeds(p), damping, tol, ratio)
+    bad = stash(blocked_hosts(scores, floor, ratio), "blocked")
+    if fits(bad, BROADCAST_HOSTS):
         bad = F.broadcast(bad)
     x = p.join(bad.withColumn("_bad", F.lit(True)), "host", "left")
     return x.select("page_id", "host", "path", "rule",

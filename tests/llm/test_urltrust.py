@@ -52,10 +52,14 @@ def brute(rows, d=0.85):
             x = y + (1 - y.sum()) * seed
         return x
     trust, bad = walk(edges, 1), walk({(b, a) for a, b in edges}, 2)
+    # the floor: what an average link to a blocked seed brings
+    evil = {h for h in stat if stat[h][2] * 2 > stat[h][0]}
+    into = [b for _, b in edges if b in evil]
+    floor = d * (1 - d) * np.mean([1 / len(evil) / into.count(b) for b in into]) if into else 0.0
     res = set()
     for i, h, p, _ in ps:
         r, k = rule(h, p)
-        res.add((i, h, p, r, k or ("block" if h and bad[at[h]] > trust[at[h]] else "allow")))
+        res.add((i, h, p, r, k or ("block" if h and bad[at[h]] > trust[at[h]] and bad[at[h]] >= floor * (1 - 1e-9) else "allow")))
     return res
 
 
@@ -85,6 +89,36 @@ def test_matches_brute_force(spark):
     assert {w[4] for w in want if w[3] is None} == {"allow", "block"}
 
 
+def test_registered_tolerance_gives_the_same_verdicts(spark):
+    df = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    assert {tuple(r) for r in U.judge(df).collect()} == brute(ROWS)
+
+
+def test_distrust_fades_along_a_chain(spark):
+    """24 neutral hosts, each linking to the next, the last to a blocked one:
+    only hosts with as much distrust as a direct link brings are blocked."""
+    rows = [(i, f"http://h{i}.test/", link(f"h{i + 1}.test" if i < 23 else "evil.net")) for i in range(24)] + [(24, "http://evil.net/", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in U.judge(df).collect()}
+    assert [i for i, v in got.items() if v == "block"] == [23, 24] and {(r[0], r[4]) for r in brute(rows)} == set(got.items())
+
+
+def test_random_graphs(spark):
+    import random
+    rnd = random.Random(9)
+    hosts = [f"h{i}.{rnd.choice(['com', 'net', 'org', 'test', 'info'])}" for i in range(60)]
+    rows = [(i, f"http://{rnd.choice(hosts)}/{rnd.choice(['fr/', 'en/', ''])}{i}", link(*rnd.sample(hosts, rnd.randint(0, 4)))) for i in range(150)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {tuple(r) for r in U.judge(df).collect()} == brute(rows)
+
+
+def test_very_long_url_and_page(spark):
+    rows = [(1, "http://a.test/" + "x/" * 300_000, link("evil.net") * 20_000), (2, "http://evil.net/", "<p>" * 500_000), (3, "http://" + "b." * 5000 + "net", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.verdict, len(r.host), len(r.path)) for r in U.judge(df).collect()}
+    assert got == {1: ("block", 6, 600_001), 2: ("block", 8, 1), 3: ("allow", 10_003, 0)}
+
+
 def test_no_links_and_empty(spark):
     df = spark.createDataFrame([(1, "http://a.net/", None)], "page_id long, url string, html string")
     assert [tuple(r) for r in U.judge(df).collect()] == [(1, "a.net", "/", "net/", "block")]

@@ -15,12 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire.llm import bytebpe, decontam, langhd, simhash, toxicity
-from quire.llm.base import crc_mod, stash, table
+from quire.llm.base import crc_mod, discard, stash, table
 
 NOISE = 4 / langhd.DIM ** 0.5    # cosine to a prototype an unrelated text stays below: four standard deviations
-SURE_GRAMS = 30                  # distinct n-grams from which on a text of a learned language exceeds it
+HALF_GRAMS = 20                  # distinct n-grams at which half of it is asked for
 SHINGLE, MAX_BITS = 3, 3         # of the SimHash stage
-KEY, ROW = "__document_key", "__document_row"        # of the near-duplicate stage; no column of documents has these names
+NONE, KEY, ROW = "__document_none", "__document_key", "__document_row"       # of the near-duplicate stage; no column of documents has these names
 KEPT_ROWS = 1_000_000            # removed rows broadcast at most (16 bytes each)
 
 
@@ -33,11 +33,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those that resemble none of the
-    learned languages: a cosine within the noise or, for texts of few n-grams,
-    whose cosines are small in their own language too, no positive one."""
+    learned languages: a cosine within the noise.  Texts of few n-grams have
+    small cosines in their own language too, so the bound rises smoothly with
+    their number: ``NOISE * grams / (grams + HALF_GRAMS)``."""
     model = langhd.learn(docs.where(crc_mod("doc_id", 4) != 2).select("lang", "text"))
     p = langhd.predictor(spark, model)(F.col("text"))
-    bound = F.when(p["grams"] >= SURE_GRAMS, F.lit(NOISE)).otherwise(F.lit(0.0))
+    bound = F.lit(NOISE) * p["grams"] / (p["grams"] + F.lit(HALF_GRAMS))
     return docs.where((p["lang_pred"] != "und") & (p["score"] > bound))
 
 
@@ -49,21 +50,21 @@ def _bounded(rows: DataFrame) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every group of near copies, that of the smallest
     doc_id and, among the rows of that id in the group, of the smallest row
-    hash; rows that share a doc_id but are no near copies all stay.  A
-    document without an id is named by its text and comes after all others."""
-    unnamed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    hash; rows that share a doc_id but are no near copies all stay.  Documents
+    without an id come after all others."""
     # a null leaves the hash as it was, so the nulls are hashed beside the values
     row = F.xxhash64(*[docs[c] for c in docs.columns], *[docs[c].isNull() for c in docs.columns])
-    named = docs.withColumns({KEY: F.coalesce("doc_id", unnamed), ROW: row})
-    marked = stash(simhash.near_duplicates(named, key=KEY, shingle=SHINGLE, max_bits=MAX_BITS, row=ROW), "marked")
-    first = (F.col(KEY) == F.col("component_id")) & (F.col(ROW) == F.col("component_row"))
-    gone = stash(marked.where(~first).select(KEY, ROW).distinct(), "gone")
-    twice = stash(marked.where(first).groupBy(KEY, ROW).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(KEY, ROW), "twice")
-    kept = named.join(_bounded(gone), [KEY, ROW], "left_anti")
+    found = stash(simhash.near_duplicates(docs.withColumn(ROW, row), key="doc_id", shingle=SHINGLE, max_bits=MAX_BITS, row=ROW), "marked")
+    by = {NONE: F.col("doc_id").isNull(), KEY: F.coalesce("doc_id", F.lit(0).cast("bigint"))}
+    named, marked, names = docs.withColumns({**by, ROW: row}), found.withColumns(by), [NONE, KEY, ROW]
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col(ROW) == F.col("component_row"))
+    gone = stash(marked.where(~first).select(*names).distinct(), "gone")
+    twice = stash(marked.where(first).groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*names), "twice")
+    kept = named.join(_bounded(gone), names, "left_anti")
     if twice.limit(1).count():
         twice = _bounded(twice)
-        again = kept.join(twice, [KEY, ROW], "left_semi").dropDuplicates([KEY, ROW])
-        kept = kept.join(twice, [KEY, ROW], "left_anti").unionByName(again)
+        again = kept.join(twice, names, "left_semi").dropDuplicates(names)
+        kept = kept.join(twice, names, "left_anti").unionByName(again)
     return kept.select(*docs.columns)
 
 
@@ -91,7 +92,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stash(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last is not None:
+            discard(last)                # the next stage's rows are written
+        last = docs
     return docs

@@ -1,173 +1,395 @@
 """Byte-pair-encoding vocabulary training (G1) and encoding.
 
 Training scans the corpus once (distinct words with counts, SentencePiece
-style ``▁`` word prefix) and then works on the word-type table only.  A round
-counts adjacent symbol pairs weighted by word frequency and takes the best
-pairs in order (count desc, then pair asc) as long as the one-merge-at-a-time
-result is certain to be the same: the pairs share no symbol, and no pair that
-an earlier merge of the round can form (at most as often as the triple of
-symbols it comes from) reaches the next pair's count.  ``CANDIDATES`` rows
-meet on the driver per round, whatever the corpus.  All merges of a round are
-applied in one pass; the table is checkpointed every few rounds.
-
-Encoding applies merges by rank: per distinct word, join its adjacent pairs
-with the (size-checked, broadcast) merge table, apply the lowest-ranked one,
-repeat until no pair is mergeable; then map symbols to ids and regroup per
-document in position order.
+style ``▁`` word prefix) and then works on the word-type table and a table of
+pair counts.  One merge at a time would take a job per merge; a round here
+tries hundreds and keeps as many as are certain:
+
+1. A forecast of the next merges, in order: the exact counts of the best pairs
+   and, for what merges change, a simulation on the most frequent word types
+   (``FORECAST`` at most).
+2. Every task applies the forecast to its word types in that order and returns
+   the change of pair counts of every step; one aggregation sums them.
+3. A step is accepted when, with the exact counts of its moment, its pair is
+   the best one (highest count, then smallest pair); the first that isn't ends
+   the round.  Only pairs that could reach the round's smallest count meet on
+   the driver.
+4. The changes of the accepted steps update the pair counts.
+
+So the result is that of merging one by one, whatever the forecast; a bad
+forecast costs rounds only.  Word types are stored anew every few rounds and
+the merges since then are applied when they are read.
+
+Encoding needs no shuffle: a task encodes each distinct word it meets once, by
+merging its lowest-ranked pair until none is left.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import heapq
+import sys
+from collections import defaultdict
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F
 
 from quire.functions.text import ws_tokens
-from quire.session import fits, materialize
+from quire.session import materialize, spread
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])      # workers need no copy of the package
 
 WORD_PREFIX = "▁"
-SEP = "\x00"                # joins two symbols in a key; no symbol holds it
-CHECKPOINT_EVERY = 8
-BROADCAST_MERGES = 2_000_000
+NUL = "\x00"
+FORECAST = 200_000           # word types the forecast is made on
+FORECAST_SYMS = 64           # symbols of such a word at most
+TOP = 20_000                 # pairs whose exact counts the forecast starts from
+STEPS = (64, 2048)           # merges tried per round, at first and at most
+STORE_EVERY = 4              # rounds between stored word-type tables
+MAX_PIECES = 2_000_000       # characters and merges: what is broadcast
+HELD = 100_000               # word types a task works on at a time
+CACHE = 500_000              # encoded words a task remembers
+
+
+# ---- words of one task (or of the forecast) -------------------------------
+
+class Words:
+    """Word types as lists of symbol ids, with an index from pair to words."""
+
+    def __init__(self, words: list, freqs: list):
+        self.words, self.freqs = words, freqs
+        self.at = defaultdict(list)
+        for i, w in enumerate(words):
+            for p in zip(w, w[1:]):
+                self.at[p].append(i)
+
+    def counts(self) -> dict:
+        out: dict = defaultdict(int)
+        for w, f in zip(self.words, self.freqs):
+            for p in zip(w, w[1:]):
+                out[p] += f
+        return out
+
+    def merge(self, a: int, b: int, c: int) -> dict:
+        """Replace every ``a b`` by ``c``, left to right; the change of the
+        pair counts."""
+        change: dict = defaultdict(int)
+        for i in set(self.at.pop((a, b), ())):
+            w, f = self.words[i], self.freqs[i]
+            new, k, n, hit = [], 0, len(w), False
+            while k < n:
+                if w[k] == a and k + 1 < n and w[k + 1] == b:
+                    new.append(c)
+                    k += 2
+                    hit = True
+                else:
+                    new.append(w[k])
+                    k += 1
+            if not hit:                                      # the index keeps words that lost the pair
+                continue
+            for p in zip(w, w[1:]):
+                change[p] -= f
+            for p in zip(new, new[1:]):
+                change[p] += f
+                if c in p:
+                    self.at[p].append(i)
+            self.words[i] = new
+        return {p: d for p, d in change.items() if d}
+
 
+class Symbols:
+    """Symbol strings and their ids; a string has one id."""
 
-def _pairs(syms: Column) -> Column:
-    return F.arrays_zip(F.slice(syms, 1, F.greatest(F.size(syms) - 1, F.lit(1))),
-                        F.slice(syms, 2, F.greatest(F.size(syms) - 1, F.lit(1))))
+    def __init__(self, names: list):
+        self.names = list(names)
+        self.ids = {n: i for i, n in enumerate(names)}
 
+    def merged(self, a: int, b: int) -> int:
+        name = self.names[a] + self.names[b]
+        if name not in self.ids:
+            self.ids[name] = len(self.names)
+            self.names.append(name)
+        return self.ids[name]
 
-def merge_pair(syms: Column, left: Column, right: Column) -> Column:
-    """Merge every non-overlapping ``left right`` occurrence, left to right."""
-    empty = F.array().cast("array<string>")
-    return F.aggregate(
-        syms, empty,
-        lambda acc, s: F.when((F.size(acc) > 0) & (F.element_at(acc, -1) == left) & (s == right),
-                              F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                                       F.array(F.concat(left, right))))
-                        .otherwise(F.concat(acc, F.array(s))))
+    def forget(self, size: int) -> None:
+        for n in self.names[size:]:
+            del self.ids[n]
+        del self.names[size:]
 
+    def rank(self, pair: tuple, count: int) -> tuple:
+        """Order of pairs: highest count, then smallest strings."""
+        return -count, self.names[pair[0]], self.names[pair[1]], pair
+
+
+class Best:
+    """Pairs by count, with updates."""
+
+    def __init__(self, symbols: Symbols, counts: dict):
+        self.symbols, self.counts = symbols, dict(counts)
+        self.heap = [symbols.rank(p, c) for p, c in self.counts.items() if c > 0]
+        heapq.heapify(self.heap)
+
+    def update(self, change: dict) -> None:
+        for p, d in change.items():
+            c = self.counts[p] = self.counts.get(p, 0) + d
+            if c > 0:
+                heapq.heappush(self.heap, self.symbols.rank(p, c))
+
+    def top(self):
+        """(pair, count) of the best pair, or None."""
+        while self.heap:
+            count, _, _, pair = self.heap[0]
+            if self.counts.get(pair) == -count:
+                return pair, -count
+            heapq.heappop(self.heap)
+        return None
+
+
+# ---- tables ---------------------------------------------------------------
 
 def word_types(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, freq, syms`` — the only pass over the corpus.  NUL characters
-    are dropped from words."""
-    w = docs.select(F.explode(ws_tokens(F.replace(F.col(text), F.lit(SEP), F.lit("")))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("freq"))
-    w = w.select(F.concat(F.lit(WORD_PREFIX), F.col("w")).alias("word"), "freq")
-    return w.withColumn("syms", F.filter(F.split("word", ""), lambda c: c != ""))
+    """``word, freq`` — the only pass over the corpus.  NUL characters are
+    dropped from words."""
+    w = docs.select(F.explode(ws_tokens(F.replace(F.col(text), F.lit(NUL), F.lit("")))).alias("w"))
+    w = w.groupBy("w").agg(F.count(F.lit(1)).alias("freq"))
+    return w.select(F.concat(F.lit(WORD_PREFIX), F.col("w")).alias("word"), "freq")
 
 
-CANDIDATES = 64
+def _in_ids(types: DataFrame, ids) -> DataFrame:
+    """``freq, syms`` (symbol ids) of the word types."""
+    import pyarrow as pa
 
+    def run(batches):
+        at = ids.value
+        for b in batches:
+            syms = [[at[c] for c in w] for w in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(syms, pa.list_(pa.int32()))], names=["freq", "syms"])
 
-def _best_pairs(wt: DataFrame) -> list:
-    p = wt.select("freq", F.explode(_pairs(F.col("syms"))).alias("p")).where(F.col("p")["1"].isNotNull())
-    return (p.groupBy(F.col("p")["0"].alias("l"), F.col("p")["1"].alias("r")).agg(F.sum("freq").alias("c"))
-             .orderBy(F.col("c").desc(), "l", "r").limit(CANDIDATES).collect())
+    return types.select("word", "freq").mapInArrow(run, "freq bigint, syms array<int>")
 
 
-def _certain(wt: DataFrame, best: list) -> list:
-    """The longest prefix of ``best`` that merging one by one would take too."""
-    free: list = []
-    used: set = set()
-    for p in best:
-        if {p["l"], p["r"]} & used or p["l"] == p["r"] and free:
-            break
-        free.append(p)
-        used |= {p["l"], p["r"]}
-        if p["l"] == p["r"]:
+def _held(batches, size: int):
+    """The word types of a task, ``size`` at a time: they don't depend on each other."""
+    freqs, words = [], []
+    for b in batches:
+        freqs += b.column(0).to_pylist()
+        words += b.column(1).to_pylist()
+        if len(words) >= size:
+            yield Words(words, freqs)
+            freqs, words = [], []
+    if words:
+        yield Words(words, freqs)
+
+
+def _applied(types: DataFrame, merges: list) -> DataFrame:
+    """The word types after the merges (a, b, c)."""
+    import pyarrow as pa
+    todo = types.sparkSession.sparkContext.broadcast(merges)
+
+    def run(batches):
+        for w in _held(batches, HELD):
+            for m in todo.value:
+                w.merge(*m)
+            yield pa.RecordBatch.from_arrays([pa.array(w.freqs, pa.int64()), pa.array(w.words, pa.list_(pa.int32()))], names=["freq", "syms"])
+
+    return types.mapInArrow(run, "freq bigint, syms array<int>")
+
+
+def _changes(types: DataFrame, done: list, tried: list) -> DataFrame:
+    """``step, a, b, d``: change of the pair counts by every tried merge, the
+    ``done`` ones applied before."""
+    import pyarrow as pa
+    todo = types.sparkSession.sparkContext.broadcast((done, tried))
+
+    def run(batches):
+        done, tried = todo.value
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int32(), pa.int64()))],
+                                              names=["step", "a", "b", "d"])
+        for w in _held(batches, HELD):
+            for m in done:
+                w.merge(*m)
+            out: list = []
+            for step, m in enumerate(tried):
+                out += [(step, *p, d) for p, d in w.merge(*m).items()]
+                if len(out) > 100_000:
+                    yield batch(out)
+                    out = []
+            if out:
+                yield batch(out)
+
+    got = types.mapInArrow(run, "step int, a int, b int, d bigint")
+    return got.groupBy("step", "a", "b").agg(F.sum("d").alias("d")).where("d <> 0")
+
+
+def _pair_counts(types: DataFrame) -> DataFrame:
+    p = types.select("freq", F.explode(F.arrays_zip(F.expr("slice(syms, 1, size(syms) - 1)").alias("a"),
+                                                    F.expr("slice(syms, 2, size(syms))").alias("b"))).alias("p"))
+    return p.where("p.b IS NOT NULL AND p.a IS NOT NULL").groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("freq").alias("n"))
+
+
+# ---- training -------------------------------------------------------------
+
+def _forecast(sample: Words, symbols: Symbols, best: dict, steps: int):
+    """The next merges (a, b, c) as far as the sample can tell, and the
+    smallest count it sees among them."""
+    order, out, low = Best(symbols, best), [], None
+    while len(out) < steps:
+        got = order.top()
+        if got is None:
             break
-    if len(free) < 2:
-        return free
-    # how often a symbol stands next to each of the pairs, at most
-    keys = F.array(*[F.lit(p["l"] + SEP + p["r"]) for p in free])
-    z = F.arrays_zip(*[F.slice("syms", j + 1, F.greatest(F.size("syms"), F.lit(1))).alias(str(j)) for j in range(3)])
-    t = wt.select("freq", F.explode(F.filter(z, lambda e: e["2"].isNotNull())).alias("t")).select("freq", "t.*")
-    both = F.array(F.struct(F.concat_ws(SEP, "0", "1").alias("pair"), F.col("2").alias("other"), F.lit(1).alias("side")),
-                   F.struct(F.concat_ws(SEP, "1", "2").alias("pair"), F.col("0").alias("other"), F.lit(0).alias("side")))
-    t = t.select("freq", F.explode(F.filter(both, lambda e: F.array_contains(keys, e["pair"]))).alias("e"))
-    near = t.groupBy("e.pair", "e.other", "e.side").agg(F.sum("freq").alias("c")).groupBy("pair").agg(F.max("c").alias("c"))
-    most = {r["pair"]: r["c"] for r in near.collect()}                 # a row per candidate
-    for i in range(1, len(free)):
-        if any(most.get(p["l"] + SEP + p["r"], 0) >= free[i]["c"] for p in free[:i]):
-            return free[:i]
-    return free
-
-
-def _merge_all(syms: Column, pairs: list) -> Column:
-    """Merge every occurrence of pairs that share no symbol, in one pass."""
-    keys = F.array(*[F.lit(a + SEP + b) for a, b in pairs])
-    return F.aggregate(
-        syms, F.array().cast("array<string>"),
-        lambda acc, s: F.when((F.size(acc) > 0) & F.array_contains(keys, F.concat_ws(SEP, F.element_at(acc, -1), s)),
-                              F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-                                       F.array(F.concat(F.element_at(acc, -1), s))))
-                        .otherwise(F.concat(acc, F.array(s))))
+        (a, b), n = got
+        low = n if low is None else min(low, n)
+        c = symbols.merged(a, b)
+        change = sample.merge(a, b, c)
+        change[a, b] = -n                                    # no such pair is left, in the sample or elsewhere
+        order.update(change)
+        out.append((a, b, c))
+    return out, low
+
+
+def _accept(symbols: Symbols, counts: dict, low: int, rest, tried: list, changes: dict) -> int:
+    """How many tried merges are the best ones of their moment: ``counts`` are
+    exact for all pairs that can have ``low`` or more, but for those that never
+    change, none of which comes before the pair ``rest``."""
+    order = Best(symbols, counts)
+    limit = None if rest is None else symbols.rank(*rest)[:3]
+    for i, (a, b, _) in enumerate(tried):
+        got = order.top()
+        if got is None or got[0] != (a, b) or got[1] < low or limit and symbols.rank(*got)[:3] >= limit:
+            return i
+        order.update(changes.get(i, {}))
+    return len(tried)
+
+
+def _top(counts: DataFrame, symbols: Symbols) -> list:
+    """The best ``TOP`` pairs and the next one, in the order of training."""
+    place = sorted(range(len(symbols.names)), key=symbols.names.__getitem__)
+    ranks = counts.sparkSession.createDataFrame([(i, r) for r, i in enumerate(place)], "id int, r int")        # a row per piece
+    x = counts.join(F.broadcast(ranks.select(F.col("id").alias("a"), F.col("r").alias("ra"))), "a")
+    x = x.join(F.broadcast(ranks.select(F.col("id").alias("b"), F.col("r").alias("rb"))), "b")
+    return [((r.a, r.b), r.n) for r in x.orderBy(F.desc("n"), "ra", "rb").limit(TOP + 1).select("a", "b", "n").collect()]
 
 
 def train_bpe(docs: DataFrame, num_merges: int | None = None, text: str = "text",
-              vocab_size: int | None = None) -> tuple[DataFrame, DataFrame]:
+              vocab_size: int | None = None, stats: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """G1: returns (``merges``: rank, left, right; ``vocab``: token, id), for
     a number of merges or a vocabulary size (characters plus merges).
 
     Vocabulary = single characters (ordered by frequency desc, then text)
-    followed by merged symbols in merge order.
+    followed by merged symbols in merge order.  ``stats`` receives the number
+    of rounds.
     """
-    from quire.operators.order import dense_index
     spark = docs.sparkSession
-    wt = materialize(word_types(docs, text))
-    chars = wt.select("freq", F.explode("syms").alias("token")).groupBy("token").agg(F.sum("freq").alias("f"))
-    chars = materialize(dense_index(materialize(chars.withColumn("_nf", -F.col("f"))), ["_nf", "token"], out="id").select("token", "id"))
-    nchar = chars.count()
+    types = materialize(word_types(docs, text))
+    chars = types.select("freq", F.explode(F.split("word", "")).alias("token")).where("token <> ''")
+    # Unicode bounds the number of characters
+    chars = [r.token for r in chars.groupBy("token").agg(F.sum("freq").alias("f")).orderBy(F.desc("f"), "token").collect()]
+    nchar = len(chars)
     if num_merges is None:
         num_merges = max(0, vocab_size - nchar)
+    if nchar + num_merges > MAX_PIECES:
+        raise ValueError(f"more than {MAX_PIECES} pieces")
+    symbols = Symbols(chars)
+    types = materialize(spread(_in_ids(types, spark.sparkContext.broadcast(symbols.ids))))
+    counts = materialize(_pair_counts(types))
+    often = types.where(F.size("syms") <= FORECAST_SYMS).orderBy(F.desc("freq"), "syms").limit(FORECAST).collect()
+    sample = Words([list(r.syms) for r in often], [r.freq for r in often])
+
     merges: list = []
-    rounds = 0
+    pending: list = []                                       # accepted since the word types were stored
+    steps, rounds = STEPS[0], 0
     while len(merges) < num_merges:
-        take = _certain(wt, _best_pairs(wt))[:num_merges - len(merges)]
-        if not take:
+        top = _top(counts, symbols)
+        if not top:
             break
-        pairs = [(p["l"], p["r"]) for p in take]
-        merges += [(len(merges) + i, a, b) for i, (a, b) in enumerate(pairs)]
-        wt = wt.withColumn("syms", _merge_all(F.col("syms"), pairs))
+        best, rest = dict(top[:TOP]), top[TOP] if len(top) > TOP else None
+        size, before = len(symbols.names), list(sample.words)
+        tried, low = _forecast(sample, symbols, best, min(steps, num_merges - len(merges)))
+        changes = materialize(_changes(types, pending, tried))
+        # the changed pairs that can reach the smallest count in question
+        up = changes.groupBy("a", "b").agg(F.sum(F.greatest("d", F.lit(0))).alias("up"))
+        near = up.join(counts, ["a", "b"], "left").select("a", "b", F.coalesce("n", F.lit(0)).alias("n"), "up").where(F.col("n") + F.col("up") >= low)
+        moves: dict = defaultdict(dict)
+        for r in changes.join(near, ["a", "b"]).select("step", "a", "b", "d", "n").collect():
+            best.setdefault((r.a, r.b), r.n)
+            moves[r.step][r.a, r.b] = r.d
+        n = _accept(symbols, best, low, rest, tried, moves)
         rounds += 1
-        if rounds % CHECKPOINT_EVERY == 0:
-            wt = materialize(wt)
-    mdf = spark.createDataFrame(merges, "rank int, left string, right string")
-    merged = mdf.select(F.concat("left", "right").alias("token"), (F.col("rank") + F.lit(nchar)).alias("id"))
-    # a merged string can equal an earlier one; keep its first id
-    vocab = chars.unionByName(merged).groupBy("token").agg(F.min("id").cast("int").alias("id"))
-    return mdf, vocab
-
-
-def encode_words(words: DataFrame, merges: DataFrame) -> DataFrame:
-    """``word, syms`` after applying merges by rank (rounds until stable)."""
-    m = merges.select(F.col("left").alias("_l"), F.col("right").alias("_r"), "rank")
-    m = F.broadcast(m) if fits(merges, BROADCAST_MERGES) else m
-    x = words.select("word", F.filter(F.split("word", ""), lambda c: c != "").alias("syms"))
-    x = materialize(x)
-    while True:              # every round merges in some word, so it ends
-        p = x.select("word", F.explode(_pairs(F.col("syms"))).alias("p")).where(F.col("p")["1"].isNotNull()) \
-             .select("word", F.col("p")["0"].alias("_l"), F.col("p")["1"].alias("_r"))
-        best = p.join(m, ["_l", "_r"]).groupBy("word").agg(F.min(F.struct("rank", "_l", "_r")).alias("_b"))
-        if best.limit(1).count() == 0:
-            break
-        x = (x.join(best, "word", "left")
-              .withColumn("syms", F.when(F.col("_b").isNull(), F.col("syms"))
-                          .otherwise(merge_pair(F.col("syms"), F.col("_b._l"), F.col("_b._r"))))
-              .drop("_b"))
-        x = materialize(x)
-    return x
+        merges += tried[:n]
+        pending += tried[:n]
+        if n < len(tried):                                   # the sample went too far
+            symbols.forget(max([size, *(c + 1 for _, _, c in tried[:n])]))
+            sample = Words(before, sample.freqs)
+            for m in tried[:n]:
+                sample.merge(*m)
+        counts = materialize(counts.unionByName(changes.where(F.col("step") < n).select("a", "b", F.col("d").alias("n")))
+                             .groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0"))
+        if rounds % STORE_EVERY == 0:
+            types, pending = materialize(_applied(types, pending)), []
+        steps = min(2 * steps, STEPS[1]) if n == len(tried) else max(STEPS[0], min(steps, 2 * n))
+    if stats is not None:
+        stats.update(rounds=rounds, merges=len(merges))
+    rows = [(i, symbols.names[a], symbols.names[b]) for i, (a, b, _) in enumerate(merges)]
+    # a merged string can equal an earlier one; it keeps its first id
+    vocab = {c: i for i, c in enumerate(chars)}
+    for i, l, r in rows:
+        vocab.setdefault(l + r, nchar + i)
+    return (spark.createDataFrame(rows, "rank int, left string, right string"),
+            spark.createDataFrame(list(vocab.items()), "token string, id int"))
+
+
+# ---- encoding -------------------------------------------------------------
+
+class Encoder(dict):
+    """word -> ids; merges the lowest-ranked pair until none is left."""
+
+    def __init__(self, ranks: dict, ids: dict, unk_id: int):
+        super().__init__()
+        self.ranks, self.ids, self.unk_id = ranks, ids, unk_id
+
+    def split(self, word: str) -> list:
+        s, ranks, none = list(word), self.ranks, len(self.ranks)
+        while len(s) > 1:
+            r, pair = min((ranks.get(p, none), p) for p in set(zip(s, s[1:])))
+            if r == none:
+                break
+            out, k = [], 0
+            while k < len(s):
+                if k + 1 < len(s) and (s[k], s[k + 1]) == pair:
+                    out.append(s[k] + s[k + 1])
+                    k += 2
+                else:
+                    out.append(s[k])
+                    k += 1
+            s = out
+        return s
+
+    def __missing__(self, word):
+        if len(self) >= CACHE:
+            self.clear()
+        ids = self[word] = [self.ids.get(t, self.unk_id) for t in self.split(WORD_PREFIX + word)]
+        return ids
 
 
 def bpe_encode(docs: DataFrame, merges: DataFrame, vocab: DataFrame, text: str = "text",
                key: str = "doc_id", out: str = "input_ids", unk_id: int = -1) -> DataFrame:
-    """Document text -> BPE ids (no special tokens, no truncation)."""
-    toks = docs.select(key, F.posexplode_outer(ws_tokens(text)).alias("_pos", "_w")) \
-               .withColumn("word", F.concat(F.lit(WORD_PREFIX), F.col("_w")))
-    words = toks.where(F.col("_w").isNotNull()).select("word").distinct()
-    enc = encode_words(words, merges)
-    sym = enc.select("word", F.posexplode("syms").alias("_k", "token")).join(vocab, "token", "left") \
-             .groupBy("word").agg(F.array_sort(F.collect_list(F.struct("_k", F.coalesce("id", F.lit(unk_id)).alias("id"))))
-                                  .alias("_s")) \
-             .select("word", F.transform("_s", lambda s: s["id"]).alias("_ids"))
-    j = toks.join(sym, "word", "left")
-    piece = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_ids"))
-    return (j.groupBy(key).agg(F.array_sort(F.collect_list(piece)).alias("_p"))
-             .select(key, F.flatten(F.transform("_p", lambda s: s["_ids"])).alias(out)))
+    """Document text -> BPE ids (no special tokens, no truncation), one
+    row per row of ``docs``; a null text has no ids."""
+    import pyarrow as pa
+    if vocab.limit(MAX_PIECES + 1).count() > MAX_PIECES:
+        raise ValueError(f"more than {MAX_PIECES} pieces")
+    model = ({(r.left, r.right): r["rank"] for r in merges.collect()}, {r.token: r.id for r in vocab.select("token", "id").collect()})
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = dict(docs.dtypes)[key]
+
+    def run(batches):
+        enc = Encoder(*shared.value, unk_id)
+        for b in batches:
+            for s in range(0, b.num_rows, 512):
+                part = b.slice(s, 512)
+                ids = [[i for w in (t or "").split() for i in enc[w]] for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["k", "ids"])
+
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, ids array<int>") \
+               .select(F.col("k").alias(key), F.col("ids").alias(out))

@@ -40,7 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])      # workers need
 
 WORD_PREFIX = "▁"
 NUL = "\x00"
-FORECAST = 200_000           # word types the forecast is made on
+FORECAST = 1_000_000         # word types the forecast is made on
 FORECAST_SYMS = 64           # symbols of such a word at most
 TOP = 20_000                 # pairs whose exact counts the forecast starts from
 STEPS = (64, 2048)           # merges tried per round, at first and at most

@@ -220,6 +220,9 @@ def q_pack_sequences_4096(spark, sf):
 
 
 # ---------------------------------------------------------------- C1, C10, C11, D6
+from quire.functions.content import main_content, without_dropped  # noqa: E402
+
+
 @register("extract_text", f"""SELECT page_id, sha256({S.extract_text('html')}) AS text_sha256,
 CAST(strlen({S.extract_text('html')}) AS BIGINT) AS n_bytes FROM pages""")
 def q_extract_text(spark, sf):
@@ -228,6 +231,16 @@ def q_extract_text(spark, sf):
                                         F.octet_length(t).cast("bigint").alias("n_bytes"))
 
 
+@register("extract_main", f"""WITH k AS (SELECT page_id, {S.keep_content('html')} AS kept FROM pages),
+m AS (SELECT page_id, {S.main_content('kept')} AS text FROM k)
+SELECT page_id, sha256(text) AS text_sha256, CAST(strlen(text) AS BIGINT) AS n_bytes FROM m""")
+def q_extract_main(spark, sf):
+    """C1 with nested subtrees and link density."""
+    p = T(spark, sf, "pages").select("page_id", without_dropped("html").alias("kept"))
+    p = p.select("page_id", main_content("kept").alias("text"))
+    return p.select("page_id", content_hash("text").alias("text_sha256"), F.octet_length("text").cast("bigint").alias("n_bytes"))
+
+
 @register("extract_text_boilerplate", f"""WITH ex AS (SELECT page_id, lower({S.host('url')}) AS host, {S.extract_text('html')} AS text FROM pages),
 ln AS (SELECT page_id, host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM ex),
 bad AS (SELECT host, line FROM ln JOIN (SELECT host, count(*) AS pages FROM ex GROUP BY host) USING (host) WHERE line <> ''

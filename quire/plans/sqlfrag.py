@@ -3,6 +3,7 @@ queries.  They reuse the very same pattern strings as the Spark side."""
 
 from __future__ import annotations
 
+from quire.functions import content as C
 from quire.functions.html import ENTITIES, LINK_RE, extract_steps
 from quire.functions.text import (BREAK_RE, NON_WS_CLASS, PY_WHITESPACE, TRAILING_BREAK_RE)
 
@@ -83,6 +84,40 @@ def extract_text(x: str) -> str:
     return strip(x)
 
 
+def keep_content(x: str) -> str:
+    """A page without dropped subtrees: a fold over its pieces (tags, comments
+    and the text between them) with the open element and its depth."""
+    name = "lower(regexp_extract(e.t, '^</?([A-Za-z][A-Za-z0-9]*)', 1))"
+    drop = "(" + ", ".join(q(t) for t in C.DROP_TAGS) + ")"
+    opens = f"(e.t LIKE '<%' AND e.t NOT LIKE '</%' AND e.t NOT LIKE '%/>' AND {name} <> '')"
+    starts = f"({opens} AND ({name} IN {drop} OR regexp_matches(e.t, {q(C.AD)})))"
+    other = f"(e.t LIKE '<%' AND length(e.t) > 1 AND {name} = '')"            # comments, declarations
+    body = f"(a.d = 'head' AND {name} = 'body' AND {opens})"
+    raw = "a.d IN ('script', 'style')"
+    depth = f"(a.n + CASE WHEN {name} <> a.d THEN 0 WHEN e.t LIKE '</%' THEN -1 WHEN {opens} AND NOT {raw} THEN 1 ELSE 0 END)"
+    step = (f"CASE WHEN a.d = '' AND {starts} THEN {{'t': '', 'd': {name}, 'n': 1, 'o': a.o || ' '}} "
+            f"WHEN a.d = '' THEN {{'t': '', 'd': '', 'n': 0, 'o': a.o || CASE WHEN {other} THEN ' ' ELSE e.t END}} "
+            f"WHEN {body} THEN {{'t': '', 'd': '', 'n': 0, 'o': a.o || e.t}} "
+            f"ELSE {{'t': '', 'd': CASE WHEN {depth} = 0 THEN '' ELSE a.d END, 'n': {depth}, 'o': a.o}} END")
+    pieces = f"regexp_extract_all({x}, {q(C.TOKEN + '|[^<]+|<')})"
+    first = "{'t': '', 'd': '', 'n': 0, 'o': ''}"
+    return (f"list_reduce(list_prepend({first}, list_transform({pieces}, lambda piece: {{'t': piece, 'd': '', 'n': 0, 'o': ''}})), "
+            f"lambda a, e: {step}).o")
+
+
+def main_content(x: str) -> str:
+    for pat, rep in C.block_steps():
+        r = "||".join(f"chr({ord(c)})" for c in rep) if rep else "''"
+        x = f"regexp_replace({x}, {q(pat)}, {r}, 'g')"
+    size = "length(regexp_replace({0}, " + q(C.MARKS) + ", '', 'g'))"
+    total = size.format("l")
+    linked = size.format(f"array_to_string(regexp_extract_all(l, {q(C.LINKED)}, 1), '')")
+    dense = f"({linked} * {C.LINK_SHARE} > {total} OR {linked} * {C.SHORT_SHARE} > {total} AND {total} < {C.SHORT})"
+    text = f"array_to_string(list_filter(string_split({x}, chr(10)), lambda l: starts_with(l, chr(3)) OR NOT {dense}), chr(10))"
+    text = decode_entities(f"translate({text}, chr(1)||chr(2)||chr(3), '')")
+    return strip(f"regexp_replace({text}, {q(' *' + chr(10) + '[ ' + chr(10) + ']*')}, chr(10), 'g')")
+
+
 def links(x: str) -> str:
     inner = decode_entities("regexp_replace(v, " + q("^\"(.*)\"$|^'(.*)'$") + ", '\\1\\2')")
     return f"list_transform(regexp_extract_all({x}, {q(LINK_RE)}, 1), lambda v: {inner})"

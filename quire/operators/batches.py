@@ -3,6 +3,8 @@ repeated data (K3) and step accounting (I5)."""
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.operators.order import dense_index, running_offset
@@ -38,30 +40,34 @@ def budget_batches(df: DataFrame, batch_size: int, max_tokens: int, n: str = "n_
     across epoch borders; each batch counts ``rows x width`` tokens; training
     stops after the batch that reaches ``max_tokens``.
 
-    Output one row per step: ``step, epoch_of_first_row, rows, width, tokens,
-    cum_tokens``.  The number of epochs needed is computed first from the
-    real token count (padding only adds), then the sequence table is repeated
-    with a generator — no join.
+    Output one row per step: ``step, epoch, rows, width, tokens, cum_tokens``
+    (``epoch`` is that of the first row).  Batches repeat after lcm(rows,
+    batch_size) rows, so the widths and running tokens of one such period are
+    computed, in which a row occurs ``batch_size`` times at most, whatever the
+    budget; whole periods follow by arithmetic from a range of step numbers.
     """
+    spark = df.sparkSession
     x = materialize(dense_index(materialize(df.select(order, n)), [order], out="_i", total="_cnt"))
     st = x.agg(F.sum(n).alias("tok"), F.max("_cnt").alias("cnt")).first()
     if not st["cnt"] or not st["tok"]:
-        return df.sparkSession.createDataFrame(
-            [], "step bigint, epoch int, rows bigint, width int, tokens bigint, cum_tokens bigint")
-    cnt, tok = int(st["cnt"]), int(st["tok"])
-    # enough epochs that the batch reaching the budget is complete
-    epochs = -(-max_tokens // tok) + -(-batch_size // cnt) + 1
-    rep = x.withColumn("_e", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    rep = rep.withColumn("_s", F.col("_e") * F.lit(cnt) + F.col("_i"))
-    b = (rep.groupBy(F.floor(F.col("_s") / batch_size).alias("batch"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.max(n).cast("int").alias("width"),
-                 F.min("_e").cast("int").alias("epoch")))
-    b = b.where(F.col("rows") == batch_size)      # only the generated tail can be short
-    b = b.withColumn("tokens", (F.col("rows") * F.col("width")).cast("bigint"))
-    b = running_offset(b, ["batch"], "tokens", out="_before")
-    b = b.where(F.col("_before") < F.lit(max_tokens))
-    return b.select((F.col("batch") + 1).cast("bigint").alias("step"), "epoch", "rows", "width", "tokens",
-                    (F.col("_before") + F.col("tokens")).alias("cum_tokens"))
+        return spark.createDataFrame([], "step bigint, epoch int, rows bigint, width int, tokens bigint, cum_tokens bigint")
+    cnt = int(st["cnt"])
+    times = batch_size // gcd(cnt, batch_size)               # epochs in a period
+    size = cnt * times // batch_size                         # batches in a period
+    rep = x.withColumn("_e", F.explode(F.sequence(F.lit(0), F.lit(times - 1)))).withColumn("_s", F.col("_e").cast("bigint") * F.lit(cnt) + F.col("_i"))
+    b = (rep.groupBy(F.floor(F.col("_s") / batch_size).cast("bigint").alias("_b"))
+          .agg(F.max(n).cast("int").alias("width")))
+    b = b.withColumn("tokens", F.lit(batch_size).cast("bigint") * F.col("width"))
+    b = materialize(running_offset(materialize(b), ["_b"], "tokens", out="_before"))
+    whole = int(b.agg(F.sum("tokens")).first()[0])
+    periods, rest = divmod(max_tokens, whole)
+    steps = periods * size + b.where(F.col("_before") < F.lit(rest)).count()
+    out = spark.range(steps).select((F.col("id") + 1).alias("step"), F.floor(F.col("id") / size).cast("bigint").alias("_p"),
+                                    F.pmod(F.col("id"), F.lit(size)).alias("_b"))
+    out = out.join(F.broadcast(b) if fits(b, 2_000_000) else b, "_b")
+    epoch = F.floor(F.col("_b") * F.lit(batch_size) / F.lit(cnt)) + F.col("_p") * F.lit(times)
+    return out.select("step", epoch.cast("int").alias("epoch"), F.lit(batch_size).cast("bigint").alias("rows"), "width", "tokens",
+                      (F.col("_p") * F.lit(whole) + F.col("_before") + F.col("tokens")).alias("cum_tokens"))
 
 
 def step_log(steps: DataFrame, every: int) -> DataFrame:

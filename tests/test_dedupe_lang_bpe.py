@@ -203,3 +203,56 @@ def test_registered_bpe_queries_train_the_whole_vocabulary(spark, monkeypatch):
         with pytest.raises(StopIteration):
             catalog.QUERIES[name](spark, "")
     assert sizes == [(None, 32_000)] * 2
+
+
+def test_language_of_rows_that_share_a_key(spark, monkeypatch):
+    """Row by row, the same with a broadcast and a joined profile."""
+    from quire.operators import lang as L
+    train = spark.createDataFrame([("en", "the cat and the dog with that"), ("de", "der hund und die katze nicht auch")], "lang string, text string")
+    rows = [(1, "the dog"), (1, "die katze"), (2, None), (3, ""), (4, "THE\u2003AND that"), (4, "THE\u2003AND that"), (None, "auch nicht")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    prof, consts = L.train_profile(train)
+    key = lambda r: (str(r.doc_id), r.lang_pred, round(r.score, 6))                # noqa: E731
+    one = sorted(map(key, L.detect_language(d, prof, consts).collect()))
+    assert [k[:2] for k in one] == sorted([("1", "de"), ("1", "en"), ("2", "de"), ("3", "de"), ("4", "en"), ("4", "en"), ("None", "de")])
+    plan = L.detect_language(d, prof, consts)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    monkeypatch.setattr(L, "BROADCAST_PROFILE_ROWS", 0)
+    assert sorted(map(key, L.detect_language(d, prof, consts).collect())) == one
+
+
+def test_forecast_errors_cost_rounds_not_exactness(spark, monkeypatch):
+    """A forecast from three words, two pairs and small steps gives the same merges."""
+    import random
+    from quire.operators import bpe as B
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcde") for _ in range(rnd.randrange(1, 8))) for _ in range(60)] + ["aaaaaaa", "é😀é😀"]
+    df = spark.createDataFrame([(i, " ".join(rnd.choices(words, k=40))) for i in range(30)] + [(99, None)], "doc_id long, text string")
+    whole = [tuple(r) for r in B.train_bpe(df, num_merges=60)[0].orderBy("rank").collect()]
+    for name, value in (("FORECAST", 3), ("TOP", 2), ("STEPS", (4, 16)), ("HELD", 5)):
+        monkeypatch.setattr(B, name, value)
+    assert [tuple(r) for r in B.train_bpe(df, num_merges=60)[0].orderBy("rank").collect()] == whole
+    # one by one
+    count = collections.Counter("▁" + w for r in df.collect() if r.text for w in r.text.split())
+    split = {w: list(w) for w in count}
+    for _, left, right in whole:
+        pairs = collections.Counter()
+        for w, s in split.items():
+            for p in zip(s, s[1:]):
+                pairs[p] += count[w]
+        assert (left, right) == min(pairs, key=lambda p: (-pairs[p], p))
+        for s in split.values():
+            i = 0
+            while i < len(s) - 1:
+                if (s[i], s[i + 1]) == (left, right):
+                    s[i:i + 2] = [left + right]
+                i += 1
+
+
+def test_encode_keeps_rows_apart(spark):
+    from quire.operators import bpe as B
+    df = spark.createDataFrame([(1, "a b"), (1, "b\u2003c"), (2, None), (3, "zz \x00")], "doc_id long, text string")
+    m, v = B.train_bpe(df.where("doc_id = 1"), num_merges=3)
+    got = B.bpe_encode(df, m, v).collect()
+    inv = {r.id: r.token for r in v.collect()}
+    assert sorted((r.doc_id, "".join(inv.get(i, "?") for i in r.input_ids)) for r in got) == [(1, "▁a▁b"), (1, "▁b▁c"), (2, ""), (3, "▁??▁?")]

@@ -88,6 +88,24 @@ def test_token_budget(spark):
         assert [r.cum_tokens for r in got] == want, (lengths, rows, budget)
 
 
+def test_budget_of_many_epochs(spark):
+    """Step by step against a plain loop, and the source's 300 billion tokens
+    without repeating the rows."""
+    lengths, rows, budget = [3, 1, 4, 1, 5, 9, 2], 4, 3000
+    df = spark.createDataFrame(list(enumerate(lengths)), "seq_id long, n_tokens long")
+    want, at, total = [], 0, 0
+    while total < budget:
+        batch = [lengths[(at + i) % 7] for i in range(rows)]
+        total += rows * max(batch)
+        want.append((len(want) + 1, at // 7, rows, max(batch), rows * max(batch), total))
+        at += rows
+    assert sorted(tuple(r) for r in budget_batches(df, rows, budget).collect()) == want
+    long = budget_batches(df, rows, 300_000_000_000)
+    per = sum(w[4] for w in want[:7])
+    assert long.where("step = 7000000").first().cum_tokens == per * 1_000_000
+    assert long._jdf.queryExecution().optimizedPlan().toString().count("Range") == 1
+
+
 def test_labels_of_the_input_are_padded(spark):
     df = spark.createDataFrame([(0, [1, 2], [7, 8]), (1, [3], [9])], "seq_id long, input_ids array<int>, labels array<int>")
     got = batch_and_pad(df, 2).orderBy("seq_id").collect()

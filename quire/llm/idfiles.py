@@ -43,7 +43,7 @@ MAGIC = b"QID1"
 HEAD = "<4sIIIQQ"
 BLOCK = 1 << 20              # ids in a block, about
 FILE_BYTES = 64 << 20        # text bytes per file, about
-STEP = 4 << 20               # text bytes encoded at a time, about
+STEP = 1 << 20               # text bytes encoded at a time, about
 SAMPLE = 40                  # rows a file that bounds are taken from
 HEAD_IDS = 256               # bytes of ids that place a row among the files
 # control byte -> lengths of its four values

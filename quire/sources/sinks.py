@@ -9,8 +9,9 @@ from quire.functions.text import py_strip
 
 
 def page_dump_value(url: str = "url", html: str = "html", marker: str = "---ENDDOC---"):
-    """B1: ``URL: u⏎<html>⏎…⏎</html>⏎---ENDDOC---``."""
-    return F.concat(F.lit("URL: "), F.col(url), F.lit("\n<html>\n"), F.col(html), F.lit("\n</html>\n" + marker))
+    """B1: ``URL: u⏎<html>⏎…⏎</html>⏎---ENDDOC---``; a null url or page counts as empty."""
+    u, h = (F.coalesce(F.col(c), F.lit("")) for c in (url, html))
+    return F.concat(F.lit("URL: "), u, F.lit("\n<html>\n"), h, F.lit("\n</html>\n" + marker))
 
 
 def sentinel_value(text: str = "text", marker: str = "---ENDDOC---"):

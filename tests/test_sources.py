@@ -123,3 +123,11 @@ def test_partitioned_text(spark):
     K.write_text(df, d + "/x", order="o", partition_by=["split"])
     back = spark.read.text(d + "/x")
     assert sorted((r.split, r.value) for r in back.collect()) == [("test", "b"), ("train", "a"), ("train", "c")]
+
+
+def test_page_dump_keeps_pages_with_nulls(spark):
+    from quire.sources.sinks import page_dump_value
+    df = spark.createDataFrame([("u", None), (None, "<p>x"), (None, None)], "url string, html string")
+    got = sorted(r.v for r in df.select(page_dump_value().alias("v")).collect())
+    end = "\n</html>\n---ENDDOC---"
+    assert got == sorted(["URL: u\n<html>\n" + end, "URL: \n<html>\n<p>x" + end, "URL: \n<html>\n" + end])

@@ -146,27 +146,75 @@ def _verify(cand: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return v.where(F.col("inter") / F.col("uni") >= F.lit(float(threshold))).select("a", "b", "inter", "uni")
 
 
+PRIME = (1 << 31) - 1          # shingle hashes of the signatures are residues
+
+
+def signature_factors(k: int) -> list[int]:
+    """Multiplier of each word of a shingle (powers of a primitive root)."""
+    return [pow(48271, j + 1, PRIME) for j in range(k)]
+
+
+def residues(c, k: int = 3):
+    """Sorted distinct 31-bit shingle hashes from a column ``c`` of the words'
+    CRC-32: a shingle is an affine sum of its words' residues.  A text of fewer
+    than k words is one shingle."""
+    n = F.size(c)
+    z = F.arrays_zip(*[F.slice(c, j + 1, F.greatest(n, F.lit(1))) for j in range(k)])
+
+    def affine(e):
+        parts = [F.coalesce(e[str(j)], F.lit(0)) % PRIME * F.lit(a) % PRIME for j, a in enumerate(signature_factors(k))]
+        return sum(parts[1:], parts[0]) % PRIME
+
+    grams = F.transform(F.filter(z, lambda e: e[str(k - 1)].isNotNull()), affine)
+    return F.array_sort(F.array_distinct(F.when(n == 0, F.array().cast("array<bigint>"))
+                                          .when(n < k, F.transform(F.slice(z, 1, 1), affine)).otherwise(grams)))
+
+
+def signatures(reps: DataFrame, k: int, bins: int) -> DataFrame:
+    """``rep, sig array<bigint>``: one-permutation min-hash, null for a text
+    without a shingle.  The range of the hash is cut into ``bins`` equal parts; a
+    part holds its smallest hash, an empty one borrows that of the next part
+    that has any (the last ones from the first).  One hash per shingle, whatever
+    the number of bins."""
+    width = -(-PRIME // bins)
+    # every array is a projection of its own: built once, read several times; no
+    # filter on them, which would build them once more below
+    x = reps.select("rep", F.transform(ws_tokens(F.lower("text")), lambda t: F.crc32(t)).alias("_c"))
+    x = x.select("rep", residues(F.col("_c"), k).alias("_v"))
+    v, m = F.col("_v"), F.col("_m")
+    x = x.select("rep", F.filter(v, lambda h, i: (i == 0) | (F.floor(h / width) != F.floor(F.get(v, i - 1) / width))).alias("_m"))
+    steps = F.array(*[F.lit(1 << s) for s in reversed(range(bins.bit_length()))])
+
+    def at_or_after(j):                                   # minima below bin j: binary search
+        low = F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+            (at + s <= F.size(m)) & (F.get(m, at + s - 1) < j * F.lit(width)), at + s).otherwise(at))
+        return F.coalesce(F.get(m, low), F.get(m, F.lit(0)))
+
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
+    return x.select("rep", F.when(F.size(m) > 0, F.transform(every, at_or_after)).alias("sig"))
+
+
 def minhash_edges(df: DataFrame, threshold: float = 0.8, text: str = "text", key: str = "doc_id",
-                  k: int = 3, bands: int = 20, rows: int = 6, seed: int = 1,
+                  k: int = 3, bands: int = 20, rows: int = 6,
                   reps: DataFrame | None = None) -> DataFrame:
-    """MinHash LSH (``bands x rows`` min-hashes).  Each band bucket links
+    """MinHash LSH over one-permutation signatures of ``bands x rows``
+    bins; band ``b`` reads the bins ``b, b + bands, ...``, so that bins that
+    borrow from one another fall into different bands.  Each band bucket links
     its members to the bucket's smallest id, verified exactly; members that
     are not like it stay and are linked to the smallest of those that remain,
     until every bucket is settled.  A bucket costs its size times the number
-    of unlike texts in it, never its square for near copies.  Output ``a < b,
-    inter, uni`` like :func:`similar_pairs`: the same clusters with high
-    probability, not every pair inside a cluster."""
-    sets = shingle_sets(reps if reps is not None else representatives(df, text, key), k)
-    nh = bands * rows
-    sig = F.transform(F.sequence(F.lit(0), F.lit(nh - 1)),
-                      lambda j: F.array_min(F.transform("s", lambda s: F.xxhash64(s, j + F.lit(seed)))))
-    x = sets.select("rep", sig.alias("_sig")).where(F.size("s") > 0)
-    bk = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                     lambda b: F.xxhash64(b, F.slice("_sig", b * rows + 1, rows)))
-    x = materialize(x.select("rep", F.posexplode(bk).alias("_band", "_key")))
+    of unlike texts in it, never its square for near copies.  Shingle sets are
+    built for the members of shared buckets only.  Output ``a < b, inter, uni``
+    like :func:`similar_pairs`: the same clusters with high probability, not
+    every pair inside a cluster."""
+    reps = reps if reps is not None else materialize(representatives(df, text, key))
+    x = signatures(reps, k, bands * rows)
+    bk = F.array(*[F.xxhash64(*[F.get("sig", F.lit(b + bands * i)) for i in range(rows)]) for b in range(bands)])
+    x = materialize(x.select("rep", F.posexplode(F.when(F.col("sig").isNotNull(), bk)).alias("_band", "_key")))
     # only keys that occur twice can give a candidate
     n = x.groupBy("_band", "_key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c")
     x = materialize(x.join(n, ["_band", "_key"], "left_semi"))
+    sets = shingle_sets(reps.join(x.select("rep").distinct(), "rep", "left_semi"), k)
     found = None
     while x.limit(1).count():
         heads = x.groupBy("_band", "_key").agg(F.min("rep").alias("_head"))

@@ -414,7 +414,7 @@ def q_corpus_funnel(spark, sf):
 
 
 # ---------------------------------------------------------------- F2-F4
-from quire.operators.dedupe import minhash_edges, near_dup_survivors, similar_pairs  # noqa: E402
+from quire.operators.dedupe import PRIME, minhash_edges, near_dup_survivors, signature_factors, similar_pairs  # noqa: E402
 
 SHINGLE_SQL = f"""reps AS (SELECT min(doc_id) AS rep, t FROM (SELECT doc_id, {S.strip('text')} AS t FROM documents)
   WHERE t <> '' GROUP BY sha256(t), t),
@@ -432,7 +432,31 @@ def q_near_dup_exact(spark, sf):
     return similar_pairs(T(spark, sf, "documents").select("doc_id", "text"), 0.8)
 
 
-@register("near_dup_lsh")
+# the buckets of the signatures, then bucket by bucket the smallest id and what
+# is not like it, until none is left
+LSH_SQL = f"""WITH RECURSIVE {SHINGLE_SQL}, {S.CRC_TABLE},
+words AS (SELECT DISTINCT unnest(w) AS word FROM tk),
+crc AS MATERIALIZED (SELECT word, {S.crc32('word')} % {PRIME} AS c FROM words, crc_table),
+pos AS (SELECT rep, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM tk),
+run AS (SELECT rep, i, c, lead(c, 1) OVER o AS c1, lead(c, 2) OVER o AS c2, count(*) OVER (PARTITION BY rep) AS n
+  FROM pos JOIN crc USING (word) WINDOW o AS (PARTITION BY rep ORDER BY i)),
+v AS (SELECT DISTINCT rep, (c * @0@ % {PRIME} + coalesce(c1 * @1@ % {PRIME}, 0) + coalesce(c2 * @2@ % {PRIME}, 0)) % {PRIME} AS h
+  FROM run WHERE c2 IS NOT NULL OR (n < 3 AND i = 1)),
+lo AS (SELECT rep, min(h) AS m FROM v GROUP BY rep, h // @W@),
+sig AS (SELECT rep, j, coalesce(min(m) FILTER (WHERE m >= j * @W@), min(m)) AS s FROM lo, range(120) r(j) GROUP BY rep, j),
+bk AS (SELECT rep, j % 20 AS band, list(s ORDER BY j) AS bucket FROM sig GROUP BY rep, j % 20),
+shared AS MATERIALIZED (SELECT * FROM bk QUALIFY count(*) OVER (PARTITION BY band, bucket) > 1),
+simm AS MATERIALIZED (SELECT * FROM sim),
+x AS (SELECT rep, band, bucket, min(rep) OVER (PARTITION BY band, bucket) AS head FROM shared
+  UNION ALL SELECT rep, band, bucket, min(rep) OVER (PARTITION BY band, bucket) FROM x
+  WHERE rep <> head AND NOT EXISTS (SELECT 1 FROM simm WHERE a = head AND b = rep))
+SELECT DISTINCT a, b, inter, uni FROM x JOIN simm ON a = head AND b = rep"""
+for _j, _a in enumerate(signature_factors(3)):
+    LSH_SQL = LSH_SQL.replace(f"@{_j}@", str(_a))
+LSH_SQL = LSH_SQL.replace("@W@", str(-(-PRIME // 120)))
+
+
+@register("near_dup_lsh", LSH_SQL)
 def q_near_dup_lsh(spark, sf):
     return minhash_edges(T(spark, sf, "documents").select("doc_id", "text"), 0.8)
 
@@ -552,7 +576,11 @@ def q_crawl_links(spark, sf):
     return C.crawl(p.select("url"), e, p)
 
 
-@register("url_crc_shard")
+@register("url_crc_shard", f"""WITH {LINKS_SQL}, {S.CRC_TABLE},
+seeds AS (SELECT DISTINCT {S.origin('url')} || '/' AS url FROM pages),
+urls AS (SELECT DISTINCT {S.resolve_url('url', 'href')} AS url FROM lk UNION SELECT url FROM seeds)
+SELECT url, CAST(p AS INTEGER) AS part FROM seeds, range(4) r(p)
+UNION ALL SELECT url, CAST({S.crc32('url')} % 4 AS INTEGER) FROM urls, crc_table WHERE url NOT IN (SELECT url FROM seeds)""")
 def q_url_crc_shard(spark, sf):
     p = T(spark, sf, "pages").select("url", "html")
     e = C.link_edges(p)

@@ -174,3 +174,18 @@ def origin(u: str) -> str:
 
 def host(u: str) -> str:
     return f"split_part(split_part(split_part(split_part({u}, '://', 2), '/', 1), '?', 1), '#', 1)"
+
+
+# ---------------------------------------------------------------- CRC-32
+# DuckDB has no CRC-32: the table of the reflected polynomial by its rule (one
+# row, ``crc_table(tbl)``) and the checksum of a string as a fold over its bytes
+CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list_transform(range(0, 256), lambda n: list_reduce(
+  list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+  lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tbl)"""
+
+
+def crc32(col: str) -> str:
+    """CRC-32 of a string column; needs ``tbl`` of :data:`CRC_TABLE` in scope."""
+    data = f"list_transform(range(0, strlen({col})), lambda i: CAST('0x' || substr(hex({col}), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(4294967295, {data}), "
+            f"lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295)")

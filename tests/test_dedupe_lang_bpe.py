@@ -92,6 +92,32 @@ def test_lsh_finds_pairs_away_from_the_bucket_minimum(spark):
     assert lab == {i: 1 for i in range(1, 30)}
 
 
+def test_signature_bins_by_hand(spark):
+    """Every bin against the rule: the smallest residue at or after the bin's
+    start, else the smallest of all."""
+    import zlib
+    from quire.operators.dedupe import PRIME, signature_factors, signatures
+    texts = ["", "one", "one two", "one two three", words(40), words(500) + " Ü ü", "a a a a a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "rep long, text string")
+    for bins in (1, 7, 120):
+        width, f = -(-PRIME // bins), signature_factors(3)
+        got = {r.rep: list(r.sig) for r in signatures(df, 3, bins).collect() if r.sig}
+        want = {}
+        for i, t in enumerate(texts):
+            c = [zlib.crc32(w.encode()) % PRIME for w in t.lower().split()]
+            runs = [c[j:j + 3] for j in range(len(c) - 2)] if len(c) >= 3 else [c] if c else []
+            h = {sum(a * b for a, b in zip(r, f)) % PRIME for r in runs}
+            if h:
+                want[i] = [min([v for v in h if v >= j * width], default=min(h)) for j in range(bins)]
+        assert got == want
+
+
+def test_lsh_without_a_candidate(spark):
+    df = spark.createDataFrame([(0, "a b c d"), (1, "e f g h"), (2, None)], "doc_id long, text string")
+    assert minhash_edges(df).collect() == []
+    assert sorted(r.doc_id for r in near_dup_survivors(df).collect()) == [0, 1]
+
+
 def test_components_and_survivors(spark):
     e = spark.createDataFrame([(1, 3), (2, 3), (5, 6), (7, 7)], "a long, b long")
     lab = {r.node: r.label for r in components(e).collect()}

@@ -5,38 +5,54 @@ adding one, move to the next shard when the current shard already holds at
 least ``total / N`` tokens; the last shard takes the rest.
 
 Spark form: prefix sums give every sequence its tokens-before (``cb``).  A
-shard starts at the first ``cb`` that is ``>= start + ceil(total/N)``.  With
-equal lengths (always true after packing) this is a closed form; otherwise
-the N-1 start points are found one after another, each a tiny aggregate over
-a range-sorted Parquet table whose row-group statistics prune the scan to
-the one or two groups that can hold the answer.
+shard starts at the first ``cb`` that is ``>= start + step`` with ``step =
+ceil(total/N)``.  With equal lengths (always true after packing) this is a
+closed form.  Otherwise a start overshoots its goal by less than the longest
+sequence, so the j-th start after a known one lies in a window of ``j *
+longest`` tokens behind ``j * step``.  One job gathers the ``cb`` in the windows
+of as many shards as a fixed number of rows allows, and binary searches among
+them give the starts one by one.
 """
 
 from __future__ import annotations
 
-import uuid
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.operators.order import bucket_column, running_offset
-from quire.session import ensure_checkpoint_dir, materialize
+from quire.session import materialize
 
 
-def _starts(x: DataFrame, num_shards: int, total: int, maxlen: int) -> list[int]:
-    spark = x.sparkSession
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/reshard-{uuid.uuid4().hex}"
-    (x.select("_cb").repartitionByRange("_cb").sortWithinPartitions("_cb")
-      .write.option("parquet.block.size", 8 << 20).parquet(path))
-    t = spark.read.parquet(path)
+WINDOW_ROWS = 500_000          # longs that may lie on the driver at once
+
+
+def _starts(x: DataFrame, num_shards: int, total: int, maxlen: int, rows: int,
+            most: int = WINDOW_ROWS) -> list[int]:
+    """First ``_cb`` of every shard.  Where sequences are short, windows hold more
+    rows than expected: the job returns the ``most`` smallest, and the next one goes
+    on behind the last start found among them (each finds at least one)."""
     step = -(-total // num_shards)                  # ceil(total / N)
-    starts, cur = [0], 0
-    for _ in range(num_shards - 1):
-        thr = cur + step
-        r = t.where((F.col("_cb") >= thr) & (F.col("_cb") < thr + maxlen)).agg(F.min("_cb")).first()[0]
-        if r is None:
-            break
-        starts.append(int(r))
-        cur = int(r)
+    # k windows hold about k^2 / 2 * maxlen * rows / total rows
+    batch = max(1, int((most * total / (maxlen * rows)) ** 0.5))
+    x = x.select("_cb")
+    if batch < num_shards - 1:                      # several jobs: read the wide rows once
+        x = materialize(x)
+    starts = [0]
+    while len(starts) < num_shards:
+        k = min(batch, num_shards - len(starts))
+        gone = F.col("_cb") - F.lit(starts[-1])
+        j = F.least(F.floor(gone / step), F.lit(k))  # the last start that this row can be
+        near = x.where((gone >= step) & (gone < k * (step + maxlen)) & (gone < j * (step + maxlen)))
+        cbs = [r[0] for r in near.orderBy("_cb").limit(most).collect()]
+        for _ in range(k):
+            i = bisect_left(cbs, starts[-1] + step)
+            if i < len(cbs):
+                starts.append(int(cbs[i]))
+            elif len(cbs) < most:                   # no sequence behind the goal: the rest stays empty
+                return starts
+            else:
+                break
     return starts
 
 
@@ -57,7 +73,7 @@ def reshard_by_tokens(df: DataFrame, num_shards: int, n: str = "n_tokens", order
         idx = F.col("_cb") / F.lit(st["lo"])
         shard = F.least(F.lit(num_shards - 1), F.floor(idx / per))
         return x.withColumn(out, shard.cast("int")).drop("_cb", "_tot")
-    starts = _starts(x, num_shards, int(st["tot"]), int(st["hi"]))
+    starts = _starts(x, num_shards, int(st["tot"]), int(st["hi"]), int(st["cnt"]))
     bounds = [(s,) for s in starts[1:]]
     b = bucket_column(x, ["_cb"], bounds)
     return x.withColumn(out, b.cast("int")).drop("_cb", "_tot")

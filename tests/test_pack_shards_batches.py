@@ -59,6 +59,27 @@ def test_reshard_by_prefix_sums(spark):
             assert [got[i] for i in range(len(lengths))] == [sum(s <= b for s in starts) - 1 for b in before], (lengths, n)
 
 
+def test_shard_starts_in_one_job_and_in_many(spark):
+    """Few long among many short sequences; windows that overlap, windows that
+    hold more rows than allowed, and the number of jobs."""
+    from quire.operators.shards import _starts
+    rnd = random.Random(5)
+    lengths = [rnd.choice([1, 1, 1, 2, 40]) for _ in range(400)] + [1] * 300 + [90, 2, 2]
+    before = [0, *accumulate(lengths)][:-1]
+    x = spark.createDataFrame([(b,) for b in before], "_cb long")
+    for n in (1, 2, 7, 60, 500):
+        want = shard_starts(before, sum(lengths), n)
+        for most in (1, 3, 50, 100_000):
+            if n * 3 <= most or n <= 7:
+                assert _starts(x, n, sum(lengths), max(lengths), len(lengths), most) == want, (n, most)
+    sc = spark.sparkContext
+    sc.setJobGroup("starts", "shard starts")
+    _starts(x, 60, sum(lengths), max(lengths), len(lengths))
+    jobs = sc.statusTracker().getJobIdsForGroup("starts")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2                                      # with adaptive execution, a job per stage
+
+
 def test_reshard_written_out(spark):
     df = spark.createDataFrame(list(enumerate([3, 100, 2, 2, 2, 1])), "seq_id long, n_tokens long")
     assert [r.shard for r in reshard_by_tokens(df, 3).orderBy("seq_id").collect()] == [0, 0, 1, 1, 1, 1]

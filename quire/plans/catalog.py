@@ -637,7 +637,7 @@ def q_stream_ingest(spark, sf):
 @register("stream_dedupe", f"""WITH {LINES_SQL} SELECT DISTINCT sha256(text) AS h FROM lines""")
 def q_stream_dedupe(spark, sf):
     s = _feed(spark, sf, "documents", "doc_id").select("doc_id", collapse_lines(py_strip("text")).alias("text"))
-    return M.run_to_table(M.dedupe_stream(s)).select("h")
+    return M.StreamDedupe(spark).run(s).select("h")
 
 
 @register("stream_counters", f"""WITH {LINES_SQL},

@@ -4,8 +4,9 @@ The source scripts grow their state as data arrives (a ``seen`` hash set, a
 carried token buffer, running counts).  Here:
 
 * M1 ingest: the batch column expressions on a file stream, append sink.
-* M2 dedupe: ``dropDuplicates`` on the content hash (state store); with an
-  event-time column, ``dropDuplicatesWithinWatermark`` bounds the state.
+* M2 dedupe: ``StreamDedupe`` keeps the hashes seen in a bucketed table on
+  disk; ``dedupe_stream`` is the form with a state store, which an event-time
+  column bounds (``dropDuplicatesWithinWatermark``).
 * M3 pack: ``foreachBatch``; each micro-batch packs (carried tail + new
   documents), writes its full windows under its batch id (overwrite, so a
   replayed batch gives the same files) and stores the new tail (< seq_len
@@ -54,6 +55,83 @@ def dedupe_stream(docs: DataFrame, text: str = "text", event_time: str | None =
     return x.dropDuplicates(["h"])
 
 
+def _write_buckets(x: DataFrame, path: str) -> None:
+    x.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+class StreamDedupe:
+    """M2 for ever in bounded memory: first arrival of each distinct stripped
+    text wins, blank texts go.
+
+    The hashes seen lie in Parquet under ``root``, one folder per bucket of the
+    hash, so no executor holds them: a micro-batch aggregates its own rows to one
+    per hash (smallest ``order`` first) and anti-joins the buckets it touches.
+    Each batch writes its rows and its new hashes under its own id and
+    reads only what lower ids wrote, so a replayed batch gives the same files.
+    Every ``merge_every`` batches the hashes so far are written as one table,
+    which replaces the tables of the batches below it (the one before is kept
+    until the next, for a replay), so files and disk stay in proportion to the
+    distinct texts.  Batches must come in order; a missing one raises."""
+
+    def __init__(self, spark: SparkSession, text: str = "text", order: str = "doc_id", buckets: int = 64,
+                 merge_every: int = 16, root: str | None = None):
+        self.spark, self.text, self.order = spark, text, order
+        self.buckets, self.every = int(buckets), int(merge_every)
+        self.root = root or scratch(spark, "stream-dedupe")
+
+    def _delete(self, *paths: str) -> None:
+        for path in paths:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def _seen(self, bid: int) -> DataFrame | None:
+        """Hashes written by the batches below ``bid``, with their bucket."""
+        base = bid // self.every * self.every
+        paths = [f"{self.root}/merged/{base}"] * (base > 0) + [f"{self.root}/seen/{i}" for i in range(base, bid)]
+        missing = [p for p in paths if not path_exists(self.spark, p)]
+        if missing:
+            raise RuntimeError(f"batch {bid} without {missing[0]}")
+        tables = [self.spark.read.schema("h string, bucket int").parquet(p) for p in paths]
+        out = None
+        for t in tables:
+            out = t if out is None else out.unionByName(t)
+        return out
+
+    def _merge(self, bid: int) -> None:
+        """The table of all batches below ``bid``, from the last one and what came since."""
+        last = bid - self.every
+        parts = [f"{self.root}/merged/{last}"] * (last > 0) + [f"{self.root}/seen/{i}" for i in range(last, bid)]
+        x = self.spark.read.schema("h string, bucket int").parquet(parts[0])
+        for p in parts[1:]:
+            x = x.unionByName(self.spark.read.schema("h string, bucket int").parquet(p))
+        _write_buckets(x, f"{self.root}/merged/{bid}")
+        old = last - self.every
+        self._delete(*[f"{self.root}/merged/{old}"] * (old > 0), *[f"{self.root}/seen/{i}" for i in range(max(old, 0), last)])
+
+    def __call__(self, bdf: DataFrame, bid: int) -> None:
+        x = bdf.withColumn(self.text, py_strip(self.text)).where(F.col(self.text) != "")
+        x = materialize(x.withColumn("h", content_hash(self.text)))
+        x = x.withColumn("_at", F.monotonically_increasing_id())       # ties in ``order``
+        first = x.groupBy("h").agg(F.min(F.struct(self.order, "_at")).alias("_k"))
+        first = first.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(self.buckets)).cast("int"))
+        if bid > 0 and bid % self.every == 0 and not path_exists(self.spark, f"{self.root}/merged/{bid}/_SUCCESS"):
+            self._merge(bid)
+        seen = self._seen(bid)
+        new = first
+        if seen is not None:
+            touched = [r[0] for r in first.select("bucket").distinct().collect()]     # at most ``buckets``
+            new = first.join(seen.where(F.col("bucket").isin(touched)), ["bucket", "h"], "left_anti")
+        new = materialize(new)
+        out = x.join(new.select("h", F.col("_k._at").alias("_at")), ["h", "_at"]).drop("_at")
+        out.write.mode("overwrite").parquet(f"{self.root}/out/batch={bid}")
+        _write_buckets(new.select("h", "bucket"), f"{self.root}/seen/{bid}")
+
+    def run(self, stream: DataFrame, checkpoint: str | None = None) -> DataFrame:
+        ck = checkpoint or scratch(self.spark, "stream-dedupe-ckpt")
+        _drain(stream.writeStream.foreachBatch(self).option("checkpointLocation", ck))
+        return self.spark.read.parquet(self.root + "/out").drop("batch")
+
+
 def drops(df: DataFrame, order: str, least: int = 3, rows: int = 200_000) -> str:
     """Feed for the stream queries: a folder that holds ``df`` as one file per
     range of ``order`` (at least ``least``, about ``rows`` rows each), written

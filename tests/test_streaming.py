@@ -41,6 +41,46 @@ def test_stream_dedupe_equals_batch(spark):
     assert sorted(r.doc_id for r in out.collect()) == [0, 1, 4]
 
 
+SCHEMA = "doc_id long, text string"
+
+
+def test_seen_table_first_arrival_wins_over_many_batches(spark):
+    """Twelve batches over three merges against a plain loop: repeats inside a
+    batch, of an old batch, blank and null texts, equal ids, an empty batch."""
+    batches = [[(10 * b + i, f" t{(7 * b + 3 * i) % 23} ") for i in range(5)] for b in range(12)]
+    batches[1] = [(15, "twice"), (11, "twice"), (11, "twice"), (12, ""), (13, None), (14, "  ")]
+    batches[5] = []
+    d = M.StreamDedupe(spark, buckets=4, merge_every=3)
+    seen, want = set(), []
+    for b, rows in enumerate(batches):
+        d(spark.createDataFrame(rows, SCHEMA).coalesce(1), b)
+        for i, t in sorted((i, t.strip()) for i, t in rows if t and t.strip()):
+            if t not in seen:
+                seen.add(t)
+                want.append((i, t))
+    read = lambda: sorted((r.doc_id, r.text) for r in spark.read.parquet(d.root + "/out").collect())
+    assert read() == sorted(want)
+    # the last batch again: same rows
+    d(spark.createDataFrame(batches[11], SCHEMA).coalesce(1), 11)
+    assert read() == sorted(want)
+    kept = {k: sorted(int(x) for x in os.listdir(d.root.replace("file:", "") + "/" + k)) for k in ("seen", "merged")}
+    assert kept == {"seen": [6, 7, 8, 9, 10, 11], "merged": [6, 9]}
+
+
+def test_missing_batch_raises(spark):
+    import pytest
+    d = M.StreamDedupe(spark, buckets=2)
+    d(spark.createDataFrame([(1, "a")], SCHEMA), 0)
+    with pytest.raises(RuntimeError):
+        d(spark.createDataFrame([(2, "b")], SCHEMA), 2)
+
+
+def test_seen_table_as_a_stream(spark):
+    df = spark.range(40).selectExpr("id as doc_id", "concat('text ', id % 7) as text")
+    out = M.StreamDedupe(spark, buckets=3, merge_every=2).run(M.drop_stream(spark, M.drops(df, "doc_id", least=5), df.schema))
+    assert sorted(r.doc_id for r in out.collect()) == list(range(7)) and M.batches_run >= 5
+
+
 def test_queries_run_several_batches(spark):
     df = spark.range(40).selectExpr("id as doc_id", "concat('text ', id % 7) as text")
     path = M.drops(df, "doc_id", least=4)

@@ -709,14 +709,14 @@ def q_roundtrip_lines(spark, sf):
 e AS (SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS ids FROM toks JOIN vocab USING (token) GROUP BY doc_id)
 SELECT row_number() OVER (ORDER BY doc_id % 4, doc_id) - 1 AS seq_id, sha256(ids) AS ids_sha256 FROM e""")
 def q_roundtrip_seq(spark, sf):
-    """B4, B5 + A5, A7: ids as ``ids<shard>.seq``, one file per shard, read
-    back strictly through a glob in path order."""
+    """B4, B5 + A5, A7: ids of four shards in numbered files, read back strictly
+    in the order of the manifest."""
     path = M.scratch(spark, "seq")
     d = T(spark, sf, "documents").select("doc_id", "text")
     enc = encode(d, whitespace_vocab(d)).where(F.size("input_ids") > 0)
     x = enc.select("doc_id", (F.col("doc_id") % 4).cast("int").alias("shard"), ids_to_text("input_ids").alias("value"))
-    K.write_shards(x, path, "ids", order="doc_id")
-    back = R.read_sequences(spark, path + "/ids*.seq")
+    K.write_shard_files(materialize(x), path, "ids", order="doc_id")
+    back = R.read_sequence_shards(spark, path, "ids")
     return back.select("seq_id", content_hash(ids_to_text("input_ids")).alias("ids_sha256"))
 
 

@@ -123,6 +123,26 @@ def read_line_docs(spark: SparkSession, path, drop_blank: bool = True) -> DataFr
     return df
 
 
+def manifest_files(spark: SparkSession, path: str, prefix: str, shard=None) -> list[str]:
+    """The files that ``sinks.write_shard_files`` committed, in order; those of
+    one shard with ``shard``."""
+    m = spark.read.schema("ord long, shard string, number int, file string").json(f"{path.rstrip('/')}/{prefix}.manifest")
+    if shard is not None:
+        m = m.where(F.col("shard") == F.lit(str(shard)))
+    return [f"{path.rstrip('/')}/{r['file']}" for r in m.orderBy("ord").collect()]
+
+
+def read_sequence_shards(spark: SparkSession, path: str, prefix: str, shard=None, tolerant: bool = False) -> DataFrame:
+    """A7 over numbered files: the sequences of the shards that the manifest
+    under ``path`` names, in its order (file names sort as the manifest does).  A
+    file that it names and that is not there is an error."""
+    files = manifest_files(spark, path, prefix, shard)
+    if not files:
+        extra = ", line string, ok boolean" if tolerant else ""
+        return spark.createDataFrame([], "seq_id bigint, input_ids array<int>" + extra)
+    return read_sequences(spark, files, tolerant)
+
+
 def read_sequences(spark: SparkSession, path, tolerant: bool = False) -> DataFrame:
     """``.seq`` files (glob, sorted by path) -> ``seq_id, input_ids``.
 

@@ -111,6 +111,36 @@ def test_line_docs_sequences_and_shard_files(spark):
     assert [list(r.input_ids) for r in got] == [[0, 1], [2, 3], [4, 5], [1, 2], [3, 4], [5, 6]]
 
 
+def test_numbered_shard_files(spark):
+    """Files cut at lengths, ties and a null key kept, one shard read alone, a
+    second run taking over, a lost file raising."""
+    import pytest
+    d = tempfile.mkdtemp(prefix="quire-files-")
+    rows = [(i, 10 * (i % 2), f"{i} {i * i}") for i in range(60)] + [(None, 10, "7"), (59, 10, "8"), (5, 0, "9 " * 300), (-1, 0, "1 " * 50), (-1, 0, "1 " * 50)]
+    df = spark.createDataFrame(rows, "k long, shard int, value string")
+    n = K.write_shard_files(df, d, "ids", order="k", max_bytes=40)
+    assert 10 <= n <= 30
+    m = spark.read.json(d + "/ids.manifest").orderBy("ord").collect()
+    assert [r.ord for r in m] == list(range(n)) and {r.shard for r in m} == {"0", "10"}
+    assert [r.number for r in m if r.shard == "10"] == list(range(sum(r.shard == "10" for r in m)))
+    got = [list(r.input_ids) for r in R.read_sequence_shards(spark, d, "ids").orderBy("seq_id").collect()]
+    want = [[int(t) for t in v.split()] for _, _, v in sorted(rows, key=lambda r: (r[1], -1 if r[0] is None else r[0]))]
+    assert sorted(got) == sorted(want) and [g[:1] for g in got if g not in ([9] * 300, [8])] == [
+        w[:1] for w in want if w not in ([9] * 300, [8])]
+    ten = R.read_sequence_shards(spark, d, "ids", shard=10).orderBy("seq_id").collect()
+    assert [list(r.input_ids) for r in ten] == got[-len(ten):] and len(ten) == 32
+    assert K.write_shard_files(df.where("k < 2"), d, "ids", order="k") >= 2
+    back = R.read_sequence_shards(spark, d, "ids").orderBy("seq_id").collect()
+    assert [list(r.input_ids) for r in back] == [[1] * 50, [1] * 50, [0, 0], [1, 1]]
+    assert K.write_shard_files(df.where("k < -5"), d, "none", order="k") == 0
+    assert R.read_sequence_shards(spark, d, "none").collect() == []
+    with pytest.raises(ValueError):
+        K.write_shard_files(df.withColumn("shard", F.lit(None).cast("int")), d, "bad", order="k")
+    os.remove(R.manifest_files(spark, d, "ids")[0].replace("file:", ""))
+    with pytest.raises(Exception):
+        R.read_sequence_shards(spark, d, "ids").collect()
+
+
 def test_strict_sequences_raise(spark):
     import pytest
     with pytest.raises(Exception):

@@ -1,4 +1,4 @@
-"""Counts and reports."""
+"""Counts and reports."""
 
 from __future__ import annotations
 
@@ -45,3 +45,39 @@ def stage_funnel(stages: list[tuple[str, DataFrame]], text: str = "text") -> Dat
                .withColumn("kept_per_mille", F.when(F.col("_d0") > 0,
                                                     F.floor(F.col("docs") * 1000 / F.col("_d0"))).cast("bigint"))
                .drop("_d0"))
+
+
+# The line formats of the source's end report
+SIZE_HEAD = " type  | shard | lines | bytes"
+SIZE_LINE = "%6s | %5d | %5d | %5d"
+TOKEN_LINE = " Thread %d: %d tokens"
+TOTAL_LINE = " Total tokens across all threads: %d"
+
+
+def end_report(packed: DataFrame, num_shards: int, ids: str = "input_ids", split: str = "split",
+               shard: str = "shard") -> DataFrame:
+    """``ord, value``, the lines of the end report over packed sequences: lines
+    and bytes of every (shard, train/test) file, zero for those without rows, then
+    the train tokens per shard and in all.  One aggregate over the sequences;
+    everything behind it has two rows per shard.  Write it with
+    ``sinks.write_text(..., order="ord")``, read it with ``read_text_ordered``."""
+    spark = packed.sparkSession
+    # a line is its ids joined by one space and a line break
+    size = F.aggregate(F.col(ids), F.lit(0).cast("bigint"), lambda n, i: n + F.length(i.cast("string")) + 1)
+    per = packed.groupBy(F.col(shard).cast("int").alias("_s"), F.col(split).alias("_t")).agg(
+        F.count(F.lit(1)).alias("_l"), F.sum(F.greatest(size, F.lit(1))).cast("bigint").alias("_b"),
+        F.sum(F.size(ids)).cast("bigint").alias("_k"))
+    kinds = F.explode(F.array(*[F.struct(F.lit(i).alias("_o"), F.lit(t).alias("_t")) for i, t in enumerate(("train", "test"))]))
+    files = spark.range(num_shards).select(F.col("id").cast("int").alias("_s"), kinds.alias("_x")).select("_s", "_x.*")
+    rows = files.join(F.broadcast(per) if num_shards <= 100_000 else per, ["_s", "_t"], "left").na.fill(0, ["_l", "_b", "_k"])
+    train = rows.where(F.col("_t") == "train")
+
+    def lines(df, part, value, s=F.lit(0), o=F.lit(0)):
+        return df.select(F.lit(part).alias("_p"), s.cast("int").alias("_s"), o.alias("_o"), value.alias("value"))
+
+    out = (lines(spark.range(1), 0, F.lit(SIZE_HEAD))
+           .unionByName(lines(rows, 1, F.format_string(SIZE_LINE, "_t", "_s", "_l", "_b"), F.col("_s"), F.col("_o")))
+           .unionByName(lines(train, 2, F.format_string(TOKEN_LINE, "_s", "_k"), F.col("_s")))
+           .unionByName(lines(train.agg(F.coalesce(F.sum("_k"), F.lit(0)).alias("_k")), 3, F.format_string(TOTAL_LINE, "_k"))))
+    at = F.row_number().over(Window.orderBy("_p", "_s", "_o")) - 1          # three lines per shard
+    return out.select(at.cast("bigint").alias("ord"), "value")

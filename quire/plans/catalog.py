@@ -290,7 +290,7 @@ def q_allowed_links(spark, sf):
 # ---------------------------------------------------------------- E4, I4
 from quire.operators.shards import reshard_by_tokens, reshard_summary  # noqa: E402
 from quire.operators.batches import batch_and_pad, budget_batches, step_log  # noqa: E402
-from quire.operators.report import lines_bytes, stage_funnel, token_totals  # noqa: E402
+from quire.operators.report import end_report, lines_bytes, stage_funnel, token_totals  # noqa: E402
 from quire.plans.prep import clean_documents, pages_to_documents, prepare_corpus  # noqa: E402
 
 RESHARD_SQL = f"""WITH RECURSIVE s AS (SELECT doc_id, n, sum(n) OVER (ORDER BY doc_id) - n AS cb, sum(n) OVER () AS tot
@@ -772,6 +772,25 @@ def q_split_shard_report(spark, sf):
     return lines_bytes(sharded, by=("split", "shard"))
 
 
+@register("written_report", PACK_SQL.replace("@L@", "64").replace(
+    "SELECT split, CAST(seq_id AS BIGINT) AS seq_id, ids FROM w WHERE n = 64",
+    """, f AS (SELECT split, n, ids, (row_number() OVER (PARTITION BY split ORDER BY seq_id) - 1) % 3 AS shard FROM w WHERE n = 64),
+d AS (SELECT s.shard, t.split, t.o FROM range(4) s(shard), (VALUES ('train', 0), ('test', 1)) t(split, o)),
+c AS (SELECT shard, split, o, count(ids) AS l, CAST(coalesce(sum(strlen(ids) + 1), 0) AS BIGINT) AS b,
+  CAST(coalesce(sum(n), 0) AS BIGINT) AS k FROM d LEFT JOIN f USING (shard, split) GROUP BY shard, split, o),
+u AS (SELECT 0 AS p, 0 AS shard, 0 AS o, ' type  | shard | lines | bytes' AS value
+  UNION ALL SELECT 1, shard, o, printf('%6s | %5d | %5d | %5d', split, shard, l, b) FROM c
+  UNION ALL SELECT 2, shard, 0, printf(' Thread %d: %d tokens', shard, k) FROM c WHERE split = 'train'
+  UNION ALL SELECT 3, 0, 0, printf(' Total tokens across all threads: %d', CAST(sum(k) AS BIGINT)) FROM c WHERE split = 'train')
+SELECT row_number() OVER (ORDER BY p, shard, o) - 1 AS ord, value FROM u"""))
+def q_written_report(spark, sf):
+    """The end report over four shards (the last without rows), written as text and read back."""
+    _, packed = packed_docs(spark, sf, 64)
+    path = M.scratch(spark, "report")
+    K.write_text(end_report(shard_mod(packed, ["seq_id"], 3, group=["split"]), 4), path, order="ord")
+    return R.read_text_ordered(spark, path).select("ord", "value")
+
+
 # The special-token contents of the source's map.
 SPECIALS = [("bos_token", "<|begin_of_text|>"), ("eos_token", "<|end_of_text|>")]
 

@@ -36,6 +36,51 @@ def test_golden_filter_half(spark):
     assert [r.t for r in out] == FILTERED
 
 
+def test_debug_input_from_raw_dump_to_ids(spark):
+    """The whole small pipeline: dump, extraction, sentinel file, filter, dedupe,
+    scrub, split, windows; every stage written out."""
+    from quire.functions.pii import scrub
+    from quire.operators.dedupe import exact_dedupe
+    from quire.plans.prep import PrepConfig, pages_to_documents, tokenize_and_pack
+    # a page twice, so that dedupe has something to do
+    again = "<html><body><h1>Doc 2</h1><p>This page mentions an email0: alice@example.com</p></body></html>\n---ENDDOC---\n"
+    pages = R.read_page_dump(spark, _write(RAW + again)).withColumnRenamed("ord", "page_id")
+    docs = pages_to_documents(pages)
+    first, second, third = ("Doc 1\nHello, world0!\nDoc 1a\nHello, whappyorld0!",
+                            "Doc 2\nThis page mentions an email0: alice@example.com", "Doc 3\nFoo bar baz. Repeat foo bar0.")
+    assert [r.text for r in docs.orderBy("doc_id").collect()] == [first, second, third, second]
+    d = tempfile.mkdtemp(prefix="quire-debug-")
+    K.write_text(docs.select("doc_id", K.sentinel_value().alias("value")), d + "/x", order="doc_id")
+    back = R.read_sentinel_docs(spark, d + "/x")
+    lines = back.select("doc_id", collapse_lines("text").alias("text"))
+    clean = exact_dedupe(lines).select("doc_id", scrub("text").alias("text"))
+    got = [r.text for r in clean.orderBy("doc_id").collect()]
+    assert got[0] == "Doc 1 Hello, world0! Doc 1a Hello, whappyorld0!" and got[2] == "Doc 3 Foo bar baz. Repeat foo bar0."
+    assert len(got) == 3 and "alice" not in got[1] and got[1].startswith("Doc 2 This page mentions an email0: ")
+    vocab, packed = tokenize_and_pack(clean, PrepConfig(seq_len=4))
+    word = {r.id: r.token for r in vocab.collect()}
+    text = {s: " ".join(word[i] for r in packed.where(F.col("split") == s).orderBy("seq_id").collect() for i in r.input_ids)
+            for s in ("train", "test")}
+    # two of three documents train; 8 + 8 and 8 words in windows of 4
+    n = len((got[0] + " " + got[1]).split()) // 4 * 4
+    assert text["train"].split() == (got[0] + " " + got[1]).split()[:n]
+    assert text["test"].split() == got[2].split()[:len(got[2].split()) // 4 * 4]
+
+
+def test_end_report_lines(spark):
+    from quire.operators.report import end_report
+    df = spark.createDataFrame([("train", 0, [1, 22]), ("train", 0, [3]), ("test", 2, [444, 5]), ("train", 2, [])],
+                               "split string, shard int, input_ids array<int>")
+    d = tempfile.mkdtemp(prefix="quire-report-")
+    K.write_text(end_report(df, 3), d + "/r", order="ord")
+    assert [r.value for r in R.read_text_ordered(spark, d + "/r").orderBy("ord").collect()] == [
+        " type  | shard | lines | bytes",
+        " train |     0 |     2 |     7", "  test |     0 |     0 |     0",
+        " train |     1 |     0 |     0", "  test |     1 |     0 |     0",
+        " train |     2 |     1 |     1", "  test |     2 |     1 |     6",
+        " Thread 0: 3 tokens", " Thread 1: 0 tokens", " Thread 2: 0 tokens", " Total tokens across all threads: 3"]
+
+
 def test_page_dump_url_framing_is_one_page(spark):
     p = _write(RAW)
     pages = R.read_page_dump(spark, p, framing="url").collect()

@@ -116,14 +116,21 @@ def running_offset(df: DataFrame, order, weight=None, out: str = "offset", group
                 F.sum("__ro_t").over(gw.orderBy("__ro_b").rowsBetween(Window.unboundedPreceding, -1)),
                 F.lit(0).cast("bigint")))
               .withColumn("__ro_gt", F.sum("__ro_t").over(gw)))
-    tot = tot.select(*group, "__ro_b", "__ro_base", "__ro_gt")
+    # a null group is a group: the join on it is null-safe
+    tot = tot.select(*[F.col(g).alias(f"__ro_g{i}") for i, g in enumerate(group)],
+                     F.col("__ro_b").alias("__ro_gb"), "__ro_base", "__ro_gt")
+    on = F.col("__ro_b") == F.col("__ro_gb")
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"__ro_g{i}"))
+    first = [*group, *[c for c in x.columns if c not in group]]
     rows = tot.limit(BROADCAST_ROWS + 1).collect()
     if len(rows) <= BROADCAST_ROWS:
         # bounded by groups x buckets: safe to ship to every task
         small = df.sparkSession.createDataFrame(rows, tot.schema) if rows else tot
-        x = x.join(F.broadcast(small), [*group, "__ro_b"])
+        x = x.join(F.broadcast(small), on)
     else:
-        x = x.join(tot, [*group, "__ro_b"])
+        x = x.join(tot, on)
+    x = x.select(*first, "__ro_base", "__ro_gt")
 
     iw = (Window.partitionBy(*group, "__ro_b").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))

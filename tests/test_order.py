@@ -43,3 +43,12 @@ def test_shard_mod(spark):
     df = spark.createDataFrame([(i * 3,) for i in range(20)], "doc_id long")
     got = {r.doc_id: r.shard for r in shard_mod(df, ["doc_id"], 3).collect()}
     assert got == {i * 3: i % 3 for i in range(20)}
+
+
+def test_null_group_is_a_group(spark):
+    from quire.operators.order import running_offset
+    rows = [(i, None if i % 3 == 0 else "g", i) for i in range(12)]
+    df = spark.createDataFrame(rows, "k long, g string, w long")
+    got = sorted((r.k, r.s, r.t) for r in running_offset(df, ["k"], "w", out="s", group="g", total="t").collect())
+    same = lambda a, b: a % 3 == 0 if b % 3 == 0 else a % 3 != 0
+    assert got == [(k, sum(a for a in range(k) if same(a, k)), sum(a for a in range(12) if same(a, k))) for k in range(12)]

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from quire.functions.text import WS_CLASS, collapse_lines, py_strip, token_count, ws_tokens
+from quire.functions.text import WS_CLASS, collapse_lines, has_tokens, py_strip, ws_tokens
 from quire.operators.order import dense_index
 from quire.session import fits, materialize
 
@@ -48,7 +48,7 @@ def filter_min_len(df: DataFrame, min_len: int, text: str = "text") -> DataFrame
     """Keep documents with at least ``min_len`` whitespace tokens."""
     if min_len <= 0:
         return df
-    return df.where(token_count(text) >= F.lit(min_len))
+    return df.where(has_tokens(text, min_len))
 
 
 def _keyword_regex(words) -> str:

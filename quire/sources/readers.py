@@ -13,9 +13,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from quire.functions.text import py_strip, text_to_ids, ws_tokens
+from quire.functions.text import py_strip, text_to_ids
 from quire.operators.order import running_offset
-from quire.session import fits
+from quire.session import fits, materialize
 
 BROADCAST_SPLITS = 1_000_000
 ROW_BITS = (1 << 33) - 1       # monotonically_increasing_id keeps the row number in the low 33 bits
@@ -26,7 +26,7 @@ def _with_ord(raw: DataFrame) -> DataFrame:
     ``_m`` (monotonically_increasing_id taken right after the scan)."""
     x = raw.withColumn("_r", F.col("_m").bitwiseAND(F.lit(ROW_BITS)))
     blocks = x.groupBy("_f", "_bs").agg(F.count(F.lit(1)).alias("_c"), F.min("_r").alias("_r0"))
-    blocks = running_offset(blocks, ["_f", "_bs"], "_c", out="_base")
+    blocks = materialize(running_offset(materialize(blocks), ["_f", "_bs"], "_c", out="_base"))      # one pass over the lines
     side = F.broadcast(blocks) if fits(blocks, BROADCAST_SPLITS) else blocks
     return (x.join(side, ["_f", "_bs"])
              .withColumn("ord", F.col("_base") + F.col("_r") - F.col("_r0"))
@@ -151,7 +151,7 @@ def read_sequences(spark: SparkSession, path, tolerant: bool = False) -> DataFra
     fails on them like ``int()`` does.
     """
     df = read_text_ordered(spark, path, keep_path=True)
-    df = df.where(F.size(ws_tokens("value")) > 0)
+    df = df.where(py_strip("value") != "")
     if not tolerant:
         return df.select(F.col("ord").alias("seq_id"), text_to_ids("value", strict=True).alias("input_ids"))
     ids = text_to_ids("value", strict=False)

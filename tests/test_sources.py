@@ -206,3 +206,12 @@ def test_page_dump_keeps_pages_with_nulls(spark):
     got = sorted(r.v for r in df.select(page_dump_value().alias("v")).collect())
     end = "\n</html>\n---ENDDOC---"
     assert got == sorted(["URL: u\n<html>\n" + end, "URL: \n<html>\n<p>x" + end, "URL: \n<html>\n" + end])
+
+
+def test_tolerant_reader_casts_only_tokens_with_a_digit(spark, tmp_path):
+    from quire.functions.text import text_to_ids
+    from quire.sources.readers import read_sequences
+    (tmp_path / "a.seq").write_text("1 2 3\n\nx y\n 4 5x\n　\n-7 +8\n")
+    got = sorted((r.seq_id, r.ok, list(r.input_ids)) for r in read_sequences(spark, str(tmp_path / "a.seq"), tolerant=True).collect())
+    assert got == [(0, True, [1, 2, 3]), (2, False, [None, None]), (3, False, [4, None]), (5, True, [-7, 8])]
+    assert "RLIKE" in str(text_to_ids("value", strict=False)).upper()

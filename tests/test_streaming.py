@@ -103,3 +103,20 @@ def test_damaged_pack_state_raises(spark):
     assert [r.seq_id for r in got] == [0, 1, 2]
     with pytest.raises(RuntimeError):
         p(df, 5)                                                  # state of batch 4 is missing
+
+
+def test_drops_are_written_by_one_job_in_order(spark):
+    """No pass over all rows per file, and the times of the files follow the order."""
+    import glob
+    df = spark.range(40).selectExpr("39 - id as doc_id", "concat('text ', id % 7) as text")
+    sc = spark.sparkContext
+    jobs = []
+    for least in (3, 12):
+        sc.setJobGroup(f"drops-{least}", "")
+        path = M.drops(df, "doc_id", least=least)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"drops-{least}")))
+        files = sorted(glob.glob(path.replace("file:", "") + "/*/part-*"), key=os.path.getmtime)
+        ids = [sorted(r.doc_id for r in spark.read.parquet(f).collect()) for f in files]
+        assert len(files) == least and sum(ids, []) == list(range(40))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]

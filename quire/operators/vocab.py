@@ -2,8 +2,8 @@
 
 G3 (whitespace dictionary): ids are dense ranks over (frequency desc, token
 asc) computed with the distributed prefix sum, never a global sort into one
-task.  Encoding joins the distinct-word table back on exploded (doc, position,
-word) rows and regroups by document in position order.
+task.  Encoding numbers the words of a chunk of documents, joins only the chunk's
+distinct words with the vocabulary and puts the ids in the places of the numbers.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.functions.text import ws_tokens
 from quire.operators.order import dense_index
-from quire.session import fits, materialize
+from quire.session import fits, materialize, store
 
 # Vocabularies up to this many rows are broadcast to the encoder; larger ones
-# are joined with a shuffle (AQE splits the partitions of very frequent words).
+# are joined with a shuffle.
 BROADCAST_VOCAB_ROWS = 2_000_000
+CHUNK = 8 << 20              # characters of the texts whose words are numbered together
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -32,7 +33,7 @@ def whitespace_vocab(docs: DataFrame, text: str = "text", min_freq: int = 1) ->
         wc = wc.where(F.col("freq") >= min_freq)
     wc = materialize(wc)          # distinct words: read three times below
     v = dense_index(wc.withColumn("_nf", -F.col("freq")), ["_nf", "token"], out="id")
-    return v.select("token", F.col("id").cast("bigint").alias("id"), "freq")
+    return store(v.select("token", F.col("id").cast("bigint").alias("id"), "freq"), "vocab")
 
 
 def add_special_tokens(vocab: DataFrame, specials: DataFrame) -> DataFrame:
@@ -59,24 +60,57 @@ def special_ids(vocab: DataFrame, specials: DataFrame) -> DataFrame:
                       F.coalesce(F.col("pad_token"), F.col("eos_token")).alias("pad_id"))
 
 
-SALT = 16
-
-
-def _join_vocab(toks: DataFrame, vocab: DataFrame, salt: int = SALT) -> DataFrame:
-    """Left join of exploded tokens with the vocabulary.
-
-    A vocabulary below the checked size is broadcast (no shuffle of the
-    tokens at all).  A larger one is joined on (token, salt): each token
-    occurrence draws a salt from its (document, position), each vocabulary
-    row is copied once per salt value, so a word holding a large share of all
-    tokens is spread over ``salt`` tasks instead of one.
-    """
+def _join_vocab(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Left join of the distinct words of the chunks with the vocabulary: a
+    broadcast below the checked size, else a shuffle.  A word occurs once per
+    chunk, so a very frequent one has as many rows as there are chunks."""
     side = vocab.select("token", "id")
-    if fits(side, BROADCAST_VOCAB_ROWS):
-        return toks.join(F.broadcast(side), "token", "left")
-    t = toks.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in toks.columns if c != "token"]), F.lit(salt)))
-    v = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return t.join(v, ["token", "_salt"], "left").drop("_salt")
+    return words.join(F.broadcast(side) if fits(side, BROADCAST_VOCAB_ROWS) else side, "token", "left")
+
+
+def _numbered(rows: DataFrame, text: str, limit: int) -> DataFrame:
+    """Every row with its words as numbers inside its chunk (``_nums``), and one row
+    per chunk with the chunk's distinct words in that order (``_words``).  A chunk is
+    a run of rows of one task with about ``limit`` characters."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+    cols = [c for c in rows.columns if c != text]
+    schema = "_chunk bigint, " + "".join(f"`{c}` {t}, " for c, t in rows.select(*cols).dtypes) + "_nums array<int>, _words array<string>"
+    nums, words = pa.list_(pa.int32()), pa.list_(pa.string())
+
+    def run(batches):
+        class Numbers(dict):
+            def __missing__(self, w):
+                n = self[w] = len(self)
+                return n
+
+        chunk, known, held, kinds = TaskContext.get().partitionId() << 32, Numbers(), 0, None
+
+        def dictionary():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), *[pa.nulls(1, k) for k in kinds], pa.nulls(1, nums), pa.array([list(known)], words)],
+                names=["_chunk", *cols, "_nums", "_words"])
+
+        for b in batches:
+            kinds = [x.type for x in b.columns[:-1]]
+            for s in range(0, b.num_rows, 256):
+                part = b.slice(s, 256)
+                texts = [t or "" for t in part.columns[-1].to_pylist()]
+                got = [np.fromiter(map(known.__getitem__, w), np.int32) for w in map(str.split, texts)]
+                ends = np.cumsum([0, *map(len, got)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(texts), pa.int64()), *part.columns[:-1],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got))), pa.nulls(len(texts), words)],
+                    names=["_chunk", *cols, "_nums", "_words"])
+                held += sum(map(len, texts))
+                if held >= limit:
+                    yield dictionary()
+                    chunk, known, held = chunk + 1, Numbers(), 0
+        if kinds is not None:
+            yield dictionary()
+
+    return rows.select(*cols, text).mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id",
@@ -84,13 +118,34 @@ def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "do
     """Text -> ids (no special tokens, no truncation).
 
     Words missing from the vocabulary become ``unk_id``.  Documents without
-    any token come out with an empty array (``posexplode_outer``).
+    any token come out with an empty array.  Rows that share ``key`` and ``keep``
+    become one, their ids by position.
+
+    Only the distinct words of a chunk of documents meet the vocabulary; their ids
+    go back to the chunk, where they take the places of the words' numbers.
     """
+    import numpy as np
+    import pyarrow as pa
     keep = [c for c in keep if c != key]
-    toks = docs.select(key, *keep, F.posexplode_outer(ws_tokens(text)).alias("_pos", "token"))
-    j = _join_vocab(toks, vocab)
-    piece = F.when(F.col("_pos").isNotNull(),
-                   F.struct("_pos", F.coalesce("id", F.lit(unk_id)).alias("id")))
-    return (j.groupBy(key, *keep)
-             .agg(F.array_sort(F.collect_list(piece)).alias("_p"))
-             .select(key, *keep, F.transform("_p", lambda s: s["id"]).alias(out)))
+    names = [key, *keep]
+    x = store(_numbered(docs.select(*names, F.col(text).cast("string").alias("_text")), "_text", CHUNK), "numbered")
+    words = x.where(F.col("_words").isNotNull()).select(F.col("_chunk").alias("_of"), F.posexplode("_words").alias("_no", "token"))
+    ids = _join_vocab(words, vocab).select("_of", "_no", F.coalesce(F.col("id").cast("bigint"), F.lit(unk_id)).alias("_id"))
+    rows = x.where(F.col("_words").isNull()).select("_chunk", *names, "_nums")
+
+    def run(left, right):
+        table = np.zeros(right.num_rows, np.int64)
+        table[right.column("_no").to_numpy()] = right.column("_id").to_numpy()
+        nums = left.column("_nums").combine_chunks()
+        flat = table[nums.flatten().to_numpy(zero_copy_only=False)]
+        ends = np.concatenate(([0], np.cumsum(nums.value_lengths().to_numpy(zero_copy_only=False))))
+        got = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+        return pa.table([*[left.column(c) for c in names], got], names=[*names, out])
+
+    schema = "".join(f"`{c}` {t}, " for c, t in rows.select(*names).dtypes) + f"`{out}` array<bigint>"
+    enc = rows.groupBy("_chunk").cogroup(ids.groupBy("_of")).applyInArrow(run, schema)
+    if not rows.groupBy(*names).count().where("count > 1").limit(1).count():
+        return enc
+    placed = F.transform(out, lambda v, i: F.struct(i.alias("p"), v.alias("v")))
+    enc = enc.groupBy(*names).agg(F.array_sort(F.flatten(F.collect_list(placed))).alias("_p"))
+    return enc.select(*names, F.transform("_p", lambda s: s["v"]).alias(out))

@@ -22,7 +22,7 @@ from quire.operators.filters import (collapse_documents, filter_keywords, filter
 from quire.operators.order import train_test_split
 from quire.operators.pack import pack_sequences
 from quire.operators.vocab import encode, whitespace_vocab
-from quire.session import materialize
+from quire.session import materialize, store
 
 
 @dataclass
@@ -79,13 +79,13 @@ def tokenize_and_pack(docs: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFra
     """G3/G2 + E5 + H1: returns (vocab, packed) with packed =
     ``[shard,] split, seq_id, input_ids``."""
     if cfg.materialize:
-        docs = materialize(docs)
+        docs = store(docs, "docs")
     vocab = vocab if vocab is not None else whitespace_vocab(docs)
     group = _shard(cfg)
     split = train_test_split(docs.select("doc_id", "text", *group), ["doc_id"], cfg.train_frac, group=group)
     enc = encode(split, vocab, keep=["split", *group])
     if cfg.materialize:
-        enc = materialize(enc)
+        enc = store(enc, "encoded")
     packed = pack_sequences(enc, cfg.seq_len, group=[*group, "split"])
     return vocab, packed
 

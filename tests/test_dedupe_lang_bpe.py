@@ -282,3 +282,17 @@ def test_encode_keeps_rows_apart(spark):
     got = B.bpe_encode(df, m, v).collect()
     inv = {r.id: r.token for r in v.collect()}
     assert sorted((r.doc_id, "".join(inv.get(i, "?") for i in r.input_ids)) for r in got) == [(1, "▁a▁b"), (1, "▁b▁c"), (2, ""), (3, "▁??▁?")]
+
+
+def test_exact_join_stores_only_shingles_of_several_sets(spark, monkeypatch):
+    """Shingles of one set leave the job after they were counted; sets without enough others, too."""
+    from quire.operators import dedupe as D
+    texts = [" ".join(f"u{i}x{j}" for j in range(40)) for i in range(20)] + [words(50), words(50) + " z1 z2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    reps, stored, keep = D.representatives(df), [], D.materialize
+    monkeypatch.setattr(D, "materialize", lambda x: stored.append(keep(x)) or stored[-1])
+    got = [tuple(r) for r in D.similar_pairs(df, 0.8, reps=reps).collect()]
+    assert got == [(20, 21, 48, 50)]
+    # stored are the sets, the prefixes (of sets that can have a partner) and the candidates
+    assert [(r.a, r.b) for r in stored[2].collect()] == [(20, 21)]
+    assert {r.rep for r in stored[1].collect()} == {20, 21}

@@ -1,27 +1,27 @@
 """Byte-pair-encoding vocabulary training (G1) and encoding.
 
 Training scans the corpus once (distinct words with counts, SentencePiece
-style ``▁`` word prefix) and then works on the word-type table and a table of
-pair counts.  One merge at a time would take a job per merge; a round here
-tries hundreds and keeps as many as are certain:
-
-1. A forecast of the next merges, in order: the exact counts of the best pairs
-   and, for what merges change, a simulation on the most frequent word types
-   (``FORECAST`` at most).
-2. Every task applies the forecast to its word types in that order and returns
-   the change of pair counts of every step; one aggregation sums them.
-3. A step is accepted when, with the exact counts of its moment, its pair is
-   the best one (highest count, then smallest pair); the first that isn't ends
-   the round.  Only pairs that could reach the round's smallest count meet on
-   the driver.
-4. The changes of the accepted steps update the pair counts.
-
-So the result is that of merging one by one, whatever the forecast; a bad
-forecast costs rounds only.  Word types are stored anew every few rounds and
-the merges since then are applied when they are read.
+style ``▁`` word prefix) and then works on the word-type table.  One merge at a
+time would take a job per merge; a round here takes all merges down to a count:
+
+1. The pairs of the word types are counted.  The most frequent ones, all those
+   with at least ``low``, are the pairs of the round.
+2. Every word type is cut wherever a pair is less frequent; what is left are runs
+   of symbols.  Their distinct forms, summed up over all word types, meet on the
+   driver (``FORECAST`` at most, else the round takes fewer pairs).
+3. The driver merges in the runs, best pair first (highest count, then smallest
+   pair), until no pair has ``low`` any more.
+4. The word types are stored anew with these merges.
+
+The runs give the very merges of the whole table.  The inside of a symbol is the
+same wherever it stands (merges inside it depend on nothing outside), so the pairs
+of two symbols that ever meet over a cut all met there at the start of the round,
+as one pair with fewer than ``low`` places; no merge of the round takes it, and a
+pair with ``low`` or more places has all of them inside the runs.
 
 Encoding needs no shuffle: a task encodes each distinct word it meets once, by
-merging its lowest-ranked pair until none is left.
+merging its lowest-ranked pair until none is left, the new words of a batch
+together.
 """
 
 from __future__ import annotations
@@ -34,26 +34,24 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from quire.functions.text import ws_tokens
-from quire.session import materialize, spread
+from quire.session import materialize, spread, store
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])      # workers need no copy of the package
 
 WORD_PREFIX = "▁"
 NUL = "\x00"
-FORECAST = 1_000_000         # word types the forecast is made on
-FORECAST_SYMS = 64           # symbols of such a word at most
-TOP = 20_000                 # pairs whose exact counts the forecast starts from
-STEPS = (64, 2048)           # merges tried per round, at first and at most
-STORE_EVERY = 4              # rounds between stored word-type tables
+FORECAST = 400_000           # distinct runs of a round on the driver at most
+TOP = 2_000_000              # pairs of a round at most, equal counts included: what is broadcast
+STEPS = (64, 4096)           # pairs of a round, at first and at most, but for equal counts
 MAX_PIECES = 2_000_000       # characters and merges: what is broadcast
-HELD = 100_000               # word types a task works on at a time
+HELD = 200_000               # word types a task works on at a time
 CACHE = 500_000              # encoded words a task remembers
 
 
-# ---- words of one task (or of the forecast) -------------------------------
+# ---- runs on the driver ---------------------------------------------------
 
 class Words:
-    """Word types as lists of symbol ids, with an index from pair to words."""
+    """Words (or runs) as lists of symbol ids, with an index from pair to words."""
 
     def __init__(self, words: list, freqs: list):
         self.words, self.freqs = words, freqs
@@ -110,11 +108,6 @@ class Symbols:
             self.names.append(name)
         return self.ids[name]
 
-    def forget(self, size: int) -> None:
-        for n in self.names[size:]:
-            del self.ids[n]
-        del self.names[size:]
-
     def rank(self, pair: tuple, count: int) -> tuple:
         """Order of pairs: highest count, then smallest strings."""
         return -count, self.names[pair[0]], self.names[pair[1]], pair
@@ -168,107 +161,176 @@ def _in_ids(types: DataFrame, ids) -> DataFrame:
 
 
 def _held(batches, size: int):
-    """The word types of a task, ``size`` at a time: they don't depend on each other."""
-    freqs, words = [], []
+    """The word types of a task, ``size`` at a time (they don't depend on each
+    other): frequencies, symbols one word after the other, lengths of the words."""
+    import numpy as np
+
+    def flat(some):
+        return (np.concatenate([b.column(0).to_numpy() for b in some]), np.concatenate([b.column(1).flatten().to_numpy() for b in some]),
+                np.concatenate([np.diff(b.column(1).offsets.to_numpy()) for b in some]).astype(np.int64))
+
+    some: list = []
     for b in batches:
-        freqs += b.column(0).to_pylist()
-        words += b.column(1).to_pylist()
-        if len(words) >= size:
-            yield Words(words, freqs)
-            freqs, words = [], []
-    if words:
-        yield Words(words, freqs)
+        if b.num_rows:
+            some.append(b)
+        if sum(x.num_rows for x in some) >= size:
+            yield flat(some)
+            some = []
+    if some:
+        yield flat(some)
+
+
+def _table(pairs: list) -> tuple:
+    """Pairs as sorted keys and the place of each in ``pairs``."""
+    import numpy as np
+    keys = np.array([p[0] << 32 | p[1] for p in pairs], np.int64)
+    place = np.argsort(keys)
+    return keys[place], place
+
+
+def _keys(syms):
+    """The pair that starts at each position but the last."""
+    import numpy as np
+    return syms[:-1].astype(np.int64) << 32 | syms[1:]
+
+
+def _places(syms, sizes, table: tuple):
+    """The place in the table of the pair that starts at each position, the
+    size of the table if there is none."""
+    import numpy as np
+    keys, place = table
+    out = np.full(len(syms), len(keys))
+    if len(keys):
+        k = _keys(syms)
+        at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+        out[:-1] = np.where(keys[at] == k, place[at], len(keys))
+        out[np.cumsum(sizes) - 1] = len(keys)
+    return out
+
+
+def _merged(syms, sizes, table: tuple, made):
+    """Merges in every word its first pair of the table (to the symbol in
+    ``made``), left to right, until it has none.  Yields the words as they are
+    done: their numbers, symbols and lengths."""
+    import numpy as np
+    word, none = np.arange(len(sizes)), len(made)
+    while len(word):
+        at = _places(syms, sizes, table)
+        least = np.minimum.reduceat(at, np.cumsum(sizes) - sizes)
+        todo = least < none
+        here = np.repeat(todo, sizes)
+        yield word[~todo], syms[~here], sizes[~todo]
+        word, sizes, least, syms, at = word[todo], sizes[todo], least[todo], syms[here], at[here]
+        if not len(word):
+            return
+        hit = at == np.repeat(least, sizes)
+        # places that overlap (a a a): every second one, from the left
+        i = np.arange(len(hit))
+        first = np.maximum.accumulate(np.where(hit & ~np.append(False, hit[:-1]), i, 0))
+        hit &= (i - first) % 2 == 0
+        syms[hit] = made[at[hit]]
+        sizes = sizes - np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+        syms = syms[~np.append(False, hit[:-1])]
 
 
 def _applied(types: DataFrame, merges: list) -> DataFrame:
-    """The word types after the merges (a, b, c)."""
+    """The word types after the merges (a, b, c); those of one symbol are done with."""
+    import numpy as np
     import pyarrow as pa
-    todo = types.sparkSession.sparkContext.broadcast(merges)
+    todo = types.sparkSession.sparkContext.broadcast((_table(merges), np.array([c for _, _, c in merges], np.int32)))
 
     def run(batches):
-        for w in _held(batches, HELD):
-            for m in todo.value:
-                w.merge(*m)
-            yield pa.RecordBatch.from_arrays([pa.array(w.freqs, pa.int64()), pa.array(w.words, pa.list_(pa.int32()))], names=["freq", "syms"])
+        for freqs, syms, sizes in _held(batches, HELD):
+            for word, s, n in _merged(syms, sizes, *todo.value):
+                more = n > 1
+                word, s, n = word[more], s[np.repeat(more, n)], n[more]
+                if len(word):
+                    ends = np.append(0, np.cumsum(n)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(freqs[word]), pa.ListArray.from_arrays(ends, pa.array(s))], names=["freq", "syms"])
 
     return types.mapInArrow(run, "freq bigint, syms array<int>")
 
 
-def _changes(types: DataFrame, done: list, tried: list) -> DataFrame:
-    """``step, a, b, d``: change of the pair counts by every tried merge, the
-    ``done`` ones applied before."""
+def _pair_counts(types: DataFrame) -> DataFrame:
+    """``a, b, n``."""
+    import numpy as np
     import pyarrow as pa
-    todo = types.sparkSession.sparkContext.broadcast((done, tried))
 
     def run(batches):
-        done, tried = todo.value
-
-        def batch(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int32(), pa.int64()))],
-                                              names=["step", "a", "b", "d"])
-        for w in _held(batches, HELD):
-            for m in done:
-                w.merge(*m)
-            out: list = []
-            for step, m in enumerate(tried):
-                out += [(step, *p, d) for p, d in w.merge(*m).items()]
-                if len(out) > 100_000:
-                    yield batch(out)
-                    out = []
-            if out:
-                yield batch(out)
-
-    got = types.mapInArrow(run, "step int, a int, b int, d bigint")
-    return got.groupBy("step", "a", "b").agg(F.sum("d").alias("d")).where("d <> 0")
+        for freqs, syms, sizes in _held(batches, HELD):
+            inner = np.ones(len(syms), bool)
+            inner[np.cumsum(sizes) - 1] = False
+            k, f = _keys(syms)[inner[:-1]], np.repeat(freqs, sizes)[inner]
+            order = np.argsort(k)
+            k, f = k[order], f[order]
+            at = np.flatnonzero(np.append(True, k[1:] != k[:-1])[:len(k)])
+            if len(at):
+                k, f = k[at], np.add.reduceat(f, at)
+                yield pa.RecordBatch.from_arrays([pa.array((k >> 32).astype(np.int32)), pa.array((k & 0xFFFFFFFF).astype(np.int32)), pa.array(f)],
+                                                 names=["a", "b", "n"])
+
+    return types.mapInArrow(run, "a int, b int, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _runs(types: DataFrame, pairs: list) -> DataFrame:
+    """``run`` (symbol ids of 32 bits), ``n``: the word types cut where they have
+    none of the pairs, pieces of one symbol left out."""
+    import numpy as np
+    import pyarrow as pa
+    known = types.sparkSession.sparkContext.broadcast(_table(pairs))
 
+    def run(batches):
+        for freqs, syms, sizes in _held(batches, HELD):
+            on = _places(syms, sizes, known.value) < len(known.value[0])     # goes on with the next symbol
+            joined = np.append(False, on[:-1])
+            starts = (on & ~joined)[on | joined]
+            s, f = syms[on | joined], np.repeat(freqs, sizes)[on & ~joined]
+            if len(f):
+                ends = np.append(np.flatnonzero(starts), len(s)).astype(np.int32) * 4
+                r = pa.Array.from_buffers(pa.binary(), len(f), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(s, np.int32))])
+                t = pa.table({"run": r, "n": f}).group_by("run").aggregate([("n", "sum")])
+                yield from t.select(["run", "n_sum"]).rename_columns(["run", "n"]).to_batches()
 
-def _pair_counts(types: DataFrame) -> DataFrame:
-    p = types.select("freq", F.explode(F.arrays_zip(F.expr("slice(syms, 1, size(syms) - 1)").alias("a"),
-                                                    F.expr("slice(syms, 2, size(syms))").alias("b"))).alias("p"))
-    return p.where("p.b IS NOT NULL AND p.a IS NOT NULL").groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("freq").alias("n"))
+    return types.mapInArrow(run, "run binary, n bigint").groupBy("run").agg(F.sum("n").alias("n"))
 
 
 # ---- training -------------------------------------------------------------
 
-def _forecast(sample: Words, symbols: Symbols, best: dict, steps: int):
-    """The next merges (a, b, c) as far as the sample can tell, and the
-    smallest count it sees among them."""
-    order, out, low = Best(symbols, best), [], None
-    while len(out) < steps:
-        got = order.top()
-        if got is None:
-            break
-        (a, b), n = got
-        low = n if low is None else min(low, n)
-        c = symbols.merged(a, b)
-        change = sample.merge(a, b, c)
-        change[a, b] = -n                                    # no such pair is left, in the sample or elsewhere
-        order.update(change)
-        out.append((a, b, c))
-    return out, low
-
-
-def _accept(symbols: Symbols, counts: dict, low: int, rest, tried: list, changes: dict) -> int:
-    """How many tried merges are the best ones of their moment: ``counts`` are
-    exact for all pairs that can have ``low`` or more, but for those that never
-    change, none of which comes before the pair ``rest``."""
-    order = Best(symbols, counts)
-    limit = None if rest is None else symbols.rank(*rest)[:3]
-    for i, (a, b, _) in enumerate(tried):
-        got = order.top()
-        if got is None or got[0] != (a, b) or got[1] < low or limit and symbols.rank(*got)[:3] >= limit:
-            return i
-        order.update(changes.get(i, {}))
-    return len(tried)
-
-
-def _top(counts: DataFrame, symbols: Symbols) -> list:
-    """The best ``TOP`` pairs and the next one, in the order of training."""
+def _best_pair(counts: DataFrame, symbols: Symbols) -> tuple:
+    """The first pair in the order of training."""
     place = sorted(range(len(symbols.names)), key=symbols.names.__getitem__)
     ranks = counts.sparkSession.createDataFrame([(i, r) for r, i in enumerate(place)], "id int, r int")        # a row per piece
     x = counts.join(F.broadcast(ranks.select(F.col("id").alias("a"), F.col("r").alias("ra"))), "a")
     x = x.join(F.broadcast(ranks.select(F.col("id").alias("b"), F.col("r").alias("rb"))), "b")
-    return [((r.a, r.b), r.n) for r in x.orderBy(F.desc("n"), "ra", "rb").limit(TOP + 1).select("a", "b", "n").collect()]
+    return tuple(x.orderBy(F.desc("n"), "ra", "rb").select("a", "b").first())
+
+
+def _round(types: DataFrame, symbols: Symbols, steps: int, most: int) -> tuple[list, int]:
+    """The next merges (a, b, c), ``most`` at most, and the number of pairs to
+    try in the next round."""
+    import numpy as np
+    counts = _pair_counts(types)
+    while True:
+        top = counts.orderBy(F.desc("n")).limit(steps + 1).collect()
+        low = top[steps].n + 1 if len(top) > steps else 1    # all pairs with ``low`` are known
+        if not top or low <= top[0].n or steps >= TOP:
+            break
+        steps = min(4 * steps, TOP)                          # all of them have the same count
+    while pairs := [(r.a, r.b) for r in top if r.n >= low]:
+        runs = _runs(types, pairs).limit(FORECAST + 1).toArrow()
+        if runs.num_rows <= FORECAST:
+            runs = Words([np.frombuffer(r, np.int32).tolist() for r in runs["run"].to_pylist()], runs["n"].to_pylist())
+            order, out = Best(symbols, runs.counts()), []
+            while len(out) < most and (got := order.top()) and got[1] >= low:
+                (a, b), _ = got
+                out.append((a, b, symbols.merged(a, b)))
+                order.update(runs.merge(*out[-1]))
+            return out, min(2 * len(pairs), STEPS[1]) if len(runs.words) <= FORECAST // 4 else len(pairs)
+        low = top[len(pairs) // 2].n + 1                     # too many runs: at most half the pairs
+    if not top:
+        return [], steps
+    a, b = _best_pair(counts, symbols)                       # one merge needs no runs
+    return [(a, b, symbols.merged(a, b))], min(steps, STEPS[1])
 
 
 def train_bpe(docs: DataFrame, num_merges: int | None = None, text: str = "text",
@@ -291,47 +353,21 @@ def train_bpe(docs: DataFrame, num_merges: int | None = None, text: str = "text"
     if nchar + num_merges > MAX_PIECES:
         raise ValueError(f"more than {MAX_PIECES} pieces")
     symbols = Symbols(chars)
-    types = materialize(spread(_in_ids(types, spark.sparkContext.broadcast(symbols.ids))))
-    counts = materialize(_pair_counts(types))
-    often = types.where(F.size("syms") <= FORECAST_SYMS).orderBy(F.desc("freq"), "syms").limit(FORECAST).collect()
-    sample = Words([list(r.syms) for r in often], [r.freq for r in often])
+    types = store(spread(_in_ids(types, spark.sparkContext.broadcast(symbols.ids))))
 
     merges: list = []
-    pending: list = []                                       # accepted since the word types were stored
     steps, rounds = STEPS[0], 0
     while len(merges) < num_merges:
-        top = _top(counts, symbols)
-        if not top:
+        found, steps = _round(types, symbols, steps, num_merges - len(merges))
+        if not found:
             break
-        best, rest = dict(top[:TOP]), top[TOP] if len(top) > TOP else None
-        size, before = len(symbols.names), list(sample.words)
-        tried, low = _forecast(sample, symbols, best, min(steps, num_merges - len(merges)))
-        changes = materialize(_changes(types, pending, tried))
-        # the changed pairs that can reach the smallest count in question
-        up = changes.groupBy("a", "b").agg(F.sum(F.greatest("d", F.lit(0))).alias("up"))
-        near = up.join(counts, ["a", "b"], "left").select("a", "b", F.coalesce("n", F.lit(0)).alias("n"), "up").where(F.col("n") + F.col("up") >= low)
-        moves: dict = defaultdict(dict)
-        for r in changes.join(near, ["a", "b"]).select("step", "a", "b", "d", "n").collect():
-            best.setdefault((r.a, r.b), r.n)
-            moves[r.step][r.a, r.b] = r.d
-        n = _accept(symbols, best, low, rest, tried, moves)
         rounds += 1
-        merges += tried[:n]
-        pending += tried[:n]
-        if n < len(tried):                                   # the sample went too far
-            symbols.forget(max([size, *(c + 1 for _, _, c in tried[:n])]))
-            sample = Words(before, sample.freqs)
-            for m in tried[:n]:
-                sample.merge(*m)
-        counts = materialize(counts.unionByName(changes.where(F.col("step") < n).select("a", "b", F.col("d").alias("n")))
-                             .groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0"))
-        if rounds % STORE_EVERY == 0:
-            types, pending = materialize(_applied(types, pending)), []
-        steps = min(2 * steps, STEPS[1]) if n == len(tried) else max(STEPS[0], min(steps, 2 * n))
+        merges += found
+        if len(merges) < num_merges:
+            types = store(spread(_applied(types, found)))
     if stats is not None:
         stats.update(rounds=rounds, merges=len(merges))
     rows = [(i, symbols.names[a], symbols.names[b]) for i, (a, b, _) in enumerate(merges)]
-    # a merged string can equal an earlier one; it keeps its first id
     vocab = {c: i for i, c in enumerate(chars)}
     for i, l, r in rows:
         vocab.setdefault(l + r, nchar + i)
@@ -345,31 +381,35 @@ class Encoder(dict):
     """word -> ids; merges the lowest-ranked pair until none is left."""
 
     def __init__(self, ranks: dict, ids: dict, unk_id: int):
+        import numpy as np
         super().__init__()
-        self.ranks, self.ids, self.unk_id = ranks, ids, unk_id
-
-    def split(self, word: str) -> list:
-        s, ranks, none = list(word), self.ranks, len(self.ranks)
-        while len(s) > 1:
-            r, pair = min((ranks.get(p, none), p) for p in set(zip(s, s[1:])))
-            if r == none:
-                break
-            out, k = [], 0
-            while k < len(s):
-                if k + 1 < len(s) and (s[k], s[k + 1]) == pair:
-                    out.append(s[k] + s[k + 1])
-                    k += 2
-                else:
-                    out.append(s[k])
-                    k += 1
-            s = out
-        return s
-
-    def __missing__(self, word):
+        self.ids, self.unk_id = ids, unk_id
+        pairs = sorted(ranks, key=lambda p: (ranks[p], p))
+        self.at = {n: i for i, n in enumerate(dict.fromkeys(n for l, r in pairs for n in (l, r, l + r)))}
+        self.table = _table([(self.at[l], self.at[r]) for l, r in pairs])
+        self.made = np.array([self.at[l + r] for l, r in pairs], np.int32)
+        self.known = [ids.get(n, unk_id) for n in self.at]   # by symbol
+
+    def learn(self, words) -> None:
+        """Encodes the words it has not, all at once."""
+        import numpy as np
         if len(self) >= CACHE:
             self.clear()
-        ids = self[word] = [self.ids.get(t, self.unk_id) for t in self.split(WORD_PREFIX + word)]
-        return ids
+        new = [w for w in words if w not in self]
+        if not new:
+            return
+        chars, syms = np.unique(np.frombuffer("".join(WORD_PREFIX + w for w in new).encode("utf-32-le"), np.uint32), return_inverse=True)
+        for c in map(chr, chars.tolist()):
+            if c not in self.at:                             # a character without a merge
+                self.at[c] = len(self.known)
+                self.known.append(self.ids.get(c, self.unk_id))
+        syms = np.array([self.at[chr(c)] for c in chars.tolist()], np.int32)[syms]
+        known = np.array(self.known, np.int32)
+        for word, s, n in _merged(syms, np.array([len(w) + 1 for w in new]), self.table, self.made):
+            s, end = known[s].tolist(), 0
+            for w, size in zip(word.tolist(), n.tolist()):
+                self[new[w]] = s[end:end + size]
+                end += size
 
 
 def bpe_encode(docs: DataFrame, merges: DataFrame, vocab: DataFrame, text: str = "text",
@@ -388,7 +428,9 @@ def bpe_encode(docs: DataFrame, merges: DataFrame, vocab: DataFrame, text: str =
         for b in batches:
             for s in range(0, b.num_rows, 512):
                 part = b.slice(s, 512)
-                ids = [[i for w in (t or "").split() for i in enc[w]] for t in part.column(1).to_pylist()]
+                texts = [(t or "").split() for t in part.column(1).to_pylist()]
+                enc.learn({w for t in texts for w in t})
+                ids = [[i for w in t for i in enc[w]] for t in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["k", "ids"])
 
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, ids array<int>") \

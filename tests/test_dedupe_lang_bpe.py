@@ -296,3 +296,70 @@ def test_exact_join_stores_only_shingles_of_several_sets(spark, monkeypatch):
     # stored are the sets, the prefixes (of sets that can have a partner) and the candidates
     assert [(r.a, r.b) for r in stored[2].collect()] == [(20, 21)]
     assert {r.rep for r in stored[1].collect()} == {20, 21}
+
+
+def _by_hand(count, merges):
+    """Trains word by word; True if every merge is the best one of its moment."""
+    split = {w: list("▁" + w) for w in count}
+    for pair in merges:
+        pairs = collections.Counter()
+        for w, s in split.items():
+            for p in zip(s, s[1:]):
+                pairs[p] += count[w]
+        if pair != min(pairs, key=lambda p: (-pairs[p], p)):
+            return False
+        for s in split.values():
+            i = 0
+            while i < len(s) - 1:
+                if (s[i], s[i + 1]) == pair:
+                    s[i:i + 2] = ["".join(pair)]
+                i += 1
+    return True
+
+
+def test_bpe_rounds_stay_few_when_word_types_exceed_the_driver(spark, monkeypatch):
+    """Runs of the round's pairs, not whole word types, decide what a round can take."""
+    import random
+    from quire.operators import bpe as B
+    monkeypatch.setattr(B, "FORECAST", 300)
+    rnd = random.Random(11)
+    stems = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randrange(2, 6))) for _ in range(60)]
+    words = list({rnd.choice(stems) + rnd.choice(stems) + rnd.choice("aeiou") * rnd.randrange(3) for _ in range(1500)})
+    text = [" ".join(rnd.choices(words, k=500)) for _ in range(20)]
+    stats: dict = {}
+    m, _ = B.train_bpe(spark.createDataFrame(list(enumerate(text)), "doc_id long, text string"), num_merges=150, stats=stats)
+    got = [(r.left, r.right) for r in m.orderBy("rank").collect()]
+    count = collections.Counter(w for t in text for w in t.split())
+    assert len(count) > 4 * B.FORECAST and len(got) == 150
+    assert _by_hand(count, got)
+    assert stats["rounds"] <= 15
+
+
+def test_bpe_many_equal_counts_take_one_round(spark):
+    from quire.operators import bpe as B
+    text = " ".join(f"{chr(0x4E00 + i)}{chr(0x5E00 + i)}" for i in range(300))           # each pair once
+    stats: dict = {}
+    m, _ = B.train_bpe(spark.createDataFrame([(0, text)], "doc_id long, text string"), num_merges=200, stats=stats)
+    assert _by_hand(collections.Counter(text.split()), [(r.left, r.right) for r in m.orderBy("rank").collect()])
+    assert stats == {"rounds": 1, "merges": 200}
+
+
+def test_encoder_merges_the_new_words_of_a_batch_together():
+    import random
+    from quire.operators import bpe as B
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("ab\x00é😀", [6, 6, 1, 1, 1], k=rnd.randrange(1, 14))) for _ in range(300)] + ["a" * 9, "zz"]
+    pairs = [("a", "a"), ("▁", "a"), ("a", "b"), ("aa", "aa"), ("b", "aa"), ("é", "b"), ("▁a", "b"), ("aa", "a"), ("ab", "ab"), ("b", "b")]
+    ids = {t: i for i, t in enumerate(dict.fromkeys([*"▁abé", *(l + r for l, r in pairs)]))}
+    enc = B.Encoder({p: r for r, p in enumerate(pairs)}, ids, -1)
+    for part in (words[:150], words[100:]):
+        enc.learn(part)
+    for w in words:
+        s = list("▁" + w)
+        while ranked := [pairs.index(p) for p in zip(s, s[1:]) if p in pairs]:
+            pair, i = pairs[min(ranked)], 0
+            while i < len(s) - 1:
+                if (s[i], s[i + 1]) == pair:
+                    s[i:i + 2] = ["".join(pair)]
+                i += 1
+        assert enc[w] == [ids.get(t, -1) for t in s], w

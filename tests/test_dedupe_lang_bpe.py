@@ -363,3 +363,35 @@ def test_encoder_merges_the_new_words_of_a_batch_together():
                     s[i:i + 2] = ["".join(pair)]
                 i += 1
         assert enc[w] == [ids.get(t, -1) for t in s], w
+
+
+def test_lsh_settles_many_unlike_texts_of_a_bucket_in_few_rounds(spark, monkeypatch):
+    """The links of one head after the other, but several heads a round, also where near copies stand side by side."""
+    from quire.operators import dedupe as D
+    common = " ".join(f"c{i}" for i in range(70))
+    texts = [f"{common} " + " ".join(f"u{i // 3}x{j}" for j in range(25)) + " " + " ".join(f"e{i}y{j}" for j in range(2 * (i % 3))) for i in range(90)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    reps = D.representatives(df)
+    sig = {r.rep: r.sig for r in D.signatures(reps, 3, 4).collect()}
+    sets = {r.rep: set(r.s) for r in D.shingle_sets(reps).collect()}
+    buckets = collections.defaultdict(list)
+    for rep in sorted(sig):
+        for band in range(4):
+            buckets[band, sig[rep][band]].append(rep)
+    expected, most = set(), 0
+    for x in buckets.values():
+        heads = 0
+        while len(x) > 1:
+            head, like = x[0], [b for b in x[1:] if len(sets[x[0]] & sets[b]) / len(sets[x[0]] | sets[b]) >= 0.8]
+            expected |= {(head, b, len(sets[head] & sets[b]), len(sets[head] | sets[b])) for b in like}
+            x, heads = [b for b in x[1:] if b not in like], heads + 1
+        most = max(most, heads)
+    assert most >= 20 and expected
+    for pairs, rounds in ((40_000, 2), (0, 7)):
+        stored, keep = [], D._verify
+        monkeypatch.setattr(D, "HEAD_PAIRS", pairs, raising=False)
+        with monkeypatch.context() as m:
+            m.setattr(D, "_verify", lambda *a: stored.append(1) or keep(*a))
+            got = D.minhash_edges(df, 0.8, bands=4, rows=1, reps=reps).collect()
+        assert len(got) == len(expected) and {tuple(r) for r in got} == expected
+        assert len(stored) <= rounds

@@ -395,3 +395,25 @@ def test_lsh_settles_many_unlike_texts_of_a_bucket_in_few_rounds(spark, monkeypa
             got = D.minhash_edges(df, 0.8, bands=4, rows=1, reps=reps).collect()
         assert len(got) == len(expected) and {tuple(r) for r in got} == expected
         assert len(stored) <= rounds
+
+
+def test_exact_pairs_shuffle_little_for_shingles_of_one_set(spark):
+    """Shingles of one set only are told apart before the sets are shuffled; those of
+    several sets all stay, in one task or in several."""
+    from quire.operators import dedupe as D
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " tail") for i in range(0, 40, 8)] + [(200, "one two"), (201, "one  two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = D.shingle_sets(D.representatives(df))
+    for total in (1, 5000, 10**9):
+        some = {r.rep: (r._n, set(r.s)) for r in D.maybe_shared(sets, total).collect()}
+        whole = {r.rep: set(r.s) for r in sets.collect()}
+        assert {k: len(v) for k, v in whole.items()} == {k: n for k, (n, _) in some.items()}
+        df_ = {}
+        for v in whole.values():
+            for h in v:
+                df_[h] = df_.get(h, 0) + 1
+        assert all({h for h in whole[k] if df_[h] > 1} <= v <= whole[k] for k, (_, v) in some.items())
+    assert sum(len(v) for _, v in some.values()) < sum(map(len, whole.values())) / 2
+    got = sorted(tuple(r) for r in D.similar_pairs(df, 0.8).collect())
+    assert got == [(i, 100 + i, 58, 59) for i in range(0, 40, 8)]

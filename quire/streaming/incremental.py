@@ -39,7 +39,9 @@ def scratch(spark: SparkSession, tag: str) -> str:
 def ingest(pages: DataFrame, rules: str = "reference") -> DataFrame:
     """M1: pages -> scrubbed line documents (stateless)."""
     t = py_strip(extract_text("html"))
-    x = pages.select(F.col("page_id").alias("doc_id"), t.alias("text")).where(F.col("text") != "")
+    # a filter would be pushed below the projection and extract a second time
+    some = F.explode(F.filter(F.array(t), lambda s: s != ""))
+    x = pages.select(F.col("page_id").alias("doc_id"), some.alias("text"))
     return x.select("doc_id", scrub(collapse_lines("text"), rules).alias("text"))
 
 
@@ -132,6 +134,9 @@ class StreamDedupe:
         return self.spark.read.parquet(self.root + "/out").drop("batch")
 
 
+ROW_GROUP = 1 << 20          # bytes of a row group: the one file of a micro-batch is read by many tasks
+
+
 def drops(df: DataFrame, order: str, least: int = 3, rows: int = 200_000) -> str:
     """Feed for the stream queries: a folder that holds ``df`` as one file per
     range of ``order`` (at least ``least``, about ``rows`` rows each), written
@@ -142,7 +147,8 @@ def drops(df: DataFrame, order: str, least: int = 3, rows: int = 200_000) -> str
     bounds = range_bounds(df, [order], n)
     x = df.withColumn("_b", bucket_column(df, [order], bounds)).repartitionById(len(bounds) + 1, F.col("_b"))    # a task per file
     path = scratch(spark, "drops")
-    x.withColumn("_b", F.lpad(F.col("_b").cast("string"), 10, "0")).write.partitionBy("_b").parquet(path)
+    (x.withColumn("_b", F.lpad(F.col("_b").cast("string"), 10, "0"))
+      .write.option("parquet.block.size", ROW_GROUP).partitionBy("_b").parquet(path))
     jvm = spark._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(path + "/_b=*/part-*")
     fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -120,3 +120,21 @@ def test_drops_are_written_by_one_job_in_order(spark):
         assert len(files) == least and sum(ids, []) == list(range(40))
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[0] == jobs[1]
+
+
+def test_ingest_extracts_once(spark):
+    """The test for empty texts and the entities read the extracted text, they do not extract again."""
+    rows = [(1, "<p>a&amp;b  c</p>"), (2, None), (3, "<!-- x --> "), (4, "<p>x　\n y</p><p>z")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    out = M.ingest(pages)
+    assert [tuple(r) for r in out.orderBy("doc_id").collect()] == [(1, "a&b c"), (4, "x y z")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("<!--") == 1
+
+
+def test_a_drop_is_read_by_many_tasks(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    df = spark.range(4000).selectExpr("id as doc_id", "concat_ws('', transform(sequence(1, 20), i -> sha2(concat(id, ' ', i), 512))) as text")
+    files = glob.glob(M.drops(df, "doc_id").replace("file:", "") + "/*/part-*")
+    assert len(files) == 3 and min(pq.ParquetFile(f).num_row_groups for f in files) > 1

@@ -8,11 +8,13 @@ distinct words with the vocabulary and puts the ids in the places of the numbers
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.functions.text import ws_tokens
-from quire.operators.order import dense_index
-from quire.session import fits, materialize, store
+from quire.operators.order import default_buckets, dense_index
+from quire.session import ensure_checkpoint_dir, fits, materialize, store
 
 # Vocabularies up to this many rows are broadcast to the encoder; larger ones
 # are joined with a shuffle.
@@ -60,12 +62,25 @@ def special_ids(vocab: DataFrame, specials: DataFrame) -> DataFrame:
                       F.coalesce(F.col("pad_token"), F.col("eos_token")).alias("pad_id"))
 
 
-def _join_vocab(words: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Left join of the distinct words of the chunks with the vocabulary: a
+def vocab_side(vocab: DataFrame, again: bool = False) -> DataFrame:
+    """``token, id`` as the distinct words of the chunks are joined with them: a
     broadcast below the checked size, else a shuffle.  A word occurs once per
-    chunk, so a very frequent one has as many rows as there are chunks."""
+    chunk, so a very frequent one has as many rows as there are chunks.  With
+    ``again`` a large vocabulary is dealt into sorted buckets once, so that of
+    many joins none shuffles it."""
     side = vocab.select("token", "id")
-    return words.join(F.broadcast(side) if fits(side, BROADCAST_VOCAB_ROWS) else side, "token", "left")
+    if fits(side, BROADCAST_VOCAB_ROWS):
+        return F.broadcast(side)
+    if not again:
+        return side
+    spark, name = vocab.sparkSession, f"quire_vocab_{uuid.uuid4().hex}"
+    (side.repartition(default_buckets(side), "token").write.bucketBy(default_buckets(side), "token").sortBy("token")
+         .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    return spark.table(name)
+
+
+def _join_vocab(words: DataFrame, vocab: DataFrame) -> DataFrame:
+    return words.join(vocab_side(vocab), "token", "left")
 
 
 def _numbered(rows: DataFrame, text: str, limit: int) -> DataFrame:
@@ -114,7 +129,7 @@ def _numbered(rows: DataFrame, text: str, limit: int) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "doc_id",
-           out: str = "input_ids", unk_id: int = -1, keep=()) -> DataFrame:
+           out: str = "input_ids", unk_id: int = -1, keep=(), side: DataFrame | None = None) -> DataFrame:
     """Text -> ids (no special tokens, no truncation).
 
     Words missing from the vocabulary become ``unk_id``.  Documents without
@@ -123,6 +138,7 @@ def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "do
 
     Only the distinct words of a chunk of documents meet the vocabulary; their ids
     go back to the chunk, where they take the places of the words' numbers.
+    ``side``: what :func:`vocab_side` gave for ``vocab``, for several calls.
     """
     import numpy as np
     import pyarrow as pa
@@ -130,7 +146,7 @@ def encode(docs: DataFrame, vocab: DataFrame, text: str = "text", key: str = "do
     names = [key, *keep]
     x = store(_numbered(docs.select(*names, F.col(text).cast("string").alias("_text")), "_text", CHUNK), "numbered")
     words = x.where(F.col("_words").isNotNull()).select(F.col("_chunk").alias("_of"), F.posexplode("_words").alias("_no", "token"))
-    ids = _join_vocab(words, vocab).select("_of", "_no", F.coalesce(F.col("id").cast("bigint"), F.lit(unk_id)).alias("_id"))
+    ids = (_join_vocab(words, vocab) if side is None else words.join(side, "token", "left")).select("_of", "_no", F.coalesce(F.col("id").cast("bigint"), F.lit(unk_id)).alias("_id"))
     rows = x.where(F.col("_words").isNull()).select("_chunk", *names, "_nums")
 
     def run(left, right):

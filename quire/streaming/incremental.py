@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quire.functions.html import extract_text
 from quire.functions.pii import scrub
 from quire.functions.text import collapse_lines, content_hash, py_strip
-from quire.operators.order import bucket_column, range_bounds, running_offset
+from quire.operators.order import bucket_column, range_bounds
 from quire.operators.pack import pack_sequences
-from quire.operators.vocab import encode
-from quire.session import ensure_checkpoint_dir, materialize
+from quire.operators.vocab import encode, vocab_side
+from quire.session import ensure_checkpoint_dir, materialize, store
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -214,6 +214,7 @@ class StreamPacker:
 
     def __init__(self, spark: SparkSession, vocab: DataFrame, seq_len: int, root: str | None = None):
         self.spark, self.vocab, self.L = spark, vocab, int(seq_len)
+        self.side = vocab_side(vocab, again=True)            # looked at and dealt out once, not once per batch
         self.root = root or scratch(spark, "stream-pack")
 
     def _state(self, bid: int):
@@ -230,25 +231,32 @@ class StreamPacker:
             raise RuntimeError(f"{len(r)} states before batch {bid}")
         return (list(r[0]["tail"]), int(r[0]["next_seq"])) if r else ([], 0)
 
+    def _last(self, x: DataFrame, n: int) -> list:
+        """The last ``n`` ids (fewer than seq_len): of the last ``n`` documents that
+        have any, those that hold them."""
+        keys = [F.col("part").desc(), F.col("doc_id").desc_nulls_last()]
+        x = x.where(F.size("input_ids") > 0)
+        rows, held, some = x.select("part", "doc_id", F.size("input_ids")).orderBy(*keys).limit(n).collect(), 0, F.lit(False)
+        for part, doc, size in rows:
+            if held < n:
+                held, some = held + size, some | ((F.col("part") == part) & F.col("doc_id").eqNullSafe(F.lit(doc)))
+        end = F.slice("input_ids", F.greatest(F.size("input_ids") - n, F.lit(0)) + 1, F.lit(max(n, 1)))
+        ids = [i for r in x.where(some).select(end.alias("p"), "part", "doc_id").orderBy(*keys).collect()[::-1] for i in r["p"]]
+        return ids[len(ids) - n:]
+
     def __call__(self, bdf: DataFrame, bid: int) -> None:
         spark, L = self.spark, self.L
         tail, next_seq = self._state(bid)
-        docs = materialize(encode(bdf.select("doc_id", "text"), self.vocab).select("doc_id", "input_ids"))
+        docs = encode(bdf.select("doc_id", "text"), self.vocab, side=self.side).select("doc_id", "input_ids")
+        docs = store(docs.withColumn("part", F.lit(1)), "stream-ids")
         # the carried tail comes first whatever the document ids are
-        carry = spark.createDataFrame([(0, 0, tail)], "part int, doc_id long, input_ids array<bigint>")
-        allx = carry.unionByName(docs.withColumn("part", F.lit(1)))
+        carry = spark.createDataFrame([(0, tail, 0)], "doc_id long, input_ids array<bigint>, part int")
+        allx = carry.unionByName(docs)
         win = pack_sequences(allx, L, order=["part", "doc_id"], group=[])
         (win.select((F.col("seq_id") + F.lit(next_seq)).alias("seq_id"), "input_ids")
             .write.mode("overwrite").parquet(f"{self.root}/out/batch={bid}"))
-        x = materialize(running_offset(allx.withColumn("_n", F.size("input_ids")), ["part", "doc_id"], "_n", out="_s", total="_tot"))
-        full = F.floor(F.col("_tot") / L) * L
-        pieces = (x.where(F.col("_s") + F.col("_n") > full)
-                   .select("part", "doc_id", F.slice("input_ids", (F.greatest(full - F.col("_s"), F.lit(0)) + 1).cast("int"),
-                                                     L).alias("p"))
-                   .orderBy("part", "doc_id").collect())              # fewer than seq_len ids in total
-        new_tail = [i for r in pieces for i in r["p"]]
-        tot = x.agg(F.max("_tot")).first()[0] or 0
-        n_full = int(tot) // L
+        tot = allx.agg(F.sum(F.size("input_ids"))).first()[0] or 0
+        new_tail, n_full = self._last(allx, int(tot) % L), int(tot) // L
         (spark.createDataFrame([(bid, new_tail, next_seq + n_full)], STATE)
               .write.mode("overwrite").parquet(f"{self.root}/state/b={bid}"))
 

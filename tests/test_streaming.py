@@ -138,3 +138,18 @@ def test_a_drop_is_read_by_many_tasks(spark):
     df = spark.range(4000).selectExpr("id as doc_id", "concat_ws('', transform(sequence(1, 20), i -> sha2(concat(id, ' ', i), 512))) as text")
     files = glob.glob(M.drops(df, "doc_id").replace("file:", "") + "/*/part-*")
     assert len(files) == 3 and min(pq.ParquetFile(f).num_row_groups for f in files) > 1
+
+
+def test_pack_batch_deals_a_large_vocabulary_out_once(spark, monkeypatch):
+    from quire.operators import vocab as V
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 50}" for j in range(i % 5))) for i in range(40)] + [(None, "w1 w2 w3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = whitespace_vocab(df)
+    want = sorted((r.seq_id, list(r.input_ids)) for r in pack_sequences(encode(df, vocab), 4, group=[]).collect())
+    monkeypatch.setattr(V, "BROADCAST_VOCAB_ROWS", 10)
+    p = M.StreamPacker(spark, vocab, 4)
+    p(df.where("doc_id is null or doc_id < 13"), 0)
+    p(df.where("doc_id >= 13"), 1)
+    assert sorted((r.seq_id, list(r.input_ids)) for r in spark.read.parquet(p.root + "/out").collect()) == want
+    plan = df.selectExpr("text as token").join(p.side.hint("merge"), "token", "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

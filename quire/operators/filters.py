@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from quire.functions.text import WS_CLASS, collapse_lines, has_tokens, py_strip, ws_tokens
+from quire.functions.text import JAVA_WS, WS_CLASS, collapse_lines, has_tokens, py_strip, ws_tokens
 from quire.operators.order import dense_index
 from quire.session import fits, materialize
 
@@ -107,6 +107,15 @@ def keyword_units(col, sizes):
     return F.flatten(F.array(*out)) if len(out) > 1 else out[0]
 
 
+def _unit_match(col, words):
+    """Is one of ``words`` a unit of :func:`keyword_tokens`?  A word of such a list
+    begins and ends with neither punctuation nor symbol, so it is one exactly
+    where it stands between white space and runs of these: one search, and no
+    array of the units."""
+    edge = EDGE_CLASS + "*+"
+    return F.concat(F.lit(" "), F.lower(col), F.lit(" ")).rlike(JAVA_WS + edge + "(?:" + _keyword_regex(words) + ")" + edge + JAVA_WS)
+
+
 def normal_keywords(keywords: DataFrame) -> DataFrame:
     """``keyword, words``: cleaned like the texts, blanks dropped, distinct."""
     k = keywords.select(keyword_tokens("keyword").alias("_t")).where(F.size("_t") > 0)
@@ -120,8 +129,9 @@ def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "to
     ``keywords`` is a list or a ``keyword`` DataFrame; blank ones are ignored,
     and ``None`` or a list without any keyword turns the filter off.
     ``mode="token"``: a keyword equals a unit of :func:`keyword_tokens` (or a
-    run of units, for keywords of several words).  Short lists are an array
-    literal, long ones a semi join on the exploded distinct units.
+    run of units, for keywords of several words).  Short lists are one regex, or
+    an array literal if a keyword has several words, long ones a semi join on the
+    exploded distinct units.
     ``mode="substring"``: a keyword occurs anywhere, by regex.
     """
     if keywords is None:
@@ -136,6 +146,8 @@ def filter_keywords(df: DataFrame, keywords, text: str = "text", mode: str = "to
         return df
     if fits(kw.select("keyword"), LITERAL_KEYWORDS, 1 << 20):
         words = [r["keyword"] for r in kw.select("keyword").collect()]
+        if sizes == [1]:
+            return df.where(_unit_match(F.col(text), words))
         return df.where(F.arrays_overlap(keyword_units(text, sizes), F.array(*[F.lit(w) for w in words])))
     units = df.select(key, F.explode(F.array_distinct(keyword_units(text, sizes))).alias("keyword"))
     side = kw.select("keyword")

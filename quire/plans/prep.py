@@ -62,6 +62,8 @@ def clean_documents(docs: DataFrame, cfg: PrepConfig = DEFAULT) -> dict[str, Dat
     if cfg.keywords:
         x = filter_keywords(x, cfg.keywords)
     x = filter_min_len(x, cfg.min_len)
+    if cfg.materialize and (cfg.keywords or cfg.near_dup_threshold):
+        x = store(x, "filtered")              # the filters run once, not once per pass of the dedupe steps
     stages["filtered"] = x
     x = exact_dedupe(x.select("doc_id", "text", *_shard(cfg)), group=_shard(cfg))
     if cfg.near_dup_threshold:

@@ -38,3 +38,24 @@ def test_reject_malformed(spark):
     df = spark.createDataFrame([(1, True, "x"), (2, False, "y")], "k int, ok boolean, line string")
     good, bad = FL.reject_malformed(df)
     assert [r.k for r in good.collect()] == [1] and [r.line for r in bad.collect()] == ["y"]
+
+
+def test_units_by_regex_equal_units_by_array(spark):
+    """Every run of two pieces around a keyword, by both forms of the rule."""
+    from pyspark.sql import functions as F
+    edges = ["", " ", "-", "...", "　", "\x85", "\n", "(«", "x", "€ ", "7", "- -", "\U0001f600"]
+    texts = [a + w + b for a in edges for b in edges for w in ("payload", "Payload-Delivery", "ids")] + [None, "", " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = ["payload", "payload-delivery", "(ids)"]
+    got = {r.doc_id for r in FL.filter_keywords(df, words).collect()}
+    units = F.arrays_overlap(FL.keyword_units("text", [1]), F.array(*[F.lit(w) for w in ("payload", "payload-delivery", "ids")]))
+    assert got == {r.doc_id for r in df.where(units).collect()} and 0 < len(got) < len(texts)
+
+
+def test_strict_filters_run_once(spark):
+    """The steps after the filters read their result, not the filters again."""
+    from quire.plans.prep import STRICT, clean_documents
+    df = spark.createDataFrame([(i, "malware " * 120 + f"t{i % 3}") for i in range(6)], "doc_id long, text string")
+    st = clean_documents(df, STRICT)
+    assert [r.doc_id for r in st["deduped"].orderBy("doc_id").collect()] == [0, 1, 2]
+    assert "\\p{P}" not in st["scrubbed"]._jdf.queryExecution().optimizedPlan().toString()

@@ -416,4 +416,4 @@ def test_exact_pairs_shuffle_little_for_shingles_of_one_set(spark):
         assert all({h for h in whole[k] if df_[h] > 1} <= v <= whole[k] for k, (_, v) in some.items())
     assert sum(len(v) for _, v in some.values()) < sum(map(len, whole.values())) / 2
     got = sorted(tuple(r) for r in D.similar_pairs(df, 0.8).collect())
-    assert got == [(i, 100 + i, 58, 59) for i in range(0, 40, 8)]
+    assert got == [(i, 100 + i, 58, 59) for i in range(0, 40, 8)] + [(200, 201, 1, 1)]
